@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +91,18 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Smaller record batches for the actions inside, so that a batch of long texts stays small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def texts_of(batch: pa.RecordBatch, column: int = 1) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     return [b"" if x is None else x for x in batch.column(column).cast(pa.binary()).to_pylist()]

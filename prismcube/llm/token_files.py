@@ -28,24 +28,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, read
+from .common import Scratch, arrow_rows, read
 
 #: Chunks whose ids a worker keeps.
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 300_000
 INDEX = np.dtype([("doc_id", "<i8"), ("end", "<u8")])
 #: Stands for a null document id in the index file.
 NULL_ID = -(2**63)
-#: A space that no other character than white space follows, or a first character that is white space.
-LOOSE_SPACE = re.compile(r" (?:\s|\Z)|\A\s")
 
 
 class Encoder:
-    """encode(texts) gives the ids of the tokenizers library for each text as little-endian uint32.
+    """encode(texts) gives the ids of the tokenizers library for each text, little-endian, `width` bytes each.
 
-    For the common byte-level scheme (no normaliser, the standard pattern, no prefix space) a space
-    before a non-space character always begins a new pre-token, so a text is split there and the ids of
-    each distinct chunk are kept; new chunks are encoded by the library, many in one call. Texts with
-    looser white space, and any other tokenizer, are encoded whole.
+    For the common byte-level scheme (no normaliser, the standard pattern, no prefix space) a space before a
+    non-space character always begins a new pre-token, and its first token is the only one that begins with
+    the space's mark. So texts are split there and the ids of each distinct chunk are kept; new chunks are
+    encoded by the library, many in one call, and told apart by that mark. Texts with looser white space,
+    and any other tokenizer, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -55,38 +54,49 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.chunked = self.tok.normalizer is None and re.fullmatch(r"ByteLevel\(add_prefix_space=False, .*use_regex=True\)", str(self.tok.pre_tokenizer)) is not None
-        self.width = 2 if self.tok.get_vocab_size() <= 65536 else 4
+        if self.chunked:
+            self.tok.model._resize_cache(0)  # chunks are kept here; the model sees each once
+        vocabulary = self.tok.get_vocab()
+        self.width = 2 if max(vocabulary.values()) < 65536 else 4
+        self.kind = f"<u{self.width}"
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.memo: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
-        """Ids of chunks that stand after a space: encoded as one text, cut at the chunks' starts."""
+        """Keeps the ids of chunks that stand after a space: encoded as one text, cut at the tokens that begin with a space."""
         for lo in range(0, len(chunks), 4000):
             part = chunks[lo : lo + 4000]
-            got = self.tok.encode(" " + " ".join(part), add_special_tokens=False)
-            starts = np.cumsum([0] + [len(c) + 1 for c in part[:-1]])
-            cuts = np.searchsorted(np.fromiter((a for a, _ in got.offsets), np.int64, len(got.offsets)), starts[1:], "left")
-            ids = np.array(got.ids, "<u4")
-            for c, x in zip(part, np.split(ids, cuts), strict=True):
-                self.memo[c] = x.tobytes()
+            (got,) = self.tok.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+            ids = np.array(got.ids, self.kind)
+            cuts = (np.flatnonzero(self.spaced[ids]) * self.width).tolist()
+            if len(cuts) != len(part):
+                raise ValueError("chunks and tokens disagree")
+            flat = ids.tobytes()
+            self.memo.update(zip(part, [flat[a:b] for a, b in zip(cuts, [*cuts[1:], len(flat)], strict=True)], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.chunked:
-            return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+            return [np.array(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
         memo = self.memo
         if len(memo) > KEPT_CHUNKS:
             memo.clear()
-        split = [None if LOOSE_SPACE.search(t) else t.split(" ") for t in texts]
-        self._learn(list({w for x in split if x for w in x[1:] if w not in memo}))
-        out = []
-        for t, words in zip(texts, split, strict=True):
-            if words is None:
+        split, every = [t.split(" ") for t in texts], set()
+        for x in split:
+            every.update(x[1:])
+        new = every - memo.keys()
+        loose = {w for w in new if not w or w[0].isspace()}
+        self._learn(list(new - loose))
+        get, out = memo.__getitem__, []
+        for t, x in zip(texts, split, strict=True):
+            if loose and not loose.isdisjoint(x[1:]):
                 out.append(self.whole(t))
             else:
-                first = self.whole(words[0]) if words[0] else b""
-                out.append(first + b"".join([memo[w] for w in words[1:]]))
+                first, x[0] = x[0], b""
+                out.append((self.whole(first) if first else b"") + b"".join(map(get, x[1:])))
         return out
 
 
@@ -134,7 +144,7 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encoder = TaskContext.get().partitionId(), _encoder(encoder_path)
         path, at, n_docs, data, index = f"{out_dir}/part-{part:06d}-{uuid.uuid4().hex}", 0, 0, None, None
-        end = np.array([end_id], "<u4").tobytes()
+        end, width = np.array([end_id], encoder.kind).tobytes(), encoder.width
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -145,10 +155,9 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
                 got = encoder.encode([t or "" for t in texts.slice(lo, batch_texts).to_pylist()])
                 rows = np.zeros(len(got), INDEX)
                 rows["doc_id"] = [NULL_ID if i is None else i for i in ids[lo : lo + batch_texts]]
-                rows["end"] = at + np.cumsum([len(x) // 4 + 1 for x in got])
+                rows["end"] = at + np.cumsum([len(x) // width + 1 for x in got])
                 at, n_docs = int(rows["end"][-1]), n_docs + len(got)
-                flat = end.join([*got, b""])
-                data.write(flat if encoder.width == 4 else np.frombuffer(flat, "<u4").astype("<u2").tobytes())
+                data.write(end.join([*got, b""]))
                 index.write(rows.tobytes())
         if data is not None:
             data.close()
@@ -156,7 +165,8 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [path], "width": [encoder.width], "n_docs": [n_docs], "n_tokens": [at]}, schema=_PART)
 
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    written = ordered.mapInArrow(run, "part int, path string, width int, n_docs long, n_tokens long").collect()  # a row for each partition
+    with arrow_rows(spark, 1000):
+        written = ordered.mapInArrow(run, "part int, path string, width int, n_docs long, n_tokens long").collect()  # a row for each partition
     rows, base = [], 0
     for r in sorted(written):
         rows.append((*r, base))

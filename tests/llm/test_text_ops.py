@@ -16,7 +16,7 @@ from prismcube.llm.common import read  # noqa: E402
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-ODD = [None, "", " ", "  two  spaces ", "\n\tx\r\n", "<|endoftext|> a", "é中文\U0001d4b3 ß", "MIT License mit-license", "▁a ▁▁ b", "<unk>中<unk> a", "it's 12 'll!! ..x y  z \x1c q"]
+ODD = [None, "", " ", "  two  spaces ", "\n\tx\r\n", "<|endoftext|> a", "é中文\U0001d4b3 ß", "MIT License mit-license", "▁a ▁▁ b", "<unk>中<unk> a", "it's 12 'll!! ..x y  z \x1c q", "a, b. ½. x².,; ab_. don't. it's, 'ré's é! #!? _. __a z-"]
 
 
 def lower(t):
@@ -112,7 +112,7 @@ def test_token_files_equal_the_library(spark, sf):
     assert got == want
     assert token_files.tokenise(docs.limit(0), P.path("byte_bpe_50k.json")).collect() == []
     other = token_files.Encoder(P.path("word_bpe_49k.json"))
-    assert not other.chunked and len(other.encode(["Hello there"])[0]) == 8
+    assert not other.chunked and len(other.encode(["Hello there"])[0]) == 4
 
 
 @pytest.mark.parametrize("block_words", [2_000_000, 300])
