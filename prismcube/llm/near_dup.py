@@ -4,14 +4,21 @@
    give 256 minima; the low two bits of each are packed into two bit planes of four longs. Bands of minima
    give bucket keys. This pass reads each text once and shuffles nothing.
 2. Exact copies (equal word sequences, by a 128-bit hash) are one node: the smallest id.
-3. Candidates. Buckets of one node are dropped. In each bucket, pivots are compared with all members:
-   first the member that shares most buckets with others, then, in rounds, members of components that are
-   the minority in their bucket, twice as many each round. A pivot that was compared with a bucket leaves
-   it. Rounds end when every bucket's remaining members are in one component, so every pair of a bucket is
-   either compared or already connected: the components are those of all pairs, while a group of near
-   copies costs a row or two a member, not a row a pair.
-4. b-bit filter. For each pair, the share of equal two-bit minima, corrected for chance collisions
-   ((share - 1/4) / (3/4)), estimates the similarity; pairs five standard errors below the threshold go.
+3. Candidates. Buckets of one node are dropped. In each bucket, pivots are compared with all members of a
+   size that can reach the threshold: first the member that shares most buckets with others, then, in rounds,
+   members of components that are the minority in their bucket, more each round. A pivot that was
+   compared with a bucket leaves it. Rounds end when every bucket's remaining members are in one component,
+   so every pair of a bucket is either compared or already connected: the components are those of all pairs,
+   while a group of near copies costs a row or two a member, not a row a pair.
+   Documents that share a long common passage, or differ from one text in many places each, also meet in
+   buckets, many of them and unlike one another. So after the first round, buckets that are still mixed and
+   hold more than `SMALL` members are replaced by a finer, exact rule for their members. Order each set's
+   shingles by how few of these members have them. Of two sets of that similarity, the smaller (by size, id)
+   has one of its n - ceil(2t/(1+t) n) + 1 first shingles among the m - ceil(t m) + 1 first of the larger
+   (prefix filtering), and shingles that set a member apart come first. Those shingles become the buckets of
+   the rounds to come; in them only members by the short prefix are pivots, compared with larger members.
+4. b-bit filter. Within that comparison, for each pair, the share of equal two-bit minima, corrected for chance collisions
+   ((share - 1/4) / (3/4)), estimates the similarity; pairs four standard errors below the threshold go.
 5. Confirmation. Whole sets of the pairs left are intersected: links are exact.
 6. Components by contraction (common.connected_components).
 
@@ -43,6 +50,8 @@ HASHES = 256
 KEPT_WORDS = 300_000
 #: Ids up to which a set of them is broadcast; beyond, it is shuffled.
 BROADCAST_IDS = 1_000_000
+#: Members up to which a mixed bucket is compared as it is.
+SMALL = 16
 _SEEDS = np.random.default_rng(20_240_117)
 _A = _SEEDS.integers(0, 2**31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _SEEDS.integers(0, 2**32, HASHES, np.uint32)
@@ -61,7 +70,7 @@ class Params:
     def least_estimate(self) -> float:
         t = self.percent / 100
         p = 0.25 + 0.75 * t
-        return t - 5 * (p * (1 - p) / HASHES) ** 0.5 / 0.75
+        return t - 4 * (p * (1 - p) / HASHES) ** 0.5 / 0.75
 
 
 class Shingler:
@@ -177,41 +186,71 @@ def with_ids(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") ->
     return docs.join(ids, F.col(key) == F.col("_id"), how)
 
 
+def _estimate():
+    """The b-bit estimate of similarity from columns p00.. and p_p00..: equal two-bit minima, corrected for chance."""
+    half = HASHES // 64
+    differ = [F.bit_count(F.col(f"p0{k}").bitwiseXOR(F.col(f"p_p0{k}")).bitwiseOR(F.col(f"p1{k}").bitwiseXOR(F.col(f"p_p1{k}")))) for k in range(half)]
+    return (1.0 - sum(differ[1:], differ[0]) / float(HASHES) - 0.25) / 0.75
+
+
 class _Links:
     """Confirms pairs (x, p) of nodes; keeps the sets that it has computed for the rounds to come."""
 
-    def __init__(self, scratch: Scratch, docs: DataFrame, nodes: DataFrame, params: Params):
-        self.scratch, self.docs, self.nodes, self.params = scratch, docs, nodes, params
+    def __init__(self, scratch: Scratch, docs: DataFrame, params: Params):
+        self.scratch, self.docs, self.params = scratch, docs, params
         self.sets: DataFrame | None = None
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The links (a, b) among distinct pairs."""
-        part = ["n_shingles", *_WORDS64]
-        x = self.nodes.select(F.col("id").alias("x"), *(F.col(c).alias(f"x_{c}") for c in part))
-        p = self.nodes.select(F.col("id").alias("p"), *(F.col(c).alias(f"p_{c}") for c in part))
-        half = HASHES // 64
-        differ = sum((F.bit_count(F.col(f"x_p0{k}").bitwiseXOR(F.col(f"p_p0{k}")).bitwiseOR(F.col(f"x_p1{k}").bitwiseXOR(F.col(f"p_p1{k}")))) for k in range(half)), F.lit(0))
-        estimate = (F.lit(1.0) - differ / F.lit(float(HASHES)) - 0.25) / 0.75
-        small, large = F.least("x_n_shingles", "p_n_shingles"), F.greatest("x_n_shingles", "p_n_shingles")
-        likely = pairs.join(x, "x").join(p, "p").filter((100 * small >= self.params.percent * large) & (estimate >= self.params.least_estimate))
-        likely = self.scratch.save(likely.select("x", "p"), "likely")
-        ids = likely.select(F.col("x").alias("id")).unionByName(likely.select(F.col("p").alias("id"))).distinct()
+    def fetch(self, ids: DataFrame) -> None:
+        """Adds the sets of ids (id) that are not there yet."""
         if self.sets is not None:
             ids = ids.join(self.sets.select(F.col("doc_id").alias("id")), "id", "left_anti")
         ids = self.scratch.save(ids, "wanted")
         if self.sets is None or not ids.isEmpty():
             more = self.scratch.save(shingle_sets(with_ids(self.docs, ids, "left_semi"), self.params), "sets")
             self.sets = more if self.sets is None else self.sets.unionByName(more)
+        self.scratch.drop(ids)
+
+    def rare_shared(self, ids: DataFrame) -> DataFrame:
+        """(bucket, id, index, directed): shingles in the prefixes of at least two of ids; index: it is in the short prefix, too."""
+        self.fetch(ids)
+        each = self.sets.join(ids, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+        often = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
+        ranked = each.join(often, "s").groupBy("id").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "s"))).alias("all"))
+        t, n = self.params.percent, F.col("n").cast("long")
+        ceil = lambda a, b: F.floor((a + b - 1) / b)
+        long, short = n - ceil(t * n, 100) + 1, n - ceil(2 * t * n, 100 + t) + 1
+        prefix = ranked.select("id", short.alias("short"), F.posexplode(F.slice("all", 1, long.cast("int"))).alias("at", "x")).filter("x.df > 1")
+        prefix = self.scratch.save(prefix.select(F.col("x.s").alias("bucket"), "id", (F.col("at") < F.col("short")).alias("index"), F.lit(True).alias("directed")), "prefix")
+        shared = prefix.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("index").alias("any")).filter("n > 1 and any").select("bucket")
+        return prefix.join(shared, "bucket")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The links (a, b) among distinct pairs (x, p), by their whole sets."""
+        likely = self.scratch.save(pairs, "likely")
+        ids = likely.select(F.col("x").alias("id")).unionByName(likely.select(F.col("p").alias("id"))).distinct()
+        self.fetch(ids)
         a = self.sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("sx"))
         b = self.sets.select(F.col("doc_id").alias("p"), F.col("shingles").alias("sp"))
         common = F.size(F.array_intersect("sx", "sp")).cast("long")
         union = F.size("sx") + F.size("sp") - common
         links = likely.join(a, "x").join(b, "p").filter(100 * common >= self.params.percent * union)
         out = self.scratch.save(links.select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")), "links")
-        self.scratch.drop(likely, ids)
+        self.scratch.drop(likely)
         return out
 
 
+def _mixed(scratch: Scratch, members: DataFrame, components: DataFrame) -> DataFrame:
+    """Members (bucket, id, index, directed) of buckets with more than one component and a pivot to come: with component, rank (0 if it is not the bucket's largest) and the bucket's members."""
+    known = members.join(components, "id", "left").select("bucket", "id", "index", "directed", F.coalesce("component", "id").alias("component"))
+    known = scratch.save(known, "known")
+    sizes = known.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.max("index").alias("index"))
+    mixed = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max("index").alias("more"), F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("top")).filter("parts > 1 and more")
+    out = known.join(mixed.select("bucket", "members", F.col("top.component").alias("main")), "bucket")
+    out = scratch.save(out.select("bucket", "id", "index", "directed", "component", (F.col("component") == F.col("main")).cast("long").alias("rank"), "members"), "live")
+    scratch.drop(known)
+    return out
+
+
 def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs."""
     spark = docs.sparkSession
@@ -225,39 +264,50 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     members = scratch.save(exploded.join(shared, "bucket"), "members")
     popular = members.groupBy("id").agg(F.sum("n").alias("popularity"))
     members = members.select("bucket", "id").join(popular, "id")
-    links = _Links(scratch, docs, nodes, params)
-
-    live = scratch.save(members.select("bucket", "id", F.col("id").alias("component"), (-F.col("popularity")).alias("rank")), "live")
+    links = _Links(scratch, docs, params)
+
+    live = members.select("bucket", "id", F.lit(True).alias("index"), F.lit(False).alias("directed"), F.col("id").alias("component"), (-F.col("popularity")).alias("rank"))
+    live = scratch.save(live, "live")
+    parts = ["id", "component", "n_shingles", *_WORDS64]
+    marked = nodes.select("id", "n_shingles", *_WORDS64)
+    like = F.col("id") != F.col("p_id")
+    like &= F.col("component") != F.col("p_component")
+    size, p_size = F.col("n_shingles"), F.col("p_n_shingles")
+    like &= ~F.col("directed") | (p_size < size) | ((p_size == size) & (F.col("p_id") < F.col("id")))
+    like &= 100 * F.least(size, p_size) >= params.percent * F.greatest(size, p_size)
+    like &= _estimate() >= params.least_estimate
     edges: list[DataFrame] = []
-    components, pivots_each = None, 1
+    components, each = None, 1
     while True:
-        pivots = live.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(pivots_each)).alias("salt")).agg(F.min(F.struct("rank", "id", "component")).alias("m"))
-        pivots = scratch.save(pivots.select("bucket", F.col("m.id").alias("p"), F.col("m.component").alias("p_component")), "pivots")
-        pairs = live.join(pivots, "bucket").filter("id <> p and component <> p_component").select(F.least("id", "p").alias("x"), F.greatest("id", "p").alias("p")).distinct()
+        live = live.join(marked, "id")
+        pivots = live.filter("index").groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(each)).alias("salt")).agg(F.min(F.struct("rank", *parts)).alias("m"))
+        pivots = scratch.save(pivots.select("bucket", *(F.col(f"m.{c}").alias(f"p_{c}") for c in parts)), "pivots")
+        pairs = live.join(pivots, "bucket").filter(like).select(F.least("id", "p_id").alias("x"), F.greatest("id", "p_id").alias("p")).distinct()
         edges.append(links.confirmed(pairs))
         every = edges[0]
         for e in edges[1:]:
             every = every.unionByName(e)
         if components is None or not edges[-1].isEmpty():
             components = connected_components(scratch, every)
-        rest = live.join(pivots.select("bucket", F.col("p").alias("id")), ["bucket", "id"], "left_anti").select("bucket", "id")
-        rest = rest.join(components, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-        rest = scratch.save(rest, "rest")
-        sizes = rest.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-        mixed = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("top")).filter("parts > 1")
-        after = rest.join(mixed.select("bucket", F.col("top.component").alias("main")), "bucket")
-        before, live = live, scratch.save(after.select("bucket", "id", "component", (F.col("component") == F.col("main")).cast("long").alias("rank")), "live")
-        scratch.drop(before, rest, pivots)
+        rest = live.join(pivots.select("bucket", F.col("p_id").alias("id"), F.lit(True).alias("used")), ["bucket", "id"], "left").filter("used is null or directed")
+        rest = rest.select("bucket", "id", (F.col("index") & F.col("used").isNull()).alias("index"), "directed")
+        live = _mixed(scratch, rest, components)
+        if each == 1:
+            large = live.filter(F.col("members") > SMALL)
+            ids = scratch.save(large.select("id").distinct(), "large")
+            if not ids.isEmpty():
+                finer = _mixed(scratch, links.rare_shared(ids), components)
+                live = scratch.save(live.filter(F.col("members") <= SMALL).unionByName(finer), "live")
         if live.isEmpty():
             break
-        pivots_each = max(16, 2 * pivots_each)
+        each = max(64, 4 * each)
 
     final = classes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select("text_key", F.coalesce("component", "rep").alias("component"))
     out = sigs.select("doc_id", "n_shingles", "text_key").join(final, "text_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
     out = scratch.save(out, "result")
-    scratch.drop(sigs, classes, nodes, live, *edges)
+    scratch.drop(sigs, classes, nodes, *edges)
     return out
 
 
