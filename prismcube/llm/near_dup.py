@@ -16,7 +16,8 @@
    shingles by how few of these members have them. Of two sets of that similarity, the smaller (by size, id)
    has one of its n - ceil(2t/(1+t) n) + 1 first shingles among the m - ceil(t m) + 1 first of the larger
    (prefix filtering), and shingles that set a member apart come first. Those shingles become the buckets of
-   the rounds to come; in them only members by the short prefix are pivots, compared with larger members.
+   the rounds to come; in them only members by the short prefix are pivots, compared with larger members, and
+   the places of the shingle in both orders must leave room for the intersection that the threshold takes.
 4. b-bit filter. Within that comparison, for each pair, the share of equal two-bit minima, corrected for chance collisions
    ((share - 1/4) / (3/4)), estimates the similarity; pairs four standard errors below the threshold go.
 5. Confirmation. Whole sets of the pairs left are intersected: links are exact.
@@ -211,7 +212,7 @@ class _Links:
         self.scratch.drop(ids)
 
     def rare_shared(self, ids: DataFrame) -> DataFrame:
-        """(bucket, id, index, directed): shingles in the prefixes of at least two of ids; index: it is in the short prefix, too."""
+        """(bucket, id, index, directed, at): shingles in the prefixes of at least two of ids; index: it is in the short prefix, too."""
         self.fetch(ids)
         each = self.sets.join(ids, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
         often = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
@@ -220,7 +221,7 @@ class _Links:
         ceil = lambda a, b: F.floor((a + b - 1) / b)
         long, short = n - ceil(t * n, 100) + 1, n - ceil(2 * t * n, 100 + t) + 1
         prefix = ranked.select("id", short.alias("short"), F.posexplode(F.slice("all", 1, long.cast("int"))).alias("at", "x")).filter("x.df > 1")
-        prefix = self.scratch.save(prefix.select(F.col("x.s").alias("bucket"), "id", (F.col("at") < F.col("short")).alias("index"), F.lit(True).alias("directed")), "prefix")
+        prefix = self.scratch.save(prefix.select(F.col("x.s").alias("bucket"), "id", (F.col("at") < F.col("short")).alias("index"), F.lit(True).alias("directed"), "at"), "prefix")
         shared = prefix.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("index").alias("any")).filter("n > 1 and any").select("bucket")
         return prefix.join(shared, "bucket")
 
@@ -241,12 +242,12 @@ class _Links:
 
 def _mixed(scratch: Scratch, members: DataFrame, components: DataFrame) -> DataFrame:
     """Members (bucket, id, index, directed) of buckets with more than one component and a pivot to come: with component, rank (0 if it is not the bucket's largest) and the bucket's members."""
-    known = members.join(components, "id", "left").select("bucket", "id", "index", "directed", F.coalesce("component", "id").alias("component"))
+    known = members.join(components, "id", "left").select("bucket", "id", "index", "directed", "at", F.coalesce("component", "id").alias("component"))
     known = scratch.save(known, "known")
     sizes = known.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.max("index").alias("index"))
     mixed = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max("index").alias("more"), F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("top")).filter("parts > 1 and more")
     out = known.join(mixed.select("bucket", "members", F.col("top.component").alias("main")), "bucket")
-    out = scratch.save(out.select("bucket", "id", "index", "directed", "component", (F.col("component") == F.col("main")).cast("long").alias("rank"), "members"), "live")
+    out = scratch.save(out.select("bucket", "id", "index", "directed", "at", "component", (F.col("component") == F.col("main")).cast("long").alias("rank"), "members"), "live")
     scratch.drop(known)
     return out
 
@@ -266,14 +267,16 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     members = members.select("bucket", "id").join(popular, "id")
     links = _Links(scratch, docs, params)
 
-    live = members.select("bucket", "id", F.lit(True).alias("index"), F.lit(False).alias("directed"), F.col("id").alias("component"), (-F.col("popularity")).alias("rank"))
+    live = members.select("bucket", "id", F.lit(True).alias("index"), F.lit(False).alias("directed"), F.lit(0).alias("at"), F.col("id").alias("component"), (-F.col("popularity")).alias("rank"))
     live = scratch.save(live, "live")
-    parts = ["id", "component", "n_shingles", *_WORDS64]
+    parts = ["id", "at", "component", "n_shingles", *_WORDS64]
     marked = nodes.select("id", "n_shingles", *_WORDS64)
     like = F.col("id") != F.col("p_id")
     like &= F.col("component") != F.col("p_component")
     size, p_size = F.col("n_shingles"), F.col("p_n_shingles")
     like &= ~F.col("directed") | (p_size < size) | ((p_size == size) & (F.col("p_id") < F.col("id")))
+    # a shared shingle at these places leaves room for so large an intersection, if it is the first shared one
+    like &= ~F.col("directed") | ((100 + params.percent) * F.least(size - F.col("at"), p_size - F.col("p_at")) >= params.percent * (size + p_size))
     like &= 100 * F.least(size, p_size) >= params.percent * F.greatest(size, p_size)
     like &= _estimate() >= params.least_estimate
     edges: list[DataFrame] = []
@@ -290,7 +293,7 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
         if components is None or not edges[-1].isEmpty():
             components = connected_components(scratch, every)
         rest = live.join(pivots.select("bucket", F.col("p_id").alias("id"), F.lit(True).alias("used")), ["bucket", "id"], "left").filter("used is null or directed")
-        rest = rest.select("bucket", "id", (F.col("index") & F.col("used").isNull()).alias("index"), "directed")
+        rest = rest.select("bucket", "id", (F.col("index") & F.col("used").isNull()).alias("index"), "directed", "at")
         live = _mixed(scratch, rest, components)
         if each == 1:
             large = live.filter(F.col("members") > SMALL)
@@ -300,7 +303,7 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
                 live = scratch.save(live.filter(F.col("members") <= SMALL).unionByName(finer), "live")
         if live.isEmpty():
             break
-        each = max(64, 4 * each)
+        each = max(256, 8 * each)
 
     final = classes.join(components.withColumnRenamed("id", "rep"), "rep", "left").select("text_key", F.coalesce("component", "rep").alias("component"))
     out = sigs.select("doc_id", "n_shingles", "text_key").join(final, "text_key", "left")
