@@ -1,8 +1,565 @@
-"""Queries of the cube operators and their SQL, by name."""
+"""Queries of the cube operators and their SQL, by name.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+E is the spectral cube of embeddings (k band, r line, c place), Q the whole-number cube of lineitem. Floating
+results are rounded on both sides.
+"""
 
+from __future__ import annotations
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .cube import E_SQL, FLT_MIN, Q_SQL, count_cube, spectral_cube
+from .functions import geo, interp
+from .operators import aggregates as A
+from .operators import kernels as K
+from .operators import maps as M
+from .operators import render as R
+from .operators import tables as T
+from .plans import tasks
+from .streaming import frames as stream
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql is not None:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, digits: int = 6, *names: str) -> DataFrame:
+    """Double columns (or the named ones) rounded, without a negative zero."""
+    for n, kind in df.dtypes:
+        if kind == "double" and (not names or n in names):
+            df = df.withColumn(n, F.round(n, digits) + 0.0)
+    return df
+
+
+def e_cube(spark, sf):
+    return spectral_cube(spark, sf)
+
+
+def e(spark, sf):
+    return spectral_cube(spark, sf).frames()
+
+
+def q(spark, sf):
+    return count_cube(spark, sf).frames()
+
+
+def read(spark, sf, name):
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median background of ten frames, removed, then anomaly scores of pairs of frames: as a task list."""
+    xml = "<HSP><dim_prior>0,1,2</dim_prior><task name='background'><ksize>10</ksize><method>median</method><removal>true</removal></task><task name='anomaly'><ksize>2</ksize></task></HSP>"
+    return rounded(tasks.run(e_cube(spark, sf_dir), tasks.read_tasks(xml)).cube.frames(), 4)
+
+
+_BG = "m AS (SELECT k // 10 AS b, r, c, list_sort(list(v))[len(list(v)) // 2 + 1] AS bg FROM e GROUP BY ALL), d AS (SELECT e.k, e.r, e.c, v - bg AS v FROM e JOIN m ON e.k // 10 = m.b AND e.r = m.r AND e.c = m.c)"
+_RX = """p AS (SELECT k // 2 AS k, r, c, max(v) FILTER (k % 2 = 0) AS u, max(v) FILTER (k % 2 = 1) AS w FROM d GROUP BY ALL),
+s AS (SELECT k, avg(u) AS mu, avg(w) AS mw, covar_samp(u, u) AS a, covar_samp(u, w) AS b, covar_samp(w, w) AS g FROM p GROUP BY k)
+SELECT CAST(p.k AS INT) AS k, r, c, round((g * (u - mu) ** 2 - 2 * b * (u - mu) * (w - mw) + a * (w - mw) ** 2) / (a * g - b * b), 4) + 0.0 AS v FROM p JOIN s USING (k)"""
+query("flagship_background_removal_anomaly", f"WITH {E_SQL}, {_BG}, {_RX}")(flagship)
+
+
+@query("s3_source_window", f"WITH {Q_SQL} SELECT k - 1 AS b, r - 2 AS y, c - 3 AS x, v FROM q WHERE c BETWEEN 3 AND 7 AND r BETWEEN 2 AND 6 AND k BETWEEN 1 AND 4")
+def s3(spark, sf):
+    return count_cube(spark, sf).window(xoff=3, xsize=5, yoff=2, ysize=0, boff=1, bsize=4, rebase=True).cells.select("b", "y", "x", "v")
+
+
+@query("s17_nodata_to_nan", f"WITH {Q_SQL} SELECT k, r, count(*) FILTER (v NOT IN (100, 200)) AS valid, count(*) AS n FROM q GROUP BY ALL")
+def s17(spark, sf):
+    from .cube import is_nodata
+
+    return q(spark, sf).groupBy("k", "r").agg(F.count(F.when(~is_nodata(F.col("v"), (100.0, 200.0)), 1)).alias("valid"), F.count(F.lit(1)).alias("n"))
+
+
+def coefficients(frames):
+    cells = frames.select("r", "c").distinct()
+    return cells.withColumn("a", 1.0 + (F.col("c") % 3) / 4).withColumn("b", (F.col("r") % 5) - 2.0)
+
+
+_COEF = "1.0e0 + (c % 3) / 4.0e0"
+
+
+@query("m0_m1_uniform", f"WITH {E_SQL}, d AS (SELECT *, ({_COEF}) * v + ((r % 5) - 2.0e0) AS d FROM e) SELECT k, r, c, round(CASE WHEN v IN (0.5) THEN v WHEN d < {FLT_MIN!r} THEN {FLT_MIN!r} WHEN d > 2 THEN v ELSE d END, 6) + 0.0 AS v FROM d")
+def m1(spark, sf):
+    f = e(spark, sf)
+    return rounded(M.uniform(f, coefficients(f), nodata=(0.5,), hi=2.0))
+
+
+@query("m2_dark_constant", f"WITH {Q_SQL} SELECT k, r, c, CASE WHEN v - (r % 5) * 10 < {FLT_MIN!r} THEN {FLT_MIN!r} ELSE v - (r % 5) * 10 END AS v FROM q")
+def m2(spark, sf):
+    f = q(spark, sf)
+    return M.dark_constant(f, f.select("r", "c").distinct().withColumn("b", (F.col("r") % 5) * 10.0))
+
+
+@query("m3_dark_linear", f"WITH {Q_SQL} SELECT k, r, c, CASE WHEN v - ((1 + c % 2) * (k * 3.0e0) + r) < {FLT_MIN!r} THEN {FLT_MIN!r} ELSE v - ((1 + c % 2) * (k * 3.0e0) + r) END AS v FROM q")
+def m3(spark, sf):
+    f = q(spark, sf)
+    dark = f.select("r", "c").distinct().withColumn("a", 1.0 + F.col("c") % 2).withColumn("b", F.col("r").cast("double"))
+    return M.dark_linear(f, dark, f.select("k").distinct().withColumn("idx", F.col("k") * 3.0))
+
+
+@query("m4_extend", f"WITH {Q_SQL} SELECT k, r, c, CASE WHEN c % 7 = 0 THEN 0.0e0 ELSE r * 100.0e0 + c END AS v FROM q")
+def m4(spark, sf):
+    f = q(spark, sf)
+    return M.extend(f, f.select("r", "c").distinct().filter("c % 7 <> 0").withColumn("v", F.col("r") * 100.0 + F.col("c")))
+
+
+@query("a5_m5_background_removal", f"WITH {E_SQL}, g AS (SELECT k // 10 AS b, r, c, avg(v) AS bg FROM e GROUP BY ALL) SELECT e.k, e.r, e.c, round(v - bg, 6) + 0.0 AS v FROM e JOIN g ON e.k // 10 = b AND e.r = g.r AND e.c = g.c")
+def m5(spark, sf):
+    f = e(spark, sf)
+    return rounded(M.minus_background(f, A.background(f, 10), 10))
+
+
+@query("m5_background_window", f"WITH {E_SQL}, {_BG} SELECT k, r, c, round(v, 6) + 0.0 AS v FROM d")
+def m5w(spark, sf):
+    return rounded(A.remove_background(e(spark, sf), 10, "median"))
+
+
+@query("m6_lookup", f"WITH {Q_SQL} SELECT k, r, c, 0.5e0 * v + 3 AS linear, [1.0e0, 4, 9, 16][least(greatest(CAST(trunc(v / 400.0e0) AS INT), 0), 3) + 1] AS mapped FROM q")
+def m6(spark, sf):
+    v = F.col("v")
+    return q(spark, sf).select("k", "r", "c", M.linear_lookup(v, 0.5, 3.0).alias("linear"), M.map_lookup(v, [1, 4, 9, 16], 0.0, 400.0).alias("mapped"))
+
+
+@query("m7_stretch", f"WITH {E_SQL}, p AS (SELECT k, quantile_cont(v, 0.01) AS pa, quantile_cont(v, 0.99) AS pb FROM e GROUP BY k) SELECT e.k, r, c, round_even(255 * (least(greatest(v, pa), pb) - pa) / (pb - pa), 0) AS v FROM e JOIN p USING (k)")
+def m7(spark, sf):
+    return M.stretch(e(spark, sf))
+
+
+@query("m8_gain_offset", f"WITH {E_SQL}, s AS (SELECT k, r, avg(v) AS m, stddev_pop(v) AS s FROM e GROUP BY ALL) SELECT k, r, round(CASE WHEN s = 0 THEN 0 ELSE 1 / s END, 4) + 0.0 AS a, round(CASE WHEN s = 0 THEN 0 ELSE -m / s END, 4) + 0.0 AS b FROM s")
+def m8(spark, sf):
+    s = e(spark, sf).groupBy("k", "r").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+    return rounded(M.gain_offset(s).select("k", "r", "a", "b"), 4)
+
+
+_LH = f"{Q_SQL}, w AS (SELECT r, c, sum(v) FILTER (k = 0) AS low, sum(v) FILTER (k = 1) AS high, sum(v) FILTER (k = 2) AS sigma FROM q GROUP BY ALL HAVING count(*) FILTER (k IN (0, 1, 2)) = 3)"
+
+
+def _light_dark(spark, sf):
+    at = lambda i: F.sum(F.when(F.col("k") == i, F.col("v")))
+    w = q(spark, sf).groupBy("r", "c").agg(at(0).alias("low"), at(1).alias("high"), at(2).alias("sigma"), F.count(F.when(F.col("k") < 3, 1)).alias("n"))
+    return w.filter("n = 3").drop("n")
+
+
+@query("m9_two_point", f"WITH {_LH}, m AS (SELECT *, median(low) OVER (PARTITION BY r) AS lo, median(high) OVER (PARTITION BY r) AS hi FROM w), a AS (SELECT r, c, lo, low, (hi - lo) / CASE WHEN high = low THEN 1e-4 ELSE high - low END AS a FROM m) SELECT r, c, round(a, 4) + 0.0 AS a, round(lo - a * low, 4) + 0.0 AS b FROM a")
+def m9(spark, sf):
+    return rounded(M.two_point(_light_dark(spark, sf)).select("r", "c", "a", "b"), 4)
+
+
+@query("m10_reflectance_gain", f"WITH {Q_SQL} SELECT k, r, c, round(9500.0e0 / v, 6) AS a FROM q")
+def m10(spark, sf):
+    return q(spark, sf).select("k", "r", "c", F.round(M.reflectance_gain(F.col("v")), 6).alias("a"))
+
+
+@query(
+    "m11_bad_pixels",
+    f"WITH {_LH}, d AS (SELECT r, c, high - low AS d, sigma, low AS dark, avg(high - low) OVER p AS md, avg(sigma) OVER p AS ms, avg(low) OVER p AS mk FROM w WINDOW p AS (PARTITION BY r, c // 8)) SELECT r + 1 AS row, c + 1 AS col FROM d WHERE d > 1.5 * md OR d < 0.5 * md OR sigma > 2 * ms OR dark > 1.5 * mk OR dark < 0.5 * mk",
+)
+def m11(spark, sf):
+    return M.bad_pixels(_light_dark(spark, sf).select("r", "c", F.col("high").alias("light"), "sigma", F.col("low").alias("dark")), module=8)
+
+
+@query("m12_module_shift", f"WITH {Q_SQL}, s AS (SELECT k, CASE WHEN c // 4 = 1 THEN r - 2 ELSE r END AS r, c, v FROM q WHERE c < 12) SELECT * FROM s WHERE r >= 0 AND r < 7")
+def m12(spark, sf):
+    return M.shift_module(q(spark, sf), shift=2, module=4, lines=7)
+
+
+@query("m13_bad_rectangle", "SELECT CAST(r AS INT) AS row, CAST(c AS INT) AS col FROM range(156, 206) t(r), range(1461, 1464) u(c)")
+def m13(spark, sf):
+    return M.rectangle(spark, (156, 205), (1461, 1463))
+
+
+@query("m14_geo_grid", "SELECT vec_id, round(120 + (vec_id % 20) * (1 / 110000.0e0), 9) AS lon, round(34 - (vec_id // 20) * (1 / 110000.0e0), 9) AS lat, 0.0e0 AS z FROM embeddings")
+def m14(spark, sf):
+    p = read(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 20).alias("i"), F.floor(F.col("vec_id") / 20).alias("j"))
+    return rounded(M.geo_grid(p).select("vec_id", "lon", "lat", "z"), 9)
+
+
+@query("m15_homography", "WITH p AS (SELECT vec_id, vec_id % 20 AS x, vec_id // 20 AS y FROM embeddings) SELECT vec_id, round((1.1e0 * x + 0.2e0 * y + 3) / (0.001e0 * x + 0.002e0 * y + 1), 6) AS hx, round((0.1e0 * x + 0.9e0 * y - 1) / (0.001e0 * x + 0.002e0 * y + 1), 6) AS hy FROM p")
+def m15(spark, sf):
+    p = read(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 20).cast("double").alias("x"), F.floor(F.col("vec_id") / 20).cast("double").alias("y"))
+    return rounded(M.homography(p, [[1.1, 0.2, 3.0], [0.1, 0.9, -1.0], [0.001, 0.002, 1.0]]).select("vec_id", "hx", "hy"))
+
+
+@query("m16_crop", f"WITH {Q_SQL}, g AS (SELECT k, r, c FROM (SELECT DISTINCT k FROM q), range(0, 9) t(r), range(0, 6) u(c)) SELECT g.k, CAST(g.r AS INT) AS r, CAST(g.c AS INT) AS c, coalesce(v, -1.0e0) AS v FROM g LEFT JOIN q ON q.k = g.k AND q.r = g.r + 1 AND q.c = g.c + 2")
+def m16(spark, sf):
+    return M.crop(q(spark, sf), 2, 1, 6, 9, -1.0)
+
+
+@query("m16_bounding_box", f"WITH {Q_SQL} SELECT min(c) AS xmin, min(r) AS ymin, max(c) - min(c) AS w, max(r) - min(r) AS h FROM q WHERE v > 300")
+def m16b(spark, sf):
+    return M.bounding_box(q(spark, sf).filter("v > 300").select(F.col("c").alias("x"), F.col("r").alias("y")))
+
+
+@query(
+    "m17_unpack12",
+    "WITH h AS (SELECT doc_id, hex(encode(text)) AS h FROM documents) SELECT doc_id, CAST(len(h) // 6 * 2 + CAST(len(h) % 6 = 4 AS INT) AS BIGINT) AS n, CAST(coalesce(list_sum(list_transform(range(0, len(h) // 6 * 2 + CAST(len(h) % 6 = 4 AS INT)), lambda i: CAST('0x' || substr(h, CAST(i * 3 + 1 AS BIGINT), 3) AS BIGINT))), 0) AS BIGINT) AS total FROM h",
+)
+def m17(spark, sf):
+    d = read(spark, sf, "documents").withColumn("s", M.unpack12(F.encode("text", "utf-8")))
+    return d.select("doc_id", F.size("s").cast("long").alias("n"), F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+
+
+_TRIM = f"{E_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY k, r ORDER BY v) AS i, count(*) OVER (PARTITION BY k, r) AS n FROM e), t AS (SELECT k, r, avg(v) AS mean, stddev_pop(v) AS std FROM n WHERE i > trunc(CAST(n AS FLOAT) * CAST(0.1 AS FLOAT)) AND i <= n - trunc(CAST(n AS FLOAT) * CAST(0.2 AS FLOAT)) GROUP BY ALL)"
+
+
+@query("a1_trimmed_mean_std", f"WITH {_TRIM} SELECT k, r, round(mean, 6) + 0.0 AS mean, round(std, 6) + 0.0 AS std FROM t")
+def a1(spark, sf):
+    return rounded(A.line_stats(e(spark, sf), 0.1, 0.2))
+
+
+@query(
+    "a2_stats_to_uniform",
+    f"WITH {_TRIM}, w AS (SELECT *, avg(mean) FILTER (std > 1.1920928955078125e-07) OVER (PARTITION BY k) AS m, avg(std) FILTER (std > 1.1920928955078125e-07) OVER (PARTITION BY k) AS s FROM t) SELECT k, r, round(CASE WHEN std > 1.1920928955078125e-07 THEN s / std ELSE 1 END, 4) + 0.0 AS a, round(CASE WHEN std > 1.1920928955078125e-07 THEN m - mean * s / std ELSE 0 END, 4) + 0.0 AS b FROM w",
+)
+def a2(spark, sf):
+    return rounded(A.stats_to_coefficients(A.line_stats(e(spark, sf), 0.1, 0.2)), 4)
+
+
+@query("a3_upper_median", f"WITH {E_SQL} SELECT k, r, list_sort(list(v))[count(*) // 2 + 1] AS v FROM e GROUP BY ALL")
+def a3(spark, sf):
+    return A.line_median(e(spark, sf))
+
+
+@query("a5_background_median", f"WITH {E_SQL} SELECT CAST(k // 10 AS INT) AS k, r, c, list_sort(list(v))[count(*) // 2 + 1] AS v FROM e GROUP BY ALL")
+def a5(spark, sf):
+    return A.background(e(spark, sf), 10, "median")
+
+
+_H = f"{Q_SQL}, b AS (SELECT k, CASE WHEN v < 100 THEN -1 WHEN v >= 1500 THEN 70 ELSE CAST(trunc((v - 100) / 20) AS INT) END AS bin FROM q), h AS (SELECT g.k, CAST(g.bin AS INT) AS bin, count(b.bin) AS n FROM (SELECT * FROM (SELECT DISTINCT k FROM q), range(-1, 71) t(bin)) g LEFT JOIN b ON b.k = g.k AND b.bin = g.bin GROUP BY ALL), i AS (SELECT * FROM h WHERE bin BETWEEN 0 AND 69)"
+
+
+@query("a6_histogram", f"WITH {_H} SELECT * FROM h")
+def a6(spark, sf):
+    return A.histogram(q(spark, sf), 100, 1500, 20)
+
+
+@query(
+    "a7_histogram_cut",
+    f"WITH {_H}, c AS (SELECT *, sum(n) OVER (PARTITION BY k ORDER BY bin) AS up, sum(n) OVER (PARTITION BY k ORDER BY bin DESC) AS down, sum(n) OVER (PARTITION BY k) AS total FROM i) SELECT k, min(bin) FILTER (up > trunc(CAST(total AS FLOAT) * CAST(0.05 AS FLOAT))) AS first, max(bin) FILTER (down > trunc(CAST(total AS FLOAT) * CAST(0.1 AS FLOAT))) AS last FROM c GROUP BY k",
+)
+def a7(spark, sf):
+    return A.histogram_cut(A.histogram(q(spark, sf), 100, 1500, 20), 70, 0.05, 0.1)
+
+
+@query(
+    "a8_histogram_clip",
+    f"WITH {_H}, x AS (SELECT *, CAST(sum(greatest(n - 2, 0)) OVER (PARTITION BY k) AS BIGINT) AS ex FROM i), y AS (SELECT *, ex // 70 AS each, ex % 70 AS rest, greatest(70 // greatest(ex % 70, 1), 1) AS step FROM x) SELECT k, bin, CAST(least(n, 2) + each + CASE WHEN rest > 0 AND bin % step = 0 AND bin // step < rest THEN 1 ELSE 0 END AS BIGINT) AS n FROM y",
+)
+def a8(spark, sf):
+    return A.histogram_clip(A.histogram(q(spark, sf), 100, 1500, 20), 70, 2)
+
+
+@query("a9_cumulative_histogram", f"WITH {_H} SELECT k, bin, n, CAST(sum(n) OVER (PARTITION BY k ORDER BY bin) AS BIGINT) AS cum FROM i")
+def a9(spark, sf):
+    return A.cumulative(A.histogram(q(spark, sf), 100, 1500, 20), 70)
+
+
+@query("a10_histogram_median", f"WITH {_H}, c AS (SELECT *, sum(n) OVER (PARTITION BY k ORDER BY bin) AS up, sum(n) OVER (PARTITION BY k) AS total FROM i) SELECT k, 100.0e0 + min(bin) * 20 + 10 AS v FROM c WHERE up >= (total + 1) // 2 AND total > 0 GROUP BY k")
+def a10(spark, sf):
+    return A.histogram_median(A.histogram(q(spark, sf), 100, 1500, 20), 70, 100.0, 20.0)
+
+
+@query("a11_masked_stats", f"WITH {Q_SQL} SELECT k, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, min(v) AS min, max(v) AS max FROM q WHERE v >= 100 AND v < 1500 GROUP BY k")
+def a11(spark, sf):
+    return rounded(A.masked_stats(q(spark, sf), 100, 1500))
+
+
+@query("a12_stripe_stats", f"WITH {E_SQL}, n AS (SELECT max(r) + 1 AS n FROM e) SELECT k, CAST(least(r // 7, n // 7 - 1) AS INT) AS s, c, round(avg(v), 6) + 0.0 AS mean, round(stddev_pop(v), 6) + 0.0 AS std FROM e, n WHERE r < n - 1 GROUP BY ALL")
+def a12(spark, sf):
+    cube = e_cube(spark, sf)
+    return rounded(A.stripe_stats(cube.frames(), cube.extent(1), 7))
+
+
+@query("a13_c2_anomaly", f"WITH {E_SQL}, d AS (SELECT * FROM e), {_RX}")
+def a13(spark, sf):
+    return rounded(A.anomaly(e(spark, sf), 2), 4)
+
+
+@query("a14_residuals", f"WITH {E_SQL} SELECT k, round(sqrt(avg(v * v)), 6) AS rms, round(avg(v), 6) + 0.0 AS mean, max(abs(v)) AS worst FROM e GROUP BY k")
+def a14(spark, sf):
+    return rounded(A.residuals(e(spark, sf).withColumnRenamed("v", "d"), ("k",)), 6, "rms", "mean")
+
+
+@query("a15_empty_tiles", f"WITH {Q_SQL} SELECT k, CAST(r // 2 AS INT) AS ty, CAST(c // 2 AS INT) AS tx, bool_and(v < 400) AS empty FROM q GROUP BY ALL")
+def a15(spark, sf):
+    return A.empty_tiles(q(spark, sf).withColumn("v", F.when(F.col("v") < 400, 0.0).otherwise(F.col("v"))), 2)
+
+
+@query(
+    "a16_packet_frames",
+    "WITH p AS (SELECT user_id % 5 AS file, event_id AS ord, event_id % 4 = 0 AS meta, event_id % 3 AS band FROM events), l AS (SELECT *, sum(CAST(meta AS INT)) OVER (PARTITION BY file ORDER BY ord) - 1 AS line FROM p), f AS (SELECT file, line, count(*) FILTER (NOT meta) AS packets, max(band) FILTER (NOT meta) AS top FROM l WHERE line >= 0 GROUP BY ALL) SELECT file, CAST(line AS BIGINT) AS line, packets, packets = max(top) OVER (PARTITION BY file) + 1 AS valid FROM f",
+)
+def a16(spark, sf):
+    ev = read(spark, sf, "events")
+    p = ev.select((F.col("user_id") % 5).alias("file"), F.col("event_id").alias("ord"), F.when(F.col("event_id") % 4 == 0, "META").otherwise("IMAGE").alias("data_type"), (F.col("event_id") % 3).alias("band"))
+    return A.packet_frames(p)
+
+
+@query("o1_sort_lines", f"WITH {E_SQL} SELECT k, r, row_number() OVER (PARTITION BY k, r ORDER BY v) - 1 AS c, v FROM e")
+def o1(spark, sf):
+    return A.sort_lines(e(spark, sf))
+
+
+@query(
+    "w1_destripe",
+    f"WITH {Q_SQL}, s AS (SELECT k, r, sum(v) AS h FROM q GROUP BY ALL), m AS (SELECT *, avg(h) OVER (PARTITION BY k ORDER BY r ROWS BETWEEN 1 PRECEDING AND 2 FOLLOWING) AS m FROM s) SELECT q.k, q.r, c, round(greatest(v + v * ((m - h) / h), 0), 6) AS v FROM q JOIN m ON q.k = m.k AND q.r = m.r",
+)
+def w1(spark, sf):
+    return rounded(A.destripe(q(spark, sf), 5))
+
+
+@query(
+    "w2_median_filter",
+    f"WITH {E_SQL}, z AS (SELECT max(r) AS mr, max(c) AS mc FROM e), o AS (SELECT e.k, e.r, e.c, least(greatest(e.r + dy, 0), mr) AS nr, least(greatest(e.c + dx, 0), mc) AS nc FROM e, z, range(-1, 2) t(dy), range(-1, 2) u(dx)) SELECT o.k, o.r, o.c, list_sort(list(n.v))[count(*) // 2 + 1] AS v FROM o JOIN e n ON n.k = o.k AND n.r = nr AND n.c = nc GROUP BY ALL",
+)
+def w2(spark, sf):
+    cube = e_cube(spark, sf)
+    return A.median_filter(cube.frames(), cube.extent(1), cube.extent(0), 3)
+
+
+@query(
+    "w4_gauss",
+    f"WITH {E_SQL}, z AS (SELECT max(r) AS mr FROM e), o AS (SELECT e.k, e.r, e.c, CASE WHEN e.r + d < 0 THEN -(e.r + d) WHEN e.r + d > mr THEN 2 * mr - e.r - d ELSE e.r + d END AS nr, [0.0625e0, 0.25, 0.375, 0.25, 0.0625][d + 3] AS w FROM e, z, range(-2, 3) t(d)) SELECT o.k, o.r, o.c, round(sum(w * n.v), 6) + 0.0 AS v FROM o JOIN e n ON n.k = o.k AND n.r = nr AND n.c = o.c GROUP BY ALL",
+)
+def w4(spark, sf):
+    cube = e_cube(spark, sf)
+    return rounded(A.gauss(cube.frames(), cube.extent(1), cube.extent(0), 5))
+
+
+@query(
+    "w7_peaks",
+    f"WITH {E_SQL}, p AS (SELECT a.k, a.r, a.c, count(*) FILTER (NOT (b.r = a.r AND b.c = a.c) AND a.v * CASE WHEN abs(b.r - a.r) <= 1 AND abs(b.c - a.c) <= 1 THEN 1 ELSE CAST(0.1 AS DOUBLE) END <= b.v) AS n FROM e a JOIN e b ON a.k = b.k AND abs(a.r - b.r) <= 2 AND abs(a.c - b.c) <= 2 WHERE a.v > 0.1 GROUP BY ALL) SELECT e.k, e.r, e.c, CASE WHEN n <= 5 THEN v ELSE 0 END AS v, CASE WHEN n <= 5 THEN n END AS n FROM e LEFT JOIN p ON e.k = p.k AND e.r = p.r AND e.c = p.c",
+)
+def w7(spark, sf):
+    cube = e_cube(spark, sf)
+    return A.peaks(cube.frames(), cube.extent(1), cube.extent(0), threshold=0.1)
+
+
+@query("c1_nuc")
+def c1(spark, sf):
+    return rounded(A.calibrate(q(spark, sf)), 4)
+
+
+@query("c3_render_linear", f"WITH {Q_SQL} SELECT k, r, c, CASE WHEN v >= 7 AND v < 1500 THEN round((255 / 1493.0e0) * (7 + trunc(v - 7)) - 7 * 255 / 1493.0e0, 6) + 0.0 ELSE v END AS v FROM q")
+def c3l(spark, sf):
+    return rounded(R.render(q(spark, sf), R.Render("linear", src_umax=1500)))
+
+
+@query(
+    "c3_render_cut",
+    f"WITH {_H}, c AS (SELECT *, sum(n) OVER (PARTITION BY k ORDER BY bin) AS up, sum(n) OVER (PARTITION BY k ORDER BY bin DESC) AS down, sum(n) OVER (PARTITION BY k) AS total FROM i), z AS (SELECT k, min(bin) FILTER (up > trunc(CAST(total AS FLOAT) * CAST(0.05 AS FLOAT))) AS st, max(bin) FILTER (down > trunc(CAST(total AS FLOAT) * CAST(0.05 AS FLOAT))) AS ed FROM c GROUP BY k) SELECT q.k, r, c, CASE WHEN v >= 100 AND v < 1500 THEN round(255.0e0 / ((ed - st) * 20) * (trunc((v - 100) / 20) - st) * 20, 6) + 0.0 ELSE v END AS v FROM q JOIN z USING (k)",
+)
+def c3c(spark, sf):
+    return rounded(R.render(q(spark, sf), R.Render("cut", 100, 1500, 20, cut_lower=0.05, cut_upper=0.05)))
+
+
+@query(
+    "c3_render_wallis",
+    f"WITH {Q_SQL}, s AS (SELECT k, avg(v) AS m, stddev_pop(v) AS s FROM q WHERE v >= 100 AND v < 1500 GROUP BY k), w AS (SELECT k, 0.8e0 * 70 / (0.8e0 * s + 70 / 0.8e0) AS r1, m FROM s) SELECT q.k, r, c, CASE WHEN v >= 100 AND v < 1500 THEN round(greatest(least((100 + trunc((v - 100) / 20) * 20) * r1 + 0.9e0 * 127 + (1 - 0.9e0 - r1) * m, 255), 0), 6) + 0.0 ELSE v END AS v FROM q JOIN w USING (k)",
+)
+def c3w(spark, sf):
+    return rounded(R.render(q(spark, sf), R.Render("wallis", 100, 1500, 20)))
+
+
+@query("c3_render_clahe")
+def c3h(spark, sf):
+    return rounded(R.render(q(spark, sf), R.Render("hist", 100, 1500, 20)))
+
+
+@query("w8_render_tiles")
+def w8(spark, sf):
+    cube = e_cube(spark, sf)
+    return rounded(R.render_tiles(cube.frames(), cube.extent(1), cube.extent(0), R.Render("tile hist", -1, 1, 0.01), (4, 4)))
+
+
+@query("w3_despeckle")
+def w3(spark, sf):
+    cube = e_cube(spark, sf)
+    return K.despeckle(cube.frames(), cube.extent(1), cube.extent(0), 3, -1, 1, 0.01)
+
+
+@query("w5_inpaint")
+def w5(spark, sf):
+    cube = e_cube(spark, sf)
+    f = cube.frames()
+    return rounded(K.inpaint(f, f.filter("(r * 7 + c * 3 + k) % 29 = 0"), cube.extent(1), cube.extent(0)))
+
+
+@query("c4_peak_lines")
+def c4(spark, sf):
+    cube = e_cube(spark, sf)
+    kept = A.peaks(cube.frames(), cube.extent(1), cube.extent(0), threshold=0.05, tolerance=14)
+    return K.peak_lines(kept, cube.extent(1), cube.extent(0), 2, 20)
+
+
+@query("i1_resample_spectra")
+def i1(spark, sf):
+    spectra = read(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 20).alias("x"), F.col("embedding").cast("array<double>").alias("spec"))
+    out = interp.resample_spectra(spectra, [400.0 + 5 * i for i in range(64)], [400.0 + 7.5 * i for i in range(40)])
+    return rounded(out.select("vec_id", F.posexplode("spec").alias("b", "v")))
+
+
+@query("i4_parse_positions", "SELECT event_id, CAST(2100 AS INT) AS week, round(120 + user_id / 1000.0e0, 6) AS lon, round(value, 6) AS lat, round(radians(value), 9) AS roll FROM events")
+def i4(spark, sf):
+    text = F.concat(F.lit("#MARK1PVAA,COM1;2100,"), F.col("event_id").cast("string"), F.lit(","), F.col("value").cast("string"), F.lit(","), (120 + F.col("user_id") / 1000).cast("string"), F.lit(",5,1,2,3,4,"), F.col("value").cast("string"), F.lit(",6"))
+    p = read(spark, sf, "events").select("event_id", geo.parse_mark(text).alias("p"))
+    return p.select("event_id", "p.week", F.round("p.lon", 6).alias("lon"), F.round("p.lat", 6).alias("lat"), F.round(F.get("p.a", F.lit(0)), 9).alias("roll"))
+
+
+@query("i5_utm_zone", "SELECT vec_id, CAST(trunc((lon + 180) / 6) AS INT) + 1 AS zone, substr('CDEFGHJKLMNPQRSTUVWX', CAST((lat + 80) // 8 AS INT) + 1, 1) AS letter FROM (SELECT vec_id, vec_id * 7 % 360 - 180 AS lon, vec_id % 130 - 80 AS lat FROM embeddings)")
+def i5(spark, sf):
+    p = read(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") * 7 % 360 - 180).cast("double").alias("lon"), (F.col("vec_id") % 130 - 80).cast("double").alias("lat"))
+    return p.select("vec_id", geo.utm_zone(F.col("lon"), F.col("lat")).alias("zone"), geo.utm_letter(F.col("lat")).alias("letter"))
+
+
+@query("i6_to_utm")
+def i6(spark, sf):
+    p = read(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 20 * 0.1 + 116).alias("lon"), (F.col("vec_id") % 130 - 65.0).alias("lat"))
+    x, y = geo.to_utm(F.col("lon"), F.col("lat"), geo.utm_zone(F.col("lon"), F.lit(0.0)))
+    return rounded(p.select("vec_id", x.alias("easting"), y.alias("northing")), 3)
+
+
+#: A simple rational polynomial for queries and tests.
+RPC = {"line_off": 500.0, "samp_off": 400.0, "lat_off": 34.0, "long_off": 120.0, "height_off": 100.0, "line_scale": 500.0, "samp_scale": 400.0, "lat_scale": 0.5, "long_scale": 0.5, "height_scale": 100.0}
+RPC |= {"line_num": [0.01, 0.02, -1.0, 0.03, 0.001, *[0.0] * 15], "line_den": [1.0, 0.001, 0.002, 0.0005, *[0.0] * 16], "samp_num": [0.02, 1.0, 0.01, -0.02, 0.002, *[0.0] * 15], "samp_den": [1.0, 0.002, 0.001, 0.0005, *[0.0] * 16]}
+
+
+@query(
+    "i11_rpc_forward",
+    "WITH p AS (SELECT vec_id, (vec_id % 20 * 0.05e0 - 0.5) / 0.5 AS l, (vec_id // 20 * 0.01e0 - 0.25) / 0.5 AS p, (vec_id % 7 * 10.0e0 - 100) / 100 AS h FROM embeddings) SELECT vec_id, round((0.01e0 + 0.02e0 * l - p + 0.03e0 * h + 0.001e0 * l * p) / (1 + 0.001e0 * l + 0.002e0 * p + 0.0005e0 * h) * 500 + 500, 4) AS line, round((0.02e0 + l + 0.01e0 * p - 0.02e0 * h + 0.002e0 * l * p) / (1 + 0.002e0 * l + 0.001e0 * p + 0.0005e0 * h) * 400 + 400, 4) AS sample FROM p",
+)
+def i11(spark, sf):
+    p = read(spark, sf, "embeddings").select("vec_id", (119.5 + F.col("vec_id") % 20 * 0.05).alias("lon"), (33.75 + F.floor(F.col("vec_id") / 20) * 0.01).alias("lat"), (F.col("vec_id") % 7 * 10.0).alias("h"))
+    y, x = geo.rpc_forward(RPC, F.col("lon"), F.col("lat"), F.col("h"))
+    return rounded(p.select("vec_id", y.alias("line"), x.alias("sample")), 4)
+
+
+@query("i12_rpc_inverse")
+def i12(spark, sf):
+    p = read(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 20 * 30.0).alias("line"), (F.col("vec_id") % 37 * 20.0).alias("sample"), F.lit(50.0).alias("h"))
+    return rounded(geo.rpc_inverse_frame(p, RPC).select("vec_id", "lon", "lat"), 6)
+
+
+@query(
+    "i18_velocity_check",
+    "WITH t AS (SELECT user_id AS part, event_id AS ord, row_number() OVER (PARTITION BY user_id ORDER BY event_id) * 1.0e0 AS time, value AS x, value * 2 + event_id AS y, value AS vx, 1.0e0 + value AS vy FROM events), d AS (SELECT part, ord, x - lag(x) OVER w AS dx, y - lag(y) OVER w AS dy, (vx + lag(vx) OVER w) / 2 * (time - lag(time) OVER w) AS ix, (vy + lag(vy) OVER w) / 2 * (time - lag(time) OVER w) AS iy FROM t WINDOW w AS (PARTITION BY part ORDER BY ord)) SELECT part, ord, round((dx * ix + dy * iy) / (sqrt(dx * dx + dy * dy) * sqrt(ix * ix + iy * iy)), 5) + 0.0 AS cosine, round(sqrt(ix * ix + iy * iy) / sqrt(dx * dx + dy * dy), 5) AS ratio FROM d WHERE dx IS NOT NULL",
+)
+def i18(spark, sf):
+    from pyspark.sql import Window as W
+
+    n = F.row_number().over(W.partitionBy("user_id").orderBy("event_id")).cast("double")
+    t = read(spark, sf, "events").select(F.col("user_id").alias("part"), F.col("event_id").alias("ord"), n.alias("time"), F.col("value").alias("x"), (F.col("value") * 2 + F.col("event_id")).alias("y"), F.col("value").alias("vx"), (1 + F.col("value")).alias("vy"))
+    return rounded(geo.velocity_check(t), 5)
+
+
+@query("j3_mask_split", f"WITH {Q_SQL}, m AS (SELECT r, c FROM q WHERE k = 0 AND v > 700) SELECT k, count(*) FILTER (hit) AS bad, count(*) FILTER (NOT hit) AS good FROM (SELECT k, (r, c) IN (SELECT (r, c) FROM m) AS hit FROM q) GROUP BY k")
+def j3(spark, sf):
+    f = q(spark, sf)
+    mask = f.filter("k = 0 AND v > 700").select("r", "c")
+    bad = f.join(M.small(mask), ["r", "c"], "left_semi").withColumn("hit", F.lit(True))
+    good = f.join(M.small(mask), ["r", "c"], "left_anti").withColumn("hit", F.lit(False))
+    return bad.unionByName(good).groupBy("k").agg(F.count(F.when(F.col("hit"), 1)).alias("bad"), F.count(F.when(~F.col("hit"), 1)).alias("good"))
+
+
+@query("j4_splice", f"WITH {Q_SQL}, h AS (SELECT k, max(r) + 1 AS h FROM q GROUP BY k), o AS (SELECT k, sum(h) OVER (ORDER BY k) - h AS off FROM h) SELECT 0 AS b, CAST(r + off AS BIGINT) AS y, c AS x, CAST(v AS INT) AS v FROM q JOIN o USING (k)")
+def j4(spark, sf):
+    f = q(spark, sf)
+    cells = f.select(F.col("k").alias("scene"), F.lit(0).alias("b"), F.col("r").alias("y"), F.col("c").alias("x"), "v")
+    return T.splice(cells, cells.groupBy("scene").agg((F.max("y") + 1).alias("height")))
+
+
+@query("j5_group_intervals")
+def j5(spark, sf):
+    f = read(spark, sf, "events").groupBy("user_id").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+    return T.group_intervals(f.select(F.col("user_id").cast("string").alias("name"), "first", "last"))
+
+
+@query("j6_in_rectangles", "WITH p AS (SELECT event_id, value AS x, user_id * 1.0e0 AS y FROM events), b(box, x0, y0, x1, y1) AS (VALUES (1, 10.0e0, 5.0e0, 60.0e0, 50.0e0), (2, 40.0e0, 0.0e0, 90.0e0, 30.0e0)) SELECT event_id, box FROM p JOIN b ON x > x0 AND x < x1 AND y > y0 AND y < y1")
+def j6(spark, sf):
+    boxes = spark.createDataFrame([(1, 10.0, 5.0, 60.0, 50.0), (2, 40.0, 0.0, 90.0, 30.0)], "box int, x0 double, y0 double, x1 double, y1 double")
+    p = read(spark, sf, "events").select("event_id", F.col("value").alias("x"), F.col("user_id").cast("double").alias("y"))
+    return T.in_rectangles(p, boxes).select("event_id", "box")
+
+
+@query("j6_in_polygon", "SELECT event_id FROM events WHERE value > 0 AND user_id > 0 AND value + user_id < 80")
+def j6p(spark, sf):
+    p = read(spark, sf, "events").select("event_id", F.col("value").alias("x"), F.col("user_id").cast("double").alias("y")).filter("x > 0 AND y > 0 AND x + y <> 80")
+    return T.in_polygon(p, [(0.0, 0.0), (80.0, 0.0), (0.0, 80.0)]).select("event_id")
+
+
+@query("j7_within_radius", "SELECT event_id FROM events WHERE (value - 50) * (value - 50) + (user_id - 30.0e0) * (user_id - 30.0e0) < 100")
+def j7(spark, sf):
+    p = read(spark, sf, "events").select("event_id", F.col("value").alias("x"), F.col("user_id").cast("double").alias("y"))
+    return T.within_radius(p, 50.0, 30.0, 10.0).select("event_id")
+
+
+@query(
+    "j8_hex_islands",
+    "WITH n AS (SELECT user_id AS part, event_id AS ord, upper(to_hex(event_id // 2)) AS name, event_id // 2 AS id FROM events), l AS (SELECT *, CASE WHEN abs(id - lag(id) OVER (PARTITION BY part ORDER BY ord)) <> 1 THEN 1 ELSE 0 END AS new FROM n) SELECT part, ord, name, CAST(id AS BIGINT) AS id, CAST(sum(new) OVER (PARTITION BY part ORDER BY ord) AS BIGINT) AS grp FROM l",
+)
+def j8(spark, sf):
+    n = read(spark, sf, "events").select(F.col("user_id").alias("part"), F.col("event_id").alias("ord"), F.hex(F.floor(F.col("event_id") / 2)).alias("name"))
+    return T.hex_islands(n)
+
+
+@query("j9_intersecting", "WITH a AS (SELECT event_id, value AS x, user_id * 1.0e0 AS y FROM events) SELECT event_id, b.id AS box FROM a JOIN (VALUES (1, 20.0e0, 10.0e0), (2, 70.0e0, 40.0e0)) b(id, bx, b_y) ON x <= bx + 9 AND bx <= x + 5 AND y <= b_y + 9 AND b_y <= y + 5")
+def j9(spark, sf):
+    a = read(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("value").alias("x"), F.col("user_id").cast("double").alias("y"), F.lit(5.0).alias("w"), F.lit(5.0).alias("h"))
+    b = spark.createDataFrame([(1, 20.0, 10.0, 9.0, 9.0), (2, 70.0, 40.0, 9.0, 9.0)], "id int, x double, y double, w double, h double")
+    return T.intersecting(a, b).select(F.col("a_id").alias("event_id"), F.col("b_id").alias("box"))
+
+
+@query("j10_tile_grid", "SELECT CAST(tx AS INT) AS tx, CAST(ty AS INT) AS ty, CAST(5 + tx * 770 AS BIGINT) AS x, CAST(7 + ty * 834 AS BIGINT) AS y, CAST(least(770, 2310 - tx * 770) AS BIGINT) AS w, CAST(least(834, 2500 - ty * 834) AS BIGINT) AS h FROM range(0, 3) t(tx), range(0, 3) u(ty)")
+def j10(spark, sf):
+    t = T.tile_grid(spark, 5, 7, 2310, 2500, 800)
+    return t.select("tx", "ty", *(F.col(c).cast("long").alias(c) for c in ("x", "y", "w", "h")))
+
+
+@query("j10_tile_neighbours", "SELECT CAST(tx AS INT) AS tx, CAST(ty AS INT) AS ty, CAST(tx + dx AS INT) AS nx, CAST(ty + dy AS INT) AS ny FROM range(0, 3) t(tx), range(0, 3) u(ty), range(-1, 2) v(dx), range(-1, 2) w(dy) WHERE (dx <> 0 OR dy <> 0) AND tx + dx BETWEEN 0 AND 2 AND ty + dy BETWEEN 0 AND 2")
+def j10n(spark, sf):
+    return T.tile_neighbours(T.tile_grid(spark, 5, 7, 2310, 2500, 800))
+
+
+@query("j11_drop_repeats", "WITH t AS (SELECT user_id AS part, event_id AS ord, CAST(event_id // 30 AS DOUBLE) AS time FROM events), l AS (SELECT *, lag(time) OVER (PARTITION BY part ORDER BY ord) AS b FROM t) SELECT part, ord, time FROM l WHERE b IS NULL OR abs(time - b) > 1e-5")
+def j11(spark, sf):
+    return T.drop_repeats(read(spark, sf, "events").select(F.col("user_id").alias("part"), F.col("event_id").alias("ord"), F.floor(F.col("event_id") / 30).cast("double").alias("time")))
+
+
+@query("j11_drop_repeats_scan", ORACLES["j11_drop_repeats"])
+def j11s(spark, sf):
+    return T.drop_repeats_scan(read(spark, sf, "events").select(F.col("user_id").alias("part"), F.col("event_id").alias("ord"), F.floor(F.col("event_id") / 30).cast("double").alias("time")))
+
+
+@query("s15_drop_equal_lines", "WITH l AS (SELECT user_id AS part, event_id AS ord, event_type AS text, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM events) SELECT part, ord, text FROM l WHERE b IS NULL OR b <> text")
+def s15(spark, sf):
+    return T.drop_equal_lines(read(spark, sf, "events").select(F.col("user_id").alias("part"), F.col("event_id").alias("ord"), F.col("event_type").alias("text")))
+
+
+@query("k2_output_types", f"WITH {E_SQL} SELECT k, r, c, CAST(greatest(least(round(v * 300 + 100), 255), 0) AS INT) AS v FROM e")
+def k2(spark, sf):
+    return e(spark, sf).select("k", "r", "c", M.to_type(F.col("v") * 300 + 100, "byte").alias("v"))
+
+
+@query("c7_fit_transform", f"WITH {_TRIM}, w AS (SELECT *, avg(mean) OVER (PARTITION BY k) AS m, avg(std) OVER (PARTITION BY k) AS s FROM t) SELECT e.k, e.r, c, round(CASE WHEN s / std * v + m - mean * s / std < {FLT_MIN!r} THEN {FLT_MIN!r} ELSE s / std * v + m - mean * s / std END, 4) + 0.0 AS v FROM e JOIN w ON e.k = w.k AND e.r = w.r")
+def c7(spark, sf):
+    xml = "<HSP><task name='statistic'><cut_lower>0.1</cut_lower><cut_upper>0.2</cut_upper><nuc>true</nuc></task></HSP>"
+    return rounded(tasks.run(e_cube(spark, sf), tasks.read_tasks(xml)).cube.frames(), 4)
+
+
+@query("x1_tumbling_frames", "SELECT CAST(epoch(time_bucket(INTERVAL 1 hour, ts)) AS BIGINT) AS hour, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def x1(spark, sf):
+    return rounded(stream.tumbling(read(spark, sf, "events")), 4)
