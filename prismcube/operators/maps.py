@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from ..cube import FLT_MAX, FLT_MIN, is_nodata
 
@@ -147,7 +148,7 @@ def crop(frames: DataFrame, x: int, y: int, w: int, h: int, fill: float = 0.0) -
     return grid.join(inside, ["k", "r", "c"], "left").select("k", "r", "c", F.coalesce("v", F.lit(fill)).alias("v"))
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def unpack12(data: pd.Series) -> pd.Series:
     """12-bit samples of a binary column: three bytes hold two, high bits first; bytes are taken in Arrow batches."""
     from ..sources.files import unpack12 as unpack
