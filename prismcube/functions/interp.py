@@ -82,6 +82,7 @@ def cardinal_spline(x, y, at, degree: int = 3):
 
     def basis(u):
         """Centred B-spline by the truncated-power sum."""
+        u = np.asarray(u, float)
         total, sign, c = np.zeros_like(u), 1.0, 1.0
         for j in range(degree + 2):
             total += sign * c * np.maximum(u + (degree + 1) / 2 - j, 0) ** degree

@@ -16,6 +16,7 @@ from ..operators import aggregates as A
 from ..operators import kernels as K
 from ..operators import maps as M
 from ..operators import render as R
+from ..operators import segments as S
 from ..sources import files
 
 
@@ -62,6 +63,13 @@ def read_tasks(text: str, folder: str = ".") -> list[Task]:
     return out
 
 
+def uniform_xml(a: str, b: str, order: tuple[int, int, int], bad: str | None = None) -> str:
+    """The task list that applies coefficients estimated in an order of axes: lines and places of the estimate become the matrix."""
+    prior = ",".join(str(order[i]) for i in (1, 2, 0))
+    more = f'<task name="dpc"><file>{bad}</file></task>' if bad else ""
+    return f'<HSP><dim_prior>{prior}</dim_prior><task name="uniform"><a>{a}</a><b>{b}</b></task>{more}</HSP>'
+
+
 def read_job(path: str) -> dict:
     """A JSON job: paths resolved beside it; data needs img, tasks need type or template; unknown keys are warned of."""
     with open(path) as f:
@@ -155,6 +163,9 @@ def run(cube: Cube, tasks: list[Task], inputs: dict[str, DataFrame] | None = Non
         elif t.name == "render":
             p = R.Render(**{n: t.number(n, getattr(R.Render, n)) for n in ("src_min", "src_umax", "src_step", "dst_min", "dst_max", "cut_lower", "cut_upper", "hist_clip", "dst_mean", "dst_std", "c", "b")}, mode=t.params.get("mode", "linear"))
             f = R.render_tiles(f, rows, cols, p, (t.whole("grid_x", 8), t.whole("grid_y", 8))) if "tile" in p.mode.lower() else R.render(f, p, 1)
+        elif t.name == "extractor" and t.params.get("type", "peak") != "peak":
+            keep = lambda k, t=t: (t.number(f"{k}_min", {"thickness": 1, "length": 11}[k]), t.number(f"{k}_max", {"thickness": 1, "length": 20}[k]))
+            out.tables["segments"] = S.line_segments(f, rows, cols, keep("thickness"), keep("length"), **{n: t.number(n, d) for n, d in (("scale", 0.8), ("sigma_scale", 0.6), ("quant", 2.0), ("ang_th", 22.5), ("log_eps", 0.0), ("density_th", 0.7))})
         elif t.name == "extractor":
             kept = A.peaks(f, rows, cols, tolerance=t.whole("tolerance", 5))
             out.tables["points"] = kept.filter("n = 0").select("k", "c", "r", "v")

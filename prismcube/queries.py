@@ -17,6 +17,7 @@ from .operators import aggregates as A
 from .operators import kernels as K
 from .operators import maps as M
 from .operators import render as R
+from .operators import segments as S
 from .operators import tables as T
 from .plans import tasks
 from .streaming import frames as stream
@@ -406,6 +407,13 @@ def c4(spark, sf):
     return K.peak_lines(kept, cube.extent(1), cube.extent(0), 2, 20)
 
 
+@query("c5_line_segments")
+def c5(spark, sf):
+    f = e(spark, sf).withColumn("v", F.col("v") * 20 + F.when((F.col("c") >= 6) & (F.col("c") <= 8), 200.0).otherwise(0.0))
+    shape = e_cube(spark, sf)
+    return rounded(S.line_segments(f, shape.extent(1), shape.extent(0), (-1, -1), (5.0, -1)), 4)
+
+
 @query("i1_resample_spectra")
 def i1(spark, sf):
     spectra = read(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 20).alias("x"), F.col("embedding").cast("array<double>").alias("spec"))

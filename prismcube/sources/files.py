@@ -58,6 +58,7 @@ def read_coefficients(spark: SparkSession, path: str, cols: int) -> DataFrame:
 def matrix_text(cells: DataFrame, key: str = "k", order: str = "r", value: str = "v") -> DataFrame:
     """A line of tab-separated numbers (six significant digits) for each key."""
     number = F.format_string("%.6g", F.col(value).cast("double"))
+    number = F.regexp_replace(F.regexp_replace(number, r"(\.[0-9]*?)0+(e|$)", "$1$2"), r"\.(e|$)", "$1")
     s = cells.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), number.alias("t")))).alias("s"))
     return s.select(key, F.array_join(F.transform("s", lambda x: x["t"]), "\t").alias("value"))
 
@@ -70,7 +71,7 @@ def envi_header(text: str) -> dict:
 
 
 def read_envi(spark: SparkSession, path: str, header: dict, window: dict | None = None) -> DataFrame:
-    """b, y, x, v of a flat binary raster, its file read as fixed-length records (one line of one band, or of all bands, each), so that a large file splits."""
+    """b, y, x, v of flat binary rasters of one shape, each file whole in a task (below 2 GB); larger files are read in parts by sources.envi."""
     n, kind = header, np.dtype(header["dtype"])
     record = {"bsq": n["samples"], "bil": n["samples"], "bip": n["samples"] * n["bands"]}[n["interleave"]] * kind.itemsize
     if n["offset"] % record:

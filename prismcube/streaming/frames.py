@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 def tumbling(events: DataFrame, length: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Counts and sums of events (ts, event_type, value) in windows; the same plan for a table and, with a watermark, for a stream."""
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     if events.isStreaming:
         events = events.withWatermark("ts", late)
     g = events.groupBy(F.window("ts", length).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
