@@ -19,6 +19,7 @@ import os
 import re
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -32,6 +33,8 @@ from .common import Scratch, arrow_rows, read
 
 #: Chunks whose ids a worker keeps.
 KEPT_CHUNKS = 300_000
+#: Repeated texts whose ids a worker keeps, and their longest.
+KEPT_TEXTS, LONGEST_KEPT = 500, 20_000
 INDEX = np.dtype([("doc_id", "<i8"), ("end", "<u8")])
 #: Stands for a null document id in the index file.
 NULL_ID = -(2**63)
@@ -62,6 +65,7 @@ class Encoder:
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.memo: dict[str, bytes] = {}
+        self.texts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -81,13 +85,25 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.chunked:
             return [np.array(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        known = self.texts
+        if len(known) > KEPT_TEXTS:
+            known.clear()
+        if any(t in known for t in texts) or len(set(texts)) < len(texts):  # copies are encoded once
+            once = [t for t in dict.fromkeys(texts) if t not in known]
+            fresh = dict(zip(once, self._encode(once), strict=True))
+            out = [fresh[t] if t in fresh else known[t] for t in texts]
+            known.update((t, fresh[t]) for t, n in Counter(texts).items() if n > 1 and t in fresh and len(t) <= LONGEST_KEPT)
+            return out
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         memo = self.memo
         if len(memo) > KEPT_CHUNKS:
             memo.clear()
         split, every = [t.split(" ") for t in texts], set()
         for x in split:
             every.update(x[1:])
-        new = every - memo.keys()
+        new = every.difference(memo)  # looks each chunk up; subtracting the keys would walk through all of them
         loose = {w for w in new if not w or w[0].isspace()}
         self._learn(list(new - loose))
         get, out = memo.__getitem__, []
