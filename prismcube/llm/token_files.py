@@ -31,8 +31,10 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, arrow_rows, read
 
-#: Chunks whose ids a worker keeps.
-KEPT_CHUNKS = 300_000
+#: Pieces of the current generation whose ids a worker keeps; those of the generation before stay at hand as well.
+KEPT_PIECES = 200_000
+#: Longest piece that is kept.
+LONGEST_PIECE = 100
 #: Repeated texts whose ids a worker keeps, and their longest.
 KEPT_TEXTS, LONGEST_KEPT = 500, 20_000
 INDEX = np.dtype([("doc_id", "<i8"), ("end", "<u8")])
@@ -40,51 +42,79 @@ INDEX = np.dtype([("doc_id", "<i8"), ("end", "<u8")])
 NULL_ID = -(2**63)
 
 
+# The letters, digits and white space of U+0000 to U+00FF, and the standard byte-level pattern over them.
+_L, _N, _S = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\t-\r \u0085\u00a0"
+_PIECES = re.compile(f" ?[{_L}]++| ?[{_N}]++|'(?:s|t|re|ve|m|ll|d)| ?[^{_S}{_L}{_N}]++|[{_S}]+(?![^{_S}])|[{_S}]+").findall
+
+
 class Encoder:
     """encode(texts) gives the ids of the tokenizers library for each text, little-endian, `width` bytes each.
 
-    For the common byte-level scheme (no normaliser, the standard pattern, no prefix space) a space before a
-    non-space character always begins a new pre-token, and its first token is the only one that begins with
-    the space's mark. So texts are split there and the ids of each distinct chunk are kept; new chunks are
-    encoded by the library, many in one call, and told apart by that mark. Texts with looser white space,
-    and any other tokenizer, are encoded whole.
+    For the common byte-level scheme (no normaliser, the standard pattern, no prefix space) texts are cut into
+    pieces where pre-tokens end, and the ids of each distinct piece are kept. A text up to U+00FF is cut into its
+    pre-tokens; any other only before a space that a non-space character follows, which always begins a pre-token,
+    or not at all where its white space is looser. The library encodes new pieces, many in one call: those that
+    begin with a space in a row, told apart by the space's mark, which only their first tokens begin with. Words
+    of ASCII letters are their own byte-level form, so they need no pattern. Any other tokenizer gets whole texts.
+
+    Kept ids are in two generations: a full one becomes the old one, and what is met again moves on.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.chunked = self.tok.normalizer is None and re.fullmatch(r"ByteLevel\(add_prefix_space=False, .*use_regex=True\)", str(self.tok.pre_tokenizer)) is not None
-        if self.chunked:
-            self.tok.model._resize_cache(0)  # chunks are kept here; the model sees each once
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        for t in (self.tok, self.plain):
+            t.encode_special_tokens = True
+            if self.chunked:
+                t.model._resize_cache(0)  # pieces are kept here; the model sees each once
         vocabulary = self.tok.get_vocab()
         self.width = 2 if max(vocabulary.values()) < 65536 else 4
         self.kind = f"<u{self.width}"
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.texts: dict[str, bytes] = {}
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Keeps the ids of chunks that stand after a space: encoded as one text, cut at the tokens that begin with a space."""
-        for lo in range(0, len(chunks), 4000):
-            part = chunks[lo : lo + 4000]
-            (got,) = self.tok.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
-            ids = np.array(got.ids, self.kind)
+    def _row(self, pieces: list[str], tok, mark: str, between: str) -> Iterator[tuple[str, bytes]]:
+        """Pieces that begin with a space and their ids, encoded in rows of `mark` and what follows the space."""
+        for lo in range(0, len(pieces), 4000):
+            part = pieces[lo : lo + 4000]
+            got = tok.encode_batch_fast([mark + between.join([p[1:] for p in part[k : k + 100]]) for k in range(0, len(part), 100)], add_special_tokens=False)
+            ids = np.array([i for e in got for i in e.ids], self.kind)
             cuts = (np.flatnonzero(self.spaced[ids]) * self.width).tolist()
             if len(cuts) != len(part):
-                raise ValueError("chunks and tokens disagree")
+                raise ValueError("pieces and tokens disagree")
             flat = ids.tobytes()
-            self.memo.update(zip(part, [flat[a:b] for a, b in zip(cuts, [*cuts[1:], len(flat)], strict=True)], strict=True))
+            yield from zip(part, [flat[a:b] for a, b in zip(cuts, [*cuts[1:], len(flat)], strict=True)], strict=True)
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of distinct pieces that the memo lacks; it keeps those of pieces that are not too long."""
+        out = dict(zip(pieces, map(self.old.get, pieces), strict=True))
+        pieces = {p for p, ids in out.items() if ids is None}
+        plain = [p for p in pieces if p[0] == " " and p[1:].isalpha() and p.isascii()]
+        other = pieces.difference(plain)
+        row = [p for p in other if p[0] == " " and len(p) > 1 and not p[1].isspace() and " " not in p[1:]]
+        alone = list(other.difference(row))
+        out.update(self._row(plain, self.plain, "\u0120", " \u0120"))
+        out.update(self._row(row, self.tok, " ", " "))
+        out.update(zip(alone, self._each(alone), strict=True))
+        self.memo.update(out)
+        for p in pieces:
+            if len(p) > LONGEST_PIECE:
+                del self.memo[p]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.chunked:
-            return [np.array(e.ids, self.kind).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            return self._each(texts)
         known = self.texts
         if len(known) > KEPT_TEXTS:
             known.clear()
@@ -96,24 +126,25 @@ class Encoder:
             return out
         return self._encode(texts)
 
+    def _pieces(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            first, *chunks = text.split(" ")
+            if any(not c or c[0].isspace() for c in chunks):
+                return [text]
+            return [*filter(None, [first]), *[" " + c for c in chunks]]
+        return _PIECES(text)
+
     def _encode(self, texts: list[str]) -> list[bytes]:
-        memo = self.memo
-        if len(memo) > KEPT_CHUNKS:
-            memo.clear()
-        split, every = [t.split(" ") for t in texts], set()
+        if len(self.memo) > KEPT_PIECES:
+            self.memo, self.old = {}, self.memo
+        split, every = [self._pieces(t) for t in texts], set()
         for x in split:
-            every.update(x[1:])
-        new = every.difference(memo)  # looks each chunk up; subtracting the keys would walk through all of them
-        loose = {w for w in new if not w or w[0].isspace()}
-        self._learn(list(new - loose))
-        get, out = memo.__getitem__, []
-        for t, x in zip(texts, split, strict=True):
-            if loose and not loose.isdisjoint(x[1:]):
-                out.append(self.whole(t))
-            else:
-                first, x[0] = x[0], b""
-                out.append((self.whole(first) if first else b"") + b"".join(map(get, x[1:])))
-        return out
+            every.update(x)
+        near = dict(zip(every, map(self.memo.get, every), strict=True))  # small enough for the processor's caches
+        near.update(self._learn([p for p, ids in near.items() if ids is None]))
+        return [b"".join(map(near.__getitem__, x)) for x in split]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -152,7 +183,7 @@ def _mapped(uri: str, dtype) -> np.ndarray:
     return np.frombuffer(store.open_input_file(path).read(), dtype)
 
 
-def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 0, batch_texts: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 0, batch_texts: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes docs and returns the manifest: part, path, width, n_docs, n_tokens, base."""
     spark = docs.sparkSession
     encoder_path = tokenizer_path

@@ -115,6 +115,22 @@ def test_token_files_equal_the_library(spark, sf):
     assert not other.chunked and len(other.encode(["Hello there"])[0]) == 4
 
 
+def test_pieces_equal_the_library(monkeypatch):
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    tok.encode_special_tokens = True
+    monkeypatch.setattr(token_files, "KEPT_PIECES", 2000)  # generations change
+    monkeypatch.setattr(token_files, "LONGEST_PIECE", 12)
+    encoder, rng = token_files.Encoder(P.path("byte_bpe_50k.json")), random.Random(4)
+    latin = [chr(i) for i in range(256)]
+    pools = [latin, latin + list("\u4e2d\u6587\u2019\u2026\u2028\u3000\u200b\u01c5\u02b0\u03a9\u0663\u2167\U0001d4b3"), list("ab  '\nstre.,1\u00e9\u00a0\u0085\x1c"), ["the ", " foo", "'ll", "don't", "\n", " ", ".", " \u00e9t\u00e9", "\u00df", "1", " 12", "\u00b2", "\u4e2d"]]
+    for _ in range(30):
+        some = ["".join(rng.choice(pool) for _ in range(rng.randrange(40))) for pool in pools for _ in range(60)]
+        assert encoder.encode(some) == [np.array(e.ids, encoder.kind).tobytes() for e in tok.encode_batch(some, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("block_words", [2_000_000, 300])
 def test_decontaminate(spark, sf, block_words):
     bench = read(spark, sf, "benchmark").unionByName(spark.createDataFrame([(900, "short item"), (901, "mit"), (902, "--"), (903, None), (904, "short item")], "item_id long, text string"))
