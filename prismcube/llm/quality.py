@@ -1,7 +1,8 @@
 """Quality classifier: a linear support vector machine over naive Bayes features (NB-SVM).
 
 Features are n-gram indicators, hashed to `dims` columns: words, word pairs, word shapes (letters to a or
-A, digits to 0, runs cut at two) and pairs of shapes. Class counts of every feature over all labelled
+A, digits to 0, runs cut at two), pairs of shapes, and n-grams that begin and end with the same word (how many
+eighths of the text they are). Class counts of every feature over all labelled
 training rows give log-count ratios r (smoothing `alpha`); counts are summed as fixed-size vectors in each
 task and then over tasks. Indicators scaled by r, each row to length 1, are the inputs of a hinge-loss
 model fitted by dual coordinate descent (Hsieh et al. 2008) with an unpenalised-in-practice bias column.
@@ -36,6 +37,8 @@ FIT_ROWS = 8_000
 #: Labelled rows up to which their ids and labels are broadcast to the documents; beyond, both are shuffled.
 BROADCAST_LABELS = 1_000_000
 KEPT_WORDS = 300_000
+#: Distances at which a word that comes again makes an indicator, one for each eighth of the words that do.
+REPEAT_LAGS = 4
 _LETTERS = bytes(ord("A") if 65 <= c <= 90 else ord("a") if 97 <= c <= 122 or c > 127 else ord("0") if 48 <= c <= 57 else c for c in range(256))
 _RUNS = re.compile(rb"(.)\1{2,}", re.S)
 
@@ -67,7 +70,8 @@ class Features:
             pairs.append(p)
         w, s = np.array(pairs, np.uint64).T
         three, five = np.uint64(3), np.uint64(5)
-        every = np.concatenate([w, s, w[:-1] * three + mix64(w[1:]), s[:-1] * five + mix64(s[1:] + three)])
+        repeats = [k << 8 | eighth for k in range(1, REPEAT_LAGS + 1) if k < len(w) for eighth in range(1, 1 + int((w[k:] == w[:-k]).sum()) * 8 // (len(w) - k))]
+        every = np.concatenate([w, s, w[:-1] * three + mix64(w[1:]), s[:-1] * five + mix64(s[1:] + three), np.array(repeats, np.uint64)])
         return np.unique(mix64(every) % self.dims).astype(np.int32)
 
 
