@@ -1,7 +1,7 @@
 """Near-duplicate documents: b-bit MinHash, then exact confirmation, then components.
 
 1. Signatures. A document's set is its distinct word shingles (64-bit hashes). 256 linear hash functions
-   give 256 minima; the low two bits of each are packed into two bit planes of four longs. Bands of minima
+   give 256 minima; two bits of each, mixed, are packed into two bit planes of four longs. Bands of minima
    give bucket keys. This pass reads each text once and shuffles nothing.
 2. Exact copies (equal word sequences, by a 128-bit hash) are one node: the smallest id.
 3. Candidates. Buckets of one node are dropped. In each bucket, pivots are compared with all members of a
@@ -19,14 +19,16 @@
    the rounds to come; in them only members by the short prefix are pivots, compared with larger members, and
    the places of the shingle in both orders must leave room for the intersection that the threshold takes.
 4. b-bit filter. Within that comparison, for each pair, the share of equal two-bit minima, corrected for chance collisions
-   ((share - 1/4) / (3/4)), estimates the similarity; pairs four standard errors below the threshold go.
+   ((share - 1/4) / (3/4)), estimates the similarity; pairs five standard errors below the threshold go, unless
+   both sets have `SMALL_SET` shingles at most. This holds in the finer buckets, too: their rule is exact, the filter is not.
 5. Confirmation. Whole sets of the pairs left are intersected: links are exact.
 6. Components by contraction (common.connected_components).
 
 Buckets, pivots and links stay distributed; counts of ids are the only numbers that reach the driver.
 Hot buckets and hot pivots meet in equi-joins that adaptive execution splits, and aggregates combine
 before the shuffle. Chance of missing a pair at the threshold itself: (1 - t^rows)^bands, 4e-5 for 0.85
-with 32 bands of 8 (much less above it, and groups have many pairs).
+with 32 bands of 8 (much less above it, and groups have many pairs). Chance that the filter drops a pair at
+the threshold itself, were its errors binomial: 2e-6 for 0.85, 3e-6 for 0.8 (less above it).
 
 Defined results: null or empty text has an empty set, is linked with nothing and keeps its own component;
 a null id is linked with nothing, its component is null and it is kept; rows of one id are one document
@@ -53,6 +55,8 @@ KEPT_WORDS = 300_000
 BROADCAST_IDS = 1_000_000
 #: Members up to which a mixed bucket is compared as it is.
 SMALL = 16
+#: Shingles up to which two sets are confirmed without an estimate.
+SMALL_SET = 32
 _SEEDS = np.random.default_rng(20_240_117)
 _A = _SEEDS.integers(0, 2**31, HASHES, np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _SEEDS.integers(0, 2**32, HASHES, np.uint32)
@@ -71,7 +75,7 @@ class Params:
     def least_estimate(self) -> float:
         t = self.percent / 100
         p = 0.25 + 0.75 * t
-        return t - 4 * (p * (1 - p) / HASHES) ** 0.5 / 0.75
+        return t - 5 * (p * (1 - p) / HASHES) ** 0.5 / 0.75
 
 
 class Shingler:
@@ -123,9 +127,14 @@ def band_keys(sigs: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def planes(sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bit 0 and bit 1 of the minima, each (documents, 4) longs."""
-    pack = lambda bits: np.ascontiguousarray(np.packbits(bits.astype(bool), axis=1)).view(np.int64)
-    return pack(sigs & 1), pack(sigs >> 1 & 1)
+    """Two bits of a hash of each minimum, each (documents, 4) longs.
+
+    The low bits of the minima themselves would not do: the multipliers are odd, so two given shingles agree or
+    differ in them under all functions at once.
+    """
+    sigs = mix64(sigs.astype(np.uint64) + (np.arange(HASHES, dtype=np.uint64) << np.uint64(32)))
+    pack = lambda k: np.ascontiguousarray(np.packbits((sigs >> np.uint64(k) & np.uint64(1)).astype(bool), axis=1)).view(np.int64)
+    return pack(0), pack(1)
 
 
 _WORDS64 = [f"p{plane}{k}" for plane in (0, 1) for k in range(HASHES // 64)]
@@ -278,7 +287,7 @@ def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
     # a shared shingle at these places leaves room for so large an intersection, if it is the first shared one
     like &= ~F.col("directed") | ((100 + params.percent) * F.least(size - F.col("at"), p_size - F.col("p_at")) >= params.percent * (size + p_size))
     like &= 100 * F.least(size, p_size) >= params.percent * F.greatest(size, p_size)
-    like &= _estimate() >= params.least_estimate
+    like &= (F.greatest(size, p_size) <= SMALL_SET) | (_estimate() >= params.least_estimate)
     edges: list[DataFrame] = []
     components, each = None, 1
     while True:

@@ -76,6 +76,28 @@ def test_near_duplicates(spark, sf, params):
     assert near_dup.near_duplicates(docs.limit(0), params).collect() == []
 
 
+@pytest.mark.parametrize(("params", "n"), [(near_dup.OP3, 8), (near_dup.Params(), 8)])
+def test_short_pairs_at_the_threshold(spark, params, n):
+    # one word more: 6 of 7 and 4 of 5 shingles are shared
+    rows = []
+    for i in range(1500):
+        words = [f"v{i}x{k}" for k in range(n + 1)]
+        rows += [(2 * i, " ".join(words[:n])), (2 * i + 1, " ".join(words))]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), params).collect()
+    assert [r.doc_id for r in got if r.component_id != r.doc_id // 2 * 2] == []
+
+
+@pytest.mark.parametrize(("params", "shared", "own"), [(near_dup.OP3, 6, 1), (near_dup.Params(), 4, 1), (near_dup.Params(), 32, 8)])
+def test_bits_of_minima_are_independent(params, shared, own):
+    rng, lost = np.random.default_rng(9), 0
+    for _ in range(10):
+        x = rng.integers(0, 2**64, (300, shared + own), np.uint64)
+        a, b = (np.concatenate(near_dup.planes(np.stack([near_dup.minima(r[:k]) for r in x])), axis=1) for k in (shared, shared + own))
+        differ = np.bitwise_count(((a ^ b)[:, :4] | (a ^ b)[:, 4:]).view(np.uint64)).sum(axis=1)
+        lost += int((((1 - differ / near_dup.HASHES) - 0.25) / 0.75 < params.least_estimate).sum())
+    assert lost == 0
+
+
 def test_shuffled_ids_way(spark, sf, monkeypatch):
     docs = read(spark, sf, "documents")
     want = sorted(map(tuple, near_dup.near_duplicates(docs).collect()))
