@@ -8,10 +8,11 @@
 2. What is left is hashed by subtree (name, own text, children, in order). Spark counts, for each host, on
    how many pages with different main text each subtree occurs. A copy of an article is no evidence of a
    template, so pages of equal main text count once.
-3. Subtrees on at least `least_pages` such pages of their host, and on at least `least_share` of the host's
-   pages, are the site's template and are deleted. Inside an article, running text (headings, paragraphs,
-   quotations, lists, tables, preformatted and inline elements) and every element that holds some is never
-   deleted, since a passage may recur in articles; other elements there are, as outside.
+3. Block subtrees on at least `least_pages` such pages of their host, and on a share of the host's pages, are
+   the site's template and are deleted. Never deleted alone: inline elements, headings, and the parts of lists
+   and tables. The share is `large_share`; for blocks of an article that hold no running text (headings,
+   paragraphs, quotations, lists, tables, preformatted and inline elements) it is `least_share`. Running text
+   inside an article goes only with a container (div, section, ...) around it that is a template.
 4. Text: character references decoded, white space inside a block to one space, trimmed, blocks joined in
    page order by one space.
 
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, read
 
-LEAST_PAGES, LEAST_SHARE = 5, 0.02
+LEAST_PAGES, LEAST_SHARE, LARGE_SHARE = 5, 0.02, 0.5
 #: Template subtrees up to which they are broadcast (16 bytes each in the set).
 BROADCAST_TEMPLATES = 1_000_000
 
@@ -49,7 +50,10 @@ DROPPED = frozenset(
     "script style noscript template head title iframe noembed noframes object embed canvas svg math nav aside footer form button select option textarea input label dialog menu audio video map".split()
 )
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr nobr".split())
-#: Running text: kept inside articles, recurring or not.
+#: Elements that can be a template of their own.
+CONTAINERS = frozenset("div section address details fieldset center hgroup search".split())
+BLOCKS = CONTAINERS | frozenset("p blockquote pre ul ol dl table figure".split())
+#: Running text: inside articles it is no template of its own.
 PROSE = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption img br hr".split())
 #: Start tags that end an open element of these names, up to the nearest of the limits.
 ENDS = {
@@ -189,6 +193,13 @@ def digest(roots: list[Node], host: str) -> None:
             node.digest = xxhash.xxh64_intdigest("\x01".join(parts)) - 2**63
 
 
+def template_key(node: Node, article: bool) -> int | None:
+    """What is counted of a subtree that could be deleted, else null: even for those that need the large share, odd for the others."""
+    if node.name not in (CONTAINERS if article else BLOCKS) or not node.children:
+        return None
+    return node.digest & -2 | (article and not node.prose)
+
+
 def blocks(roots: list[Node], template: frozenset | set, article: bool) -> list[str]:
     """Texts of the blocks, in page order, without template subtrees."""
     out, line, todo = [], [], list(reversed(roots))
@@ -205,7 +216,7 @@ def blocks(roots: list[Node], template: frozenset | set, article: bool) -> list[
             line.append(c)
         elif c is None:
             close()
-        elif template and c.digest in template and not (article and c.prose):
+        elif template and template_key(c, article) in template:
             continue
         elif c.name == "br":
             line.append(" ")
@@ -232,8 +243,8 @@ def candidates(page: str | None, url: str | None) -> tuple[int, list[int]]:
     while todo:
         c = todo.pop()
         if isinstance(c, Node):
-            if c.name not in ("html", "body") and not (article and c.prose) and c.children:
-                found.add(c.digest)
+            if (key := template_key(c, article)) is not None:
+                found.add(key)
             todo += c.children
     return xxhash.xxh64_intdigest(" ".join(blocks(roots, frozenset(), article))) - 2**63, sorted(found)
 
@@ -263,21 +274,21 @@ def subtrees(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, host string, page long, subtree long")
 
 
-def templates(found: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def templates(found: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, large_share: float = LARGE_SHARE) -> DataFrame:
     """(subtree) of all hosts' templates; the host is part of the hash."""
     once = found.select("host", "page", "subtree").distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
     hosts = once.filter("subtree is null").select("host", F.col("n").alias("pages"))
     often = once.filter(f"subtree is not null and n >= {least_pages}")
-    return often.join(hosts, "host").filter(F.col("n") >= least_share * F.col("pages")).select("subtree").distinct()
+    return often.join(hosts, "host").filter(F.col("n") >= F.when(F.col("subtree") % 2 == 0, large_share).otherwise(least_share) * F.col("pages")).select("subtree").distinct()
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, broadcast_limit: int = BROADCAST_TEMPLATES) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, broadcast_limit: int = BROADCAST_TEMPLATES, large_share: float = LARGE_SHARE) -> DataFrame:
     """(page_id, url, text) of every row of pages."""
     spark = pages.sparkSession
     scratch = Scratch(spark)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     found = scratch.save(subtrees(rows), "subtrees")
-    template = scratch.save(templates(found, least_pages, least_share), "templates")
+    template = scratch.save(templates(found, least_pages, least_share, large_share), "templates")
     if template.count() <= broadcast_limit:
         shared = spark.sparkContext.broadcast(frozenset(r[0] for r in template.collect()))  # broadcast_limit at most
         scratch.drop(found, template)

@@ -169,6 +169,19 @@ def test_html_templates(spark, limit):
     assert got[207] == "The same opening passage. Story 7."
 
 
+def test_html_recurring_content_stays(spark):
+    # neither article nor main: what recurs on some pages, or inside a sentence, a table or as a heading, is content
+    def body(i):
+        some = "<p>Said on some pages.</p>" if i < 8 else ""
+        return f"<body><div><p>Site notice</p></div><div><h2>Introduction</h2><p>Do <em>not</em> take {i}. <b>Note</b></p>{some}<table><tr><td>0</td><td>{i}</td></tr></table></div></body>"
+
+    rows = [(i, f"https://h.org/{i}", body(i)) for i in range(20)]
+    rows += [(100 + i, f"https://a.org/{i}", f"<article><p>Story {i} <b>Note</b></p><div class=x><p>Buy <a href=/>this</a></p></div><p>Same end.</p></article>") for i in range(20)]
+    got = texts(spark, rows)
+    assert got[3] == "Introduction Do not take 3. Note Said on some pages. 0 3" and got[12] == "Introduction Do not take 12. Note 0 12"
+    assert got[107] == "Story 7 Note Same end."
+
+
 def test_pages_equal_articles(spark, sf):
     import html as entities
 
