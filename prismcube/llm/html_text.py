@@ -2,8 +2,10 @@
 
 1. A tolerant parser builds the element tree (void and raw-text elements, implied ends of p, li, td, ...;
    unclosed and truncated markup end where their parent ends). Elements that are never content go: scripts,
-   styles, forms, menus, headers and footers, sidebars, and elements whose class, id or role names such a
-   part, an advert, a notice or reader comments. The content root is the article (or main) elements where
+   styles, forms, menus, headers and footers, sidebars, and elements of which a whole token of class, id or role
+   names such a part, an advert, a notice or reader comments (header-like ones stay inside an article, as header
+   does). A named element stays if it holds main, or an article while no article stands outside of such elements
+   (comments and teasers may be articles, too). The content root is the article (or main) elements where
    the page has any with text, else the body.
 2. What is left is hashed by subtree (name, own text, children, in order). Spark counts, for each host, on
    how many pages with different main text each subtree occurs. A copy of an article is no evidence of a
@@ -66,12 +68,17 @@ ENDS = {
     "th": ({"td", "th", "p"}, {"tr"}),
     "option": ({"option"}, {"select"}),
 }
-#: Words of class, id and role that name what is no content.
-NOISE = re.compile(
-    r"(?<![a-z0-9])(?:ads?|adv|advert(?:s|isements?|ising)?|ad-?(?:box|slot|banner|unit|container|wrapper)|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr|notices?|newsletter|subscribe|subscription|popup|modal|"
-    r"side-?bar|menus?|nav|navbar|navigation|breadcrumbs?|toolbar|footer|foot|masthead|site-?header|page-?header|header|comments?|comment-?list|respond|disqus|replies|share|sharing|social|related|recommend(?:ed|ations)?|"
-    r"widgets?|skip-?link|contentinfo|complementary|search|login|paywall)(?![a-z0-9])"
+#: Tokens of class, id and role that name what is no content: a word, places before it, parts after it.
+_WORD = (
+    r"(?:ads?|adv|advert(?:s|isements?|ising)?|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr|notices?|newsletter|subscribe|subscription|popup|modal|"
+    r"side-?bar|menus?|nav|navbar|navigation|breadcrumbs?|toolbar|footer|foot|comments?|respond|disqus|replies|share|sharing|social|related|recommend(?:ed|ations)?|"
+    r"widgets?|skip-?link|contentinfo|complementary|search|login|paywall)"
 )
+_BEFORE = r"(?:(?:site|page|main|top|bottom|left|right|primary|secondary|global|blog|post|entry|article|user|reader|sticky|mobile|google|wp|block|js)[-_]+)*"
+_AFTER = r"(?:[-_]*(?:box|slot|unit|container|wrapper|wrap|area|list|bar|block|section|inner|outer|items?|links?|buttons?|icons?|form|posts?|articles?|stories|content|text|message|overlay|left|right|top|bottom|primary|secondary|[0-9]++(?:x[0-9]++)?))*"
+NOISE = re.compile(rf"{_BEFORE}{_WORD}(?:[-_]+{_WORD})*{_AFTER}(?:--.*)?", re.S)
+#: Tokens that name a page's header: like the header element, content inside an article.
+HEADER = re.compile(r"(?:(?:site|page|main|top|global|blog)[-_]*)?(?:header|masthead)(?:[-_]*(?:container|wrapper|wrap|inner|outer|top|bottom))*(?:--.*)?", re.S)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|[\s/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPACE = re.compile(r"\s+")
@@ -79,10 +86,11 @@ HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
 class Node:
-    __slots__ = ("name", "noise", "parent", "children", "digest", "prose")
+    __slots__ = ("name", "noise", "parent", "children", "digest", "prose", "headed")
 
-    def __init__(self, name: str, noise: bool, parent):
+    def __init__(self, name: str, noise: bool, parent, headed: bool = False):
         self.name, self.noise, self.parent, self.children = name, noise, parent, []
+        self.headed = headed
         self.digest, self.prose = 0, False
 
 
@@ -120,8 +128,8 @@ def parse(page: str) -> Node:
             if last is not None:
                 here = last.parent
         attributes = m[3]
-        noise = name not in ("html", "body") and bool(attributes) and any(NOISE.search((a or b or c).lower()) for a, b, c in ATTRIBUTE.findall(attributes))
-        node = Node(name, noise, here)
+        tokens = [t for a, b, c in ATTRIBUTE.findall(attributes) for t in (a or b or c).lower().split()] if attributes and name not in ("html", "body", "article", "main") else ()
+        node = Node(name, any(map(NOISE.fullmatch, tokens)), here, any(map(HEADER.fullmatch, tokens)))
         here.children.append(node)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
@@ -132,14 +140,37 @@ def parse(page: str) -> Node:
 
 
 def _dropped(node: Node, inside: bool) -> bool:
-    if node.name in DROPPED or node.noise and node.name not in ("article", "main"):
-        return True
-    return node.name == "header" and not inside
+    return node.name in DROPPED or node.noise or (node.name == "header" or node.headed) and not inside
+
+
+def _keep_around(root: Node) -> None:
+    """Unmarks named elements that hold main, or an article while no article with text stands outside of them."""
+    held: dict[str, list[Node]] = {"article": [], "main": []}
+    outside, todo = False, [(root, False, False)]
+    while todo:
+        node, named, inside = todo.pop()
+        for c in node.children:
+            if isinstance(c, str) or c.name in DROPPED or c.name == "header" and not inside:
+                continue
+            below = named or c.noise or c.headed and not inside
+            if c.name in held:
+                if below:
+                    if not inside:
+                        held[c.name].append(c)
+                elif c.name == "article":
+                    outside = outside or bool(blocks([c], frozenset(), False))
+            todo.append((c, below, inside or c.name == "article"))
+    for c in held["main"] + ([] if outside else held["article"]):
+        node = c.parent
+        while node is not None:
+            node.noise = node.headed = False
+            node = node.parent
 
 
 def content(page: str) -> tuple[list[Node], bool]:
     """The content roots of a page, and whether they are articles. Trees are pruned in place."""
     root = parse(page)
+    _keep_around(root)
     articles, mains, todo = [], [], [(root, False, False)]
     while todo:
         node, in_article, in_main = todo.pop()

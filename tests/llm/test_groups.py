@@ -182,6 +182,19 @@ def test_html_recurring_content_stays(spark):
     assert got[107] == "Story 7 Note Same end."
 
 
+def test_html_class_names(spark):
+    story = "<article><div class='entry-header'><h1>T</h1></div><div class='header'><p>H</p></div><p>Story</p><div class='comments'><article class=comment>c</article></div></article>"
+    around = ["class='has-sidebar'", "class='page no-sidebar'", "id='content-sidebar-wrap'", "class=sidebar", "class='site-header'", "id=social"]
+    rows = [(i, f"http://a{i}.b/", f"<body><div {a}>{story}</div></body>") for i, a in enumerate(around)]
+    rows += [(50, "http://m.b/", "<div class='banner'><main><p>Main</p></main></div><div class='widget'>w</div>")]
+    gone = ["ad", "x ad-300x250", "site-footer", "cookie-notice", "widget-area", "share-buttons", "sidebar--left", "related_posts", "comment-list", "site-header", "page-header", "main-menu", "comments-area", "sidebar"]
+    rows += [(100 + i, f"http://g{i}.b/", f"<body><div class='{a}'>no <article>teaser</article></div><article><p>yes</p></article></body>") for i, a in enumerate(gone)]
+    rows += [(200, "http://p.b/", "<div class='entry-header'><h1>Title</h1></div><div class='layout--has-sidebar'>text</div>")]
+    got = texts(spark, rows)
+    assert [got[i] for i in range(len(around))] == ["T H Story"] * len(around) and got[50] == "Main"
+    assert [got[100 + i] for i in range(len(gone))] == ["yes"] * len(gone) and got[200] == "Title text"
+
+
 def test_pages_equal_articles(spark, sf):
     import html as entities
 
