@@ -5,8 +5,10 @@ family: titles, identifiers, web addresses, grant sentences and clauses from the
 tried only if one of its keywords occurs in the text; keywords are found by plain substring search, each
 once a text, and lines of rules share them. Detections of all rules are ordered by priority (base
 phrases first, then the kind's rank, then longer spans, then the rule's order); a detection whose span
-lies inside that of one kept before it is suppressed, unless the outer one has the same label and is no
-stronger. Base phrases are never suppressed: all their places are counted.
+lies inside that of one kept before it is suppressed. Base phrases are never suppressed: all their places
+are counted. SPDX rules are tried in SPDX expressions only: what follows the tag on its line, however long, up
+to the first word that no operator (and, or, with, a comma, slash, semicolon, bar or ampersand) joins. Each
+identifier there, with or without a plus, is a detection whose span is the identifier.
 
 Texts are lower-cased (A-Z) and matched as UTF-8 bytes read one to one as characters, so that a word is
 `[0-9a-z\\x80-\\xff]+` there exactly where it is `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` in the text. One pass,
@@ -31,6 +33,10 @@ from .common import WORD_CLASS, WORDS, count_words, map_arrow, read
 SEP = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 START, END = r"(?<![0-9a-z\x80-\xff])", r"(?![0-9a-z\x80-\xff])"
 
+_ID = r"[0-9a-z][0-9a-z.:+-]*"
+#: A tag and the expression after it; group 1 is the expression.
+EXPRESSION = re.compile(rf"spdx-license-identifier:[ \t(]*({_ID}(?:[ \t)]*(?:(?<=[ \t)])(?:and|or|with)(?=[ \t(])|[,;/|&]+)[ \t(]*{_ID})*)")
+
 #: Base phrases of the contract and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
@@ -193,7 +199,7 @@ def build_rules() -> list[Rule]:
     verbs = "(?:" + "|".join(SEP.join(v.strip().split()) for v in GRANTS.split(",")) + ")"
     for label, ids, titles, urls in _table(FAMILIES):
         for x in ids.split(","):
-            rules.append(Rule(label, "spdx", "spdx", re.compile(r"spdx-license-identifier:[ \t]*(?:[^\n]{0,80}?[ (])?" + re.escape(x.strip()) + r"(?![0-9a-z.+-])")))
+            rules.append(Rule(label, "spdx", "spdx", re.compile(r"(?<![0-9a-z.+-])" + re.escape(x.strip()) + r"\+?(?![0-9a-z:+-]|\.[0-9a-z])")))
         for x in titles.split(","):
             x = x.strip()
             rules.append(Rule(label, "grant", _keyword(x), re.compile(START + verbs + SEP + "(?:(?:the|a|an|gnu)" + SEP + "){0,2}" + _words(x).removeprefix(START))))
@@ -218,8 +224,10 @@ class Scanner:
         found = []
         for keyword, numbers in self.by_keyword.items():
             if keyword in s:
+                spdx = [m.span(1) for m in EXPRESSION.finditer(s)] if keyword == "spdx" else []
                 for i in numbers:
-                    found += [(m.start(), m.end(), i) for m in self.rules[i].pattern.finditer(s)]
+                    for a, b in spdx if self.rules[i].kind == "spdx" else [(0, len(s))]:
+                        found += [(m.start(), m.end(), i) for m in self.rules[i].pattern.finditer(s, a, b)]
         found.sort(key=lambda f: (self.rules[f[2]].rank, f[0] - f[1], f[2], f[0]))
         kept: list[tuple[int, int, int]] = []
         for a, b, i in found:

@@ -80,6 +80,19 @@ def test_license_rules_and_suppression():
     assert labels("all is permitted, admit licenses") == []
 
 
+def test_license_expressions():
+    scanner = license_scan.Scanner()
+    found = lambda t: [(scanner.rules[i].label, scanner.rules[i].kind, t[a:b]) for a, b, i in scanner.scan(t.encode())]
+    spdx = lambda t: [(label, x) for label, kind, x in found(t) if kind == "spdx"]
+    assert found("// SPDX-License-Identifier: MIT OR Apache-2.0\n") == [("mit", "spdx", "MIT"), ("apache-2.0", "spdx", "Apache-2.0")]
+    assert spdx("SPDX-License-Identifier: (MIT AND BSD-3-Clause) OR GPL-2.0+") == [("mit", "MIT"), ("bsd-3-clause", "BSD-3-Clause"), ("gpl-2.0", "GPL-2.0+")]
+    assert spdx("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0") == [("gpl-2.0", "GPL-2.0-only")]
+    assert spdx("SPDX-License-Identifier:MIT/Apache-2.0, ISC.") == [("mit", "MIT"), ("apache-2.0", "Apache-2.0"), ("isc", "ISC")]
+    assert spdx("SPDX-License-Identifier: " + "LicenseRef-some-long-name OR " * 20 + "Zlib\nMIT") == [("zlib", "Zlib")]
+    assert spdx("SPDX-License-Identifier: Apache-2.0 ist mit dem ruby") == [("apache-2.0", "Apache-2.0")]
+    assert spdx("SPDX-License-Identifier: MIT OR\nISC") == [("mit", "MIT")] and spdx("SPDX: MIT OR ISC") == []
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     from prismcube.llm.queries import QUERIES
