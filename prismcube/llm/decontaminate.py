@@ -24,6 +24,7 @@ from collections import defaultdict
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import WORDS, map_arrow, read, texts_of
 
@@ -113,10 +114,10 @@ _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 _FOUND = "n_words long, spans array<struct<start: bigint, end: bigint>>, item_ids array<bigint>"
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, n_words, spans of hit words, item_ids) for every row of docs."""
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, carry: bool = False) -> DataFrame:
+    """(doc_id, n_words, spans of hit words, item_ids) for every row of docs; with carry, the row itself as _row, too."""
     spark = docs.sparkSession
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")] if carry else []))
     blocks = benchmark_blocks(benchmark, block_words)
     for k, block in enumerate(blocks):
         items = [(r.item_id, r.text.encode()) for r in block.collect()]  # block_words at most
@@ -126,7 +127,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
 
 def _scan(df: DataFrame, items, window: int, last: bool) -> DataFrame:
     """One block's search, joined to what earlier blocks found; the last one leaves the text out."""
-    first = "spans" not in df.columns
+    first, carry = "spans" not in df.columns, "_row" in df.columns
+    schema = StructType.fromDDL(f"doc_id long, {'' if last else 'text string, '}{_FOUND}")
+    if carry:
+        schema = schema.add("_row", df.schema["_row"].dataType)
 
     def make():
         matcher = Matcher(items.value, window)
@@ -142,12 +146,12 @@ def _scan(df: DataFrame, items, window: int, last: bool) -> DataFrame:
                 counts.append(len(words))
                 spans.append([{"start": a, "end": b} for a, b in hit])
                 ids.append(sorted(named, key=lambda x: (x is not None, x or 0)))
-            out = [batch.column(0), *([] if last else [batch.column(1)]), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(ids, pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(out, names=["doc_id", *([] if last else ["text"]), "n_words", "spans", "item_ids"])
+            out = [batch.column(0), *([] if last else [batch.column(1)]), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(ids, pa.list_(pa.int64())), *([batch.columns[-1]] if carry else [])]
+            return pa.RecordBatch.from_arrays(out, names=["doc_id", *([] if last else ["text"]), "n_words", "spans", "item_ids", *(["_row"] if carry else [])])
 
         return run
 
-    return map_arrow(df, make, f"doc_id long, {'' if last else 'text string, '}{_FOUND}")
+    return map_arrow(df, make, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -205,6 +205,15 @@ def test_pages_equal_articles(spark, sf):
         assert got[r.page_id] == " ".join(filter(None, parts))
 
 
+def test_decontamination_of_rows_without_id(spark, sf):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    item = max((r.text or "" for r in read(spark, sf, "benchmark").collect()), key=len)
+    rows = [(None, f"a {item} b", "x"), (None, "quite clean", "y"), (1, item, "z"), (2, "clean", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = pipeline.stage_decontaminate(spark, docs, sf)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == sorted([rows[1], rows[3]], key=str)
+
+
 def test_pipeline(spark, sf):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = read(spark, sf, "documents")
