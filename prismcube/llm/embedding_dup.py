@@ -209,7 +209,7 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile:
     rows = rows.withColumn("key", key)
     heads = rows.filter("key is not null").groupBy("label", "key").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("embedding").alias("embedding"))
     classes = scratch.save(heads, "classes")
-    lengths = [r[0] for r in classes.select(F.size("embedding")).distinct().limit(1000).collect()]
+    lengths = [r[0] for r in classes.select(F.size("embedding")).distinct().collect()]
     rotations, tiles = {}, None
     for size in sorted(lengths):
         part = classes.filter(F.size("embedding") == size)

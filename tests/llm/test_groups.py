@@ -133,6 +133,13 @@ def test_embedding_duplicates(spark, sf, tile):
     assert (r.vec_id, r.n_links, r.component_id, r.kept) == (None, 0, None, True)
 
 
+def test_every_vector_length_is_compared(spark, monkeypatch):
+    df = spark.createDataFrame([(i, [1.0, 1.0 + i / 100][: 1 + i % 2], 0) for i in range(6)], "vec_id long, embedding array<double>, label int")
+    limit = type(df).limit
+    monkeypatch.setattr(type(df), "limit", lambda self, n: limit(self, min(n, 1) if n >= 1000 else n))  # a cap on lengths would bite here
+    assert {r.vec_id: r.n_links for r in embedding_dup.embedding_duplicates(df).collect()} == dict.fromkeys(range(6), 2)
+
+
 def page(article, extra=""):
     return f"<html><head><title>t</title><script>var a='<p>no</p>';</script></head><body><nav><ul><li>m</ul></nav><div class='site-box'><span>Follow us</span> now</div>{extra}<article>{article}</article><footer>f</footer></body></html>"
 
