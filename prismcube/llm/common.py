@@ -28,12 +28,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where the session has none (tests), a temporary one is set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where a local session has none (tests), a temporary one is set; on a cluster that is an error."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
     found = spark.sparkContext._jsc.sc().getCheckpointDir()
     if found.isDefined():
         return found.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="prismcube-")
     spark.sparkContext.setCheckpointDir(own)
     spark.conf.set("spark.checkpoint.dir", own)

@@ -19,6 +19,7 @@ QUERIES = {
 
 ORACLES = {
     "op3_near_dup": near_dup.OP3_SQL,
+    "op4_html_text": html_text.OP4_SQL,
     "op7_decontaminate": decontaminate.OP7_SQL,
     "op8_embedding_dup": embedding_dup.OP8_SQL,
     "op9_mix": mixing.OP9_SQL,

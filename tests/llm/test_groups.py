@@ -202,6 +202,51 @@ def test_html_class_names(spark):
     assert [got[100 + i] for i in range(len(gone))] == ["yes"] * len(gone) and got[200] == "Title text"
 
 
+def test_html_whole_pages_and_names():
+    one = lambda page: html_text.text_of(page, "http://a.b/", np.zeros(0, np.int64))
+    story = "".join(f"<p>This is paragraph {i} of the whole page here.</p>" for i in range(5))
+    assert one(f"<body><form action=/><h1>T</h1>{story}<label>mail</label><input></form></body>").startswith("T This is paragraph 0")
+    assert one("<body><form><p>Please log in</p><input></form><p>Hello you.</p></body>") == "Hello you."
+    assert one("<form><article>Story</article><button>b</button></form>") == "Story"
+    assert one("<article><p>a</p><div class='related-work'><p>Prior work text.</p></div><div class=related><ul><li><a href=/x>Other</a></ul></div></article>") == "a Prior work text."
+    assert one("<div class=related><p>Twelve words of running text make a block that no name deletes here at all.</p></div>").startswith("Twelve")
+    assert one("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be.</p>") == "Let x=1 be."
+    assert one("<article><div class='entry-header'><h1>Title</h1></div><p>Story</p></article>") == "Title Story"
+    assert one("<article class=comment><p>A reader.</p></article><p>Main</p>") == "Main"
+    assert one("<article class='post has-comments'><p>Main</p></article><article class='comment-body'>A reader.</article>") == "Main"
+
+
+def test_html_menus_by_skeleton(spark):
+    # link lists that change from page to page, without any name; on a host of one page they stay
+    body = lambda i: f"<body><div><ul>{''.join(f'<li><a href=/{k}>link {k}</a></li>' for k in range(i, i + 2 + i % 4))}</ul></div><p>Story {i} of <a href=/s>this</a> site.</p></body>"
+    got = texts(spark, [(i, f"http://h.org/{i}", body(i)) for i in range(12)] + [(100, "http://single.org/", body(5))])
+    assert got[7] == "Story 7 of this site." and got[100].startswith("link 5 link 6") and got[100].endswith("Story 5 of this site.")
+
+
+def test_html_rows_without_id(spark):
+    body = lambda i: f"<body><div>Notice of <i>all</i> pages</div><p>Story {i} is here.</p></body>"
+    df = spark.createDataFrame([(None, f"http://h.org/{i}", body(i)) for i in range(9)] + [(1, "http://h.org/1", body(1))] * 2, "page_id long, url string, html string").withColumn("key", F.lit("x")).withColumn("h0", F.lit("y"))
+    small, large = (sorted(map(str, html_text.extract(df, broadcast_limit=n).collect())) for n in (1000, 0))
+    assert small == large and all("Notice" not in r for r in small) and len(small) == 11
+    assert html_text.extract(df.limit(0)).collect() == []
+
+
+def test_html_templates_of_the_pages(spark, monkeypatch, capsys):
+    # counted subtrees are deleted before anything is dropped by name; without names the articles stay as they are
+    pages = read(spark, "/root/testdata/sf0.1", "pages")
+    want = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    keys = np.sort(html_text.templates(html_text.subtrees(pages)).toArrow().column("key").to_numpy())
+    rows = pages.collect()
+    deleted = sum(html_text.delete(html_text.parse(r.html), html_text.host_of(r.url), keys) for r in rows)
+    with capsys.disabled():
+        print(f"\n{len(keys)} templates, {deleted} subtrees deleted from {len(rows)} pages")
+    assert deleted > len(rows)
+    for name in ("NOISE", "WEAK", "HEADER", "COMMENT"):
+        monkeypatch.setattr(html_text, name, re.compile("(?!)"))
+    monkeypatch.setattr(html_text, "DROPPED", frozenset())
+    assert all(html_text.text_of(r.html, r.url, keys) == want[r.page_id] for r in rows)
+
+
 def test_pages_equal_articles(spark, sf):
     import html as entities
 
