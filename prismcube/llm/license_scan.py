@@ -1,14 +1,17 @@
 """License scans: ordered signature rules with a keyword prefilter and overlap suppression.
 
-A rule is (label, kind, confidence, keywords, regular expression). Rules are written by hand per license
-family: titles, identifiers, web addresses, grant sentences and clauses from the license texts. A rule is
-tried only if one of its keywords occurs in the text; keywords are found by plain substring search, each
-once a text, and lines of rules share them. Detections of all rules are ordered by priority (base
-phrases first, then the kind's rank, then longer spans, then the rule's order); a detection whose span
-lies inside that of one kept before it is suppressed. Base phrases are never suppressed: all their places
-are counted. SPDX rules are tried in SPDX expressions only: what follows the tag on its line, however long, up
-to the first word that no operator (and, or, with, a comma, slash, semicolon, bar or ampersand) joins. Each
-identifier there, with or without a plus, is a detection whose span is the identifier.
+A rule is (label, kind, keywords, regular expression); license_rules holds them, written by hand per license:
+titles with their optional words and versions, clauses of the license texts, addresses, identifiers and mentions.
+One automaton finds all keywords in one pass over the text; a rule is tried only if one of its keywords occurs
+(at the beginning of a word, but for addresses).
+A title behind words that grant ("released under the ...") is a grant. Detections of all rules are ordered by
+priority: the kind's rank (base phrases first), then longer spans, then the rule's order; a detection whose span
+lies inside that of one before it is suppressed, whatever their labels. What suppresses a suppressed detection
+suppresses what that one would, so one sweep over the spans by their starts, with the farthest end of each rank so
+far, decides all in linear time after the sort. Base phrases are never suppressed: all their places are counted.
+Identifiers are looked up in SPDX expressions only: what follows the tag on its line, however long, up to the first
+word that no operator (and, or, with, a comma, slash, semicolon, bar or ampersand) joins. Each identifier there, with
+or without a plus, is a detection whose span is the identifier.
 
 Texts are lower-cased (A-Z) and matched as UTF-8 bytes read one to one as characters, so that a word is
 `[0-9a-z\\x80-\\xff]+` there exactly where it is `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` in the text. One pass,
@@ -23,11 +26,14 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cache
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import license_rules
 from .common import WORD_CLASS, WORDS, count_words, map_arrow, read
 
 SEP = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
@@ -43,133 +49,18 @@ BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public l
 #: Kinds by rank: a kind's detections suppress those of later kinds inside them.
 KINDS = {"base": (0, 1.0), "text": (1, 0.98), "spdx": (2, 0.97), "grant": (3, 0.95), "url": (4, 0.93), "title": (5, 0.9), "mention": (6, 0.6)}
 
-#: label | SPDX identifiers | titles | addresses. Titles are words; ~ stands for an optional "the".
-FAMILIES = """
-mit | mit | mit license, expat license, mit x11 license, mit style license | opensource.org/licenses/mit, mit-license.org
-mit-0 | mit-0 | mit no attribution license, mit no attribution | opensource.org/licenses/mit-0
-x11 | x11 | x11 license, x consortium license | www.xfree86.org/3.3.6/copyright2.html
-apache-1.0 | apache-1.0 | apache software license version 1.0 | www.apache.org/licenses/license-1.0
-apache-1.1 | apache-1.1 | apache software license version 1.1, apache license version 1.1 | www.apache.org/licenses/license-1.1
-apache-2.0 | apache-2.0 | apache license version 2.0, apache license 2.0, apache 2.0 license, apache software license version 2.0 | www.apache.org/licenses/license-2.0, opensource.org/licenses/apache-2.0
-gpl-1.0 | gpl-1.0, gpl-1.0-only, gpl-1.0-or-later | general public license version 1, gpl version 1, gplv1 | www.gnu.org/licenses/gpl-1.0
-gpl-2.0 | gpl-2.0, gpl-2.0-only, gpl-2.0-or-later | general public license version 2, general public license v2, gpl version 2, gplv2, gpl v2 | www.gnu.org/licenses/gpl-2.0, www.gnu.org/licenses/old-licenses/gpl-2.0
-gpl-3.0 | gpl-3.0, gpl-3.0-only, gpl-3.0-or-later | general public license version 3, general public license v3, gpl version 3, gplv3, gpl v3 | www.gnu.org/licenses/gpl-3.0, www.gnu.org/licenses/gpl.html
-lgpl-2.0 | lgpl-2.0, lgpl-2.0-only, lgpl-2.0-or-later | library general public license version 2, lgpl version 2.0 | www.gnu.org/licenses/old-licenses/lgpl-2.0
-lgpl-2.1 | lgpl-2.1, lgpl-2.1-only, lgpl-2.1-or-later | lesser general public license version 2.1, lgpl version 2.1, lgplv2.1, lgpl v2.1 | www.gnu.org/licenses/lgpl-2.1, www.gnu.org/licenses/old-licenses/lgpl-2.1
-lgpl-3.0 | lgpl-3.0, lgpl-3.0-only, lgpl-3.0-or-later | lesser general public license version 3, lgpl version 3, lgplv3, lgpl v3 | www.gnu.org/licenses/lgpl-3.0
-agpl-3.0 | agpl-3.0, agpl-3.0-only, agpl-3.0-or-later | affero general public license, affero general public license version 3, agplv3, agpl v3 | www.gnu.org/licenses/agpl-3.0
-gfdl-1.3 | gfdl-1.3, gfdl-1.3-only, gfdl-1.2 | free documentation license, gnu free documentation license version 1.3 | www.gnu.org/licenses/fdl
-bsd-2-clause | bsd-2-clause | bsd 2 clause license, simplified bsd license, freebsd license, 2 clause bsd license, two clause bsd license | opensource.org/licenses/bsd-2-clause
-bsd-3-clause | bsd-3-clause | bsd 3 clause license, new bsd license, modified bsd license, revised bsd license, 3 clause bsd license, three clause bsd license | opensource.org/licenses/bsd-3-clause
-bsd-4-clause | bsd-4-clause | bsd 4 clause license, original bsd license, four clause bsd license | opensource.org/licenses/bsd-4-clause
-0bsd | 0bsd | zero clause bsd license, bsd zero clause license | opensource.org/licenses/0bsd
-isc | isc | isc license, isc software license | opensource.org/licenses/isc
-mpl-1.0 | mpl-1.0 | mozilla public license version 1.0, mozilla public license 1.0 | www.mozilla.org/mpl/1.0
-mpl-1.1 | mpl-1.1 | mozilla public license version 1.1, mozilla public license 1.1 | www.mozilla.org/mpl/1.1, www.mozilla.org/mpl/mpl-1.1
-mpl-2.0 | mpl-2.0 | mozilla public license version 2.0, mozilla public license v 2.0, mozilla public license 2.0 | mozilla.org/mpl/2.0
-epl-1.0 | epl-1.0 | eclipse public license version 1.0, eclipse public license v1.0, eclipse public license 1.0 | www.eclipse.org/legal/epl-v10
-epl-2.0 | epl-2.0 | eclipse public license version 2.0, eclipse public license v2.0, eclipse public license 2.0 | www.eclipse.org/legal/epl-2.0, www.eclipse.org/legal/epl-v20
-cddl-1.0 | cddl-1.0 | common development and distribution license, cddl version 1.0 | opensource.org/licenses/cddl-1.0
-cddl-1.1 | cddl-1.1 | common development and distribution license version 1.1, cddl version 1.1 | glassfish.java.net/public/cddl+gpl_1_1
-cpl-1.0 | cpl-1.0 | common public license version 1.0, common public license | opensource.org/licenses/cpl1.0
-ipl-1.0 | ipl-1.0 | ibm public license version 1.0, ibm public license | opensource.org/licenses/ibmpl
-artistic-1.0 | artistic-1.0, artistic-1.0-perl | artistic license 1.0, perl artistic license | opensource.org/licenses/artistic-license-1.0
-artistic-2.0 | artistic-2.0 | artistic license 2.0, artistic license version 2.0 | opensource.org/licenses/artistic-2.0
-zlib | zlib | zlib license, zlib libpng license | opensource.org/licenses/zlib, www.zlib.net/zlib_license
-libpng | libpng, libpng-2.0 | libpng license, png reference library license | www.libpng.org/pub/png/src/libpng-license
-bsl-1.0 | bsl-1.0 | boost software license version 1.0, boost software license | www.boost.org/license_1_0
-unlicense | unlicense | the unlicense, unlicense license | unlicense.org
-wtfpl | wtfpl | do what the fuck you want to public license, wtfpl license | www.wtfpl.net, sam.zoy.org/wtfpl
-cc0-1.0 | cc0-1.0 | cc0 1.0 universal, creative commons zero, cc0 license | creativecommons.org/publicdomain/zero/1.0
-cc-by-3.0 | cc-by-3.0 | cc by 3.0, creative commons attribution 3.0 | creativecommons.org/licenses/by/3.0
-cc-by-4.0 | cc-by-4.0 | cc by 4.0, creative commons attribution 4.0 | creativecommons.org/licenses/by/4.0
-cc-by-sa-3.0 | cc-by-sa-3.0 | cc by sa 3.0, creative commons attribution sharealike 3.0, creative commons attribution share alike 3.0 | creativecommons.org/licenses/by-sa/3.0
-cc-by-sa-4.0 | cc-by-sa-4.0 | cc by sa 4.0, creative commons attribution sharealike 4.0, creative commons attribution share alike 4.0 | creativecommons.org/licenses/by-sa/4.0
-cc-by-nc-3.0 | cc-by-nc-3.0 | cc by nc 3.0, creative commons attribution noncommercial 3.0 | creativecommons.org/licenses/by-nc/3.0
-cc-by-nc-4.0 | cc-by-nc-4.0 | cc by nc 4.0, creative commons attribution noncommercial 4.0, creative commons attribution non commercial 4.0 | creativecommons.org/licenses/by-nc/4.0
-cc-by-nd-4.0 | cc-by-nd-4.0 | cc by nd 4.0, creative commons attribution noderivatives 4.0 | creativecommons.org/licenses/by-nd/4.0
-cc-by-nc-sa-4.0 | cc-by-nc-sa-4.0 | cc by nc sa 4.0, creative commons attribution noncommercial sharealike 4.0 | creativecommons.org/licenses/by-nc-sa/4.0
-cc-by-nc-nd-4.0 | cc-by-nc-nd-4.0 | cc by nc nd 4.0, creative commons attribution noncommercial noderivatives 4.0 | creativecommons.org/licenses/by-nc-nd/4.0
-odbl-1.0 | odbl-1.0 | open database license, open data commons open database license | opendatacommons.org/licenses/odbl
-odc-by-1.0 | odc-by-1.0 | open data commons attribution license | opendatacommons.org/licenses/by
-pddl-1.0 | pddl-1.0 | public domain dedication and license | opendatacommons.org/licenses/pddl
-python-2.0 | python-2.0, psf-2.0 | python software foundation license, psf license agreement, python license version 2 | docs.python.org/3/license, www.python.org/psf/license
-php-3.01 | php-3.01 | php license version 3.01, php license | www.php.net/license/3_01
-ruby | ruby | ruby license | www.ruby-lang.org/en/about/license.txt
-openssl | openssl | openssl license, openssl and ssleay license | www.openssl.org/source/license
-ms-pl | ms-pl | microsoft public license | opensource.org/licenses/ms-pl
-ms-rl | ms-rl | microsoft reciprocal license | opensource.org/licenses/ms-rl
-osl-3.0 | osl-3.0 | open software license version 3.0, open software license 3.0 | opensource.org/licenses/osl-3.0
-afl-3.0 | afl-3.0 | academic free license version 3.0, academic free license | opensource.org/licenses/afl-3.0
-ecl-2.0 | ecl-2.0 | educational community license version 2.0, educational community license | opensource.org/licenses/ecl-2.0
-eupl-1.2 | eupl-1.2 | european union public license version 1.2, european union public licence | joinup.ec.europa.eu/collection/eupl
-ncsa | ncsa | university of illinois ncsa open source license, ncsa open source license | opensource.org/licenses/ncsa
-postgresql | postgresql | postgresql license, postgresql licence | opensource.org/licenses/postgresql, www.postgresql.org/about/licence
-ofl-1.1 | ofl-1.1 | sil open font license version 1.1, sil open font license | scripts.sil.org/ofl, openfontlicense.org
-w3c | w3c, w3c-20150513 | w3c software notice and license, w3c software and document license | www.w3.org/consortium/legal/copyright-software
-upl-1.0 | upl-1.0 | universal permissive license version 1.0, universal permissive license | opensource.org/licenses/upl
-vim | vim | vim license | vimdoc.sourceforge.net/htmldoc/uganda
-sleepycat | sleepycat | sleepycat license | opensource.org/licenses/sleepycat
-sspl-1.0 | sspl-1.0 | server side public license, server side public license version 1 | www.mongodb.com/licensing/server-side-public-license
-busl-1.1 | busl-1.1 | business source license 1.1, business source license | mariadb.com/bsl11
-elastic-2.0 | elastic-2.0 | elastic license 2.0, elastic license | www.elastic.co/licensing/elastic-license
-mulanpsl-2.0 | mulanpsl-2.0 | mulan permissive software license version 2, mulan psl v2 | license.coscl.org.cn/mulanpsl2
-beerware | beerware | the beer ware license, beerware license | people.freebsd.org/~phk
-openrail | creativeml-openrail-m, bigscience-openrail-m | creativeml open rail m, openrail license | huggingface.co/spaces/bigscience/license
-"""
-
-#: label | words of a clause of the license's own text.
-CLAUSES = """
-mit | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
-mit | the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
-apache-2.0 | you may not use this file except in compliance with the license
-apache-2.0 | unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis
-gpl | you can redistribute it and or modify it under the terms of the gnu general public license
-gpl | you should have received a copy of the gnu general public license along with
-lgpl | you can redistribute it and or modify it under the terms of the gnu lesser general public license
-lgpl | you should have received a copy of the gnu lesser general public license along with
-agpl-3.0 | you can redistribute it and or modify it under the terms of the gnu affero general public license
-bsd | redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
-bsd | redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer
-bsd-3-clause | may be used to endorse or promote products derived from this software without specific prior written permission
-bsd-4-clause | all advertising materials mentioning features or use of this software must display the following acknowledgement
-isc | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
-mpl-2.0 | this source code form is subject to the terms of the mozilla public license v 2 0
-bsl-1.0 | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license
-zlib | this software is provided as is without any express or implied warranty in no event will the authors be held liable
-unlicense | this is free and unencumbered software released into the public domain
-cc0-1.0 | to the extent possible under law the author has waived all copyright and related or neighboring rights
-wtfpl | you just do what the fuck you want to
-gfdl-1.3 | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license
-public-domain | this work is hereby released into the public domain
-public-domain | dedicated to the public domain
-proprietary | all rights reserved unauthorized copying of this file via any medium is strictly prohibited
-proprietary | this software is confidential and proprietary information of
-"""
-
-#: label | regular expression over the lower-cased text | keyword. Shorter mentions, tried last.
-MENTIONS = r"""
-gpl | gnu gpl | gpl
-lgpl | gnu lgpl | lgpl
-agpl-3.0 | gnu agpl | agpl
-bsd | bsd licen[cs]e(?:d)? | bsd
-cc-by | cc[ -]by(?:[ -][ns][acd](?![a-z])){0,2} | cc
-creative-commons | creative commons licen[cs]e | creative commons
-public-domain | public domain | public domain
-proprietary | all rights reserved | all rights
-mpl | mozilla public licen[cs]e | mozilla
-epl | eclipse public licen[cs]e | eclipse
-"""
-
-#: Verbs that grant: "released under the <title>".
-GRANTS = "licensed under, released under, distributed under, available under, provided under, published under, covered by, subject to, under the terms of, made available under, permitted under"
+#: Words that grant, right before a title.
+GRANTS = (
+    "licen[cs]ed under|released under|distributed under|redistributed under|available under|provided under|published under|offered under|covered by|governed by|subject to|"
+    "(?:under|to|in accordance with) the (?:terms|conditions|terms and conditions) of|permitted under|pursuant to"
+)
 
 
 @dataclass(frozen=True)
 class Rule:
     label: str
     kind: str
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: re.Pattern
 
     @property
@@ -177,67 +68,113 @@ class Rule:
         return KINDS[self.kind][0]
 
 
-def _words(phrase: str) -> str:
-    """A phrase's words with any separators between, bounded as words."""
-    words = re.findall(r"[0-9a-z]+", phrase)
-    return START + SEP.join(words) + END
+def _spread(pattern: str) -> str:
+    """A pattern over words: blanks are separators, @ is a version."""
+
+    def version(m: re.Match) -> str:
+        minor = rf"(?:\.{m[2]})?" if m[2] == "0" else rf"\.{m[2]}"
+        return rf"(?:{SEP}(?:version|ver|v|release))?(?:{SEP})?v?{m[1]}{minor}"
 
+    pattern = pattern.replace(" ?", "\0").replace(" ", SEP).replace("\0", f"(?:{SEP})?")
+    return re.sub(r"@([0-9]+)\.([0-9]+)", version, pattern)
 
-def _keyword(phrase: str) -> str:
-    """The longest word: the rarest, most often."""
-    return max(re.findall(r"[0-9a-z]+", phrase), key=len)
+
+def _worded(pattern: str) -> re.Pattern:
+    return re.compile(f"{START}(?:{_spread(pattern)}){END}", re.S)
+
+
+def _address(pattern: str) -> re.Pattern:
+    """An address between places that cannot belong to it."""
+    pattern = re.sub(r"(?<!\\)(?<!\])\.", r"\\.", pattern)
+    return re.compile(rf"(?<![0-9a-z_.-])(?:(?:https?://)?www\.|https?://)?(?:{pattern})(?:\.(?:html?|php|txt|md|en|de))*/?(?![0-9a-z_-]|\.[0-9a-z])")
 
 
 def _table(text: str) -> list[list[str]]:
-    return [[x.strip() for x in line.split("|")] for line in text.strip().splitlines()]
-
-
-def build_rules() -> list[Rule]:
-    """All rules in order."""
-    rules = [Rule(label, "base", _keyword(phrase), re.compile(_words(phrase))) for phrase, label in BASE]
-    rules += [Rule(label, "text", _keyword(clause), re.compile(_words(clause))) for label, clause in _table(CLAUSES)]
-    verbs = "(?:" + "|".join(SEP.join(v.strip().split()) for v in GRANTS.split(",")) + ")"
-    for label, ids, titles, urls in _table(FAMILIES):
-        for x in ids.split(","):
-            rules.append(Rule(label, "spdx", "spdx", re.compile(r"(?<![0-9a-z.+-])" + re.escape(x.strip()) + r"\+?(?![0-9a-z:+-]|\.[0-9a-z])")))
-        for x in titles.split(","):
-            x = x.strip()
-            rules.append(Rule(label, "grant", _keyword(x), re.compile(START + verbs + SEP + "(?:(?:the|a|an|gnu)" + SEP + "){0,2}" + _words(x).removeprefix(START))))
-            rules.append(Rule(label, "title", _keyword(x), re.compile(_words(x))))
-        for x in urls.split(","):
-            rules.append(Rule(label, "url", x.strip().split("/")[0].removeprefix("www."), re.compile(r"(?:https?://)?(?:www\.)?" + re.escape(x.strip().removeprefix("www.")))))
-    rules += [Rule(label, "mention", keyword, re.compile(START + pattern + END)) for label, pattern, keyword in _table(MENTIONS)]
-    return rules
+    return [[x.strip() for x in line.split(" | ")] for line in text.strip().splitlines()]
+
+
+@cache
+def build_rules() -> tuple[Rule, ...]:
+    """All rules in order. A title's rule is followed by that of its grants, which has the same pattern."""
+    rules = [Rule(label, "base", (phrase.split()[0],), _worded(phrase)) for phrase, label in BASE]
+    rules += [Rule(label, "text", tuple(k.split("|")), _worded(p)) for label, p, k in _table(license_rules.CLAUSES)]
+    rules += [Rule(label, "spdx", ("spdx",), re.compile(re.escape(x.strip()))) for label, ids in _table(license_rules.IDENTIFIERS) for x in ids.split(",")]
+    for label, p, k in _table(license_rules.TITLES):
+        pattern = _worded(p)
+        rules += [Rule(label, "title", tuple(k.split("|")), pattern), Rule(label, "grant", (), pattern)]
+    rules += [Rule(label, "url", tuple(k.split("|")), _address(p)) for label, p, k in _table(license_rules.ADDRESSES)]
+    rules += [Rule(label, "mention", tuple(k.split("|")), _worded(p)) for label, p, k in _table(license_rules.MENTIONS)]
+    return tuple(rules)
+
+
+_GRANT = re.compile(rf"{START}(?:{_spread(GRANTS)}){SEP}(?:(?:the|a|an|gnu|same|terms|of){SEP}){{0,4}}\Z")
+#: Bytes before a title in which granting words stand.
+_REACH = 160
 
 
 class Scanner:
-    """scan(text bytes) gives the kept detections as (start, end, rule index), by start; base_places holds all base ones."""
+    """scan(text bytes) gives the kept detections as (start, end, rule index), by start."""
 
-    def __init__(self, rules: list[Rule] | None = None):
+    def __init__(self, rules: tuple[Rule, ...] | None = None):
         self.rules = rules or build_rules()
-        self.by_keyword: dict[str, list[int]] = {}
+        self.ranks = [r.rank for r in self.rules]
+        self.identifiers = {r.pattern.pattern.replace("\\", ""): i for i, r in enumerate(self.rules) if r.kind == "spdx"}
+        by_keyword: dict[str, tuple[list[int], list[int]]] = {}
         for i, r in enumerate(self.rules):
-            self.by_keyword.setdefault(r.keyword, []).append(i)
+            for k in r.keywords if r.kind != "spdx" else ():
+                by_keyword.setdefault(k, ([], []))[r.kind == "url"].append(i)
+        self.automaton = ahocorasick.Automaton()
+        for k, (worded, anywhere) in by_keyword.items():
+            self.automaton.add_word(k, (len(k), worded, anywhere))
+        self.automaton.make_automaton()
 
     def scan(self, data: bytes) -> list[tuple[int, int, int]]:
-        s = data.lower().decode("latin-1")
+        return suppressed(self.detections(data.lower().decode("latin-1")), self.ranks)
+
+    def tried(self, s: str) -> list[int]:
+        """The rules of which a keyword occurs, at the beginning of a word unless they are addresses."""
+        out = set()
+        for last, (n, worded, anywhere) in self.automaton.iter(s):
+            if anywhere:
+                out.update(anywhere)
+            if worded and (last < n or not _WORD_BYTE[ord(s[last - n])]):
+                out.update(worded)
+        return sorted(out)
+
+    def detections(self, s: str) -> list[tuple[int, int, int]]:
+        """All of a lower-cased text, in any order."""
         found = []
-        for keyword, numbers in self.by_keyword.items():
-            if keyword in s:
-                spdx = [m.span(1) for m in EXPRESSION.finditer(s)] if keyword == "spdx" else []
-                for i in numbers:
-                    for a, b in spdx if self.rules[i].kind == "spdx" else [(0, len(s))]:
-                        found += [(m.start(), m.end(), i) for m in self.rules[i].pattern.finditer(s, a, b)]
-        found.sort(key=lambda f: (self.rules[f[2]].rank, f[0] - f[1], f[2], f[0]))
-        kept: list[tuple[int, int, int]] = []
-        for a, b, i in found:
-            if self.rules[i].kind == "base" or not any(x <= a and b <= y for x, y, _ in self._near(kept, a, b)):
-                kept.append((a, b, i))
-        return sorted(kept)
-
-    @staticmethod
-    def _near(kept: list[tuple[int, int, int]], a: int, b: int):
-        return (k for k in kept if k[0] <= a and b <= k[1])
+        for i in self.tried(s):
+            spans = [m.span() for m in self.rules[i].pattern.finditer(s)]
+            if self.rules[i].kind == "title":
+                for a, b in spans:
+                    m = _GRANT.search(s, max(a - _REACH, 0), a)
+                    found.append((m.start(), b, i + 1) if m else (a, b, i))
+            else:
+                found += [(a, b, i) for a, b in spans]
+        if "spdx-license-identifier:" in s:
+            for e in EXPRESSION.finditer(s):
+                for m in _NAME.finditer(s, *e.span(1)):
+                    name = m[0].rstrip(".:")
+                    if (i := self.identifiers.get(name.rstrip("+"))) is not None:
+                        found.append((m.start(), m.start() + len(name), i))
+        return found
+
+
+_NAME = re.compile(_ID)
+_WORD_BYTE = bytes(WORD_CLASS[WORDS[c]] == 120 for c in range(256))
+
+
+def suppressed(found: list[tuple[int, int, int]], ranks: list[int]) -> list[tuple[int, int, int]]:
+    """The detections (start, end, rule) that none before them in order holds, by start; rank 0 always stays."""
+    kept, farthest = [], [-1] * (max(ranks, default=0) + 1)
+    for a, b, i in sorted(found, key=lambda f: (f[0], -f[1], ranks[f[2]], f[2])):
+        rank = ranks[i]
+        if rank == 0 or max(farthest[: rank + 1]) < b:
+            kept.append((a, b, i))
+        if farthest[rank] < b:
+            farthest[rank] = b
+    return sorted(kept)
 
 
 def license_detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,6 +187,7 @@ def license_detections(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def make():
         scanner = Scanner()
+        kinds = [(r.label, r.kind, KINDS[r.kind][1]) for r in scanner.rules]
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts, rows, scores = [], [], []
@@ -259,10 +197,9 @@ def license_detections(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 found, best, word, at = [], {}, 0, 0
                 for a, b, i in scanner.scan(data):
                     word, at = word + _starts(data, at, a), max(at, a)
-                    r = scanner.rules[i]
-                    confidence = KINDS[r.kind][1]
-                    best[r.label] = max(best.get(r.label, 0.0), confidence)
-                    found.append({"label": r.label, "kind": r.kind, "confidence": confidence, "start": a, "end": b, "word": word})
+                    label, kind, confidence = kinds[i]
+                    best[label] = max(best.get(label, 0.0), confidence)
+                    found.append({"label": label, "kind": kind, "confidence": confidence, "start": a, "end": b, "word": word})
                 miss = 1.0
                 for c in best.values():
                     miss *= 1.0 - c

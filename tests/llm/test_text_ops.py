@@ -80,6 +80,74 @@ def test_license_rules_and_suppression():
     assert labels("all is permitted, admit licenses") == []
 
 
+LICENSE_TEXTS = [
+    "Released under the terms of the GNU Lesser General Public License, version 2.1 or later; see gnu.org/licenses/lgpl-2.1.html.",
+    "// SPDX-License-Identifier: MIT OR (Apache-2.0 AND GPL-2.0+)\nMIT License, MIT license mit license",
+    "Apache License 2.0, Apache License, Version 2.0, ASL 2.0 and http://www.apache.org/licenses/LICENSE-2.0.txt",
+    "This is dual licensed under the MIT X11 license and the new BSD license. BSD licensed. All rights reserved.",
+    "This work is licensed under CC BY-NC-SA 4.0, not under CC BY 3.0 nor Creative Commons.",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+    "opensource.org/licenses/mitre-thing fooUnlicense.org https://unlicense.org/ www.opensource.org/licenses/mit-license.php. unlicense.org.evil.com",
+    "GPLv2 GPL-2.0 gpl 3 LGPLv3+ agpl v3.0 GNU GPL; gpl 20; the ISC license; mpl-2.0",
+    "Mozilla Public License Mozilla Public License 1.1 MPL 2",
+]
+
+
+def test_license_labels_equal_brute_force(spark):
+    # every rule on every text without keywords, grants by one whole pattern, and suppression by all pairs
+    scanner, rng = license_scan.Scanner(), random.Random(8)
+    rules, ranks = scanner.rules, scanner.ranks
+    words = " ".join(LICENSE_TEXTS).split()
+    some = LICENSE_TEXTS + [" ".join(rng.choice(words) for _ in range(60)) for _ in range(150)] + ["", "mit license " * 30]
+    grants = {i: re.compile(license_scan._GRANT.pattern.removesuffix(r"\Z") + "(?=" + r.pattern.pattern + ")", re.S) for i, r in enumerate(rules) if r.kind == "title"}
+    got = {r.doc_id: r for r in license_scan.license_scan(spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").withColumn("label", F.lit(1))).collect()}
+    seen = set()
+    for n, text in enumerate(some):
+        t, found = text.lower(), []
+        for i, r in enumerate(rules):
+            if r.kind == "spdx":
+                for e in license_scan.EXPRESSION.finditer(t):
+                    found += [(m.start(), m.end(), i) for m in re.finditer(r"(?<![0-9a-z.+-])" + r.pattern.pattern + r"\+?(?![0-9a-z:+-]|\.[0-9a-z])", t[: e.end(1)]) if m.start() >= e.start(1)]
+            elif r.kind != "grant":
+                for m in r.pattern.finditer(t):
+                    before = [g for g in grants[i].finditer(t, max(m.start() - license_scan._REACH, 0)) if g.end() == m.start()] if i in grants else []
+                    found.append((before[0].start(), m.end(), i + 1) if before else (*m.span(), i))
+        found.sort(key=lambda f: (ranks[f[2]], f[0] - f[1], f[2], f[0]))
+        kept = []
+        for a, b, i in found:
+            if ranks[i] == 0 or not any(x <= a and b <= y for x, y, _ in kept):
+                kept.append((a, b, i))
+        best = {}
+        for _, _, i in kept:
+            best[rules[i].label] = max(best.get(rules[i].label, 0), license_scan.KINDS[rules[i].kind][1])
+        miss = 1.0
+        for c in best.values():
+            miss *= 1 - c
+        assert scanner.scan(text.encode()) == sorted(kept), text
+        assert got[n].labels == ",".join(sorted(best)) and abs(got[n].score - (1 - miss)) < 1e-12
+        seen |= set(best)
+    assert len(seen) > 15
+    assert license_scan.license_scan(spark.createDataFrame([], "doc_id int, text string")).collect() == []
+
+
+def test_license_addresses_and_versions():
+    scanner = license_scan.Scanner()
+    labels = lambda t: {scanner.rules[i].label for _, _, i in scanner.scan(t.encode())}
+    assert labels("opensource.org/licenses/mitre-thing") == set() and labels("fooUnlicense.org") == set() and labels("unlicense.org.evil.com") == set()
+    assert labels("see http://www.opensource.org/licenses/MIT.") == {"mit"} and labels("(https://unlicense.org/)") == {"unlicense"}
+    assert labels("GPLv2") == labels("GPL-2.0") == labels("GNU GPL, version 2 or any later version") == {"gpl-2.0"} and labels("gpl 20") == set()
+    assert labels("the LGPL version 2.1") == {"lgpl-2.1"} and labels("Zero-Clause BSD") == {"0bsd"} and labels("CC-BY-SA-4.0 International") == {"cc-by-sa-4.0"}
+
+
+def test_license_suppression_is_linear():
+    import time
+
+    found = [(3 * i, 3 * i + 2 + (i % 7) * 3, i % 5) for i in range(100_000)] + [(0, 200_000, 1)]
+    began = time.time()
+    kept = license_scan.suppressed(found, [0, 1, 2, 3, 3])
+    assert time.time() - began < 1 and (0, 200_000, 1) in kept and len(kept) > 20_000
+
+
 def test_license_expressions():
     scanner = license_scan.Scanner()
     found = lambda t: [(scanner.rules[i].label, scanner.rules[i].kind, t[a:b]) for a, b, i in scanner.scan(t.encode())]
