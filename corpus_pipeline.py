@@ -20,8 +20,7 @@ from prismcube.llm.common import Scratch, read
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of 0.5 or more."""
-    model = quality.train_on(docs, read(spark, sf_dir, "labels"))
-    return quality.quality_scores(docs.withColumn("_text", F.col("text")), model, keep=tuple(docs.columns)).filter("score >= 0.5").select(*docs.columns)
+    return quality.good_documents(docs, quality.train_on(docs, read(spark, sf_dir, "labels")))
 
 
 def stage_near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +30,8 @@ def stage_near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window; each row is judged by its own text, whatever its id."""
-    return decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"), carry=True).filter("size(spans) = 0").select("_row.*")
+    found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark"), carry=True).filter("size(spans) = 0")
+    return found.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,9 +11,9 @@ of 14 by 14; audio: milliseconds in frames of 40; document: pages of 1024). A tu
 and every assistant turn's content is under the loss mask, recorded as code-point spans of the formatted
 string and as a flag of each turn.
 
-Escaping: in roles, texts and references, a backslash follows every `<`, `[` and backslash. So no control
+Escaping: in roles, texts and kinds, a backslash follows every `<`, `[` and backslash. So no control
 string of this or another template (`<|end|>`, `</s>`, `[INST]`) can occur inside a text, and dropping the
-backslash after each of the three gives the text back.
+backslash after each of the three gives the text back. References are kept beside the string, not in it.
 
 A conversation's rows meet in one task, since its result is one string; nothing larger is gathered. Running
 sums over its rows (a window on the same partitioning) give numbers and spans, so all is linear in its length
@@ -29,11 +29,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import read
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
-PART = "struct<kind: string, text: string, ref: string, amount: bigint>"
 #: Units of an attachment's amount that make a token.
 UNITS = {"image": 14 * 14, "audio": 40}
 DOCUMENT_TOKENS = 1024
@@ -60,6 +60,16 @@ def text_part(text: Column) -> Column:
     return F.array(F.struct(F.lit("text").alias("kind"), F.coalesce(text, F.lit("")).alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("long").alias("amount")))
 
 
+def _typed_parts(rows: DataFrame) -> Column | None:
+    """The column parts in its full type, kinds that are missing as text; nothing, if there is no such column."""
+    kind = rows.schema["parts"].dataType if "parts" in rows.columns else None
+    if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) and "kind" in kind.elementType.names):
+        return None
+    names = kind.elementType.names
+    get = lambda p, name, to: (p[name] if name in names else F.lit(None)).cast(to).alias(name)
+    return F.transform("parts", lambda p: F.struct(F.coalesce(p["kind"].cast("string"), F.lit("text")).alias("kind"), get(p, "text", "string"), get(p, "ref", "string"), get(p, "amount", "long")))
+
+
 def format_chat(rows: DataFrame) -> DataFrame:
     """(conv_id, formatted, turns, attachments, expanded_tokens) of rows (conv_id, turn, role, text or parts).
 
@@ -67,7 +77,8 @@ def format_chat(rows: DataFrame) -> DataFrame:
     ref, tokens, turn (from 0).
     """
     plain = text_part(F.col("text") if "text" in rows.columns else F.lit(None).cast("string"))
-    parts = F.coalesce(F.col("parts").cast(f"array<{PART}>"), plain) if "parts" in rows.columns else plain
+    typed = _typed_parts(rows)
+    parts = plain if typed is None else F.coalesce(typed, plain)
     text = F.coalesce("text", F.lit("")) if "text" in rows.columns else F.lit("")
     attached = F.filter("parts", lambda p: p.kind != "text")
     r = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), text.alias("text"), parts.alias("parts"))
@@ -91,23 +102,35 @@ def format_chat(rows: DataFrame) -> DataFrame:
 
 
 def read_chat(formatted: DataFrame) -> DataFrame:
-    """The turns (role, text, loss) of format_chat()'s output, from the formatted string and its loss flags."""
+    """(conv_id, formatted, turns, read) of format_chat()'s output; read: role, text, loss and learned of each turn.
+
+    Roles and texts are read from the formatted string alone. learned is what the recorded span of a turn under the loss
+    mask cuts out of it, unescaped (null for other turns): a span's place is counted from the pieces before it. Only
+    pieces are carried from row to row, so all is linear in a conversation's length.
+    """
     pieces = F.filter(F.split("formatted", r"<\|end\|>"), lambda p: p != "")
-    f = formatted.withColumn("pieces", pieces)
-    one = lambda p, i: F.struct(
-        unescape(F.substring_index(F.substr(p, F.lit(len(TURN) + 1)), TEXT, 1)).alias("role"), unescape(F.substring_index(p, TEXT, -1)).alias("text"), F.get("turns", i)["loss"].alias("loss")
+    p = formatted.select("conv_id", F.posexplode(F.arrays_zip(pieces.alias("piece"), F.col("turns").alias("span"))).alias("at", "x")).select("conv_id", "at", "x.piece", "x.span")
+    size = F.length("piece") + len(END)
+    before = F.sum(size).over(W.partitionBy("conv_id").orderBy("at").rowsBetween(W.unboundedPreceding, 0)) - size
+    cut = F.substr("piece", (F.col("span.start") - before + 1).cast("int"), F.col("span.length").cast("int"))
+    turn = F.struct(
+        unescape(F.substring_index(F.substr("piece", F.lit(len(TURN) + 1)), TEXT, 1)).alias("role"),
+        unescape(F.substring_index("piece", TEXT, -1)).alias("text"),
+        F.col("span.loss").alias("loss"),
+        F.when(F.col("span.loss"), unescape(cut)).alias("learned"),
     )
-    return f.withColumn("read", F.transform("pieces", one))
+    out = p.select("conv_id", F.struct("at", "piece", "span", turn.alias("turn")).alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    return out.select("conv_id", F.array_join(F.transform("t", lambda t: F.concat(t["piece"], F.lit(END))), "").alias("formatted"), F.col("t.span").alias("turns"), F.col("t.turn").alias("read"))
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, formatted and read back."""
     said = "</s>[INST] ok [/INST]"
     extra = spark.sql(f"SELECT CAST(-1 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, '{said}' AS text FROM VALUES (0, 'user'), (1, 'assistant') AS v(turn, role)")
-    rows = read(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(extra)
+    rows = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text").unionByName(extra)
     back = read_chat(format_chat(rows))
     spoken = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("read", lambda t: t["loss"]), lambda t: t["text"]), "")
+    loss = F.array_join(F.transform("read", lambda t: t["learned"]), "")
     return back.select("conv_id", F.size("read").cast("long").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 

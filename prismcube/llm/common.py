@@ -27,6 +27,19 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, with underscores until no column of df has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def whole_row(df: DataFrame):
+    """All columns of df as one struct."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where a local session has none (tests), a temporary one is set; on a cluster that is an error."""
     if found := spark.conf.get("spark.checkpoint.dir", None):

@@ -2,94 +2,150 @@
 
 Texts are words (A-Z lower-cased, `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`). Every run of `window` words of an item is a
 pattern, an item of fewer words one whole pattern. Patterns of one length are searched together: the
-shift table maps a block of two words to the distance by which the search may move on when the block
-stands at the end of the frame, and blocks in no pattern move it by all but one word; a shift of 0 opens
-the bucket of patterns with that suffix, and a direct comparison confirms. Words inside a confirmed
+shift table maps a block of two words (by a hash of it) to the distance by which the search may move on when the
+block stands at the end of the frame, and blocks in no pattern move it by all but one word; a shift of 0 opens
+the bucket of patterns with that suffix, and a direct comparison of bytes confirms. Words inside a confirmed
 occurrence are hit.
 
-Patterns are prepared in blocks of about `block_words` benchmark words at most, each broadcast (so its size
-has a bound). Documents pass through one search a block within the same task, which adds to the hits of the
-blocks before; they are never shuffled.
+The benchmark is cut into pieces (a long item into overlapping ones) and dealt by a hash over blocks of about
+`block_words` words. A block's tables are flat arrays of about 40 bytes a word and two thousand at least, built by one
+task and broadcast. One block is one pass over the documents. Several are passes one after another, so that one
+block's tables are alive at a time; each writes its hits by a hash of the text, which are merged and joined
+at the end. Documents' texts are never shuffled (a row that is carried is, in the join of several blocks).
 
 Defined results: null or empty text has no words and is clean; an item with no words is no pattern; items
-with equal windows are all named; rows are independent, so repeats and further columns make no
-difference; with an empty benchmark all documents are clean.
+with equal windows are all named, repeated ones once; a null item_id is an item, first in item_ids and `null` in
+the digest; rows are independent, so repeats, null ids and further columns make no difference;
+an empty table gives no rows; with an empty benchmark all documents are clean.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections import defaultdict
+import pickle
+from collections.abc import Iterator
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import WORDS, map_arrow, read, texts_of
+from .common import WORDS, Scratch, count_words, map_arrow, mix64, read, texts_of
 
 WINDOW = 10
-BLOCK_WORDS = 2_000_000
-
-
-class _Frame:
-    """Wu-Manber tables of the patterns of one length; hits(words) yields (start, items)."""
-
-    def __init__(self, length: int, patterns: dict[tuple[bytes, ...], set[int]]):
-        self.length, self.patterns = length, patterns
-        if length > 1:
-            self.default = length - 1
-            self.shift: dict[tuple[bytes, bytes], int] = {}
-            self.buckets: dict[tuple[bytes, bytes], list[tuple[tuple[bytes, ...], set[int]]]] = defaultdict(list)
-            for p, items in patterns.items():
-                for j in range(1, length):
-                    block = (p[j - 1], p[j])
-                    self.shift[block] = min(self.shift.get(block, self.default), length - 1 - j)
-                self.buckets[p[-2], p[-1]].append((p, items))
-
-    def hits(self, words: list[bytes]):
-        if self.length == 1:
-            for i, w in enumerate(words):
-                if items := self.patterns.get((w,)):
-                    yield i, items
-            return
-        shift, buckets, default, n, i = self.shift.get, self.buckets, self.default, len(words), self.length - 1
+#: Benchmark words whose tables are in memory at a time.
+BLOCK_WORDS = 1_000_000
+#: Windows of a piece of an item.
+PIECE = 20_000
+
+
+def _size(n: int, least: int = 10, most: int = 24) -> int:
+    """A power of two of at least n, within bounds."""
+    return 1 << min(max((max(n, 1) - 1).bit_length(), least), most)
+
+
+def _frame(length: int, starts: np.ndarray, item_of: np.ndarray, pieces: np.ndarray, word: np.ndarray, single: np.ndarray, pair: np.ndarray) -> dict:
+    """Tables of the patterns of one length: starts and items of all windows; pieces: (first, number of words).
+
+    word: numbers of words; single and pair: hashes of each word, and of it with the one before.
+    """
+    # equal windows are one pattern with several items
+    m = word[starts[:, None] + np.arange(length)]
+    h = np.full(len(m), length, np.uint64)
+    for j in range(length):
+        h = mix64(h + m[:, j].astype(np.uint64))
+    order = np.argsort(h, kind="stable")
+    m, items = m[order], item_of[order]
+    new = np.ones(len(m), bool)
+    new[1:] = (m[1:] != m[:-1]).any(axis=1)
+    first = np.flatnonzero(new)
+    pattern = np.cumsum(new) - 1
+    named = np.unique(np.stack([pattern, items], 1), axis=0)
+    begins = starts[order][first]
+    key = single if length == 1 else pair
+    # a block that ends j words before the frame's end at least lets the frame move on by j
+    default = min(length - 1, 255) if length > 1 else 1
+    shift = np.full(_size(8 * int(pieces[:, 1].sum())), default, np.uint8)
+    at = np.concatenate([np.arange(a + (length > 1), a + n) for a, n in pieces.tolist()])
+    far = np.concatenate([np.maximum(length - 1 - np.arange(length > 1, n), 0) for _, n in pieces.tolist()])
+    np.minimum.at(shift, key[at] & np.uint32(len(shift) - 1), np.minimum(far, 255).astype(np.uint8))
+    buckets = _size(2 * len(begins), most=22)
+    bucket = key[begins + length - 1] & np.uint32(buckets - 1)
+    entries = np.argsort(bucket, kind="stable")
+    return {
+        "length": length,
+        "default": default,
+        "shift": shift.tobytes(),
+        "bucket": np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))]).astype(np.int32),
+        "entries": entries.astype(np.int32),
+        "begins": begins.astype(np.int32),
+        "named": np.concatenate([[0], np.cumsum(np.bincount(named[:, 0], minlength=len(begins)))]).astype(np.int32),
+        "items": named[:, 1].astype(np.int32),
+    }
+
+
+def pack(pieces: list[tuple[int | None, bytes, int]]) -> bytes:
+    """The tables of pieces (item_id, words joined by one space, pattern length), as bytes."""
+    ids = sorted({i for i, _, _ in pieces}, key=lambda i: (i is not None, i or 0))
+    number = {i: k for k, i in enumerate(ids)}
+    words, spans = [], []
+    for i, text, length in pieces:
+        w = text.split(b" ")
+        spans.append((len(words), len(w), length, number[i]))
+        words += w
+    known: dict[bytes, int] = {}
+    word = np.array([known.setdefault(w, len(known)) for w in words], np.int32)
+    del known
+    single = np.array([crc32(w) for w in words], np.uint32)
+    pair = np.array([0, *(crc32(b, a) for a, b in zip(single.tolist(), words[1:], strict=False))], np.uint32)
+    offsets = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])]).astype(np.int64)
+    spans = np.array(spans, np.int64).reshape(-1, 4)
+    frames = []
+    for length in np.unique(spans[:, 2]).tolist():
+        own = spans[spans[:, 2] == length]
+        starts = np.concatenate([np.arange(a, a + n - length + 1) for a, n, _, _ in own.tolist()])
+        item_of = np.repeat(own[:, 3], own[:, 1] - length + 1)
+        frames.append(_frame(length, starts, item_of, own[:, :2], word, single, pair))
+    return pickle.dumps({"ids": ids, "blob": b" ".join(words), "offsets": offsets, "frames": frames})
+
+
+class Matcher:
+    """scan(words) of packed tables."""
+
+    def __init__(self, packed: bytes):
+        t = pickle.loads(packed)
+        self.ids, self.blob, self.offsets = t["ids"], t["blob"], memoryview(t["offsets"])
+        self.frames = [{k: memoryview(v) if isinstance(v, np.ndarray) and k in ("bucket", "entries", "begins") else v for k, v in f.items()} for f in t["frames"]]
+
+    def _search(self, f: dict, words: list[bytes], spans: list[tuple[int, int]]) -> set[int]:
+        """The patterns of one length that occur; their places go to spans."""
+        length, shift, bucket, entries, begins = f["length"], f["shift"], f["bucket"], f["entries"], f["begins"]
+        blob, offsets, mask, last = self.blob, self.offsets, len(f["shift"]) - 1, len(f["bucket"]) - 2
+        found, n, i = set(), len(words), length - 1
         while i < n:
-            block = (words[i - 1], words[i])
-            step = shift(block, default)
-            if step:
+            h = crc32(words[i], crc32(words[i - 1])) if length > 1 else crc32(words[i])
+            if step := shift[h & mask]:
                 i += step
                 continue
-            start = i - self.length + 1
-            frame = None
-            for p, items in buckets[block]:
-                if p[0] == words[start]:
-                    frame = frame or tuple(words[start : i + 1])
-                    if p == frame:
-                        yield start, items
+            here, text = h & last, None
+            for e in range(bucket[here], bucket[here + 1]):
+                if text is None:
+                    text = b" ".join(words[i - length + 1 : i + 1])
+                p = begins[entries[e]]
+                if blob[offsets[p] : offsets[p + length] - 1] == text:
+                    found.add(entries[e])
+                    spans.append((i - length + 1, i + 1))
             i += 1
+        return found
 
-
-class Matcher:
-    """All windows of some items, by length."""
-
-    def __init__(self, items: list[tuple[int, bytes]], window: int = WINDOW):
-        lengths: dict[int, dict[tuple[bytes, ...], set[int]]] = defaultdict(dict)
-        for item_id, text in items:
-            words = text.translate(WORDS).split()
-            n = min(window, len(words))
-            for i in range(len(words) - n + 1 if n else 0):
-                lengths[n].setdefault(tuple(words[i : i + n]), set()).add(item_id)
-        self.frames = [_Frame(n, p) for n, p in sorted(lengths.items())]
-
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int | None]]:
         """Merged spans [start, end) of hit words, and the items."""
         spans, items = [], set()
         for f in self.frames:
-            for start, found in f.hits(words):
-                spans.append((start, start + f.length))
-                items |= found
-        return merge(spans), items
+            for p in self._search(f, words, spans):
+                items.update(f["items"][f["named"][p] : f["named"][p + 1]].tolist())
+        return merge(spans), {self.ids[i] for i in items}
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -102,60 +158,116 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
-    """The benchmark in parts of at most about block_words words (an item stays whole), by a hash of the item."""
-    b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
-    chars = b.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-chars // (2 * block_words)))  # a word takes two characters at least
-    return [b] if n == 1 else [b.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
+def benchmark_blocks(scratch: Scratch, benchmark: DataFrame, window: int, block_words: int) -> tuple[DataFrame, int]:
+    """(block, packed) with the tables of each block, and the number of blocks."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, data in zip(batch.column(0).to_pylist(), texts_of(batch), strict=True):
+                words = data.translate(WORDS).split()
+                length = min(window, len(words))
+                rows = [words[lo : lo + PIECE + length - 1] for lo in range(0, len(words) - length + 1, PIECE)] if words else []
+                for part in rows:
+                    yield pa.RecordBatch.from_pydict({"item_id": pa.array([i], pa.int64()), "words": [b" ".join(part)], "length": pa.array([length], pa.int32()), "n": pa.array([len(part)], pa.int64())})
+
+    pieces = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null").mapInArrow(cut, "item_id long, words binary, length int, n long")
+    pieces = scratch.save(pieces.dropDuplicates(["item_id", "words", "length"]), "pieces")
+    n = max(1, -(-(pieces.agg(F.sum("n")).first()[0] or 0) // block_words))
+
+    def build(table: pa.Table) -> pa.Table:
+        columns = [table.column(c).to_pylist() for c in ("item_id", "words", "length")]
+        rows = sorted(zip(*columns, strict=True), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "packed": pa.array([pack(rows)], pa.binary())})
+
+    dealt = pieces.select(F.pmod(F.xxhash64("item_id", "words"), F.lit(n)).cast("int").alias("block"), "item_id", "words", "length")
+    packed = scratch.save(dealt.groupBy("block").applyInArrow(build, "block int, packed binary"), "packed")
+    scratch.drop(pieces)
+    return packed, n
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-_FOUND = "n_words long, spans array<struct<start: bigint, end: bigint>>, item_ids array<bigint>"
+_HITS = "spans array<struct<start: bigint, end: bigint>>, item_ids array<bigint>"
+
+
+def _found(hits: list[tuple[list[tuple[int, int]], set[int | None]]]) -> list[pa.Array]:
+    spans = [[{"start": a, "end": b} for a, b in s] for s, _ in hits]
+    ids = [sorted(i, key=lambda x: (x is not None, x or 0)) for _, i in hits]
+    return [pa.array(spans, pa.list_(_SPAN)), pa.array(ids, pa.list_(pa.int64()))]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, carry: bool = False) -> DataFrame:
     """(doc_id, n_words, spans of hit words, item_ids) for every row of docs; with carry, the row itself as _row, too."""
     spark = docs.sparkSession
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")] if carry else []))
-    blocks = benchmark_blocks(benchmark, block_words)
-    for k, block in enumerate(blocks):
-        items = [(r.item_id, r.text.encode()) for r in block.collect()]  # block_words at most
-        found = _scan(found, spark.sparkContext.broadcast(items), window, last=k == len(blocks) - 1)
-    return found
-
-
-def _scan(df: DataFrame, items, window: int, last: bool) -> DataFrame:
-    """One block's search, joined to what earlier blocks found; the last one leaves the text out."""
-    first, carry = "spans" not in df.columns, "_row" in df.columns
-    schema = StructType.fromDDL(f"doc_id long, {'' if last else 'text string, '}{_FOUND}")
-    if carry:
-        schema = schema.add("_row", df.schema["_row"].dataType)
-
-    def make():
-        matcher = Matcher(items.value, window)
-
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts, spans, ids = [], [], []
-            for k, data in enumerate(texts_of(batch)):
-                words = data.translate(WORDS).split()
-                hit, named = matcher.scan(words)
-                if not first:
-                    hit = merge(hit + [(x["start"], x["end"]) for x in batch.column(3)[k].as_py()])
-                    named |= set(batch.column(4)[k].as_py())
-                counts.append(len(words))
-                spans.append([{"start": a, "end": b} for a, b in hit])
-                ids.append(sorted(named, key=lambda x: (x is not None, x or 0)))
-            out = [batch.column(0), *([] if last else [batch.column(1)]), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(ids, pa.list_(pa.int64())), *([batch.columns[-1]] if carry else [])]
-            return pa.RecordBatch.from_arrays(out, names=["doc_id", *([] if last else ["text"]), "n_words", "spans", "item_ids", *(["_row"] if carry else [])])
+    scratch = Scratch(spark)
+    kept = [F.col("doc_id").cast("long").alias("doc_id"), *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")] if carry else [])]
+    tables, n = benchmark_blocks(scratch, benchmark, window, block_words)
+
+    def shared(block: int):
+        row = tables.filter(F.col("block") == block).select("packed").first()  # block_words at most, about
+        return spark.sparkContext.broadcast(bytes(row.packed) if row else pack([]))
+
+    if n == 1:
+        rows, table = docs.select(*kept, "text"), shared(0)
+        names = [*rows.columns[:-1], "n_words", "spans", "item_ids"]
+
+        def make():
+            matcher = Matcher(table.value)
+
+            def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+                words = [t.translate(WORDS).split() for t in texts_of(batch, batch.num_columns - 1)]
+                return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([len(w) for w in words], pa.int64()), *_found([matcher.scan(w) for w in words])], names=names)
+
+            return run
+
+        out = map_arrow(rows, make, _schema(rows, "n_words long, " + _HITS))
+    else:
+        # the hits of one block after another, by a hash of the text; equal texts once
+        key = F.sha2(F.coalesce("text", F.lit("")), 256)
+        hits = None
+        for block in range(n):
+            table = shared(block)
+
+            def hit(batches: Iterator[pa.RecordBatch], table=table) -> Iterator[pa.RecordBatch]:
+                matcher = Matcher(table.value)
+                for batch in batches:
+                    found = [matcher.scan(t.translate(WORDS).split()) for t in texts_of(batch)]
+                    at = [k for k, (s, _) in enumerate(found) if s]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *_found([found[k] for k in at])], names=["key", "spans", "item_ids"])
+
+            one = docs.select(key.alias("key"), "text").mapInArrow(hit, f"key string, {_HITS}").dropDuplicates(["key"])
+            one = scratch.save(one, "hits")
+            table.destroy()
+            hits = one if hits is None else hits.unionByName(one)
+        gathered = hits.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"))
+
+        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [(merge([(x["start"], x["end"]) for x in s]), set(i)) for s, i in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *_found(found)], names=["key", "spans", "item_ids"])
+
+        gathered = scratch.save(gathered.mapInArrow(join, f"key string, {_HITS}"), "merged")
+        rows = docs.select(*kept, key.alias("key"), "text")
+        names = [*rows.columns[:-1], "n_words"]
+
+        def counter():
+            return lambda batch: pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([count_words(t.translate(WORDS), _CLASS) for t in texts_of(batch, batch.num_columns - 1)], pa.int64())], names=names)
+
+        out = map_arrow(rows, counter, _schema(rows, "n_words long")).join(gathered, "key", "left")
+        out = out.withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start: bigint, end: bigint>>"))).withColumn("item_ids", F.coalesce("item_ids", F.array().cast("array<bigint>")))
+    return out.select("doc_id", "n_words", "spans", "item_ids", *(["_row"] if carry else []))
+
+
+#: x for what is no space.
+_CLASS = bytes(32 if c == 32 else 120 for c in range(256))
 
-        return run
 
-    return map_arrow(df, make, schema)
+def _schema(rows: DataFrame, more: str) -> StructType:
+    """rows' columns but the last, and more."""
+    return StructType(rows.schema.fields[:-1] + StructType.fromDDL(more).fields)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The digest columns of contamination()."""
+    """The digest columns of contamination(); a null item id is `null` there."""
     ids = F.array_sort(F.transform("item_ids", lambda i: F.coalesce(i.cast("string"), F.lit("null"))))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
     return contamination(docs, benchmark).select(

@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, lists, map_arrow, mix64, read, texts_of
+from .common import Scratch, connected_components, fresh, lists, map_arrow, mix64, read, texts_of
 
 HASHES = 256
 KEPT_WORDS = 300_000
@@ -190,10 +190,11 @@ def shingle_sets(docs: DataFrame, params: Params) -> DataFrame:
 
 def with_ids(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
     """docs left_semi or left_anti ids(id): ids are broadcast if they are few, else both sides are shuffled."""
-    ids = ids.select(F.col("id").alias("_id"))
+    name = fresh(docs, "wanted_id")
+    ids = ids.select(F.col("id").alias(name))
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return docs.join(ids, F.col(key) == F.col("_id"), how)
+    return docs.join(ids, F.col(key) == F.col(name), how)
 
 
 def _estimate():

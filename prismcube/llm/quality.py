@@ -6,15 +6,15 @@ eighths of the text they are). Class counts of every feature over all labelled
 training rows give log-count ratios r (smoothing `alpha`); counts are summed as fixed-size vectors in each
 task and then over tasks. Indicators scaled by r, each row to length 1, are the inputs of a hinge-loss
 model fitted by dual coordinate descent (Hsieh et al. 2008) with an unpenalised-in-practice bias column.
-The fit takes at most about `fit_rows` labelled rows, chosen by a hash of the id (a documented bound: rows
-go to the driver as feature ids, a few MB); counts use all labelled rows, scoring all rows. The score is a
+The fit takes at most about `fit_rows` labelled rows, chosen by a hash of id and text, equal ones once (a documented
+bound: rows go to the driver as feature ids, a few MB); counts use all labelled rows, scoring all rows. The score is a
 logistic curve of the margin, its slope and offset fitted on the same rows (Platt).
 
 Labels, lang, source and doc_id are never inputs of a score.
 
 Defined results: null or empty text has no features, so its score is that of the bias; without labelled
-rows of both classes every score is the share of label 1 (0.5 with none); ids labelled twice count once a
-row; rows are independent in scoring, so repeats, null ids and further columns make no difference; whole
+rows of both classes every score is the share of label 1 (0.5 with none); ids labelled twice, and repeated
+rows, count once a row in the counts; rows are independent in scoring, so repeats, null ids and further columns make no difference; whole
 texts are read.
 """
 
@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
-from .common import Scratch, lists, map_arrow, mix64, read, texts_of
+from .common import Scratch, fresh, lists, map_arrow, mix64, read, texts_of
 
 DIMS = 1 << 18
 FIT_ROWS = 8_000
@@ -189,7 +190,9 @@ def train(labelled: DataFrame, dims: int = DIMS, fit_rows: int = FIT_ROWS, seed:
         return run
 
     limit = min(1.0, fit_rows / sum(n))
-    sample = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_003)) < int(limit * 1_000_003) + 1)
+    # equal rows once, so that a row that is repeated without end takes one place
+    chosen = rows.withColumn("hash", F.xxhash64("doc_id", "text", F.lit(seed))).filter(F.pmod("hash", F.lit(1_000_003)) < int(limit * 1_000_003) + 1)
+    sample = chosen.dropDuplicates(["hash", "label"]).select("text", "label")
     fit = map_arrow(sample, make, "label int, ids array<int>").toArrow()
     fit = fit.combine_chunks()
     ids = [x.values.to_numpy(zero_copy_only=False) if x.values is not None else np.zeros(0, np.int32) for x in fit.column("ids")]
@@ -204,22 +207,27 @@ def train(labelled: DataFrame, dims: int = DIMS, fit_rows: int = FIT_ROWS, seed:
     return model
 
 
-def quality_scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns keep of every row of docs and its score."""
+def quality_scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), score: str = "score") -> DataFrame:
+    """The columns keep of every row of docs and its score, in a column of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two vectors of dims floats
 
     def make():
         features, m = Features(len(shared.value.weights)), shared.value
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            score = [m.score(features.ids(t)) for t in texts_of(batch, 0)]
-            return pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(score, pa.float64())], names=[*keep, "score"])
+            scores = [m.score(features.ids(t)) for t in texts_of(batch, batch.num_columns - 1)]
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*keep, score])
 
         return run
 
-    plain = docs.select(F.col("text").alias("_scored_text"), *keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[1:])
-    return map_arrow(plain, make, f"{schema}, score double")
+    plain = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text").alias(fresh(docs, "scored_text")))
+    return map_arrow(plain, make, StructType(plain.schema.fields[:-1]).add(score, DoubleType()))
+
+
+def good_documents(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of docs that score at least that much, in docs' columns."""
+    score = fresh(docs, "score")
+    return quality_scores(docs, model, tuple(docs.columns), score).filter(F.col(score) >= least).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -229,11 +237,11 @@ def held_out(doc_id: str = "doc_id"):
 
 def train_on(docs: DataFrame, labels: DataFrame) -> Model:
     """The model of the rows of docs that are labelled and not held out."""
-    known = labels.select(F.col("doc_id").alias("l_id"), F.col("quality").cast("int").alias("label")).filter("label in (0, 1)").filter(~held_out("l_id"))
+    known = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("quality").cast("int").alias("label")).filter("label in (0, 1)").filter(~held_out("l_id"))
     if known.count() <= BROADCAST_LABELS:
         known = F.broadcast(known)
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.save(docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "label"), "labelled")
+    rows = scratch.save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "label"), "labelled")
     model = train(rows)
     scratch.drop(rows)
     return model

@@ -12,21 +12,27 @@ Spaces become U+2581, one is put in front, and each such mark begins a word; wor
 the counts of equal words are kept in a bounded map. Documents are independent: one pass, no shuffle.
 
 Defined results: null or empty text has 0 tokens; a text of one space has 1; very long words and texts
-are counted whole in time linear in their length; rows are independent, so ties, repeats, null ids, empty
-tables and further columns make no difference.
+are counted whole in time linear in their length, and a word's tables hold its last `WINDOW` characters; rows are
+independent, so ties, repeats, null ids, empty tables and further columns make no difference; ids of any type are kept.
 """
 
 from __future__ import annotations
 
+from itertools import chain
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from .common import map_arrow, read
 
 MARK = "▁"
 #: Words whose counts a worker keeps.
 KEPT_WORDS = 400_000
+#: Characters of a word whose scores are at hand: the longest piece, at least.
+WINDOW = 1 << 16
 UNKNOWN_PENALTY = 10.0
 
 
@@ -49,9 +55,10 @@ class Counter:
         self.automaton = ahocorasick.Automaton()
         for p, s in pieces:
             if p:
-                self.automaton.add_word(p, (len(p), s, p == self.unk))
+                self.automaton.add_word(p, (len(p), s))
         self.automaton.make_automaton()
         self.memo: dict[str, int] = {}
+        self.longest = max((len(p) for p, _ in pieces), default=1)
 
     def _run(self, word: str, start: int, end: int) -> int:
         text = word[start:end]
@@ -59,36 +66,43 @@ class Counter:
 
     def word(self, word: str) -> int:
         """Pieces on the best path through one word."""
-        n = len(word)
-        score, count, run = [0.0] * (n + 1), [-1] * (n + 1), [-1] * (n + 1)
+        n, reach = len(word), self.longest
+        window = min(n, max(WINDOW, 4 * reach)) + 1
+        base, size = 0, window  # places base.. of the word are in the lists
+        score, count, run = [0.0] * size, [-1] * size, [-1] * size
         count[0] = 0  # count: pieces before the open run of unknowns; run: where it began, or -1
-        single = bytearray(n + 1)
-        unk_score, at = self.unk_score, 0
-
-        def step(start: int, end: int, s: float, unknown: bool) -> None:
-            s += score[start]
-            if count[end] < 0 or s > score[end]:
-                score[end] = s
-                if unknown:
-                    count[end], run[end] = count[start], run[start] if run[start] >= 0 else start
-                else:
-                    count[end] = 1 + (count[start] if run[start] < 0 else count[start] + self._run(word, run[start], start))
-                    run[end] = -1
-
-        for last, (length, s, unknown) in self.automaton.iter(word):
-            end = last + 1
-            while at < end - 1:  # ends before this one are final but for the unknown character
+        single = bytearray(size)
+        unk_score, unknown_piece, at = self.unk_score, len(self.unk), 0
+
+        for last, (length, value) in chain(self.automaton.iter(word), ((n, (0, 0.0)),)):
+            while at < last:  # ends before this one are final but for the unknown character
                 at += 1
-                if not single[at]:
-                    step(at - 1, at, unk_score, True)
-            if length == 1:
-                single[end] = 1
-            step(end - length, end, s, unknown)
-        while at < n:
-            at += 1
-            if not single[at]:
-                step(at - 1, at, unk_score, True)
-        return count[n] if run[n] < 0 else count[n] + self._run(word, run[n], n)
+                j = at - base
+                if j >= size - 1 and j > reach:  # what no piece reaches is dropped
+                    drop, j = j - reach, reach
+                    base += drop
+                    for x, empty in ((score, 0.0), (count, -1), (run, -1), (single, 0)):
+                        del x[:drop]
+                        x.extend([empty] * drop)
+                if not single[j]:
+                    s = score[j - 1] + unk_score
+                    if count[j] < 0 or s > score[j]:
+                        score[j], count[j], run[j] = s, count[j - 1], run[j - 1] if run[j - 1] >= 0 else at - 1
+            if length:
+                j = last + 1 - base
+                i = j - length
+                if length == 1:
+                    single[j] = 1
+                s = score[i] + value
+                if count[j] < 0 or s > score[j]:
+                    score[j] = s
+                    if unknown_piece == length and word[base + i : base + j] == self.unk:  # the unknown piece's own name
+                        count[j], run[j] = count[i], run[i] if run[i] >= 0 else base + i
+                    else:
+                        count[j] = 1 + (count[i] if run[i] < 0 else count[i] + self._run(word, run[i], base + i))
+                        run[j] = -1
+        j = n - base
+        return count[j] if run[j] < 0 else count[j] + self._run(word, run[j], n)
 
     def text(self, text: str) -> int:
         if not text:
@@ -132,7 +146,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, unk_id: int = 0, id_col:
 
         return run
 
-    return map_arrow(docs.select(id_col, text_col), make, f"{id_col} long, n_tokens long, n_chars long")
+    rows = docs.select(F.col(id_col).alias(id_col), text_col)
+    return map_arrow(rows, make, StructType([rows.schema[0]]).add("n_tokens", LongType()).add("n_chars", LongType()))
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Token-ID output: flat unsigned integer files with 64-bit document offsets, read back memory-mapped.
 
-Documents are range-partitioned and sorted by id. Each task encodes its documents one Arrow batch at a
+Documents are range-partitioned and sorted by id (rows of one id, or without, by a hash of the text, so that they
+spread, too). Each task encodes its documents one Arrow batch at a
 time and appends to two flat files of its part: `.bin` (token ids, uint16 where the vocabulary fits,
 else uint32, little-endian) and `.idx` (int64 document id and uint64 end offset inside the part, 16
 bytes a document). A part's base, the ids of all parts before it, comes from a prefix sum over the
@@ -9,7 +10,7 @@ independent. The manifest (one row a part) is what names the valid files: a task
 files that no manifest names.
 
 Defined results: null and empty texts give only the end id; a null document id sorts first; repeated
-ids are kept, ordered by text; strings of special tokens in a text are ordinary text; an empty table
+ids are kept, ordered by that hash; strings of special tokens in a text are ordinary text; an empty table
 gives no parts. Long texts are encoded whole.
 """
 
@@ -173,14 +174,29 @@ def _create(uri: str):
     return store.open_output_stream(path)
 
 
-def _mapped(uri: str, dtype) -> np.ndarray:
-    """The file as an array: memory-mapped where it is local or on a mount, else read as one buffer."""
-    if path := _local(uri):
-        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
-    from pyarrow import fs
+class _Array:
+    """A file as an array that is read by slices: memory-mapped where it is local or on a mount, else in ranges."""
 
-    store, path = fs.FileSystem.from_uri(uri)
-    return np.frombuffer(store.open_input_file(path).read(), dtype)
+    def __init__(self, uri: str, dtype):
+        self.dtype, self.array = np.dtype(dtype), None
+        if path := _local(uri):
+            size = os.path.getsize(path)
+            self.array = np.memmap(path, dtype, "r") if size else np.zeros(0, dtype)
+        else:
+            from pyarrow import fs
+
+            store, path = fs.FileSystem.from_uri(uri)
+            self.file = store.open_input_file(path)
+            size = self.file.size()
+        self.length = size // self.dtype.itemsize
+
+    def __len__(self) -> int:
+        return self.length
+
+    def part(self, a: int, b: int) -> np.ndarray:
+        if self.array is not None:
+            return self.array[a:b]
+        return np.frombuffer(self.file.read_at((b - a) * self.dtype.itemsize, a * self.dtype.itemsize), self.dtype)
 
 
 def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int = 0, batch_texts: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,7 +227,8 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
             index.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [path], "width": [encoder.width], "n_docs": [n_docs], "n_tokens": [at]}, schema=_PART)
 
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
+    ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     with arrow_rows(spark, 1000):
         written = ordered.mapInArrow(run, "part int, path string, width int, n_docs long, n_tokens long").collect()  # a row for each partition
     rows, base = [], 0
@@ -225,18 +242,27 @@ _PART = pa.schema([("part", pa.int32()), ("path", pa.string()), ("width", pa.int
 _DOC = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
+def _crc(ids: _Array, a: int, b: int, step: int = 1 << 20) -> int:
+    """The checksum of ids a to b as 32-bit integers, a million at a time."""
+    out = 0
+    for lo in range(a, b, step):
+        out = zlib.crc32(ids.part(lo, min(lo + step, b)).astype("<u4").tobytes(), out)
+    return out
+
+
 def read_token_files(manifest: DataFrame, batch_docs: int = 4096) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone. A part is a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                ids, index = _mapped(f"{r['path']}.bin", f"<u{r['width']}"), _mapped(f"{r['path']}.idx", INDEX)
+                ids, index, last = _Array(f"{r['path']}.bin", f"<u{r['width']}"), _Array(f"{r['path']}.idx", INDEX), 0
                 for lo in range(0, len(index), batch_docs):
-                    rows = index[lo : lo + batch_docs]
+                    rows = index.part(lo, min(lo + batch_docs, len(index)))
                     ends = rows["end"].astype(np.int64)
-                    starts = np.concatenate([[int(index["end"][lo - 1]) if lo else 0], ends[:-1]]).astype(np.int64)
-                    crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends, strict=True)]
+                    starts = np.concatenate([[last], ends[:-1]]).astype(np.int64)
+                    last = int(ends[-1])
+                    crc = [_crc(ids, a, b) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                     yield pa.RecordBatch.from_pydict(
                         {"doc_id": [None if i == NULL_ID else i for i in rows["doc_id"].tolist()], "start": starts + r["base"], "n_tokens": ends - starts, "ids_crc32": crc}, schema=_DOC
                     )

@@ -53,6 +53,23 @@ def test_token_counts_equal_the_library(spark, sf):
     assert len(got) == len(ODD) + 4 and {r.n_tokens for r in got if r.doc_id in (0, 1)} == {0}
 
 
+def test_token_counts_of_long_words(spark, monkeypatch):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    small = [("?", 0.0), ("a", -1.0), ("aa", -2.0), ("aaab", -2.5), ("b", -1.5), ("▁", -0.5), ("▁a", -1.5)]
+    tok, rng = Tokenizer(models.Unigram(small, 0, False)), random.Random(3)
+    tok.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    monkeypatch.setattr(token_counts, "WINDOW", 16)  # the window moves on
+    counter = token_counts.Counter(small)
+    for _ in range(100):
+        t = "".join(rng.choice("aaabx") for _ in range(rng.randrange(1, 300)))
+        assert counter.text(t) == len(tok.encode(t, add_special_tokens=False).ids)
+    df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id int, text string")
+    got = token_counts.token_counts(df, P.path("piece_bpe_32k.model"))
+    assert got.schema["doc_id"].dataType.simpleString() == "int" and got.filter("n_tokens = 0").count() == 1
+    assert token_counts.token_counts(df.limit(0), P.path("piece_bpe_32k.model")).collect() == []
+
+
 def test_license_base_places(spark, sf):
     docs = odd_docs(spark).unionByName(read(spark, sf, "documents"), allowMissingColumns=True)
     got = license_scan.license_scan(docs.select("doc_id", "text")).collect()
@@ -237,6 +254,48 @@ def test_decontaminate(spark, sf, block_words):
     assert decontaminate.decontaminate(docs, bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_decontaminate_large_benchmark():
+    # a million words, the most of a block: tables stay small and find what a set of windows finds
+    import resource
+
+    rng, vocabulary = random.Random(6), [f"w{i:x}".encode() for i in range(120_000)]
+    pieces = [(i, b" ".join(rng.choices(vocabulary, k=200)), 10) for i in range(5_000)]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    packed = decontaminate.pack(pieces)  # one block
+    assert len(packed) < 100e6 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
+    matcher, windows = decontaminate.Matcher(packed), {}
+    for i, text, _ in pieces[:300]:
+        w = text.split()
+        for k in range(len(w) - 9):
+            windows.setdefault(tuple(w[k : k + 10]), set()).add(i)
+    for _ in range(200):
+        _, text, _ = rng.choice(pieces[:300])
+        w, at = text.split(), rng.randrange(150)
+        words = rng.choices(vocabulary, k=30) + w[at : at + rng.choice([9, 10, 25])] + rng.choices(vocabulary, k=30)
+        want = [(k, k + 10) for k in range(len(words) - 9) if tuple(words[k : k + 10]) in windows]
+        assert matcher.scan(words) == (decontaminate.merge(want), set().union(*(windows[tuple(words[a:b])] for a, b in want)))
+
+
+def test_decontaminate_rows(spark):
+    # long items in pieces, repeated and null items, null and repeated rows, clashing names, an empty table
+    rng = random.Random(2)
+    item = " ".join(f"v{rng.randrange(50)}" for _ in range(400))
+    bench = spark.createDataFrame([(None, item), (None, item), (5, "one two"), (5, "one two"), (6, "zwei")], "item_id long, text string")
+    rows = [(None, f"x {item} y"), (None, None), (1, "A one TWO b"), (1, "A one TWO b"), (2, "zwei zwei"), (3, "one  three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit(1)).withColumn("key", F.lit("k")).withColumn("spans", F.lit(2))
+    decontaminate.PIECE, piece = 40, decontaminate.PIECE
+    try:
+        for block_words in (10_000, 100):
+            got = decontaminate.contamination(docs, bench, block_words=block_words, carry=True).collect()
+            assert sorted((str(r.doc_id), r.n_words, [tuple(s) for s in r.spans], r.item_ids) for r in got) == sorted(
+                [("None", 402, [(1, 401)], [None]), ("None", 0, [], []), ("1", 4, [(1, 3)], [5]), ("1", 4, [(1, 3)], [5]), ("2", 2, [(0, 2)], [6]), ("3", 2, [], [])]
+            )
+            assert all(r._row.text == dict(zip(range(6), [t for _, t in rows], strict=True))[rows.index((r.doc_id, r._row.text))] and r._row.key == "k" for r in got)
+            assert decontaminate.decontaminate(docs.limit(0), bench).collect() == []
+    finally:
+        decontaminate.PIECE = piece
+
+
 def test_mix(spark, sf):
     docs = odd_docs(spark).unionByName(read(spark, sf, "documents"), allowMissingColumns=True)
     items = mixing.sizes(docs)
@@ -288,6 +347,22 @@ def test_chat_parts(spark):
     assert [tuple(a) for a in r.attachments] == [(0, "image", "a.png", 3, 0), (1, "audio", "b.wav", 3, 1), (2, "document", "c.pdf", 2048, 1)] and r.expanded_tokens == 2054
 
 
+def test_chat_odd_parts(spark):
+    parts = "array<struct<kind: string, text: string, ref: string, amount: bigint>>"
+    part = lambda kind, text: f"named_struct('kind', {kind}, 'text', {text}, 'ref', 'r', 'amount', null)"
+    df = spark.sql(f"SELECT 1L AS conv_id, 0L AS turn, 'assistant' AS role, CAST(array({part('null', repr('a<b'))}, {part(repr('vi[deo'), 'null')}, {part(repr('text'), 'null')}, null) AS {parts}) AS parts")
+    (r,) = chat.read_chat(chat.format_chat(df)).collect()
+    assert r.formatted == "<|turn|>assistant<|text|>a<\\b<|vi[\\deo:0|><|end|>" and r.read[0].learned == "a<b<|vi[deo:0|>"
+    (f,) = chat.format_chat(df).collect()
+    assert [tuple(a) for a in f.attachments] == [(0, "vi[deo", "r", 0, 0)] and f.expanded_tokens == 0
+    short = spark.sql("SELECT 1 AS conv_id, 0 AS turn, 'user' AS role, array(named_struct('kind', 'image', 'amount', 400)) AS parts")
+    assert [tuple(a) for a in chat.format_chat(short).first().attachments] == [(0, "image", None, 3, 0)]
+    for other in ("'x'", "array(1)", "array(named_struct('a', 1))", "null"):
+        (r,) = chat.format_chat(spark.sql(f"SELECT 1 AS conv_id, 0 AS turn, 'user' AS role, 'hi' AS text, {other} AS parts")).collect()
+        assert r.formatted == "<|turn|>user<|text|>hi<|end|>"
+    assert chat.read_chat(chat.format_chat(df.limit(0))).collect() == []
+
+
 def test_chat_is_native(spark, sf, capsys):
     from prismcube.llm.queries import QUERIES
 
