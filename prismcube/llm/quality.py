@@ -40,6 +40,8 @@ BROADCAST_LABELS = 1_000_000
 KEPT_WORDS = 300_000
 #: Distances at which a word that comes again makes an indicator, one for each eighth of the words that do.
 REPEAT_LAGS = 4
+#: Families of indicators. Chosen by cross_validate() on labelled rows that are not held out (see README).
+FAMILIES = ("words", "shapes", "pairs", "shape pairs", "repeats")
 _LETTERS = bytes(ord("A") if 65 <= c <= 90 else ord("a") if 97 <= c <= 122 or c > 127 else ord("0") if 48 <= c <= 57 else c for c in range(256))
 _RUNS = re.compile(rb"(.)\1{2,}", re.S)
 
@@ -47,8 +49,8 @@ _RUNS = re.compile(rb"(.)\1{2,}", re.S)
 class Features:
     """ids(text bytes): the sorted distinct feature columns of a text."""
 
-    def __init__(self, dims: int = DIMS):
-        self.dims = np.uint64(dims)
+    def __init__(self, dims: int = DIMS, families: tuple[str, ...] = FAMILIES):
+        self.dims, self.families = np.uint64(dims), families
         self.memo: dict[bytes, tuple[int, int]] = {}
 
     def _of(self, word: bytes) -> tuple[int, int]:
@@ -71,9 +73,14 @@ class Features:
             pairs.append(p)
         w, s = np.array(pairs, np.uint64).T
         three, five = np.uint64(3), np.uint64(5)
-        repeats = [k << 8 | eighth for k in range(1, REPEAT_LAGS + 1) if k < len(w) for eighth in range(1, 1 + int((w[k:] == w[:-k]).sum()) * 8 // (len(w) - k))]
-        every = np.concatenate([w, s, w[:-1] * three + mix64(w[1:]), s[:-1] * five + mix64(s[1:] + three), np.array(repeats, np.uint64)])
-        return np.unique(mix64(every) % self.dims).astype(np.int32)
+        made = {
+            "words": lambda: w,
+            "shapes": lambda: s,
+            "pairs": lambda: w[:-1] * three + mix64(w[1:]),
+            "shape pairs": lambda: s[:-1] * five + mix64(s[1:] + three),
+            "repeats": lambda: np.array([k << 8 | e for k in range(1, REPEAT_LAGS + 1) if k < len(w) for e in range(1, 1 + int((w[k:] == w[:-k]).sum()) * 8 // (len(w) - k))], np.uint64),
+        }
+        return np.unique(mix64(np.concatenate([made[f]() for f in self.families])) % self.dims).astype(np.int32)
 
 
 @dataclass
@@ -141,6 +148,28 @@ def _platt(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(theta[0], 1e-3)), float(theta[1])
 
 
+def fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, seed: int = 7) -> Model:
+    """The model of rows of feature ids, labels +1 or -1, under log-count ratios."""
+    w, bias = dual_coordinate_descent(rows, labels, ratio, seed=seed)
+    model = Model((w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), float(bias), 1.0, 0.0)
+    model.slope, model.offset = _platt(np.array([model.margin(i) for i in rows]), labels)
+    return model
+
+
+def cross_validate(texts: list[bytes], labels: list[int], families: tuple[str, ...] = FAMILIES, folds: int = 5, dims: int = DIMS) -> int:
+    """Rows (labels 0 or 1) that models of the other folds predict wrongly. Equal texts are in one fold, by a hash of the text."""
+    features, y = Features(dims, families), np.array(labels)
+    ids, fold = [features.ids(t) for t in texts], np.array([zlib.crc32(t, 5) % folds for t in texts])
+    wrong = 0
+    for k in range(folds):
+        known, counts = np.flatnonzero(fold != k), np.zeros((2, dims))
+        for i in known:
+            counts[y[i], ids[i]] += 1
+        model = fit([ids[i] for i in known], np.where(y[known] == 1, 1.0, -1.0), log_count_ratios(counts[1], counts[0]))
+        wrong += sum((model.score(ids[i]) >= 0.5) != (y[i] == 1) for i in np.flatnonzero(fold == k))
+    return int(wrong)
+
+
 def train(labelled: DataFrame, dims: int = DIMS, fit_rows: int = FIT_ROWS, seed: int = 7) -> Model:
     """The model of labelled rows (doc_id, text, label 0 or 1)."""
     schema = pa.schema([("label", pa.int32()), ("counts", pa.binary()), ("rows", pa.int64())])
@@ -191,20 +220,16 @@ def train(labelled: DataFrame, dims: int = DIMS, fit_rows: int = FIT_ROWS, seed:
 
     limit = min(1.0, fit_rows / sum(n))
     # equal rows once, so that a row that is repeated without end takes one place
-    chosen = rows.withColumn("hash", F.xxhash64("doc_id", "text", F.lit(seed))).filter(F.pmod("hash", F.lit(1_000_003)) < int(limit * 1_000_003) + 1)
-    sample = chosen.dropDuplicates(["hash", "label"]).select("text", "label")
-    fit = map_arrow(sample, make, "label int, ids array<int>").toArrow()
-    fit = fit.combine_chunks()
-    ids = [x.values.to_numpy(zero_copy_only=False) if x.values is not None else np.zeros(0, np.int32) for x in fit.column("ids")]
-    y = np.where(np.array(fit.column("label").to_pylist()) == 1, 1.0, -1.0)
+    picked = rows.withColumn("hash", F.xxhash64("doc_id", "text", F.lit(seed))).filter(F.pmod("hash", F.lit(1_000_003)) < int(limit * 1_000_003) + 1)
+    sample = picked.dropDuplicates(["hash", "label"]).select("text", "label")
+    chosen = map_arrow(sample, make, "label int, ids array<int>").toArrow().combine_chunks()
+    ids = [x.values.to_numpy(zero_copy_only=False) if x.values is not None else np.zeros(0, np.int32) for x in chosen.column("ids")]
+    y = np.where(np.array(chosen.column("label").to_pylist()) == 1, 1.0, -1.0)
     order = sorted(range(len(ids)), key=lambda i: (y[i], len(ids[i]), zlib.crc32(ids[i].tobytes())))  # whatever order the rows came in
     ids, y = [ids[i] for i in order], y[order]
     if len(set(y)) < 2:
         return Model(np.zeros(dims, np.float32), np.ones(dims, np.float32), 0.0, 1.0, logit)
-    w, bias = dual_coordinate_descent(ids, y, ratio, seed=seed)
-    model = Model((w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), float(bias), 1.0, 0.0)
-    model.slope, model.offset = _platt(np.array([model.margin(i) for i in ids]), y)
-    return model
+    return fit(ids, y, ratio, seed)
 
 
 def quality_scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), score: str = "score") -> DataFrame:

@@ -194,6 +194,55 @@ def test_quality_held_out(spark):
     assert {r.score for r in quality.quality_scores(docs, none).collect()} == {0.5}
 
 
+def test_quality_equals_a_dense_model(spark):
+    # 200 rows: counts, ratios, scaled indicators and the hinge loss against dense matrices and another solver
+    import numpy as np
+
+    rng, vocabulary = random.Random(12), [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(vocabulary[:40] if i % 2 else vocabulary[20:], k=rng.randrange(1, 15))), i % 2 if i % 11 else 1 - i % 2) for i in range(198)] + [(198, "", 1), (199, None, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    dims = 512
+    model, features = quality.train(df, dims), quality.Features(dims)
+    x, y = np.zeros((200, dims)), np.array([1.0 if r[2] else -1.0 for r in rows])
+    for i, t, _ in rows:
+        x[i, features.ids((t or "").encode())] = 1
+    p, q = x[y > 0].sum(0) + 1, x[y < 0].sum(0) + 1
+    r = np.log((p / p.sum()) / (q / q.sum()))
+    assert np.allclose(model.ratio2, r * r, rtol=1e-5)
+    z = x * r
+    z = np.column_stack([z / np.maximum(np.sqrt((z * z).sum(1, keepdims=True)), 1e-300), np.ones(200)])
+    top = np.where(y > 0, 200 / (2 * (y > 0).sum()), 200 / (2 * (y < 0).sum()))
+    k = (z * y[:, None]) @ (z * y[:, None]).T
+    a, step = np.zeros(200), 1 / np.linalg.eigvalsh(k)[-1]
+    for _ in range(20_000):  # projected gradient on the dual
+        a = np.clip(a + step * (1 - k @ a), 0, top)
+    loss = lambda w: w @ w / 2 + (top * np.maximum(1 - y * (z @ w), 0)).sum()
+    best = (a * y) @ z
+    w, bias = quality.dual_coordinate_descent([features.ids((t or "").encode()) for _, t, _ in rows], y, r, epochs=400)
+    assert abs(loss(np.append(w, bias)) - loss(best)) < 1e-3 * loss(best)
+    got = {s.doc_id: s.score for s in quality.quality_scores(df, model).collect()}
+    margin = z @ np.append(model.weights / np.where(r == 0, 1, r), model.bias)
+    assert all(abs(got[i] - 1 / (1 + np.exp(-(model.slope * margin[i] + model.offset)))) < 1e-4 for i in range(200))
+    assert sum((got[i] >= 0.5) != (y[i] > 0) for i in range(198)) < 20
+
+
+def test_quality_cross_validation(spark):
+    # the choice of indicators, on training rows alone
+    sf = "/root/testdata/sf0.01"
+    known = read(spark, sf, "documents").join(read(spark, sf, "labels"), "doc_id").filter(~quality.held_out()).orderBy("doc_id").collect()
+    texts, labels = [(r.text or "").encode() for r in known], [r.quality for r in known]
+    errors = {f: quality.cross_validate(texts, labels, f) for f in (("words",), quality.FAMILIES[:4], quality.FAMILIES)}
+    assert errors[quality.FAMILIES] <= errors[quality.FAMILIES[:4]] <= errors["words",]
+
+
+def test_quality_repeated_rows(spark):
+    # a labelled row that is given again and again is one row of the fit
+    rows = [(1, "good text here", 1)] * 3000 + [(i, f"bad words {i}", 0) for i in range(2, 40)] + [(i, f"good words {i}", 1) for i in range(40, 80)]
+    model = quality.train(spark.createDataFrame(rows, "doc_id long, text string, label int"), 1 << 12, fit_rows=200)
+    got = quality.quality_scores(spark.createDataFrame([(1, "bad words 99"), (2, "good words 99")], "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.score >= 0.5 for r in got} == {1: False, 2: True}
+
+
 def test_token_files_equal_the_library(spark, sf):
     import numpy as np
     from tokenizers import Tokenizer
