@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..cube import DBL_EPSILON, FLT_EPSILON, is_nodata
+from . import tiles
+from .maps import minus_background, small
 
 
 def share(n: Column, ratio: float) -> Column:
@@ -60,10 +62,11 @@ def background(frames: DataFrame, ksize: int = 30, method: str = "average") -> D
 
 
 def remove_background(frames: DataFrame, ksize: int = 30, method: str = "average") -> DataFrame:
-    """Each value less its block's background, by one window (one shuffle, no join)."""
+    """Each value less its block's background: an average by one window (one shuffle, no join), a median once a block, joined back."""
+    if method != "average":
+        return minus_background(frames, background(frames, ksize, method), ksize)
     block = W.partitionBy(F.floor(F.col("k") / ksize).cast("int"), "r", "c")
-    bg = F.avg("v").over(block) if method == "average" else upper_median(F.array_sort(F.collect_list("v").over(block)))
-    return frames.select("k", "r", "c", (F.col("v") - bg).alias("v"))
+    return frames.select("k", "r", "c", (F.col("v") - F.avg("v").over(block)).alias("v"))
 
 
 def histogram(frames: DataFrame, low: float, high: float, step: float = 1.0, by: tuple[str, ...] = ("k",)) -> DataFrame:
@@ -145,39 +148,18 @@ def packet_frames(packets: DataFrame) -> DataFrame:
 
 
 def destripe(frames: DataFrame, tile_size: int = 31, lo: float = 0.0, hi: float = 3.4028234663852886e38) -> DataFrame:
-    """Each line scaled to the moving average of line sums; the window reaches one line less back than ahead."""
+    """Each line scaled to the moving average of line sums; the window reaches one line less back than ahead, and over lines that are there."""
     e = tile_size // 2
     sums = frames.groupBy("k", "r").agg(F.sum("v").alias("h"))
-    m = F.avg("h").over(W.partitionBy("k").orderBy("r").rowsBetween(1 - e, e))
+    m = F.avg("h").over(W.partitionBy("k").orderBy("r").rangeBetween(1 - e, e))
     corr = sums.withColumn("corr", F.when(F.col("h") == 0, F.lit(1.7976931348623157e308)).otherwise((m - F.col("h")) / F.nullif("h", F.lit(0.0)))).select("k", "r", "corr")
     v = F.col("v") + F.col("v") * F.col("corr")
     return frames.join(corr, ["k", "r"]).select("k", "r", "c", F.when(v < lo, lo).when(v > hi, hi).otherwise(v).alias("v"))
 
 
-def _neighbours(frames: DataFrame, w: int, h: int, rows: int, cols: int, border: str) -> DataFrame:
-    """k, r, c (the centre), dy, dx, n: each cell sent to the centres that see it, at w by h offsets; linear in cells times offsets."""
-    ry, rx = h // 2, w // 2
-    out = frames.withColumn("dy", F.explode(F.sequence(F.lit(-ry), F.lit(ry)))).withColumn("dx", F.explode(F.sequence(F.lit(-rx), F.lit(rx))))
-    if border == "zero":
-        out = out.select("k", (F.col("r") - F.col("dy")).alias("r"), (F.col("c") - F.col("dx")).alias("c"), "dy", "dx", F.col("v").alias("n"))
-        return out.filter((F.col("r") >= 0) & (F.col("r") < rows) & (F.col("c") >= 0) & (F.col("c") < cols))
-    # replicated border: an edge cell also serves the offsets that leave the frame there
-    def targets(at: str, d: str, n: int) -> Column:
-        here = F.col(at) - F.col(d)
-        first = F.when((F.col(at) == 0) & (F.col(d) <= 0), F.sequence(F.lit(0), F.least(-F.col(d), F.lit(n - 1))))
-        last = F.when((F.col(at) == n - 1) & (F.col(d) >= 0), F.sequence(F.greatest(n - 1 - F.col(d), F.lit(0)), F.lit(n - 1)))
-        if n == 1:
-            return F.array(F.lit(0))
-        return F.coalesce(first, last, F.when((here >= 0) & (here < n), F.array(here)).otherwise(F.array().cast("array<int>")))
-
-    out = out.withColumn("r", F.col("r").cast("int")).withColumn("c", F.col("c").cast("int"))
-    return out.select("k", F.explode(targets("r", "dy", rows)).alias("r"), "c", "dy", "dx", F.col("v").alias("n")).select("k", "r", F.explode(targets("c", "dx", cols)).alias("c"), "dy", "dx", "n")
-
-
-def median_filter(frames: DataFrame, rows: int, cols: int, ksize: int = 3) -> DataFrame:
-    """Median of ksize by ksize values, the border replicated."""
-    near = _neighbours(frames, ksize, ksize, rows, cols, "replicate")
-    return near.groupBy("k", "r", "c").agg(F.array_sort(F.collect_list("n")).alias("s")).select("k", "r", "c", upper_median(F.col("s")).alias("v"))
+def median_filter(frames: DataFrame, rows: int, cols: int, ksize: int = 3, tile: int = tiles.TILE) -> DataFrame:
+    """Upper median of ksize by ksize cells that are there, the border replicated."""
+    return tiles.tiled(frames, rows, cols, ksize // 2, lambda p: tiles.median(p, ksize), tile=tile)
 
 
 #: The public table of small Gaussian kernels.
@@ -192,91 +174,125 @@ def gauss_kernel(ksize: int) -> tuple[float, ...]:
     return tuple((w / w.sum()).tolist())
 
 
-def gauss(frames: DataFrame, rows: int, cols: int, ksize: int = 3, band: int = 0, dim: int = 1) -> DataFrame:
-    """Gaussian smoothing along lines' axis (dim 1), places (dim 0) or both, mirrored at the border without the edge; lines before band stay as they are."""
-    kernel, half = gauss_kernel(ksize), ksize // 2
-
-    def along(df: DataFrame, axis: str, other: str, first: int, n: int) -> DataFrame:
-        w = W.partitionBy("k", other).orderBy(axis)
-        i, last = F.col(axis) - first, n - first - 1
-        total = F.lit(0.0)
-        for d, weight in zip(range(-half, half + 1), kernel, strict=True):
-            at = F.abs(i + d) if last else F.lit(0)
-            at = F.when(at > last, 2 * last - at).otherwise(at)
-            step = at - i  # of the mirrored place from here, from -2 half to 2 half
-            value = F.lit(None).cast("double")
-            for s in range(-2 * half, 2 * half + 1):
-                value = F.when(step == s, F.lag("v", -s).over(w)).otherwise(value)
-            total = total + weight * value
-        return df.withColumn("v", total)
-
-    top, rest = frames.filter(F.col("r") < band), frames.filter(F.col("r") >= band)
-    if dim != 1:
-        rest = along(rest, "c", "r", 0, cols)
-    if dim != 0:
-        rest = along(rest, "r", "c", band, rows)
-    return rest.select("k", "r", "c", "v") if band <= 0 else top.unionByName(rest.select("k", "r", "c", "v"))
+def gauss(frames: DataFrame, rows: int, cols: int, ksize: int = 3, band: int = 0, dim: int = 1, tile: int = tiles.TILE) -> DataFrame:
+    """Gaussian smoothing along lines' axis (dim 1), places (dim 0) or both, mirrored at the border without the edge; weights of cells that are not there go to the others; lines before band stay as they are."""
+    kernel = gauss_kernel(ksize)
+    axes = (0,) if dim == 1 else (1,) if dim == 0 else (1, 0)
+    return tiles.tiled(frames, rows, cols, ksize // 2, lambda p: tiles.smooth(p, kernel, axes, band), tile=tile)
 
 
 #: The peak test's ratios (0 at the centre, whose place in the parameter holds the threshold).
 PEAK = ((0.1, 0.1, 0.1, 0.1, 0.1), (0.1, 1, 1, 1, 0.1), (0.1, 1, 0, 1, 0.1), (0.1, 1, 1, 1, 0.1), (0.1, 0.1, 0.1, 0.1, 0.1))
 
 
-def peaks(frames: DataFrame, rows: int, cols: int, threshold: float = 100.0, ratios=PEAK, tolerance: int | None = None) -> DataFrame:
-    """k, r, c, v, n: v is 0 where the cell is no peak; n, the neighbours that are not below centre * ratio (null if it is none). A neighbour outside is 0."""
+def peaks(frames: DataFrame, rows: int, cols: int, threshold: float = 100.0, ratios=PEAK, tolerance: int | None = None, tile: int = tiles.TILE) -> DataFrame:
+    """k, r, c, v, n: v is 0 where the cell is no peak; n, the neighbours that are not below centre * ratio (null if it is none). A neighbour that is not there is 0."""
     h, w = len(ratios), len(ratios[0])
     tolerance = max(w, h) if tolerance is None else tolerance
-    grid = F.array(*(F.array(*(F.lit(float(x)) for x in row)) for row in ratios))
-    ratio = F.get(F.get(grid, F.col("dy") + h // 2), F.col("dx") + w // 2)
-    near = _neighbours(frames, w, h, rows, cols, "zero").withColumn("ratio", ratio)
-    centre = frames.select("k", "r", "c", "v").filter(F.col("v") > threshold)
-    used = sum(x != 0 for row in ratios for x in row)
-    hit = near.filter("ratio <> 0").join(centre, ["k", "r", "c"]).groupBy("k", "r", "c").agg(F.count(F.when(F.col("v") * F.col("ratio") <= F.col("n"), 1)).alias("hits"), F.count(F.lit(1)).alias("seen"), F.first("v").alias("cv"))
-    # neighbours outside the frame are zeros: they count when centre * ratio <= 0, which a positive centre never is
-    n = F.col("hits") + F.when(F.col("cv") <= 0, used - F.col("seen")).otherwise(0)
-    found = hit.select("k", "r", "c", F.when(n <= tolerance, n).alias("n")).filter("n IS NOT NULL")
-    return frames.join(found, ["k", "r", "c"], "left").select("k", "r", "c", F.when(F.col("n").isNull(), 0.0).otherwise(F.col("v")).alias("v"), "n")
+    return tiles.tiled(frames, rows, cols, max(w, h) // 2, lambda p: tiles.peak(p, ratios, threshold, tolerance), f"{tiles.CELLS}, n long", tile)
+
+
+#: Pixels of a row of anomaly()'s vectors.
+PIXELS = 4096
+
+
+def _vectors(frames: DataFrame, ksize: int) -> DataFrame:
+    """(block, part, frames, r, c, x): vectors of the pixels that have all frames of their block, up to PIXELS or so in a row, and the other pixels without."""
+    # a part is a square of pixels, so its size does not grow with the frame
+    side = int(PIXELS**0.5)
+    block, part = F.floor(F.col("k") / ksize).cast("int"), F.struct(F.floor(F.col("r") / side).alias("y"), F.floor(F.col("c") / side).alias("x"))
+    dealt = frames.select(block.alias("block"), part.alias("part"), F.col("k").cast("int").alias("k"), F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), F.col("v").cast("double").alias("v"))
+    counts = dealt.groupBy("block").agg(F.array_sort(F.collect_set("k")).alias("frames"))
+    dealt = dealt.join(small(counts), "block")
+
+    def pack(table):
+        import pyarrow as pa
+
+        k, r, c = (table.column(n).to_numpy() for n in ("k", "r", "c"))
+        every = np.array(table.column("frames")[0].as_py())
+        cells = r.astype(np.int64) << 32 | c.astype(np.int64)
+        pixels, at = np.unique(cells, return_inverse=True)
+        x = np.full((len(pixels), len(every)), np.nan)
+        count = np.zeros(len(pixels), int)
+        x[at, np.searchsorted(every, k)] = table.column("v").to_numpy()
+        np.add.at(count, at, 1)
+        whole = count == len(every)
+        out = {"block": [table.column("block")[0].as_py()], "size": [len(every)]}
+        for name, which in (("pixels", whole), ("others", ~whole)):
+            out[name] = [pixels[which].tobytes()]
+        return pa.table({"block": pa.array(out["block"], pa.int32()), "size": pa.array(out["size"], pa.int32()), "pixels": pa.array(out["pixels"], pa.binary()), "others": pa.array(out["others"], pa.binary()), "x": pa.array([x[whole].tobytes()], pa.binary())})
+
+    return dealt.groupBy("block", "part").applyInArrow(pack, "block int, size int, pixels binary, others binary, x binary")
 
 
 def anomaly(frames: DataFrame, ksize: int = 30) -> DataFrame:
     """Squared Mahalanobis distance of each pixel's vector of ksize frames, by block; k is the block.
 
-    Moments are sums over pixels, a number for each pair of frames in a block, so one aggregate without moving
-    cells twice; inverses are taken of matrices of ksize by ksize, one a block.
+    Cells are shuffled once, into squares of pixels. Moments are sums of outer products, merged with their means; each
+    block has one matrix of ksize by ksize, which is inverted once and sent to the block's squares, not to its
+    pixels. A pixel that lacks a frame of its block (a frame of which the cube has any cell) is left out of the moments, and
+    its distance is null.
     """
-    block = F.floor(F.col("k") / ksize).cast("int")
-    vectors = frames.groupBy(block.alias("block"), "r", "c").agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("s")).select("block", "r", "c", F.transform("s", lambda x: x["v"]).alias("s"))
-    pairs = [(i, j) for i in range(ksize) for j in range(i, ksize)]
-    at = [F.get("s", F.lit(i)) for i in range(ksize)]
-    item = lambda i, j: F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.covar_samp(at[i], at[j]).alias("cov"), F.avg(at[i]).alias("mi"))
-    packed = vectors.groupBy("block").agg(F.array(*(item(i, j) for i, j in pairs)).alias("m")).withColumn("m", F.filter("m", lambda x: x["mi"].isNotNull()))
-    packed = packed.withColumn("last", F.array_max(F.transform(F.filter("m", lambda x: x["i"] == x["j"]), lambda x: x["i"]))).withColumn("m", F.filter("m", lambda x: x["j"] <= F.col("last")))
-
-    def invert(batches):
-        import pyarrow as pa
+    import pyarrow as pa
+
+    vectors = _vectors(frames, ksize)
 
+    def moments(batches):
+        for batch in batches:
+            for b, n, x in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                x = np.frombuffer(x, float).reshape(-1, n)
+                if len(x):
+                    mean = x.mean(axis=0)
+                    d = x - mean
+                    yield pa.RecordBatch.from_pydict({"block": pa.array([b], pa.int32()), "n": pa.array([len(x)], pa.int64()), "mean": pa.array([mean.tobytes()], pa.binary()), "m2": pa.array([(d.T @ d).tobytes()], pa.binary())})
+
+    def merge(table):
+        total, mean, m2 = 0, 0.0, 0.0
+        for r in table.to_pylist():
+            other, square = np.frombuffer(r["mean"], float), np.frombuffer(r["m2"], float)
+            size, n = len(other), total + r["n"]
+            d = other - mean
+            m2 = m2 + square.reshape(size, size) + np.outer(d, d) * (total * r["n"] / n)
+            mean, total = mean + d * (r["n"] / n), n
+        return total, mean, m2
+
+    def part(table):
+        n, mean, m2 = merge(table)
+        return pa.table({"block": table.column("block").slice(0, 1), "n": pa.array([n], pa.int64()), "mean": pa.array([mean.tobytes()], pa.binary()), "m2": pa.array([m2.tobytes()], pa.binary())})
+
+    def solve(table):
+        n, mean, m2 = merge(table)
+        cov = m2 / (n - 1) if n > 1 else m2 * 0
+        if np.linalg.det(cov) == 0:
+            cov = cov + 1e-6 * np.eye(len(mean))
+        return pa.table({"block": table.column("block").slice(0, 1), "mean": pa.array([mean.tobytes()], pa.binary()), "inv": pa.array([np.linalg.inv(cov).tobytes()], pa.binary())})
+
+    kinds = "block int, n long, mean binary, m2 binary"
+    sums = vectors.select("block", "size", "x").mapInArrow(moments, kinds)
+    sums = sums.withColumn("salt", F.pmod(F.xxhash64("mean"), F.lit(32))).groupBy("block", "salt").applyInArrow(lambda t: part(t.drop_columns("salt")), kinds)
+    solved = sums.groupBy("block").applyInArrow(solve, "block int, mean binary, inv binary")
+
+    def score(batches):
         for batch in batches:
-            blocks, means, inverses = [], [], []
-            for row in batch.to_pylist():
-                n = max(x["j"] for x in row["m"]) + 1
-                cov, mean = np.zeros((n, n)), np.zeros(n)
-                for x in row["m"]:
-                    cov[x["i"], x["j"]] = cov[x["j"], x["i"]] = 0.0 if x["cov"] is None else x["cov"]
-                    mean[x["i"]] = x["mi"]
-                if np.linalg.det(cov) == 0:
-                    cov = cov + 1e-6 * np.eye(n)
-                blocks.append(row["block"])
-                means.append(mean.tolist())
-                inverses.append(np.linalg.inv(cov).ravel().tolist())
-            yield pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int32()), "mean": pa.array(means, pa.list_(pa.float64())), "inv": pa.array(inverses, pa.list_(pa.float64()))})
-
-    solved = packed.mapInArrow(invert, "block int, mean array<double>, inv array<double>")
-    out = vectors.join(solved, "block")
-    d = F.zip_with("s", "mean", lambda x, m: x - m)
-    out = out.withColumn("d", d)
-    term = lambda x, p: x * F.get("d", (p / F.size("d")).cast("int")) * F.get("d", (p % F.size("d")).cast("int"))
-    score = F.aggregate(F.transform("inv", term), F.lit(0.0), lambda a, x: a + x)
-    return out.select(F.col("block").alias("k"), "r", "c", score.alias("v"))
+            for r in batch.to_pylist():
+                pixels, others = (np.frombuffer(r[c], np.int64) for c in ("pixels", "others"))
+                d = np.frombuffer(r["x"], float).reshape(-1, r["size"])
+                if len(d):
+                    d = d - np.frombuffer(r["mean"], float)
+                    v = np.einsum("ij,ij->i", d @ np.frombuffer(r["inv"], float).reshape(r["size"], -1), d)
+                else:
+                    v = np.zeros(0)
+                every = np.concatenate([pixels, others])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "k": pa.array(np.full(len(every), r["block"], np.int32)),
+                        "r": pa.array((every >> 32).astype(np.int32)),
+                        "c": pa.array((every & 0xFFFFFFFF).astype(np.int32)),
+                        "v": pa.concat_arrays([pa.array(v), pa.nulls(len(others), pa.float64())]),
+                    }
+                )
+
+    return vectors.join(solved, "block", "left").mapInArrow(score, tiles.CELLS)
 
 
 def calibrate(frames: DataFrame, cut_dark=0.03, cut_bright=0.1, threshold_dark=0.03, threshold_bright=0.03, sample_dark=40, sample_bright=40, scale: bool = True, tile_size: int | None = None, interpolate=None, nodata=()) -> DataFrame:

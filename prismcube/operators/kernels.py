@@ -1,7 +1,7 @@
-"""Operators whose result at a cell depends on the scan so far or on whole shapes: a frame at a time, over numpy.
+"""Operators whose result at a cell depends on the scan so far or on whole shapes, over numpy.
 
-A frame is one group; frames are independent, so they spread over tasks, and a frame's cells are what a task
-holds.
+Despeckling and shapes take a frame at a time (frames are independent, so they spread over tasks, and a frame's cells
+are what a task holds); inpainting takes tiles with a margin.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ import heapq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import tiles
 
 
 def by_frame(frames: DataFrame, rows: int, cols: int, f, schema: str, fill: float = 0.0) -> DataFrame:
@@ -34,23 +37,31 @@ CELLS = "k int, r int, c int, v double"
 
 def despeckle_frame(m: np.ndarray, ksize: int, low: float, high: float, step: float) -> np.ndarray:
     """Adaptive histogram median. The radius carries on from cell to cell in scan order: it grows (to ksize) while at
-    least as many neighbours as it counts are under or over the range, else it shrinks (to 1)."""
+    least as many neighbours as it counts are under or over the range, else it shrinks (to 1). What each radius would
+    give is worked out for a line at once; the scan then only chooses."""
     rows, cols = m.shape
     out, radius, bins = np.zeros_like(m), ksize, int((high - low) / step)
+    wide = np.pad(np.where(np.isfinite(m), m, np.nan), ksize, constant_values=np.nan)
     for i in range(rows):
+        grows, value = np.zeros((ksize + 1, cols), bool), np.zeros((ksize + 1, cols))
+        for r in range(1, ksize + 1):
+            w = np.stack([wide[i + ksize + dy, ksize + dx : ksize + dx + cols] for dy in range(-r, r + 1) for dx in range(-r, r + 1)])
+            with np.errstate(invalid="ignore"):
+                under, over = w < low, w >= high
+            inside = ~(under | over | np.isnan(w))
+            n = inside.sum(axis=0)
+            s = np.sort(np.where(inside, w, np.inf), axis=0)
+            middle = np.take_along_axis(s, np.maximum((n + 1) // 2 - 1, 0)[None], axis=0)[0]
+            b = np.minimum(((np.where(n > 0, middle, low) - low) / step).astype(int), bins - 1)
+            value[r] = np.where(n > 0, low + b * step + (0 if step == 1 else step / 2), 0.0)
+            grows[r] = (under.sum(axis=0) >= r) | (over.sum(axis=0) >= r)
+        finite = np.isfinite(m[i])
         for j in range(cols):
-            v = m[i, j]
-            if not np.isfinite(v):
-                out[i, j] = v
+            if not finite[j]:
+                out[i, j] = m[i, j]
                 continue
-            w = m[max(i - radius, 0) : i + radius + 1, max(j - radius, 0) : j + radius + 1]
-            w = w[np.isfinite(w)]
-            inside = w[(w >= low) & (w < high)]
-            under, over = int((w < low).sum()), int((w >= high).sum())
-            if len(inside):
-                b = np.sort(np.minimum(((inside - low) / step).astype(int), bins - 1))[(len(inside) + 1) // 2 - 1]
-                out[i, j] = low + b * step + (0 if step == 1 else step / 2)
-            radius = min(radius + 1, ksize) if under >= radius or over >= radius else max(radius - 1, 1)
+            out[i, j] = value[radius, j]
+            radius = min(radius + 1, ksize) if grows[radius, j] else max(radius - 1, 1)
     return out
 
 
@@ -66,9 +77,10 @@ def inpaint_frame(m: np.ndarray, mask: np.ndarray, radius: int = 3) -> np.ndarra
     t = np.where(mask, far, 0.0)
     heap: list[tuple[float, int, int]] = []
     near = lambda i, j: ((a, b) for a, b in ((i - 1, j), (i + 1, j), (i, j - 1), (i, j + 1)) if 0 <= a < rows and 0 <= b < cols)
-    for i, j in zip(*np.nonzero(state == 0), strict=True):
-        if any(state[a, b] == 2 for a, b in near(i, j)):
-            heapq.heappush(heap, (0.0, int(i), int(j)))
+    wide = np.pad(mask, 1)
+    beside = wide[:-2, 1:-1] | wide[2:, 1:-1] | wide[1:-1, :-2] | wide[1:-1, 2:]
+    for i, j in np.argwhere(~mask & beside).tolist():
+        heapq.heappush(heap, (0.0, i, j))
 
     def solve(i, j):
         x = min((t[a, b] for a, b in ((i, j - 1), (i, j + 1)) if 0 <= b < cols and state[a, b] != 2), default=far)
@@ -114,20 +126,18 @@ def inpaint_frame(m: np.ndarray, mask: np.ndarray, radius: int = 3) -> np.ndarra
     return out
 
 
-def inpaint(frames: DataFrame, bad: DataFrame, rows: int, cols: int, radius: int = 3) -> DataFrame:
-    """Cells of bad (k, r, c, or r, c for all frames) from their surroundings. Only frames with bad cells are gathered; the others pass."""
+def inpaint(frames: DataFrame, bad: DataFrame, rows: int, cols: int, radius: int = 3, tile: int = 500, margin: int = 10) -> DataFrame:
+    """Cells of bad (k, r, c, or r, c for all frames) from their surroundings in their tile and its margin. Cells that are not there are unknown, too."""
     keys = [c for c in ("k", "r", "c") if c in bad.columns]
-    from pyspark.sql import functions as F
-
     marked = frames.join(bad.select(*keys).distinct().withColumn("bad", F.lit(1.0)), keys, "left").select("k", "r", "c", "v", F.coalesce("bad", F.lit(0.0)).alias("bad"))
 
-    def run(table: pa.Table) -> pa.Table:
-        m, mask = np.zeros((rows, cols)), np.zeros((rows, cols), bool)
-        at = table.column("r").to_numpy(), table.column("c").to_numpy()
-        m[at], mask[at] = table.column("v").to_numpy(), table.column("bad").to_numpy() > 0
-        return pa.table(_cells(table.column("k")[0].as_py(), inpaint_frame(m, mask, radius) if mask.any() else m))
+    def kernel(p: tiles.Patch) -> dict[str, np.ndarray]:
+        mask = ~p.there | (p.values["bad"] > 0)
+        if not (p.there & mask).any():
+            return {"v": p.v}
+        return {"v": inpaint_frame(np.where(p.there, p.v, 0.0), mask, radius)}
 
-    return marked.groupBy("k").applyInArrow(run, CELLS)
+    return tiles.tiled(marked, rows, cols, min(margin, tile), kernel, tile=tile, names=("v", "bad"))
 
 
 def line_shapes(m: np.ndarray, shortest: int, longest: int) -> list[tuple[int, int, int, int]]:

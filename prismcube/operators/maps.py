@@ -72,10 +72,44 @@ def map_lookup(v: Column, table: list[float], low: float, step: float) -> Column
     return table_lookup((v - low) / step, table)
 
 
+#: Bins of the first look at a frame's values.
+PERCENTILE_BINS = 4096
+
+
+def percentiles(frames: DataFrame, shares: list[float], by: tuple[str, ...] = ("k",)) -> DataFrame:
+    """by, p0, p1, ..: percentiles (linear between ranks) of the values without NaN.
+
+    Counts of equal bins tell which bins hold the ranks that are wanted; only values of those are counted one by one, so
+    no group's values meet in one task, and equal ones are counted before the shuffle.
+    """
+    fine = frames.select(*by, "v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    ends = fine.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("total"))
+    ranks = [[f(F.lit(s) * (F.col("total") - 1)).cast("long") for f in (F.floor, F.ceil)] for s in shares]
+    bin_of = F.coalesce(F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")) * PERCENTILE_BINS), F.lit(PERCENTILE_BINS - 1)), F.lit(0)).cast("int")
+    binned = fine.join(small(ends), list(by)).withColumn("bin", bin_of)
+    counts = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"), F.first("total").alias("total"))
+    line = W.partitionBy(*by).orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
+    counts = counts.withColumn("below", F.sum("n").over(line) - F.col("n"))
+    holds = F.lit(False)
+    for pair in ranks:
+        for r in pair:
+            holds = holds | ((r >= F.col("below")) & (r < F.col("below") + F.col("n")))
+    wanted = counts.filter(holds).select(*by, "bin", "below", "total")
+    values = binned.drop("total").join(small(wanted), [*by, "bin"]).groupBy(*by, "bin", "v").agg(F.count(F.lit(1)).alias("n"), F.first("below").alias("below"), F.first("total").alias("total"))
+    inside = W.partitionBy(*by, "bin").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    values = values.withColumn("from", F.col("below") + F.sum("n").over(inside) - F.col("n"))
+    picked = [F.max(F.when((r >= F.col("from")) & (r < F.col("from") + F.col("n")), F.col("v"))) for pair in ranks for r in pair]
+    out = values.groupBy(*by).agg(F.first("total").alias("total"), *(c.alias(f"x{i}") for i, c in enumerate(picked)))
+    exact = []
+    for i, s in enumerate(shares):
+        at, low, high = F.lit(s) * (F.col("total") - 1), F.col(f"x{2 * i}"), F.col(f"x{2 * i + 1}")
+        exact.append(F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high).alias(f"p{i}"))
+    return out.select(*by, *exact)
+
+
 def stretch(frames: DataFrame, percent: float = 1.0, by: tuple[str, ...] = ("k",)) -> DataFrame:
     """round(255 * (clip(v, pa, pb) - pa) / (pb - pa)) with percentiles pa, pb (linear) of each frame without NaN; half to even."""
-    fine = F.when(~F.isnan("v"), F.col("v"))
-    p = frames.groupBy(*by).agg(F.percentile(fine, F.lit(percent / 100)).alias("pa"), F.percentile(fine, F.lit(1 - percent / 100)).alias("pb"))
+    p = percentiles(frames, [percent / 100, 1 - percent / 100], by).withColumnsRenamed({"p0": "pa", "p1": "pb"})
     out = frames.join(small(p), list(by))
     v = F.least(F.greatest("v", "pa"), "pb")
     return out.select("k", "r", "c", F.bround(255 * F.try_divide(v - F.col("pa"), F.col("pb") - F.col("pa"))).alias("v"))

@@ -225,3 +225,110 @@ def test_window_bounds(spark):
     assert cube.size == (3, 2, 2) and cube.cells.agg(F.max("x")).first()[0] == 2
     with pytest.raises(ValueError):
         Cube(cells, (4, 3, 2)).window(boff=2)
+
+
+def sparse(spark, rng, rows, cols, frames=2, share=0.8):
+    """Cells at random places of some frames, and the frames with NaN where there is none."""
+    m = rng.normal(size=(frames, rows, cols)).round(3)
+    gone = rng.uniform(size=m.shape) > share
+    cells = [(k, i, j, float(m[k, i, j])) for k in range(frames) for i in range(rows) for j in range(cols) if not gone[k, i, j]]
+    return spark.createDataFrame(cells, "k int, r int, c int, v double"), np.where(gone, np.nan, m)
+
+
+def test_tiles_equal_whole_frames_and_loops(spark):
+    # cells that are not there, small tiles: medians, weighted means and peaks against loops over offsets
+    f, cube = sparse(spark, np.random.default_rng(5), 13, 11)
+    rows, cols = cube.shape[1:]
+    ratios = A.PEAK
+    mirror = lambda a, n: abs(a) if a < n else 2 * (n - 1) - a
+    for tile in (4, 512):
+        got = {
+            "median": {(r.k, r.r, r.c): r.v for r in A.median_filter(f, rows, cols, 3, tile=tile).collect()},
+            "gauss": {(r.k, r.r, r.c): r.v for r in A.gauss(f, rows, cols, 5, band=2, dim=1, tile=tile).collect()},
+            "peaks": {(r.k, r.r, r.c): (r.v, r.n) for r in A.peaks(f, rows, cols, 0.3, tile=tile).collect()},
+        }
+        for k, i, j in zip(*np.nonzero(~np.isnan(cube)), strict=True):
+            at = (int(k), int(i), int(j))
+            near = [cube[k, min(max(i + a, 0), rows - 1), min(max(j + b, 0), cols - 1)] for a in (-1, 0, 1) for b in (-1, 0, 1)]
+            near = sorted(x for x in near if not np.isnan(x))
+            assert got["median"][at] == near[len(near) // 2]
+            if i < 2:
+                assert got["gauss"][at] == cube[k, i, j]
+            else:
+                seen = [(w, cube[k, 2 + mirror(i - 2 + d, rows - 2), j]) for d, w in zip(range(-2, 3), A.GAUSS[5], strict=True)]
+                seen = [(w, x) for w, x in seen if not np.isnan(x)]
+                assert abs(got["gauss"][at] - sum(w * x for w, x in seen) / sum(w for w, _ in seen)) < 1e-12
+            whole = np.pad(np.nan_to_num(cube[k]), 2)
+            n = sum(cube[k, i, j] * ratios[a][b] <= whole[i + a, j + b] for a in range(5) for b in range(5) if ratios[a][b])
+            assert got["peaks"][at] == ((cube[k, i, j], n) if cube[k, i, j] > 0.3 and n <= 5 else (0.0, None))
+        assert all(len(x) == int((~np.isnan(cube)).sum()) for x in got.values())
+
+
+def test_anomaly_of_thirty_frames(spark):
+    # the default block, several squares of pixels, pixels that lack a frame
+    rng = np.random.default_rng(1)
+    m = rng.normal(size=(45, 9, 20)) @ np.diag(rng.uniform(1, 2, 20))
+    cells = [(k, i, j, float(m[k, i, j])) for k in range(45) for i in range(9) for j in range(20) if (k, i, j) not in {(3, 0, 0), (44, 8, 19)}]
+    df, pixels = spark.createDataFrame(cells, "k int, r int, c int, v double"), A.PIXELS
+    A.PIXELS = 25
+    try:
+        got = {(r.k, r.r, r.c): r.v for r in A.anomaly(df).collect()}
+    finally:
+        A.PIXELS = pixels
+    assert len(got) == 2 * 180
+    for block, lo, hi, lacking in ((0, 0, 30, (0, 0)), (1, 30, 45, (8, 19))):
+        at = [(i, j) for i in range(9) for j in range(20) if (i, j) != lacking]
+        x = np.array([m[lo:hi, i, j] for i, j in at])
+        d = x - x.mean(0)
+        want = np.einsum("ij,jk,ik->i", d, np.linalg.inv(np.cov(x.T)), d)
+        assert np.allclose([got[block, i, j] for i, j in at], want) and got[block, *lacking] is None
+
+
+def test_percentiles(spark):
+    rng = np.random.default_rng(7)
+    values = {0: rng.normal(size=999), 1: np.repeat([1.0, 2.0, 5.0], [500, 3, 40]), 2: np.array([4.0]), 3: rng.exponential(size=400) ** 6}
+    df = spark.createDataFrame([(k, float(v)) for k, x in values.items() for v in [*x, float("nan")]], "k int, v double")
+    got = {r.k: (r.p0, r.p1, r.p2) for r in M.percentiles(df, [0.01, 0.5, 0.99]).collect()}
+    for k, x in values.items():
+        assert np.allclose(got[k], np.percentile(x, [1, 50, 99]), rtol=1e-12)
+
+
+def test_destripe_of_missing_lines(spark):
+    m = np.array([[1.0, 2], [3, 5], [7, 9], [4, 4]])
+    df = frame(spark, m).filter("r <> 2")
+    got, h = {(r.r, r.c): r.v for r in A.destripe(df, 3).collect()}, {0: 3.0, 1: 8.0, 3: 8.0}
+    for r, window in ((0, (0, 1)), (1, (1,)), (3, (3,))):  # e = 1: the line itself and the next
+        mean = np.mean([h[x] for x in window])
+        assert np.allclose([got[r, c] for c in (0, 1)], m[r] * mean / h[r])
+
+
+def test_despeckle_equals_the_scan():
+    rng = np.random.default_rng(2)
+    m = rng.uniform(0, 12, (9, 10))
+    m[2, 3], m[5] = np.nan, 20.0
+    low, high, step, radius = 2.0, 9.0, 0.5, 3
+    want = np.zeros_like(m)
+    for i in range(9):
+        for j in range(10):
+            if not np.isfinite(m[i, j]):
+                want[i, j] = m[i, j]
+                continue
+            w = m[max(i - radius, 0) : i + radius + 1, max(j - radius, 0) : j + radius + 1]
+            w = w[np.isfinite(w)]
+            inside = sorted(x for x in w if low <= x < high)
+            if inside:
+                want[i, j] = low + int((inside[(len(inside) + 1) // 2 - 1] - low) / step) * step + step / 2
+            radius = min(radius + 1, 3) if (w < low).sum() >= radius or (w >= high).sum() >= radius else max(radius - 1, 1)
+    assert np.allclose(K.despeckle_frame(m, 3, low, high, step), want, equal_nan=True)
+
+
+def test_inpaint_in_tiles(spark):
+    # a smooth frame: cells at tile edges come back, tiles and whole frames agree nearly
+    i, j = np.indices((40, 40))
+    m = np.sin(i / 9) + j / 20
+    f = frame(spark, m).filter("NOT (r = 20 AND c = 20)")
+    bad = spark.createDataFrame([(r, c) for r in (9, 10, 30) for c in (9, 10, 11, 30)], "r int, c int")
+    for tile in (10, 500):
+        out = matrix(K.inpaint(f, bad, 40, 40, tile=tile), (40, 40))
+        assert np.nanmax(np.abs(out - m)) < 0.15 and np.isnan(out[20, 20]) and np.isnan(out).sum() == 1
+        assert out[0, 0] == m[0, 0]
