@@ -1,10 +1,16 @@
-"""Rendering: lookup tables from sampled statistics (linear, cut, CLAHE, Wallis), global or by tile with bilinear blending."""
+"""Rendering: lookups from sampled statistics (linear, cut, CLAHE, Wallis), global or by tile with bilinear blending.
+
+A lookup is a formula of a group's statistics (linear, cut, Wallis) or a table over the bins of the source range
+(CLAHE); so cells join one row a group, or one a group and bin. Outside of tiles every value is mapped, beyond the
+source range as the formula says or by the first or last bin; in tiles only values inside the range are. NaN stays, and
+so does a group whose samples have no value inside the range.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -14,7 +20,7 @@ from .maps import small
 
 @dataclass(frozen=True)
 class Render:
-    mode: str = "linear"
+    mode: str = "wallis|minmax|cut|tile"
     src_min: float = 7
     src_umax: float = 4000
     src_step: float = 1
@@ -38,70 +44,124 @@ class Render:
     def bins(self) -> int:
         return int((self.src_umax - self.src_min) / self.src_step)
 
+    @property
+    def middle(self) -> float:
+        """What stands for a bin, from its low edge."""
+        return 0.0 if self.src_step == 1 else 0.5 * self.src_step
 
-def lookup_tables(samples: DataFrame, p: Render, by: tuple[str, ...]) -> DataFrame:
-    """by, bin, dst: the value of each bin of the source range, for each group of samples (by.., v)."""
-    groups = samples.select(*by).distinct()
-    bins = groups.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(p.bins - 1)))).withColumn("src", p.src_min + F.col("bin") * p.src_step)
-    span = p.dst_max - p.dst_min
-    if p.kind == "linear":
-        a = span / (p.src_umax - p.src_min) if p.src_umax - p.src_min > 2.3e-16 else 0.0
-        return bins.select(*by, "bin", (a * F.col("src") + (p.dst_min - a * p.src_min)).alias("dst"))
-    if p.kind == "wallis":
-        s = A.masked_stats(samples, p.src_min, p.src_umax, by)
-        r1 = F.try_divide(F.lit(p.c * p.dst_std), p.c * F.col("std") + p.dst_std / p.c)
-        s = s.withColumn("r1", r1).withColumn("r0", p.b * p.dst_mean + (1 - p.b - F.col("r1")) * F.col("mean"))
-        v = F.col("src") * F.col("r1") + F.col("r0")
-        return bins.join(small(s.select(*by, "r0", "r1")), list(by)).select(*by, "bin", F.greatest(F.least(v, F.lit(float(p.dst_max))), F.lit(float(p.dst_min))).alias("dst"))
+    @property
+    def whole(self) -> bool:
+        """Whether the first frame's lookups serve all."""
+        return "global" in self.mode.lower()
+
+
+def _line(p: Render, low: Column, high: Column) -> tuple[Column, Column]:
+    """Slope and offset that bring low and high to the ends of the target range."""
+    a = F.when(high - low > 1.1920928955078125e-07, F.try_divide(F.lit(float(p.dst_max - p.dst_min)), high - low)).otherwise(0.0)
+    return a, p.dst_min - a * low
+
+
+def _ends(samples: DataFrame, p: Render, by: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The histogram, and by, st, ed, valid: the bins that stay after the cut, and how many values they hold."""
     hist = A.histogram(samples, p.src_min, p.src_umax, p.src_step, by)
-    if p.cut_lower >= 0 or p.cut_upper >= 0:
-        ends = A.histogram_cut(hist, p.bins, max(p.cut_lower, 0), max(p.cut_upper, 0), by)
+    if p.cut_lower >= 0 and p.cut_upper >= 0:
+        ends = A.histogram_cut(hist, p.bins, p.cut_lower, p.cut_upper, by)
     else:
-        ends = groups.withColumn("first", F.lit(0)).withColumn("last", F.lit(p.bins - 1))
-    ends = ends.withColumn("st", F.coalesce("first", F.lit(0))).withColumn("ed", F.coalesce("last", F.lit(p.bins - 1)))
-    ends = ends.select(*by, F.when(F.col("st") > F.col("ed"), 0).otherwise(F.col("st")).alias("st"), F.when(F.col("st") > F.col("ed"), p.bins - 1).otherwise(F.col("ed")).alias("ed"))
+        ends = samples.select(*by).distinct().withColumn("first", F.lit(0)).withColumn("last", F.lit(p.bins - 1))
+    st, ed = F.coalesce("first", F.lit(0)), F.coalesce("last", F.lit(p.bins - 1))
+    ends = ends.select(*by, F.when(st > ed, 0).otherwise(st).alias("st"), F.when(st > ed, p.bins - 1).otherwise(ed).alias("ed"))
+    return hist, ends
+
+
+def lookups(samples: DataFrame, p: Render, by: tuple[str, ...]) -> DataFrame:
+    """The lookups of groups of samples (by.., v) that have a value inside the source range: by and their statistics, for CLAHE by, bin, dst."""
+    if p.kind == "wallis":
+        s = A.masked_stats(samples, p.src_min, p.src_umax, by).filter("mean IS NOT NULL")
+        r1 = F.try_divide(F.lit(p.c * p.dst_std), p.c * F.col("std") + p.dst_std / p.c)
+        some = F.col("min") < F.col("max")
+        low = F.when(some, F.col("min")).otherwise(float(p.src_min))
+        bins = F.when(some, F.greatest(((F.col("max") - F.col("min")) / p.src_step).cast("int"), F.lit(1))).otherwise(p.bins)
+        s = s.withColumn("r1", r1)
+        return s.select(*by, (p.b * p.dst_mean + (1 - p.b - F.col("r1")) * F.col("mean")).alias("r0"), "r1", low.alias("low"), bins.alias("bins"))
+    hist, ends = _ends(samples, p, by)
+    inside = hist.filter((F.col("bin") >= 0) & (F.col("bin") < p.bins)).join(small(ends), list(by)).filter("bin BETWEEN st AND ed")
     if p.kind == "cut":
-        a = F.coalesce(F.try_divide(F.lit(float(span)), (F.col("ed") - F.col("st")) * p.src_step), F.lit(0.0))
-        return bins.join(small(ends), list(by)).select(*by, "bin", (p.dst_min + a * (F.col("bin") - F.col("st")) * p.src_step).alias("dst"))
-    h = hist.join(small(ends), list(by)).filter("bin BETWEEN st AND ed")
-    total = F.sum("n").over(W.partitionBy(*by))
-    n = F.col("n")
-    if p.hist_clip > 0:  # the limit follows the counts; the excess goes to all bins alike
-        limit = F.greatest(F.lit(1), F.floor(p.hist_clip * total / (F.col("ed") - F.col("st") + 1)))
-        h = h.withColumn("limit", limit).withColumn("excess", F.sum(F.greatest(n - F.col("limit"), F.lit(0))).over(W.partitionBy(*by)))
-        m = F.col("ed") - F.col("st") + 1
+        held = inside.groupBy(*by, "st", "ed").agg(F.sum("n").alias("valid")).filter("valid > 0")
+        a, b = _line(p, p.src_min + F.col("st") * p.src_step + p.middle, p.src_min + F.col("ed") * p.src_step + p.middle)
+        return held.select(*by, a.alias("a"), b.alias("b"))
+    every, n = W.partitionBy(*by), F.col("n")
+    h = inside.withColumn("valid", F.sum("n").over(every)).filter("valid > 0")
+    if p.hist_clip > 0:  # the limit follows the samples; the excess goes to all bins alike, the rest one each in even steps
+        taken = samples.groupBy(*by).agg(F.count(F.lit(1)).alias("samples"))
+        h = h.join(small(taken), list(by))
+        m, at = F.col("ed") - F.col("st") + 1, F.col("bin") - F.col("st")
+        limit = F.greatest(F.lit(1), F.floor(p.hist_clip * F.col("samples") / m))
+        h = h.withColumn("limit", limit).withColumn("excess", F.sum(F.greatest(n - F.col("limit"), F.lit(0))).over(every))
         left = F.col("excess") % m
         step = F.greatest(F.floor(m / F.greatest(left, F.lit(1))), F.lit(1))
-        at = F.col("bin") - F.col("st")
         extra = (left > 0) & (at % step == 0) & (F.floor(at / step) < left)
         h = h.withColumn("n", F.least("n", "limit") + F.floor(F.col("excess") / m) + extra.cast("long"))
-    h = h.withColumn("cum", F.sum("n").over(W.partitionBy(*by).orderBy("bin").rowsBetween(W.unboundedPreceding, 0)))
-    every = W.partitionBy(*by)
-    lo, hi = F.min("cum").over(every), F.max("cum").over(every)
-    h = h.withColumn("dst", p.dst_min + F.coalesce(F.try_divide(span * (F.col("cum") - lo), hi - lo), F.lit(0.0)))
-    out = bins.join(h.select(*by, "bin", "dst"), [*by, "bin"], "left").join(small(ends), list(by))
-    return out.select(*by, "bin", F.coalesce("dst", F.when(F.col("bin") < F.col("st"), float(p.dst_min)).otherwise(float(p.dst_max))).alias("dst"))
-
+    h = h.withColumn("cum", F.sum("n").over(every.orderBy("bin").rowsBetween(W.unboundedPreceding, 0)))
+    low, high = F.min("cum").over(every), F.max("cum").over(every)
+    h = h.withColumn("dst", p.dst_min + F.coalesce(F.try_divide((p.dst_max - p.dst_min) * (F.col("cum") - low), high - low), F.lit(0.0)))
+    # beyond the bins that stay, the first and the last hold
+    groups = h.select(*by, "st", "ed").distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(p.bins - 1))))
+    held = groups.withColumn("from", F.greatest("st", F.least("ed", "bin"))).join(h.select(*by, F.col("bin").alias("from"), "dst"), [*by, "from"])
+    return held.select(*by, "bin", "dst")
+
+
+def _bin(p: Render) -> Column:
+    """The source range's bin of v, held inside."""
+    return F.greatest(F.lit(0.0), F.least(F.lit(float(p.bins - 1)), (F.col("v") - p.src_min) / p.src_step)).cast("int")
+
+
+def _mapped(frames: DataFrame, luts: DataFrame, p: Render, keys: dict[str, str], name: str, cells: int | None = None) -> DataFrame:
+    """frames with the column name: v by the lookup of the group that keys (columns of luts and of frames) name; null without one."""
+    v = F.col("v")
+    statistics = [c for c in luts.columns if c not in keys]
+    own = luts.select(*(F.col(a).alias(f"l_{a}") for a in luts.columns))
+    on = [F.col(b).eqNullSafe(F.col(f"l_{a}")) if a == "all" else F.col(b) == F.col(f"l_{a}") for a, b in keys.items()]
+    if p.kind == "clahe":
+        on.append(F.col("bin") == F.col("l_bin"))
+        value = F.col("l_dst")
+    elif p.kind == "cut":
+        value = F.col("l_a") * v + F.col("l_b")
+    else:
+        i = F.greatest(F.lit(0.0), F.least(F.col("l_bins") - 1.0, (v - F.col("l_low")) / p.src_step)).cast("int")
+        value = F.greatest(F.least(F.col("l_r1") * (F.col("l_low") + i * p.src_step + p.middle) + F.col("l_r0"), F.lit(float(p.dst_max))), F.lit(float(p.dst_min)))
+    condition = on[0]
+    for c in on[1:]:
+        condition = condition & c
+    out = frames.join(small(own, cells), condition, "left").withColumn(name, value)
+    return out.drop(*(f"l_{a}" for a in (*keys, *statistics)))
 
-def _bin(p: Render):
-    return F.greatest(F.lit(0), F.least(F.lit(p.bins - 1), ((F.col("v") - p.src_min) / p.src_step).cast("int")))
 
+def _straight(p: Render) -> Column:
+    a, b = _line(p, F.lit(float(p.src_min)), F.lit(float(p.src_umax)))
+    return a * F.col("v") + b
 
-def _inside(p: Render):
-    return ~F.isnan("v") & (F.col("v") >= p.src_min) & (F.col("v") < p.src_umax)
 
+def render(frames: DataFrame, p: Render, step: tuple[int, int] = (1, 1), shape: tuple[int, int] | None = None) -> DataFrame:
+    """Each frame by its own lookup, or all by the first frame's ("global" in the mode).
 
-def render(frames: DataFrame, p: Render, step: int = 1) -> DataFrame:
-    """Each frame by its own table, or all by the first frame's ("global" in the mode); values outside the source range stay."""
-    samples = frames.filter((F.col("r") % step == 0) & (F.col("c") % step == 0))
-    if "global" in p.mode.lower():
+    step: lines and places from one sample to the next; shape: lines and places of a frame, of which no sample is taken
+    beyond the last whole step.
+    """
+    fine = F.when(~F.isnan("v"), F.col("v"))
+    if p.kind == "linear":
+        return frames.select("k", "r", "c", F.when(fine.isNotNull(), _straight(p)).otherwise(F.col("v")).alias("v"))
+    samples = frames.filter((F.col("r") % step[0] == 0) & (F.col("c") % step[1] == 0))
+    if shape:
+        most = [max(n // s, 1) * s for n, s in zip(shape, step, strict=True)]
+        samples = samples.filter((F.col("r") < most[0]) & (F.col("c") < most[1]))
+    out = frames.withColumn("bin", F.when(fine.isNotNull(), _bin(p)))
+    if p.whole:
         first = samples.groupBy().agg(F.min("k").alias("k"))
-        lut = lookup_tables(samples.join(F.broadcast(first), "k").withColumn("all", F.lit(0)), p, ("all",)).select("bin", "dst")
-        out = frames.withColumn("bin", F.when(_inside(p), _bin(p))).join(small(lut, p.bins), "bin", "left")
+        luts = lookups(samples.join(F.broadcast(first), "k").withColumn("all", F.lit(0)), p, ("all",))  # one row
+        out = _mapped(out.withColumn("all", F.lit(0)), luts, p, {"all": "all"}, "dst", p.bins)
     else:
-        lut = lookup_tables(samples, p, ("k",))
-        out = frames.withColumn("bin", F.when(_inside(p), _bin(p))).join(small(lut), ["k", "bin"], "left")
-    return out.select("k", "r", "c", F.coalesce("dst", "v").alias("v"))
+        out = _mapped(out, lookups(samples, p, ("k",)), p, {"k": "k"}, "dst")
+    return out.select("k", "r", "c", F.when(fine.isNotNull(), F.coalesce("dst", "v")).otherwise(F.col("v")).alias("v"))
 
 
 def tiling(length: int, tile: int) -> list[tuple[int, int]]:
@@ -110,13 +170,25 @@ def tiling(length: int, tile: int) -> list[tuple[int, int]]:
     return [(i * tile, tile if i + 1 < n else length - i * tile) for i in range(n)]
 
 
-def render_tiles(frames: DataFrame, rows: int, cols: int, p: Render, grid: tuple[int, int] = (8, 8)) -> DataFrame:
-    """A table for each tile, blended between tile centres with whole-number weights."""
-    tc, tr = max(cols // grid[0], 1) if grid[0] else 512, max(rows // grid[1], 1) if grid[1] else 512
+def render_tiles(frames: DataFrame, rows: int, cols: int, p: Render, grid: tuple[int, int] = (8, 8), step: tuple[int, int] = (3, 3), tile: tuple[int, int] = (0, 0)) -> DataFrame:
+    """A lookup for each tile, blended between tile centres with whole-number weights.
+
+    tile: lines and places of a tile; where 0, the frame by the grid (tiles along x and y), or 512 where that is 0. A
+    tile's samples begin at its corner. A tile without lookup takes a neighbour's.
+    """
+    tr = tile[0] or (max(rows // grid[1], 1) if grid[1] else 512)
+    tc = tile[1] or (max(cols // grid[0], 1) if grid[0] else 512)
     xs, ys = tiling(cols, tc), tiling(rows, tr)
-    samples = frames.filter((F.col("r") % max(tr // 16, 1) == 0) & (F.col("c") % max(tc // 16, 1) == 0))
     tx, ty = F.least(F.floor(F.col("c") / tc), F.lit(len(xs) - 1)).cast("int"), F.least(F.floor(F.col("r") / tr), F.lit(len(ys) - 1)).cast("int")
-    lut = lookup_tables(samples.withColumn("tx", tx).withColumn("ty", ty), p, ("k", "tx", "ty"))
+    samples = frames.withColumn("tx", tx).withColumn("ty", ty)
+    for at, t, size, segments, s in (("r", "ty", tr, ys, step[0]), ("c", "tx", tc, xs, step[1])):
+        inside = F.col(at) - F.col(t) * size
+        length = F.when(F.col(t) == len(segments) - 1, segments[-1][1]).otherwise(size)
+        samples = samples.filter((inside % s == 0) & (inside < F.greatest(F.floor(length / s), F.lit(1)) * s))
+    by = ("tx", "ty") if p.whole else ("k", "tx", "ty")
+    if p.whole:
+        samples = samples.join(F.broadcast(samples.groupBy().agg(F.min("k").alias("k"))), "k")  # one row
+    luts = None if p.kind == "linear" else lookups(samples, p, by)
 
     def place(at: str, segments: list[tuple[int, int]]):
         """Tile before, tile after, weight of the one after and their sum, from centres."""
@@ -131,13 +203,18 @@ def render_tiles(frames: DataFrame, rows: int, cols: int, p: Render, grid: tuple
 
     x0, x1, wx, sx = place("c", xs)
     y0, y1, wy, sy = place("r", ys)
-    out = frames.withColumn("bin", F.when(_inside(p), _bin(p)))
+    inside = ~F.isnan("v") & (F.col("v") >= p.src_min) & (F.col("v") < p.src_umax)
+    if luts is None:
+        return frames.select("k", "r", "c", F.when(inside, _straight(p)).otherwise(F.col("v")).alias("v"))
+    out = frames.withColumn("bin", F.when(inside, _bin(p)))
     for name, col in (("x0", x0), ("x1", x1), ("wx", wx), ("sx", sx), ("y0", y0), ("y1", y1), ("wy", wy), ("sy", sy)):
         out = out.withColumn(name, col)
-    table = small(lut)
-    for d, x, y in (("d00", "x0", "y0"), ("d10", "x1", "y0"), ("d01", "x0", "y1"), ("d11", "x1", "y1")):
-        out = out.join(table.select("k", F.col("tx").alias(x), F.col("ty").alias(y), "bin", F.col("dst").alias(d)), ["k", x, y, "bin"], "left")
-    top = (F.col("sx") - F.col("wx")) * F.col("d00") + F.col("wx") * F.col("d10")
-    low = (F.col("sx") - F.col("wx")) * F.col("d01") + F.col("wx") * F.col("d11")
+    own, n = {} if p.whole else {"k": "k"}, luts.count()
+    for d, x, y in (("e0", "x0", "y0"), ("e1", "x1", "y0"), ("e2", "x0", "y1"), ("e3", "x1", "y1")):
+        out = _mapped(out, luts, p, own | {"tx": x, "ty": y}, d, n)
+    near = {"d00": ("e0", "e1", "e2", "e3"), "d10": ("e1", "e0", "e2", "e3"), "d01": ("e2", "e1", "e0", "e3"), "d11": ("e3", "e2", "e1", "e0")}
+    d = {k: F.coalesce(*v) for k, v in near.items()}
+    top = (F.col("sx") - F.col("wx")) * d["d00"] + F.col("wx") * d["d10"]
+    low = (F.col("sx") - F.col("wx")) * d["d01"] + F.col("wx") * d["d11"]
     v = ((F.col("sy") - F.col("wy")) * top + F.col("wy") * low) / (F.col("sx") * F.col("sy"))
-    return out.select("k", "r", "c", F.coalesce(v, "v").alias("v"))
+    return out.select("k", "r", "c", F.when(inside, F.coalesce(v, "v")).otherwise(F.col("v")).alias("v"))

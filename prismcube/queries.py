@@ -355,14 +355,14 @@ def c1(spark, sf):
     return rounded(A.calibrate(q(spark, sf)), 4)
 
 
-@query("c3_render_linear", f"WITH {Q_SQL} SELECT k, r, c, CASE WHEN v >= 7 AND v < 1500 THEN round((255 / 1493.0e0) * (7 + trunc(v - 7)) - 7 * 255 / 1493.0e0, 6) + 0.0 ELSE v END AS v FROM q")
+@query("c3_render_linear", f"WITH {Q_SQL} SELECT k, r, c, round(255 / 1493.0e0 * v - 7 * 255 / 1493.0e0, 6) + 0.0 AS v FROM q")
 def c3l(spark, sf):
     return rounded(R.render(q(spark, sf), R.Render("linear", src_umax=1500)))
 
 
 @query(
     "c3_render_cut",
-    f"WITH {_H}, c AS (SELECT *, sum(n) OVER (PARTITION BY k ORDER BY bin) AS up, sum(n) OVER (PARTITION BY k ORDER BY bin DESC) AS down, sum(n) OVER (PARTITION BY k) AS total FROM i), z AS (SELECT k, min(bin) FILTER (up > trunc(CAST(total AS FLOAT) * CAST(0.05 AS FLOAT))) AS st, max(bin) FILTER (down > trunc(CAST(total AS FLOAT) * CAST(0.05 AS FLOAT))) AS ed FROM c GROUP BY k) SELECT q.k, r, c, CASE WHEN v >= 100 AND v < 1500 THEN round(255.0e0 / ((ed - st) * 20) * (trunc((v - 100) / 20) - st) * 20, 6) + 0.0 ELSE v END AS v FROM q JOIN z USING (k)",
+    f"WITH {_H}, c AS (SELECT *, sum(n) OVER (PARTITION BY k ORDER BY bin) AS up, sum(n) OVER (PARTITION BY k ORDER BY bin DESC) AS down, sum(n) OVER (PARTITION BY k) AS total FROM i), z AS (SELECT k, min(bin) FILTER (up > trunc(CAST(total AS FLOAT) * CAST(0.05 AS FLOAT))) AS st, max(bin) FILTER (down > trunc(CAST(total AS FLOAT) * CAST(0.05 AS FLOAT))) AS ed FROM c GROUP BY k) SELECT q.k, r, c, round(CASE WHEN ed > st THEN 255.0e0 / ((ed - st) * 20) * (v - (110 + st * 20)) ELSE 0 END, 6) + 0.0 AS v FROM q JOIN z USING (k)",
 )
 def c3c(spark, sf):
     return rounded(R.render(q(spark, sf), R.Render("cut", 100, 1500, 20, cut_lower=0.05, cut_upper=0.05)))
@@ -370,21 +370,52 @@ def c3c(spark, sf):
 
 @query(
     "c3_render_wallis",
-    f"WITH {Q_SQL}, s AS (SELECT k, avg(v) AS m, stddev_pop(v) AS s FROM q WHERE v >= 100 AND v < 1500 GROUP BY k), w AS (SELECT k, 0.8e0 * 70 / (0.8e0 * s + 70 / 0.8e0) AS r1, m FROM s) SELECT q.k, r, c, CASE WHEN v >= 100 AND v < 1500 THEN round(greatest(least((100 + trunc((v - 100) / 20) * 20) * r1 + 0.9e0 * 127 + (1 - 0.9e0 - r1) * m, 255), 0), 6) + 0.0 ELSE v END AS v FROM q JOIN w USING (k)",
+    f"WITH {Q_SQL}, s AS (SELECT k, avg(v) AS m, stddev_pop(v) AS s, min(v) AS lo, max(v) AS hi FROM q WHERE v >= 100 AND v < 1500 GROUP BY k), w AS (SELECT k, 0.8e0 * 70 / (0.8e0 * s + 70 / 0.8e0) AS r1, m, lo, greatest(CAST(trunc((hi - lo) / 20) AS INT), 1) AS n FROM s) SELECT q.k, r, c, round(greatest(least((lo + greatest(least(trunc((v - lo) / 20), n - 1), 0) * 20 + 10) * r1 + 0.9e0 * 127 + (1 - 0.9e0 - r1) * m, 255), 0), 6) + 0.0 AS v FROM q JOIN w USING (k)",
 )
 def c3w(spark, sf):
     return rounded(R.render(q(spark, sf), R.Render("wallis", 100, 1500, 20)))
 
 
-@query("c3_render_clahe")
+def _clahe(samples: str, by: str, low: float, step: float, bins: int, clip: float, cut: float) -> str:
+    """The tables (by, bin, dst) of equalised histograms of samples (by, v), as common table expressions ending in lut."""
+    share = f"CAST({cut} AS FLOAT)"
+    return f"""hb AS (SELECT {by}, CAST(trunc((v - {low}) / {step}) AS INT) AS bin, v FROM {samples}),
+hc AS (SELECT {by}, bin, count(*) AS n FROM hb WHERE v >= {low} AND v < {low + step * bins} GROUP BY ALL), hk AS (SELECT {by}, count(*) AS samples FROM {samples} GROUP BY ALL),
+hg AS (SELECT {", ".join(f"hk.{b}" for b in by.split(", "))}, CAST(x AS INT) AS bin, samples, coalesce(n, 0) AS n FROM hk CROSS JOIN range(0, {bins}) t(x) LEFT JOIN hc ON {" AND ".join(f"hc.{b} = hk.{b}" for b in by.split(", "))} AND hc.bin = x),
+hu AS (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bin) AS up, sum(n) OVER (PARTITION BY {by} ORDER BY bin DESC) AS down, sum(n) OVER (PARTITION BY {by}) AS total FROM hg),
+hz AS (SELECT {by}, min(bin) FILTER (up > trunc(CAST(total AS FLOAT) * {share})) AS st, max(bin) FILTER (down > trunc(CAST(total AS FLOAT) * {share})) AS ed FROM hu WHERE total > 0 GROUP BY ALL),
+hl AS (SELECT hu.*, st, ed, greatest(1, floor({clip} * samples / (ed - st + 1))) AS lim FROM hu JOIN hz USING ({by}) WHERE bin BETWEEN st AND ed),
+hx AS (SELECT *, CAST(sum(greatest(n - lim, 0)) OVER (PARTITION BY {by}) AS BIGINT) AS ex, ed - st + 1 AS m FROM hl),
+hr AS (SELECT *, ex % m AS rest, greatest(m // greatest(ex % m, 1), 1) AS stp, bin - st AS pos FROM hx),
+hn AS (SELECT {by}, bin, st, ed, least(n, lim) + ex // m + CASE WHEN rest > 0 AND pos % stp = 0 AND pos // stp < rest THEN 1 ELSE 0 END AS n FROM hr),
+hs AS (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bin) AS cum FROM hn),
+hm AS (SELECT *, min(cum) OVER (PARTITION BY {by}) AS c0, max(cum) OVER (PARTITION BY {by}) AS c1 FROM hs),
+hd AS (SELECT {by}, bin, st, ed, CASE WHEN c1 > c0 THEN 255.0e0 * (cum - c0) / (c1 - c0) ELSE 0 END AS dst FROM hm),
+lut AS (SELECT {by}, CAST(x AS INT) AS bin, dst FROM hd CROSS JOIN range(0, {bins}) t(x) WHERE least(greatest(x, st), ed) = hd.bin)"""
+
+
+@query("c3_render_clahe", f"WITH {Q_SQL}, {_clahe('q', 'k', 100, 20, 70, 10.0, 0.002)} SELECT q.k, r, c, round(dst, 6) + 0.0 AS v FROM q JOIN lut ON lut.k = q.k AND lut.bin = greatest(least(trunc((v - 100) / 20), 69), 0)")
 def c3h(spark, sf):
     return rounded(R.render(q(spark, sf), R.Render("hist", 100, 1500, 20)))
 
 
-@query("w8_render_tiles")
+_TILES = f"""{E_SQL}, z AS (SELECT max(r) + 1 AS nr, (max(r) + 1) // 4 AS tr FROM e), t AS (SELECT e.*, nr, tr, least(r // tr, 3) AS ty, least(c // 5, 3) AS tx FROM e, z),
+s AS (SELECT k, ty, tx, v FROM t WHERE (r - ty * tr) % 3 = 0 AND (c - tx * 5) % 3 = 0 AND r - ty * tr < greatest(CASE WHEN ty = 3 THEN nr - 3 * tr ELSE tr END // 3, 1) * 3 AND c - tx * 5 < greatest(5 // 3, 1) * 3),
+cy AS (SELECT y, y * tr + CASE WHEN y = 3 THEN nr - 3 * tr ELSE tr END // 2 AS c FROM z, range(0, 4) t(y)), cx AS (SELECT x, x * 5 + 2 AS c FROM range(0, 4) t(x)),
+py AS (SELECT r, coalesce(max(y) FILTER (cy.c <= r), 0) AS y0, coalesce(min(y) FILTER (cy.c > r), 3) AS y1 FROM (SELECT DISTINCT r FROM e), cy GROUP BY r),
+px AS (SELECT u.c AS c, coalesce(max(x) FILTER (cx.c <= u.c), 0) AS x0, coalesce(min(x) FILTER (cx.c > u.c), 3) AS x1 FROM (SELECT DISTINCT c FROM e) u, cx GROUP BY u.c),
+wy AS (SELECT r, y0, y1, CASE WHEN y0 = y1 OR r < a.c THEN 0 ELSE r - a.c END AS wy, CASE WHEN y0 = y1 OR r < a.c THEN 1 ELSE b.c - a.c END AS sy FROM py JOIN cy a ON a.y = y0 JOIN cy b ON b.y = y1),
+wx AS (SELECT px.c, x0, x1, CASE WHEN x0 = x1 OR px.c < a.c THEN 0 ELSE px.c - a.c END AS wx, CASE WHEN x0 = x1 OR px.c < a.c THEN 1 ELSE b.c - a.c END AS sx FROM px JOIN cx a ON a.x = x0 JOIN cx b ON b.x = x1)"""
+_BLEND = """g AS (SELECT t.k, t.r, t.c, t.v, wx, sx, wy, sy, a.dst AS e0, b.dst AS e1, l.dst AS e2, d.dst AS e3 FROM t JOIN wy ON wy.r = t.r JOIN wx ON wx.c = t.c
+LEFT JOIN lut a ON a.k = t.k AND a.ty = y0 AND a.tx = x0 AND a.bin = trunc((v + 0.5) / 0.01) LEFT JOIN lut b ON b.k = t.k AND b.ty = y0 AND b.tx = x1 AND b.bin = trunc((v + 0.5) / 0.01)
+LEFT JOIN lut l ON l.k = t.k AND l.ty = y1 AND l.tx = x0 AND l.bin = trunc((v + 0.5) / 0.01) LEFT JOIN lut d ON d.k = t.k AND d.ty = y1 AND d.tx = x1 AND d.bin = trunc((v + 0.5) / 0.01))
+SELECT k, r, c, CASE WHEN v >= -0.5 AND v < 0.5 THEN round(coalesce(((sy - wy) * ((sx - wx) * coalesce(e0, e1, e2, e3) + wx * coalesce(e1, e0, e2, e3)) + wy * ((sx - wx) * coalesce(e2, e1, e0, e3) + wx * coalesce(e3, e2, e1, e0))) / (sx * sy), v), 4) + 0.0 ELSE round(v, 4) + 0.0 END AS v FROM g"""
+
+
+@query("w8_render_tiles", f"WITH {_TILES}, {_clahe('s', 'k, ty, tx', -0.5, 0.01, 100, 10.0, 0.002)}, {_BLEND}")
 def w8(spark, sf):
     cube = e_cube(spark, sf)
-    return rounded(R.render_tiles(cube.frames(), cube.extent(1), cube.extent(0), R.Render("tile hist", -1, 1, 0.01), (4, 4)))
+    return rounded(R.render_tiles(cube.frames(), cube.extent(1), cube.extent(0), R.Render("tile hist", -0.5, 0.5, 0.01), (4, 4)), 4)
 
 
 @query("w3_despeckle")
