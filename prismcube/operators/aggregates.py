@@ -139,9 +139,11 @@ def empty_tiles(frames: DataFrame, tile: int, nodata=()) -> DataFrame:
 
 
 def packet_frames(packets: DataFrame) -> DataFrame:
-    """Packets (file, ord, data_type, band): each META packet begins a frame; file, frame, packets, valid (as many image packets as the file has bands)."""
-    order = W.partitionBy("file").orderBy("ord").rowsBetween(W.unboundedPreceding, 0)
-    p = packets.withColumn("line", F.sum((F.col("data_type") == "META").cast("int")).over(order) - 1).filter("line >= 0")
+    """Packets (file, ord, data_type, band): each META packet begins a frame, which the source counts as line, or a window does; file, line, packets, valid (as many image packets as the file has bands)."""
+    if "line" not in packets.columns:
+        order = W.partitionBy("file").orderBy("ord").rowsBetween(W.unboundedPreceding, 0)
+        packets = packets.withColumn("line", F.sum((F.col("data_type") == "META").cast("int")).over(order) - 1)
+    p = packets.filter("line >= 0")
     image = F.col("data_type") == "IMAGE"
     f = p.groupBy("file", "line").agg(F.count(F.when(image, 1)).alias("packets"), F.max(F.when(image, F.col("band"))).alias("top"))
     return f.withColumn("valid", F.col("packets") == F.max("top").over(W.partitionBy("file")) + 1).select("file", "line", "packets", "valid")

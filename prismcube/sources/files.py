@@ -1,28 +1,33 @@
-"""Readers and writers of the formats around a cube: text matrices, flat binary rasters, raw packets, records, cameras and rational polynomials.
+"""Readers and writers of the formats around a cube: text matrices, headers of flat rasters, raw packets, records and cameras.
 
-Files are listed and read by Spark (text and binaryFile), so any store works; parsers are plain functions over
-their bytes or lines.
+Files are listed by Spark; text is read by it, too. Packets and records are read a part at a time, and what a part cuts
+off is carried into the next, so a file may be of any size; parsers are plain functions over bytes or lines.
 """
 
 from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import store
+
 SEPARATORS = r"[ ,;|\t]+"
 #: Type codes of the flat binary format and their numpy names.
-ENVI_TYPES = {1: "u1", 2: "i2", 3: "i4", 4: "f4", 5: "f8", 12: "u2", 13: "u4"}
-FORMATS = {"hdr": "envi", "dat": "envi", "img": "envi", "parquet": "parquet", "npy": "npy", "raw": "packets"}
+ENVI_TYPES = {1: "u1", 2: "i2", 3: "i4", 4: "f4", 5: "f8", 6: "c8", 9: "c16", 12: "u2", 13: "u4"}
+#: Bytes of a file that are read at a time.
+PART = 1 << 24
 
 
-def format_of(path: str, default: str = "envi") -> str:
-    return FORMATS.get(path.rsplit(".", 1)[-1].lower(), default) if "." in path.rsplit("/", 1)[-1] else default
+def _tokens(lines):
+    """Lines (an array) as arrays of their words, without empty lines."""
+    words = F.transform(lines, lambda x: F.filter(F.split(F.trim(x), SEPARATORS), lambda w: w != ""))
+    return F.filter(words, lambda w: F.size(w) > 0)
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -31,28 +36,29 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.filter(F.trim("text") != "")
 
 
+def matrix_of(texts: DataFrame, cols: int) -> DataFrame:
+    """r, c, v of whole texts (value). A line of `cols` numbers is a row; a line of two is a 1-based (row, col) mark of value 1; others fail."""
+    words = texts.select(_tokens(F.split("value", "\r?\n")).alias("w"))
+    rows = words.select(F.posexplode(F.filter("w", lambda w: F.size(w) == cols)).alias("r", "t")).select("r", F.posexplode("t").alias("c", "v")).withColumn("v", F.col("v").cast("double"))
+    marks = words.select(F.explode(F.filter("w", lambda w: (F.size(w) == 2) & F.lit(cols != 2))).alias("t"))
+    marked = marks.select((F.get("t", F.lit(0)).cast("int") - 1).alias("r"), (F.get("t", F.lit(1)).cast("int") - 1).alias("c"), F.lit(1.0).alias("v"))
+    odd = words.select(F.explode(F.filter("w", lambda w: (F.size(w) != cols) & (F.size(w) != 2))).alias("t"))
+    wrong = odd.select(F.raise_error(F.concat(F.lit("not a matrix row nor a mark: "), F.array_join("t", " "))).cast("int").alias("r"), F.lit(0).alias("c"), F.lit(0.0).alias("v"))
+    return rows.unionByName(marked).unionByName(wrong)
+
+
 def read_matrix(spark: SparkSession, path: str, cols: int) -> DataFrame:
-    """r, c, v of a text matrix. A line of `cols` numbers is a row; a line of two is a 1-based (row, col) mark of value 1; others fail."""
-    from pyspark.sql import Window as W
+    return matrix_of(spark.read.text(path, wholetext=True), cols)
 
-    t = read_text_lines(spark, path).withColumn("t", F.filter(F.split(F.trim("text"), SEPARATORS), lambda x: x != "")).withColumn("n", F.size("t"))
-    if cols == 2:
-        marks = t.filter("false")
-    else:
-        marks = t.filter("n = 2")
-    matrix = t.filter(F.col("n") == cols).withColumn("r", F.row_number().over(W.orderBy("ord")) - 1).select("r", F.posexplode("t").alias("c", "v")).withColumn("v", F.col("v").cast("double"))
-    marked = marks.select((F.get("t", F.lit(0)).cast("int") - 1).alias("r"), (F.get("t", F.lit(1)).cast("int") - 1).alias("c"), F.lit(1.0).alias("v"))
-    wrong = t.filter((F.col("n") != cols) & (F.col("n") != 2)).select(F.raise_error(F.concat(F.lit("not a matrix row nor a mark: "), F.col("text"))).cast("int").alias("r"), F.lit(0).alias("c"), F.lit(0.0).alias("v"))
-    return matrix.unionByName(marked).unionByName(wrong)
 
+def coefficients_of(texts: DataFrame, cols: int) -> DataFrame:
+    """r, c, v of whole texts (value): numbers in any layout, row by row."""
+    numbers = texts.select(F.posexplode(F.flatten(_tokens(F.split("value", "\r?\n")))).alias("i", "v"))
+    return numbers.select(F.floor(F.col("i") / cols).cast("int").alias("r"), (F.col("i") % cols).cast("int").alias("c"), F.col("v").cast("double").alias("v"))
 
-def read_coefficients(spark: SparkSession, path: str, cols: int) -> DataFrame:
-    """r, c, v of numbers in any layout, row by row."""
-    from pyspark.sql import Window as W
 
-    t = read_text_lines(spark, path).select("ord", F.posexplode(F.filter(F.split(F.trim("text"), SEPARATORS), lambda x: x != "")).alias("at", "v"))
-    i = F.row_number().over(W.orderBy("ord", "at")) - 1
-    return t.withColumn("i", i).select(F.floor(F.col("i") / cols).cast("int").alias("r"), (F.col("i") % cols).cast("int").alias("c"), F.col("v").cast("double").alias("v"))
+def read_coefficients(spark: SparkSession, path: str, cols: int) -> DataFrame:
+    return coefficients_of(spark.read.text(path, wholetext=True), cols)
 
 
 def matrix_text(cells: DataFrame, key: str = "k", order: str = "r", value: str = "v") -> DataFrame:
@@ -63,57 +69,21 @@ def matrix_text(cells: DataFrame, key: str = "k", order: str = "r", value: str =
     return s.select(key, F.array_join(F.transform("s", lambda x: x["t"]), "\t").alias("value"))
 
 
+_HEADER = {"samples", "lines", "bands", "header offset", "file type", "data type", "interleave", "byte order"}
+
+
 def envi_header(text: str) -> dict:
     """samples, lines, bands, interleave, type and byte order of a header."""
     pairs = {k.strip().lower(): v.strip() for k, v in re.findall(r"^([^=\n]+)=\s*(\{[^}]*\}|[^\n]*)", text, re.M)}
     kind = ("<" if int(pairs.get("byte order", 0)) == 0 else ">") + ENVI_TYPES[int(pairs["data type"])]
-    return {"samples": int(pairs["samples"]), "lines": int(pairs["lines"]), "bands": int(pairs["bands"]), "interleave": pairs.get("interleave", "bsq").lower(), "dtype": kind, "offset": int(pairs.get("header offset", 0)), "nodata": pairs.get("data ignore value")}
-
-
-def read_envi(spark: SparkSession, path: str, header: dict, window: dict | None = None) -> DataFrame:
-    """b, y, x, v of flat binary rasters of one shape, each file whole in a task (below 2 GB); larger files are read in parts by sources.envi."""
-    n, kind = header, np.dtype(header["dtype"])
-    record = {"bsq": n["samples"], "bil": n["samples"], "bip": n["samples"] * n["bands"]}[n["interleave"]] * kind.itemsize
-    if n["offset"] % record:
-        raise ValueError("the header offset is not a whole number of lines")
-    skip = n["offset"] // record
-    binary = spark.read.format("binaryFile").load(path).select("content")
-    w = window or {}
-    x0, x1 = w.get("xoff", 0), w.get("xoff", 0) + w.get("xsize", n["samples"])
-    y0, y1 = w.get("yoff", 0), w.get("yoff", 0) + w.get("ysize", n["lines"])
-    b0, b1 = w.get("boff", 0), w.get("boff", 0) + w.get("bsize", n["bands"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                a = np.frombuffer(data, kind, offset=skip * record)
-                shape = {"bsq": (n["bands"], n["lines"], n["samples"]), "bil": (n["lines"], n["bands"], n["samples"]), "bip": (n["lines"], n["samples"], n["bands"])}[n["interleave"]]
-                a = a[: int(np.prod(shape))].reshape(shape)
-                cube = a if n["interleave"] == "bsq" else a.transpose(1, 0, 2) if n["interleave"] == "bil" else a.transpose(2, 0, 1)
-                for b in range(b0, min(b1, n["bands"])):
-                    part = cube[b, y0:y1, x0:x1]
-                    y, x = np.indices(part.shape)
-                    yield pa.RecordBatch.from_pydict({"b": pa.array(np.full(part.size, b), pa.int32()), "y": pa.array(y.ravel() + y0, pa.int32()), "x": pa.array(x.ravel() + x0, pa.int32()), "v": pa.array(part.ravel().astype(float))})
-
-    return binary.mapInArrow(run, "b int, y int, x int, v double")
-
-
-def envi_text(samples: int, lines: int, bands: int, kind: str, interleave: str = "bsq") -> str:
-    code = next(k for k, v in ENVI_TYPES.items() if v == kind.lstrip("<>="))
-    return f"ENVI\nsamples = {samples}\nlines = {lines}\nbands = {bands}\nheader offset = 0\nfile type = ENVI Standard\ndata type = {code}\ninterleave = {interleave}\nbyte order = 0\n"
-
+    return {"samples": int(pairs["samples"]), "lines": int(pairs["lines"]), "bands": int(pairs["bands"]), "interleave": pairs.get("interleave", "bsq").lower(), "dtype": kind, "offset": int(pairs.get("header offset", 0)), "nodata": pairs.get("data ignore value"), "tags": {k: v for k, v in pairs.items() if k not in _HEADER}}
 
-def band_bytes(frames: DataFrame, rows: int, cols: int, kind: str = "f4") -> DataFrame:
-    """k and the little-endian bytes of each frame, cells that are missing 0: the parts of a bsq file."""
-    info = np.iinfo(kind) if kind[0] in "iu" else None
 
-    def run(table: pa.Table) -> pa.Table:
-        m = np.zeros((rows, cols))
-        m[table.column("r").to_numpy(), table.column("c").to_numpy()] = table.column("v").to_numpy()
-        m = np.clip(np.floor(m + 0.5), info.min, info.max) if info else m
-        return pa.table({"k": pa.array([table.column("k")[0].as_py()], pa.int32()), "content": pa.array([m.astype("<" + kind).tobytes()], pa.binary())})
-
-    return frames.groupBy("k").applyInArrow(run, "k int, content binary")
+def envi_text(samples: int, lines: int, bands: int, kind: str, interleave: str = "bsq", tags: dict[str, str] | None = None) -> str:
+    """A header; tags are further entries, such as a map's place."""
+    code = next(k for k, v in ENVI_TYPES.items() if v == kind.lstrip("<>="))
+    head = f"ENVI\nsamples = {samples}\nlines = {lines}\nbands = {bands}\nheader offset = 0\nfile type = ENVI Standard\ndata type = {code}\ninterleave = {interleave}\nbyte order = 0\n"
+    return head + "".join(f"{k} = {v}\n" for k, v in (tags or {}).items())
 
 
 TOKEN = bytes.fromhex("0915c000")
@@ -132,22 +102,37 @@ def pack12(values) -> bytes:
     return np.stack([v[:, 0] >> 4, (v[:, 0] & 15) << 4 | v[:, 1] >> 8, v[:, 1] & 255], 1).astype(np.uint8).tobytes()
 
 
+def packets_in(parts: Iterable[bytes], token: bytes = TOKEN, packed: bool = True) -> Iterator[dict]:
+    """Packets of a raw stream that comes in parts: token, 2-byte sample count, type, band (one byte; of 12 bits when it begins with 2 or less), 3-byte frame, payload.
+
+    What a part cuts off waits for the next; what the end cuts off is left out. line counts the frames' first (META)
+    packets from 0, and is -1 before them.
+    """
+    rest, ord_, line, head = b"", 0, -1, len(token) + 8
+    for part in parts:
+        rest, pos = rest + part, 0
+        while True:
+            at = rest.find(token, pos)
+            if at < 0:
+                at = max(len(rest) - len(token) + 1, pos)
+                break
+            if at + head > len(rest):
+                break
+            h = rest[at + len(token) : at + head]
+            samples, kind, b0, b1 = int.from_bytes(h[:2], "big"), h[2], h[3], h[4]
+            image = kind & 15 == 7
+            n = samples * 3 // 2 if packed or not image else samples * 2
+            start = at + head
+            if start + n > len(rest):
+                break
+            line += not image
+            yield {"ord": ord_, "line": line, "image_type": "SWIR" if kind >> 4 == 1 else "VNIR", "data_type": "IMAGE" if image else "META", "band": (b0 << 8) + b1 if b0 <= 2 else b1, "frame": int.from_bytes(h[5:8], "big"), "n_bytes": n, "payload": rest[start : start + n]}
+            ord_, pos = ord_ + 1, start + n
+        rest = rest[at:]
+
+
 def packets_of(data: bytes, token: bytes = TOKEN, packed: bool = True) -> Iterator[dict]:
-    """Packets of a raw stream: token, 2-byte sample count, type, band (one byte; of 12 bits when it begins with 2 or less), 3-byte frame, payload. What is cut off is left out."""
-    at, ord_ = data.find(token), 0
-    while at >= 0:
-        head = data[at + len(token) : at + len(token) + 8]
-        if len(head) < 8:
-            return
-        samples, kind, b0, b1 = int.from_bytes(head[:2], "big"), head[2], head[3], head[4]
-        band = (b0 << 8) + b1 if b0 <= 2 else b1
-        image = kind & 15 == 7
-        n = samples * 3 // 2 if packed or not image else samples * 2
-        start = at + len(token) + 8
-        if start + n > len(data):
-            return
-        yield {"ord": ord_, "image_type": "SWIR" if kind >> 4 == 1 else "VNIR", "data_type": "IMAGE" if image else "META", "band": band, "frame": int.from_bytes(head[5:8], "big"), "n_bytes": n, "payload": data[start : start + n]}
-        ord_, at = ord_ + 1, data.find(token, start + n)
+    return packets_in([data], token, packed)
 
 
 def packet(samples: int, kind: int, band: int, frame: int, payload: bytes, token: bytes = TOKEN) -> bytes:
@@ -155,28 +140,33 @@ def packet(samples: int, kind: int, band: int, frame: int, payload: bytes, token
     return token + struct.pack(">HBBB", samples, kind, band >> 8, band & 255) + frame.to_bytes(3, "big") + payload
 
 
-_PACKETS = "file string, ord long, image_type string, data_type string, band int, frame int, n_bytes int, payload binary"
+_PACKETS = pa.schema([("file", pa.string()), ("ord", pa.int64()), ("line", pa.int64()), ("image_type", pa.string()), ("data_type", pa.string()), ("band", pa.int32()), ("frame", pa.int32()), ("n_bytes", pa.int32()), ("payload", pa.binary())])
+_PACKETS_SQL = "file string, ord long, line long, image_type string, data_type string, band int, frame int, n_bytes int, payload binary"
 
 
-def read_packets(spark: SparkSession, path: str, token: bytes = TOKEN, packed: bool = True) -> DataFrame:
-    """Packets of raw files, by file and place; a file is parsed by one task."""
+def _batches(rows: Iterable[dict], schema: pa.Schema, size, most: int = PART) -> Iterator[pa.RecordBatch]:
+    """Record batches of rows, of about that many bytes."""
+    held, total = [], 0
+    for r in rows:
+        held.append(r)
+        total += size(r)
+        if total > most:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, total = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
+def read_packets(spark: SparkSession, path: str, token: bytes = TOKEN, packed: bool = True, part: int = PART) -> DataFrame:
+    """Packets of raw files, by file and place. A file is one task's, since each packet says where the next may begin; it is read a part at a time."""
 
     def run(batches):
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-        names = [x.split()[0] for x in _PACKETS.split(", ")]
         for b in batches:
-            for file, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows, size = [], 0
-                for p in packets_of(data, token, packed):
-                    rows.append({"file": file} | p)
-                    size += p["n_bytes"]
-                    if size > 1 << 24:
-                        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(list(zip(names, kinds, strict=True))))
-                        rows, size = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(list(zip(names, kinds, strict=True))))
+            for file in b.column(0).to_pylist():
+                found = ({"file": file} | p for p in packets_in(store.chunks(file, part), token, packed))
+                yield from _batches(found, _PACKETS, lambda r: r["n_bytes"] + 100)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, _PACKETS)
+    return store.listed(spark, path).select("path").mapInArrow(run, _PACKETS_SQL)
 
 
 def decode(packets: DataFrame) -> DataFrame:
@@ -187,9 +177,11 @@ def decode(packets: DataFrame) -> DataFrame:
     from ..operators.maps import unpack12 as unpack
 
     lines = packet_frames(packets).filter("valid").withColumn("y", F.row_number().over(W.partitionBy("file").orderBy("line")) - 1)
-    order = W.partitionBy("file").orderBy("ord").rowsBetween(W.unboundedPreceding, 0)
-    p = packets.withColumn("line", F.sum((F.col("data_type") == "META").cast("int")).over(order) - 1).filter("data_type = 'IMAGE'")
-    p = p.join(lines.select("file", "line", "y"), ["file", "line"]).withColumn("s", unpack(F.col("payload")))
+    p = packets
+    if "line" not in p.columns:
+        order = W.partitionBy("file").orderBy("ord").rowsBetween(W.unboundedPreceding, 0)
+        p = p.withColumn("line", F.sum((F.col("data_type") == "META").cast("int")).over(order) - 1)
+    p = p.filter("data_type = 'IMAGE'").join(lines.select("file", "line", "y"), ["file", "line"]).withColumn("s", unpack(F.col("payload")))
     p = p.select("file", "image_type", F.col("band").alias("b"), "y", F.size("s").alias("n"), F.posexplode("s").alias("i", "v"))
     m = F.floor(F.col("n") / 4)
     part = F.floor(F.col("i") / m)
@@ -197,56 +189,61 @@ def decode(packets: DataFrame) -> DataFrame:
     return p.select("file", "b", "y", flipped.cast("int").alias("x"), F.col("v").cast("double").alias("v"))
 
 
+def records_in(parts: Iterable[bytes]) -> Iterator[tuple[int, bytes]]:
+    """(frame, message) of a record file that comes in parts: two int32, then as many bytes; empty ones are skipped, a cut one ends."""
+    rest = b""
+    for part in parts:
+        rest, at = rest + part, 0
+        while at + 8 <= len(rest):
+            frame, n = struct.unpack_from("<ii", rest, at)
+            if n < 0:
+                return
+            if at + 8 + n > len(rest):
+                break
+            if n:
+                yield frame, rest[at + 8 : at + 8 + n]
+            at += 8 + n
+        rest = rest[at:]
+
+
 def aux_records(data: bytes) -> Iterator[tuple[int, bytes]]:
-    """(frame, message) of a record file: two int32, then as many bytes; empty ones are skipped, a cut one ends."""
-    at = 0
-    while at + 8 <= len(data):
-        frame, n = struct.unpack_from("<ii", data, at)
-        if n < 0 or at + 8 + n > len(data):
-            return
-        if n:
-            yield frame, data[at + 8 : at + 8 + n]
-        at += 8 + n
+    return records_in([data])
+
+
+def unpack_message(data: bytes) -> str:
+    """The text of a record's 12-bit samples, one character each, up to the first zero."""
+    return bytes((unpack12(data) & 255).astype(np.uint8)).split(b"\0")[0].decode("latin-1")
+
+
+_AUX = pa.schema([("file", pa.string()), ("ord", pa.int32()), ("frame", pa.int32()), ("msg", pa.string())])
 
 
-def read_aux(spark: SparkSession, path: str) -> DataFrame:
-    """file, ord, frame, msg."""
+def read_aux(spark: SparkSession, path: str, packed: bool = False, part: int = PART) -> DataFrame:
+    """file, ord, frame, msg of record files, read a part at a time; packed: messages are 12-bit samples."""
 
     def run(batches):
         for b in batches:
-            for file, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows = [(file, i, f, m.decode("latin-1")) for i, (f, m) in enumerate(aux_records(data))]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else ((), (), (), ()), (pa.string(), pa.int32(), pa.int32(), pa.string()), strict=True)], names=["file", "ord", "frame", "msg"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, ord int, frame int, msg string")
-
-
-#: Names of the offsets and scales in a rational polynomial's text.
-RPC_NAMES = ("line_off", "samp_off", "lat_off", "long_off", "height_off", "line_scale", "samp_scale", "lat_scale", "long_scale", "height_scale")
-
-
-def parse_rpc(text: str) -> dict:
-    """Offsets, scales and the four times twenty coefficients of `NAME: value [unit]` lines or `name = (...)` groups."""
-    t = text.lower()
-    out: dict = {}
-    for name in RPC_NAMES:
-        found = re.search(rf"{name.replace('_off', '_?off(?:set)?')}\s*[:=]?\s*([-+0-9.e]+)", t)
-        if found:
-            out[name] = float(found[1])
-    for key, stem in (("line_num", "line_?num"), ("line_den", "line_?den"), ("samp_num", "samp_?num"), ("samp_den", "samp_?den")):
-        group = re.search(rf"{stem}_?coef\w*\s*=\s*\(([^)]*)\)", t)
-        if group:
-            out[key] = np.array([float(x) for x in re.findall(r"[-+0-9.]+(?:e[-+]?\d+)?", group[1])])
-        else:
-            found = re.findall(rf"{stem}_coeff_(\d+)\s*[:=]?\s*([-+0-9.e]+)", t)
-            out[key] = np.array([float(v) for _, v in sorted(found, key=lambda x: int(x[0]))])
-    return out
+            for file in b.column(0).to_pylist():
+                rows = ({"file": file, "ord": i, "frame": f, "msg": unpack_message(m) if packed else m.decode("latin-1")} for i, (f, m) in enumerate(records_in(store.chunks(file, part))))
+                yield from _batches(rows, _AUX, lambda r: len(r["msg"]) + 50)
+
+    return store.listed(spark, path).select("path").mapInArrow(run, "file string, ord int, frame int, msg string")
+
+
+def aux_text(records: DataFrame) -> DataFrame:
+    """file, ord, text: `frame<tab>message` lines of records, the message's first character left out."""
+    return records.select("file", "ord", F.concat(F.col("frame").cast("string"), F.lit("\t"), F.expr("substring(msg, 2)")).alias("text"))
 
 
-def rpc_text(rpc: dict) -> str:
-    lines = [f"{n.upper()}: {rpc[n]!r}" for n in RPC_NAMES]
-    lines += [f"{k.upper()}_COEFF_{i + 1}: {float(v)!r}" for k in ("line_num", "line_den", "samp_num", "samp_den") for i, v in enumerate(rpc[k])]
-    return "\n".join(lines) + "\n"
+def aux_of(packets: DataFrame) -> DataFrame:
+    """file, ord, frame, msg of the META packets of valid frames: the records that go with a decoded cube."""
+    from ..operators.aggregates import packet_frames
+    from pyspark.sql import Window as W
+
+    text = F.udf(lambda p: unpack_message(bytes(p)), "string", useArrow=True)
+    lines = packet_frames(packets).filter("valid").select("file", "line")
+    p = packets.filter("data_type = 'META'").join(lines, ["file", "line"])
+    return p.select("file", (F.row_number().over(W.partitionBy("file").orderBy("line")) - 1).alias("ord"), "frame", text("payload").alias("msg"))
 
 
 def parse_camera(text: str) -> dict:
@@ -255,21 +252,20 @@ def parse_camera(text: str) -> dict:
     return dict(zip(("f", "pixel", "x0", "y0"), first, strict=False)) | {"angles": second[:3], "shift": second[3:6]}
 
 
-def features_text(features: list[list[tuple]]) -> str:
-    """Number of frames, then for each its number of rows and the rows, with one decimal."""
-    out = [str(len(features))]
-    for rows in features:
-        out.append(str(len(rows)))
-        out += ["\t".join(f"{x:.1f}" for x in r) for r in rows]
-    return "\n".join(out) + "\n"
-
+def features_text(features: DataFrame, frames: int, columns: list[str]) -> DataFrame:
+    """k, ord, text: the lines of features (k and columns) of frames 0 to frames - 1, each frame's number of rows first, with one decimal. A line before all holds the number of frames."""
+    row = F.array_join(F.array(*(F.format_string("%.1f", F.col(c).cast("double")) for c in columns)), "\t")
+    own = features.groupBy("k").agg(F.array_sort(F.collect_list(F.struct(*columns, row.alias("text")))).alias("s")).select("k", F.transform("s", lambda x: x["text"]).alias("rows"))
+    every = features.sparkSession.range(frames).select(F.col("id").cast("int").alias("k")).join(own, "k", "left")
+    rows = F.coalesce("rows", F.array().cast("array<string>"))
+    lines = every.select("k", F.posexplode(F.concat(F.array(F.size(rows).cast("string")), rows)).alias("ord", "text"))
+    first = features.sparkSession.createDataFrame([(-1, 0, str(frames))], "k int, ord int, text string")
+    return first.unionByName(lines)
 
-def kml(points: list[tuple[str, float, float]], line: bool = False) -> str:
-    """A document of named points, or of one line through them."""
-    from xml.sax.saxutils import escape
 
-    if line:
-        body = "<Placemark><LineString><coordinates>" + " ".join(f"{x},{y},0" for _, x, y in points) + "</coordinates></LineString></Placemark>"
-    else:
-        body = "".join(f"<Placemark><name>{escape(n)}</name><Point><coordinates>{x},{y},0</coordinates></Point></Placemark>" for n, x, y in points)
-    return f'<?xml version="1.0" encoding="UTF-8"?><kml xmlns="http://www.opengis.net/kml/2.2"><Document>{body}</Document></kml>'
+def write_lines(lines: DataFrame, path: str, *order: str) -> None:
+    """Writes the column text of a small table as one file, in order."""
+    rows = lines.select(*order, "text").sort(*order).toLocalIterator()
+    with store.open_write(path) as f:
+        for r in rows:
+            f.write((r.text + "\n").encode())

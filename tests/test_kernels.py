@@ -14,7 +14,8 @@ from prismcube.operators import maps as M
 from prismcube.operators import segments as S
 from prismcube.plans import tasks
 from prismcube.queries import RPC
-from prismcube.sources import files
+from prismcube.sources import files, lists, raster
+from prismcube.sources import rpc as rpc_files
 
 
 def frame(spark, m, k=0):
@@ -128,8 +129,12 @@ def test_rational_polynomials(spark):
     points = spark.createDataFrame([tuple(map(float, r)) for r in zip(lon, lat, h, line, sample, strict=True)], "lon double, lat double, h double, line double, sample double")
     fitted = geo.rpc_fit(points)
     assert fitted["rms"] < 0.05
-    back = files.parse_rpc(files.rpc_text(RPC))
-    assert np.allclose(back["line_num"], RPC["line_num"]) and back["samp_scale"] == RPC["samp_scale"]
+    for form in (rpc_files.text, rpc_files.group_text):
+        back = rpc_files.parse(form(RPC | {"affine": (1.0, 0.5, -2e-9, 3.0, 0.0, 1e-3)}))
+        assert np.allclose(back["line_num"], RPC["line_num"]) and np.allclose(back["samp_den"], RPC["samp_den"]) and back["samp_scale"] == RPC["samp_scale"]
+        assert back["affine"] == (1.0, 0.5, -2e-9, 3.0, 0.0, 1e-3)
+    with pytest.raises(ValueError, match="missing"):
+        rpc_files.parse("LINE_OFF: 1 pixels")
     other = RPC | {"samp_num": [0.02, 1.0, 0.01, 0.4, 0.002, *[0.0] * 15]}
     seen = [(r, *geo.rpc_forward(r, 120.1, 34.1, 80.0)) for r in (RPC, other)]
     assert np.allclose(geo.intersect(seen, (120.0, 34.0, 100.0)), (120.1, 34.1, 80.0), atol=1e-4)
@@ -184,13 +189,94 @@ def test_envi(spark, tmp_path, way):
     (tmp_path / "a.img").write_bytes(stored.tobytes())
     (tmp_path / "a.hdr").write_text(files.envi_text(4, 3, 2, "u2", way))
     want = {(b, y, x, float(cube[b, y, x])) for b in range(2) for y in range(3) for x in range(4)}
-    header = files.envi_header((tmp_path / "a.hdr").read_text())
-    assert set(map(tuple, files.read_envi(spark, str(tmp_path / "a.img"), header).collect())) == want
+    whole = raster.open_cube(spark, str(tmp_path / "a.img"))
+    assert set(map(tuple, whole.cells.collect())) == want and whole.size == (4, 3, 2)
     spark.dataSource.register(EnviSource)
     df = spark.read.format("envi").option("path", str(tmp_path / "a.img")).option("boff", 1).option("xsize", 2).load()
     assert set(map(tuple, df.collect())) == {q for q in want if q[0] == 1 and q[2] < 2}
-    k = files.band_bytes(df.selectExpr("b AS k", "y AS r", "x AS c", "v"), 3, 2, "u2").first()
-    assert np.array_equal(np.frombuffer(k.content, "<u2").reshape(3, 2), cube[1, :, :2])
+    assert raster.write_raster(whole, str(tmp_path / "out.img"), "uint16") == 24
+    assert np.array_equal(np.fromfile(tmp_path / "out.img", "<u2").reshape(2, 3, 4), cube)
+
+
+def test_raster_write(spark, tmp_path):
+    cells = [(*p, v) for p, v in zip(((b, y, x) for b in range(2) for y in range(3) for x in range(4)), [300.0, -2.0, 1.5, 2.5, 7.49, float("nan"), *map(float, range(18))], strict=True)]
+    df = spark.createDataFrame(cells, "b int, y int, x int, v double").filter("NOT (b = 1 AND y = 2 AND x = 3)")
+    out, blocks = str(tmp_path / "sub" / "o.dat"), raster.BLOCK_CELLS
+    raster.BLOCK_CELLS = 4  # a line a block
+    try:
+        assert raster.write_raster(Cube(df, (4, 3, 2)), out, "byte", tags={"map info": "{x, 1}"}) == 23
+    finally:
+        raster.BLOCK_CELLS = blocks
+    m = np.fromfile(out, "u1").reshape(2, 3, 4)
+    assert m[0].ravel()[:6].tolist() == [255, 0, 2, 3, 7, 0] and m[1, 2, 3] == 0 and m[1, 2, 2] == 16
+    assert files.envi_header((tmp_path / "sub" / "o.hdr").read_text())["tags"]["map info"] == "{x, 1}"
+    with pytest.raises(ValueError, match="another shape"):
+        raster.write_raster(Cube(df, (4, 3, 2)), out, "float32")
+    one = spark.createDataFrame([(0, 0, 0, 9.0), (0, 0, 1, 8.0)], "b int, y int, x int, v double")
+    raster.write_raster(Cube(one, (2, 1, 1)), out, "byte", offset=(1, 2, 1), size=(4, 3, 2))
+    assert np.fromfile(out, "u1").reshape(2, 3, 4)[1, 2].tolist() == [m[1, 2, 0], 9, 8, 0]
+    np.save(tmp_path / "a.npy", np.arange(24, dtype="i2").reshape(2, 3, 4))
+    cube = raster.open_cube(spark, str(tmp_path / "a.npy"))
+    assert cube.size == (4, 3, 2) and {(r.b, r.y, r.x): r.v for r in cube.cells.collect()}[1, 2, 3] == 23
+    raster.write_table(cube, str(tmp_path / "t.parquet"))
+    assert raster.open_cube(spark, str(tmp_path / "t.parquet")).size == (4, 3, 2)
+    assert raster.output_path("/a/b.png") == "/a/b_mod.tif" and raster.output_path("/a/b.img", str(tmp_path)) == str(tmp_path / "b.img")
+    with pytest.raises(ValueError, match="no reader"):
+        raster.open_cube(spark, "/x/y.ecw")
+
+
+def test_packets_in_parts(spark, tmp_path):
+    rng, data = np.random.default_rng(8), b"\x09\x15"
+    for i in range(40):
+        data += files.packet(4, 0, 0, i, files.pack12([ord("a"), ord("b"), 0, 0])) + files.packet(20, 0x07, 0, i, files.pack12(rng.integers(0, 4096, 20)))
+    (tmp_path / "p.dat").write_bytes(data + files.TOKEN)
+    whole = list(files.packets_of(data))
+    assert len(whole) == 80 and [p["line"] for p in whole[:4]] == [0, 0, 1, 1]
+    for part in (1, 7, 64, 1000):
+        assert list(files.packets_in((data[i : i + part] for i in range(0, len(data), part)))) == whole
+    got = files.read_packets(spark, str(tmp_path / "*.dat"), part=50).orderBy("ord").collect()
+    assert [(r.ord, r.line, bytes(r.payload)) for r in got] == [(p["ord"], p["line"], p["payload"]) for p in whole]
+    assert files.decode(files.read_packets(spark, str(tmp_path / "p.dat"), part=33)).count() == 800
+    records = b"".join(n.to_bytes(4, "little") + (6).to_bytes(4, "little") + files.pack12([ord(c) for c in "#xyz"]) for n in range(5))
+    (tmp_path / "p.aux").write_bytes(records + b"\x01")
+    aux = files.read_aux(spark, str(tmp_path / "p.aux"), packed=True, part=5)
+    assert [r.text for r in files.aux_text(aux).orderBy("ord").collect()] == [f"{n}\txyz" for n in range(5)]
+    files.write_lines(files.aux_text(aux), str(tmp_path / "p.pos"), "ord")
+    assert (tmp_path / "p.pos").read_text() == "".join(f"{n}\txyz\n" for n in range(5))
+    assert [r.msg for r in files.aux_of(files.read_packets(spark, str(tmp_path / "p.dat"))).orderBy("ord").collect()] == ["ab"] * 40
+
+
+def test_lists(spark, tmp_path):
+    (tmp_path / "a.dat").write_bytes(b"x")
+    (tmp_path / "b.dat").write_bytes(b"x")
+    (tmp_path / "b.hdr").write_text("ENVI")
+    (tmp_path / "l.txt").write_text(f"a.dat\r\n{tmp_path}/b.dat\nnone.dat\n")
+    raw, images = lists.file_list([str(tmp_path / "l.txt"), str(tmp_path / "b.dat"), str(tmp_path / "missing")])
+    assert raw == [str(tmp_path / "a.dat")] and images == [str(tmp_path / "b.dat")] * 2
+    assert lists.format_of(str(tmp_path / "b.img")) == "envi" and lists.format_of("x.tif") == "gtiff" and lists.format_of("x") == "memory" and lists.format_of("x.zzz") == "envi"
+    assert lists.wavelengths("1,2;3 4.5") == [1, 2, 3, 4.5]
+    with pytest.raises(ValueError):
+        lists.wavelengths("1,,2")
+    strips = [("s1", f"f{i}", i, 2) for i in range(3)]
+    text = lists.strips_text([*strips, ("s2", "g", 1, 1)])
+    assert lists.read_strips(text, 2) == strips and len(lists.read_strips(text, 1)) == 4
+    points = spark.createDataFrame([("g1 a b c 30:30:36 120:15:00 5.5",), ("short",)], "text string")
+    (r,) = lists.control_points(points).collect()
+    assert (r.name, r.h) == ("g1", 5.5) and abs(r.lon - 120.25) < 1e-12 and abs(r.lat - 30.51) < 1e-12
+    (r,) = lists.point_lines(spark.createDataFrame([("n,m,1.5,2.5\n",), ("x",)], "text string")).collect()
+    assert tuple(r) == ("n", "m", 1.5, 2.5)
+    assert "<Folder><name>f&amp;</name>" in lists.kml([("p<", 1.0, 2.0, 3.0)], folder="f&") and "1.0,2.0,3.0" in lists.kml([("p", 1.0, 2.0, 3.0)])
+    out = files.features_text(spark.createDataFrame([(2, 1.25, 3.0), (2, 0.5, 1.0)], "k int, x double, y double"), 3, ["x", "y"])
+    assert [r.text for r in out.orderBy("k", "ord").collect()] == ["3", "0", "0", "2", "0.5\t1.0", "1.3\t3.0"]
+
+
+def test_rpc_files(tmp_path):
+    grid = {"dx": np.arange(12).reshape(3, 4) / 100, "dy": -np.arange(12).reshape(3, 4) / 50, "step": (100, 200)}
+    rpc_files.save(str(tmp_path / "a.rpb"), RPC | {"grid": grid, "affine": (1, 2, 3, 4, 5, 6)}, {"sx": 1, "sy": 2, "mx": 3, "my": 4})
+    back = rpc_files.load(str(tmp_path / "a.rpb"))
+    assert np.allclose(back["grid"]["dx"], grid["dx"]) and np.allclose(back["grid"]["dy"], grid["dy"]) and back["grid"]["step"] == (100, 200)
+    assert back["affine"] == (1, 2, 3, 4, 5, 6) and "max : 3.000000" in (tmp_path / "a.rpb.res").read_text()
+    assert np.allclose(rpc_files.parse((tmp_path / "a.rpb").read_text().replace("sampNumCoef", "pixelNumeratorCoefficients").replace("sampDenCoef", "pixelDenominatorCoefficients").replace("lineNumCoef", "lineNumeratorCoefficients").replace("lineDenCoef", "lineDenominatorCoefficients").replace("samp", "pixel").replace("latOff", "latitudeOff").replace("latSc", "latitudeSc").replace("longOff", "longitudeOff").replace("longSc", "longitudeSc"))["samp_num"], RPC["samp_num"])
 
 
 def test_task_lists(spark, tmp_path):
