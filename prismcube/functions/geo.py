@@ -47,22 +47,106 @@ def utm_letter(lat: Column) -> Column:
 WGS_A, WGS_F, UTM_K0 = 6378137.0, 1 / 298.257223563, 0.9996
 
 
+#: The third flattening, the rectifying radius, and the Krueger series of order 4: forward, inverse, and of the latitude.
+_N = WGS_F / (2 - WGS_F)
+_RADIUS = WGS_A / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
+_ALPHA = (_N / 2 - 2 / 3 * _N**2 + 5 / 16 * _N**3 + 41 / 180 * _N**4, 13 / 48 * _N**2 - 3 / 5 * _N**3 + 557 / 1440 * _N**4, 61 / 240 * _N**3 - 103 / 140 * _N**4, 49561 / 161280 * _N**4)
+_BETA = (_N / 2 - 2 / 3 * _N**2 + 37 / 96 * _N**3 - 1 / 360 * _N**4, 1 / 48 * _N**2 + 1 / 15 * _N**3 - 437 / 1440 * _N**4, 17 / 480 * _N**3 - 37 / 840 * _N**4, 4397 / 161280 * _N**4)
+_DELTA = (2 * _N - 2 / 3 * _N**2 - 2 * _N**3 + 116 / 45 * _N**4, 7 / 3 * _N**2 - 8 / 5 * _N**3 - 227 / 45 * _N**4, 56 / 15 * _N**3 - 136 / 35 * _N**4, 4279 / 630 * _N**4)
+
+
 def to_utm(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
     """Easting and northing (south of the equator without the false ten million) by the Krueger series of order 4."""
-    n = WGS_F / (2 - WGS_F)
-    e = 2 * np.sqrt(n) / (1 + n)
-    radius = WGS_A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
-    alpha = (n / 2 - 2 / 3 * n**2 + 5 / 16 * n**3 + 41 / 180 * n**4, 13 / 48 * n**2 - 3 / 5 * n**3 + 557 / 1440 * n**4, 61 / 240 * n**3 - 103 / 140 * n**4, 49561 / 161280 * n**4)
+    e = float(2 * np.sqrt(_N) / (1 + _N))
     phi, d = F.radians(lat), F.radians(lon - (zone * 6 - 183))
     atanh = lambda x: F.log((1 + x) / (1 - x)) / 2
     s = F.sin(phi)
-    t = F.sinh(atanh(s) - float(e) * atanh(float(e) * s))
+    t = F.sinh(atanh(s) - e * atanh(e * s))
     xi, eta = F.atan2(t, F.cos(d)), atanh(F.sin(d) / F.sqrt(1 + t * t))
     x, y = eta, xi
-    for j, a in enumerate(alpha, 1):
+    for j, a in enumerate(_ALPHA, 1):
         x = x + float(a) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         y = y + float(a) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return 500000.0 + UTM_K0 * float(radius) * x, UTM_K0 * float(radius) * y
+    return 500000.0 + UTM_K0 * float(_RADIUS) * x, UTM_K0 * float(_RADIUS) * y
+
+
+def from_utm(easting: Column, northing: Column, zone: Column) -> tuple[Column, Column]:
+    """Longitude and latitude of to_utm()'s easting and northing."""
+    xi, eta = northing / (UTM_K0 * float(_RADIUS)), (easting - 500000.0) / (UTM_K0 * float(_RADIUS))
+    u, w = xi, eta
+    for j, b in enumerate(_BETA, 1):
+        u = u - float(b) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        w = w - float(b) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(u) / F.cosh(w))
+    lat = chi
+    for j, d in enumerate(_DELTA, 1):
+        lat = lat + float(d) * F.sin(2 * j * chi)
+    return zone * 6 - 183 + F.degrees(F.atan2(F.sinh(w), F.cos(u))), F.degrees(lat)
+
+
+def to_local(track: DataFrame) -> DataFrame:
+    """track (part, ord, lon, lat, h) with x, y, z in metres from each part's first record, in the plain zone of that record.
+
+    A part's first record comes from one aggregate (a row a part), not from a window over the track.
+    """
+    first = track.groupBy("part").agg(F.min_by(F.struct("lon", "lat", "h"), "ord").alias("o"))
+    zone = (F.floor((F.col("o.lon") + 180) / 6) + 1).cast("int")
+    x0, y0 = to_utm(F.col("o.lon"), F.col("o.lat"), zone)
+    first = first.select("part", zone.alias("zone"), x0.alias("x0"), y0.alias("y0"), F.col("o.h").alias("h0"))
+    x, y = to_utm(F.col("lon"), F.col("lat"), F.col("zone"))
+    out = track.join(first, "part")
+    return out.select(*track.columns, (x - F.col("x0")).alias("x"), (y - F.col("y0")).alias("y"), (F.col("h") - F.col("h0")).alias("z"), "zone", "x0", "y0", "h0")
+
+
+def from_local(points: DataFrame) -> DataFrame:
+    """points (x, y, z and to_local()'s zone, x0, y0, h0) with lon, lat, h."""
+    lon, lat = from_utm(F.col("x") + F.col("x0"), F.col("y") + F.col("y0"), F.col("zone"))
+    return points.withColumn("lon", lon).withColumn("lat", lat).withColumn("h", F.col("z") + F.col("h0"))
+
+
+def interpolate_track(records: DataFrame, lines: DataFrame) -> DataFrame:
+    """(part, line, x, a) of lines (part, line) from records (part, ord, time, x, vx, a; arrays of three).
+
+    Positions by cubic pieces with the velocities as slopes (times a line's time, from the second to the third record), or,
+    where any record of the part stands still, with those of a monotone interpolation, as for angles. Slopes come
+    from the records beside; a line takes the piece that begins last before it. Lines outside of the records, and parts
+    of fewer than three, give null.
+    """
+    o = W.partitionBy("part").orderBy("ord")
+    r = records.withColumn("n", F.row_number().over(o)).withColumn("many", F.count(F.lit(1)).over(W.partitionBy("part")))
+    still = F.forall("vx", lambda v: F.abs(v) < 1e-4)
+    every = W.partitionBy("part")
+    at = lambda c, i: F.max(F.when(F.col("n") == i, F.col(c))).over(every)
+    r = r.withColumn("moves", ~F.coalesce(F.bool_or(still).over(every), F.lit(True)))
+    r = r.withColumn("step", (at("time", 3) - at("time", 2)) / (at("ord", 3) - at("ord", 2)))
+    r = r.withColumn("h0", F.col("ord") - F.lag("ord").over(o)).withColumn("h1", F.lead("ord").over(o) - F.col("ord"))
+    channels = [(c, i) for c in ("x", "a") for i in range(3)]
+    for c, i in channels:
+        y = F.get(c, F.lit(i))
+        r = r.withColumn(f"{c}{i}", y)
+        before, after = (F.col(f"{c}{i}") - F.lag(f"{c}{i}").over(o)) / F.col("h0"), (F.lead(f"{c}{i}").over(o) - F.col(f"{c}{i}")) / F.col("h1")
+        w0, w1 = 2 * F.col("h1") + F.col("h0"), F.col("h1") + 2 * F.col("h0")
+        slope = F.when(before.isNull(), after).when(after.isNull(), before).when(before * after > 0, (w0 + w1) / (w0 / before + w1 / after)).otherwise(0.0)
+        if c == "x":
+            slope = F.when(F.col("moves"), F.get("vx", F.lit(i)) * F.col("step")).otherwise(slope)
+        r = r.withColumn(f"d{c}{i}", slope)
+    fields = [F.col("ord").cast("double").alias("o0"), F.lead("ord").over(o).cast("double").alias("o1")]
+    for c, i in channels:
+        fields += [F.col(f"{c}{i}").alias(f"{c}{i}"), F.lead(f"{c}{i}").over(o).alias(f"n{c}{i}"), F.col(f"d{c}{i}").alias(f"d{c}{i}"), F.lead(f"d{c}{i}").over(o).alias(f"m{c}{i}")]
+    piece = F.when(F.col("h1").isNotNull() & (F.col("many") >= 3), F.struct(*fields))
+    pieces = r.select("part", F.col("ord").cast("double").alias("at"), F.lit(0).alias("kind"), piece.alias("p"))
+    wanted = lines.select("part", F.col("line").cast("double").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast(pieces.schema["p"].dataType).alias("p"))
+    back = W.partitionBy("part").orderBy("at", "kind").rowsBetween(W.unboundedPreceding, 0)
+    found = pieces.unionByName(wanted).withColumn("p", F.last("p", ignorenulls=True).over(back)).filter("kind = 1")
+    h, inside = F.col("p.o1") - F.col("p.o0"), F.col("at") <= F.col("p.o1")
+    t = (F.col("at") - F.col("p.o0")) / h
+
+    def value(c: str, i: int) -> Column:
+        y0, y1, d0, d1 = (F.col(f"p.{k}{c}{i}") for k in ("", "n", "d", "m"))
+        cubic = (1 + 2 * t) * (1 - t) * (1 - t) * y0 + t * (1 - t) * (1 - t) * h * d0 + t * t * (3 - 2 * t) * y1 + t * t * (t - 1) * h * d1
+        return F.when(inside, cubic)
+
+    return found.select("part", F.col("at").alias("line"), *(F.array(*(value(c, i) for i in range(3))).alias(c) for c in ("x", "a")))
 
 
 def velocity_check(track: DataFrame) -> DataFrame:
@@ -149,32 +233,102 @@ def rpc_forward(rpc: dict, lon, lat, h):
 
 
 def rpc_inverse(rpc: dict, line: np.ndarray, sample: np.ndarray, h: np.ndarray, most: int = 21, close: float = 0.005) -> tuple[np.ndarray, np.ndarray]:
-    """lon and lat at a height: Newton steps with differences of 1e-6 degrees, until all are within `close` pixels."""
+    """lon and lat at a height: Newton steps with differences of 1e-6 degrees. Each point stops by itself, when it is within `close` pixels."""
     lon, lat = np.full(len(line), float(rpc["long_off"])), np.full(len(line), float(rpc["lat_off"]))
+    todo = np.arange(len(line))
     for _ in range(most):
-        y, x = rpc_forward(rpc, lon, lat, h)
-        ey, ex = line - y, sample - x
-        if max(np.abs(ey).max(initial=0), np.abs(ex).max(initial=0)) < close:
+        y, x = rpc_forward(rpc, lon[todo], lat[todo], h[todo])
+        ey, ex = line[todo] - y, sample[todo] - x
+        on = ~(np.hypot(ey, ex) < close)
+        todo, y, x, ey, ex = todo[on], y[on], x[on], ey[on], ex[on]
+        if not len(todo):
             break
-        (ya, xa), (yb, xb) = rpc_forward(rpc, lon + 1e-6, lat, h), rpc_forward(rpc, lon, lat + 1e-6, h)
+        p, q, z = lon[todo], lat[todo], h[todo]
+        (ya, xa), (yb, xb) = rpc_forward(rpc, p + 1e-6, q, z), rpc_forward(rpc, p, q + 1e-6, z)
         a, b, c, d = (ya - y) / 1e-6, (yb - y) / 1e-6, (xa - x) / 1e-6, (xb - x) / 1e-6
         det = a * d - b * c
-        lon, lat = lon + (d * ey - b * ex) / det, lat + (a * ex - c * ey) / det
+        lon[todo], lat[todo] = p + (d * ey - b * ex) / det, q + (a * ex - c * ey) / det
     return lon, lat
 
 
-def rpc_inverse_frame(points: DataFrame, rpc: dict) -> DataFrame:
-    """points (line, sample, h) with lon and lat."""
+def grid_shift(grid: dict, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """dx and dy of places by bilinear interpolation of a correction grid; 0 outside of it."""
+    rows, cols = grid["dx"].shape
+    u, v = np.asarray(x, float) / grid["step"][0], np.asarray(y, float) / grid["step"][1]
+    i, j = np.trunc(v).astype(int), np.trunc(u).astype(int)
+    inside = (i >= 0) & (i < rows - 1) & (j >= 0) & (j < cols - 1)
+    i, j = np.where(inside, i, 0), np.where(inside, j, 0)
+    fy, fx = v - i, u - j
+    out = []
+    for z in (grid["dx"], grid["dy"]):
+        top, low = z[i, j] + fx * (z[i, j + 1] - z[i, j]), z[i + 1, j] + fx * (z[i + 1, j + 1] - z[i + 1, j])
+        out.append(np.where(inside, top + fy * (low - top), 0.0))
+    return out[0], out[1]
+
+
+def image_of_photo(x, y, ab) -> tuple:
+    """Image place of a photo place by the affine correction (six numbers: of the line, then of the sample)."""
+    return x + ab[3] + ab[4] * x + ab[5] * y, y + ab[0] + ab[1] * x + ab[2] * y
+
+
+def photo_of_image(x, y, ab) -> tuple:
+    """The inverse of image_of_photo()."""
+    t = (1 + ab[4]) * (1 + ab[2]) - ab[5] * ab[1]
+    u, v = x - ab[3], y - ab[0]
+    return ((1 + ab[2]) * u - ab[5] * v) / t, ((1 + ab[4]) * v - ab[1] * u) / t
+
+
+def ground_to_photo(rpc: dict, lon: np.ndarray, lat: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """line and sample, the grid's correction added; places count from the centre of the first pixel."""
+    line, sample = rpc_forward(rpc, lon, lat, h)
+    if "grid" in rpc:
+        dx, dy = grid_shift(rpc["grid"], sample, line)
+        line, sample = line + dy, sample + dx
+    return line, sample
+
+
+def photo_to_ground(rpc: dict, line: np.ndarray, sample: np.ndarray, h: np.ndarray, image: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """lon and lat at a height; image: places are of the image, and the affine correction is taken off first. The grid's is taken off next."""
+    if image and "affine" in rpc:
+        sample, line = photo_of_image(sample, line, rpc["affine"])
+    if "grid" in rpc:
+        dx, dy = grid_shift(rpc["grid"], sample, line)
+        line, sample = line - dy, sample - dx
+    return rpc_inverse(rpc, line, sample, h)
+
+
+def _frame(points: DataFrame, inputs: tuple[str, ...], outputs: tuple[str, ...], f) -> DataFrame:
+    """points with columns of doubles from arrays of others."""
+    from pyspark.sql.types import DoubleType, StructType
+
+    names = points.columns
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            lon, lat = rpc_inverse(rpc, *(b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("line", "sample", "h")))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lon), pa.array(lat)], names=[*b.schema.names, "lon", "lat"])
+            out = f(*(b.column(names.index(c)).to_numpy(zero_copy_only=False).astype(float) for c in inputs))
+            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, out)], names=[*names, *outputs])
+
+    schema = StructType(list(points.schema.fields))
+    for c in outputs:
+        schema = schema.add(c, DoubleType())
+    return points.mapInArrow(run, schema)
+
+
+def rpc_inverse_frame(points: DataFrame, rpc: dict) -> DataFrame:
+    """points (line, sample, h) with lon and lat."""
+    return _frame(points, ("line", "sample", "h"), ("lon", "lat"), lambda y, x, h: rpc_inverse(rpc, y, x, h))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema.fields)
-    return points.mapInArrow(run, f"{schema}, lon double, lat double")
+
+def ground_to_photo_frame(points: DataFrame, rpc: dict) -> DataFrame:
+    """points (lon, lat, h) with line and sample, corrected by the grid."""
+    return _frame(points, ("lon", "lat", "h"), ("line", "sample"), lambda *p: ground_to_photo(rpc, *p))
+
+
+def photo_to_ground_frame(points: DataFrame, rpc: dict, image: bool = False) -> DataFrame:
+    """points (line, sample, h) with lon and lat, corrected by the grid, and by the affine first if they are of the image."""
+    return _frame(points, ("line", "sample", "h"), ("lon", "lat"), lambda *p: photo_to_ground(rpc, *p, image=image))
 
 
 def rpc_fit(points: DataFrame, rounds: int = 25, ridge: float = 1e-6) -> dict:
@@ -238,6 +392,76 @@ def intersect(images: list[tuple[dict, float, float]], start: tuple[float, float
     return tuple(p.tolist())
 
 
+def intersect_frame(seen: DataFrame, rpcs: dict[str, dict], image: bool = False, most: int = 25) -> DataFrame:
+    """(id, lon, lat, h, images, rms) of points that are seen (id, image, line, sample) in two images or more, by Gauss-Newton; null for fewer.
+
+    A point's sightings are one row; points are solved in batches, those with the same images together. image: the affine
+    correction is taken off first.
+    """
+    import pyarrow as pa
+
+    at = F.array_sort(F.collect_list(F.struct("image", F.col("line").cast("double").alias("line"), F.col("sample").cast("double").alias("sample"))))
+    rows = seen.filter(F.col("image").isin(*rpcs)).groupBy("id").agg(at.alias("s"))
+
+    def solve(names, y, x):
+        n = y.shape[0]
+        for k, name in enumerate(names):
+            if image and "affine" in rpcs[name]:
+                x[:, k], y[:, k] = photo_of_image(x[:, k], y[:, k], rpcs[name]["affine"])
+        first, step = rpcs[names[0]], np.array([1e-6, 1e-6, 1e-2])
+        p = np.tile([first["long_off"], first["lat_off"], first["height_off"]], (n, 1)).astype(float)
+        f = lambda q: np.concatenate([np.stack([a - y[:, k], b - x[:, k]], 1) for k, r in enumerate(names) for a, b in [rpc_forward(rpcs[r], *q.T)]], axis=1)
+        going = np.ones(n, bool)
+        for _ in range(most):
+            e = f(p)
+            j = np.stack([(f(p + step * u) - e) for u in np.eye(3)], 2)  # in units of step
+            normal = np.einsum("nij,nik->njk", j, j)
+            d = np.linalg.solve(normal + 1e-18 * np.trace(normal, axis1=1, axis2=2)[:, None, None] * np.eye(3), -np.einsum("nij,ni->nj", j, e)[..., None])[..., 0] * step
+            p = p + np.where(going[:, None], d, 0.0)
+            going &= (np.abs(d[:, :2]).max(axis=1) >= 1e-12) | (np.abs(d[:, 2]) >= 1e-10)
+            if not going.any():
+                break
+        return p, np.sqrt((f(p) ** 2).mean(axis=1))
+
+    def run(batches):
+        for b in batches:
+            lists = b.column(1).to_pylist()
+            out, rms = np.full((len(lists), 3), np.nan), np.full(len(lists), np.nan)
+            groups = {}
+            for i, s in enumerate(lists):
+                groups.setdefault(tuple(q["image"] for q in s), []).append(i)
+            for names, own in groups.items():
+                if len(names) > 1:
+                    y, x = (np.array([[q[c] for q in lists[i]] for i in own]) for c in ("line", "sample"))
+                    out[own], rms[own] = solve(names, y, x)
+            few = np.isnan(rms)
+            columns = [pa.array(v, mask=few) for v in (*out.T, rms)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns[:3], pa.array([len(s) for s in lists], pa.int32()), columns[3]], names=["id", "lon", "lat", "h", "images", "rms"])
+
+    kind = seen.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, lon double, lat double, h double, images int, rms double")
+
+
+def to_plane_frame(points: DataFrame, projection: np.ndarray) -> DataFrame:
+    """points (u, v, h) with x, y: where the pixels' rays meet the planes z = h."""
+
+    def f(u, v, h):
+        m = np.stack([np.broadcast_to(projection[:, 0], (len(h), 3)), np.broadcast_to(projection[:, 1], (len(h), 3)), projection[:, 2] * h[:, None] + projection[:, 3]], 2)
+        p = np.linalg.solve(m, np.stack([u, v, np.ones(len(u))], 1)[..., None])[..., 0]
+        return p[:, 0] / p[:, 2], p[:, 1] / p[:, 2]
+
+    return _frame(points, ("u", "v", "h"), ("x", "y"), f)
+
+
+def track_similarity(pairs: DataFrame) -> DataFrame:
+    """pairs (px, py, qx, qy, ux, uy, wx, wy) with a, b, c, d of the similarity that takes p to u and q to w, as track_affine()."""
+    dx, dy = F.col("qx") - F.col("px"), F.col("qy") - F.col("py")
+    eu, ev = F.col("wx") - F.col("ux"), F.col("wy") - F.col("uy")
+    n = dx * dx + dy * dy
+    out = pairs.withColumn("a", F.try_divide(dx * eu + dy * ev, n)).withColumn("b", F.try_divide(dx * ev - dy * eu, n))
+    return out.withColumn("c", F.col("ux") - F.col("a") * F.col("px") + F.col("b") * F.col("py")).withColumn("d", F.col("uy") - F.col("b") * F.col("px") - F.col("a") * F.col("py"))
+
+
 def affine(x: Column, y: Column, m: tuple[float, ...]) -> tuple[Column, Column]:
     """m: a0 + a1 x + a2 y, b0 + b1 x + b2 y."""
     return m[0] + m[1] * x + m[2] * y, m[3] + m[4] * x + m[5] * y

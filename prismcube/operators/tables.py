@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .maps import small
+
 
 def splice(cells: DataFrame, shapes: DataFrame) -> DataFrame:
     """One cube of several (scene, b, y, x, v) one under another; shapes: scene, height, in the scenes' order. Values become whole numbers of 16 bits."""
     offset = F.sum("height").over(W.orderBy("scene")) - F.col("height")
-    off = shapes.select("scene", offset.alias("off"))
+    off = small(shapes.select("scene", offset.alias("off")))
     v = F.greatest(F.least(F.round("v"), F.lit(65535.0)), F.lit(0.0)).cast("int")
-    return cells.join(F.broadcast(off), "scene").select("b", (F.col("y") + F.col("off")).alias("y"), "x", v.alias("v"))
+    return cells.join(off, "scene").select("b", (F.col("y") + F.col("off")).alias("y"), "x", v.alias("v"))
 
 
 def group_intervals(files: DataFrame) -> DataFrame:
@@ -40,9 +42,31 @@ def group_intervals(files: DataFrame) -> DataFrame:
     return one.select(F.lit(0).alias("all"), "name", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last")).groupBy("all").applyInArrow(run, "name string, first long, last long, grp int")
 
 
+def _level(size):
+    """The level whose cells (2 to the level wide) are not smaller than a size; sizes of 0 go to a small one."""
+    return F.greatest(F.ceil(F.log2(F.greatest(size, F.lit(1e-9)))), F.lit(-30)).cast("int")
+
+
+def _cells(lo, hi, level):
+    """Cells along one axis that an interval touches, at most two or three at its own level or a larger one."""
+    width = F.pow(F.lit(2.0), level)
+    return F.sequence(F.floor(lo / width), F.floor(hi / width))
+
+
 def in_rectangles(points: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Points strictly inside boxes (box, x0, y0, x1, y1), which are few."""
-    return points.join(F.broadcast(boxes), (F.col("x") > F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") > F.col("y0")) & (F.col("y") < F.col("y1")))
+    """Points strictly inside boxes (box, x0, y0, x1, y1).
+
+    Boxes lie in a few cells of a grid as coarse as they are large, and points in one cell of each grid that a box uses, so
+    both sides meet in an equi-join, however many boxes there are.
+    """
+    level = _level(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))
+    b = boxes.filter("x1 > x0 AND y1 > y0").withColumn("level", level)
+    levels = [r[0] for r in b.select("level").distinct().collect()]  # the sizes' powers of two
+    b = b.withColumn("cx", F.explode(_cells(F.col("x0"), F.col("x1"), F.col("level")))).withColumn("cy", F.explode(_cells(F.col("y0"), F.col("y1"), F.col("level"))))
+    at = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("level")))
+    p = points.withColumn("level", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>"))).withColumn("cx", at("x")).withColumn("cy", at("y"))
+    inside = (F.col("x") > F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") > F.col("y0")) & (F.col("y") < F.col("y1"))
+    return p.join(b, ["level", "cx", "cy"]).filter(inside).drop("level", "cx", "cy")
 
 
 def in_polygon(points: DataFrame, polygon: list[tuple[float, float]]) -> DataFrame:
@@ -69,11 +93,31 @@ def hex_islands(names: DataFrame) -> DataFrame:
 
 
 def intersecting(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Pairs of rectangles (id, x, y, w, h) of a and b that touch or overlap; b is a short list."""
-    a = a.select(*(F.col(c).alias(f"a_{c}") for c in ("id", "x", "y", "w", "h")))
-    b = F.broadcast(b.select(*(F.col(c).alias(f"b_{c}") for c in ("id", "x", "y", "w", "h"))))
+    """Pairs of rectangles (id, x, y, w, h) of a and b that touch or overlap.
+
+    Each side lies in a few cells of the grid of its own size and of every larger one that the other side uses; a pair meets at
+    the larger of both, and counts in the cell that holds the corner of what they share.
+    """
+
+    def placed(df: DataFrame, s: str) -> DataFrame:
+        df = df.select(*(F.col(c).alias(f"{s}_{c}") for c in ("id", "x", "y", "w", "h")))
+        return df.withColumn(f"{s}_level", _level(F.greatest(f"{s}_w", f"{s}_h")))
+
+    a, b = placed(a, "a"), placed(b, "b")
+    levels = {s: [r[0] for r in df.select(f"{s}_level").distinct().collect()] for s, df in (("a", a), ("b", b))}  # powers of two
+    every = F.array(*map(F.lit, sorted({*levels["a"], *levels["b"]}))) if levels["a"] and levels["b"] else F.array().cast("array<int>")
+
+    def dealt(df: DataFrame, s: str) -> DataFrame:
+        df = df.withColumn("level", F.explode(F.filter(every, lambda x: x >= F.col(f"{s}_level"))))
+        for c, n in (("x", "w"), ("y", "h")):
+            df = df.withColumn(f"c{c}", F.explode(_cells(F.col(f"{s}_{c}"), F.col(f"{s}_{c}") + F.col(f"{s}_{n}"), F.col("level"))))
+        return df
+
     on = (F.col("a_x") <= F.col("b_x") + F.col("b_w")) & (F.col("b_x") <= F.col("a_x") + F.col("a_w")) & (F.col("a_y") <= F.col("b_y") + F.col("b_h")) & (F.col("b_y") <= F.col("a_y") + F.col("a_h"))
-    return a.join(b, on)
+    corner = lambda c: F.floor(F.greatest(f"a_{c}", f"b_{c}") / F.pow(F.lit(2.0), F.col("level"))) == F.col(f"c{c}")
+    out = dealt(a, "a").join(dealt(b, "b"), ["level", "cx", "cy"])
+    out = out.filter(on & (F.col("level") == F.greatest("a_level", "b_level")) & corner("x") & corner("y"))
+    return out.drop("level", "cx", "cy", "a_level", "b_level")
 
 
 def tile_grid(spark, rx: int, ry: int, rw: int, rh: int, tile: int) -> DataFrame:

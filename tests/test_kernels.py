@@ -418,3 +418,95 @@ def test_inpaint_in_tiles(spark):
         out = matrix(K.inpaint(f, bad, 40, 40, tile=tile), (40, 40))
         assert np.nanmax(np.abs(out - m)) < 0.15 and np.isnan(out[20, 20]) and np.isnan(out).sum() == 1
         assert out[0, 0] == m[0, 0]
+
+
+def test_utm_and_local_metres(spark):
+    rows = [(i % 3, i, 100.0 + i * 3.7 % 80, -70.0 + i * 2.9 % 140, float(i)) for i in range(60)]
+    t = spark.createDataFrame(rows, "part int, ord int, lon double, lat double, h double")
+    zone = geo.utm_zone(F.col("lon"), F.lit(0.0))
+    x, y = geo.to_utm(F.col("lon"), F.col("lat"), zone)
+    lon, lat = geo.from_utm(F.col("x"), F.col("y"), F.col("z"))
+    for r in t.select("lon", "lat", x.alias("x"), y.alias("y"), zone.alias("z")).withColumn("a", lon).withColumn("b", lat).collect():
+        assert abs(r.a - r.lon) < 1e-8 and abs(r.b - r.lat) < 1e-8
+    track = spark.createDataFrame([(0, i, 116.0 + i / 100, 39.0 + i / 50, 50.0 + i) for i in range(5)], "part int, ord int, lon double, lat double, h double")
+    local = geo.to_local(track).orderBy("ord")
+    rows = local.collect()
+    assert (rows[0].x, rows[0].y, rows[0].z) == (0, 0, 0) and 800 < rows[1].x < 920 and 2100 < rows[1].y < 2300
+    for r, q in zip(geo.from_local(local.drop("lon", "lat", "h")).orderBy("ord").collect(), track.orderBy("ord").collect(), strict=True):
+        assert abs(r.lon - q.lon) < 1e-9 and abs(r.lat - q.lat) < 1e-9 and abs(r.h - q.h) < 1e-9
+
+
+def test_tracks_between_records(spark):
+    rng = np.random.default_rng(3)
+    ord_ = np.array([0, 2, 5, 6, 9, 13], float)
+    x, a, v = rng.normal(size=(6, 3)), rng.normal(size=(6, 3)), rng.normal(size=(6, 3))
+    rows = [(p, int(o), float(o) / 10, x[i].tolist(), (v[i] if p == 0 or i != 2 else v[i] * 0).tolist(), a[i].tolist()) for p in (0, 1) for i, o in enumerate(ord_)]
+    rows += [(2, 0, 0.0, [0.0] * 3, [1.0] * 3, [0.0] * 3), (2, 5, 1.0, [1.0] * 3, [1.0] * 3, [0.0] * 3)]
+    kind = "array<double>"
+    records = spark.createDataFrame(rows, f"part int, ord int, time double, x {kind}, vx {kind}, a {kind}")
+    places = [0.0, 0.5, 2.0, 4.9, 5.0, 7.25, 12.0, 13.0]
+    lines = spark.createDataFrame([(p, q) for p in (0, 1, 2) for q in [*places, -1.0, 13.5]], "part int, line double")
+    got = {(r.part, r.line): r for r in geo.interpolate_track(records, lines).collect()}
+    assert len(got) == 30
+    at = np.array(places)
+    for i in range(3):
+        assert np.allclose([got[0, q].x[i] for q in places], interp.cubic_hermite(ord_, x[:, i], v[:, i] * 0.1, at))
+        assert np.allclose([got[1, q].x[i] for q in places], interp.pchip(ord_, x[:, i], at))
+        assert np.allclose([got[0, q].a[i] for q in places], interp.pchip(ord_, a[:, i], at))
+    assert all(got[p, q].x == [None] * 3 for p in (0, 1) for q in (-1.0, 13.5)) and all(got[2, q].x == [None] * 3 for q in places)
+
+
+def test_rpc_points_are_independent_and_corrected(spark):
+    rng = np.random.default_rng(4)
+    line, sample, h = rng.uniform(0, 1000, 50), rng.uniform(0, 800, 50), rng.uniform(0, 200, 50)
+    lon, lat = geo.rpc_inverse(RPC, line, sample, h)
+    for i in range(0, 50, 7):
+        a, b = geo.rpc_inverse(RPC, line[i : i + 1], sample[i : i + 1], h[i : i + 1])
+        assert a[0] == lon[i] and b[0] == lat[i]
+    grid = {"dx": rng.uniform(-1, 1, (6, 5)), "dy": rng.uniform(-1, 1, (6, 5)), "step": (200, 200)}
+    affine = (0.5, 1e-4, -2e-4, -0.7, 3e-4, 1e-4)
+    x, y = geo.image_of_photo(sample, line, affine)
+    back = geo.photo_of_image(x, y, affine)
+    assert np.allclose(back[0], sample) and np.allclose(back[1], line)
+    dx, dy = geo.grid_shift(grid, np.array([100.0, 799.0, 900.0, -1.0]), np.array([100.0, 100.0, 1.0, 1.0]))
+    assert np.isclose(dx[0], grid["dx"][:2, :2].mean()) and dx[2] == dy[2] == 0 and np.isclose(dy[0], grid["dy"][:2, :2].mean())
+    full = RPC | {"grid": grid, "affine": affine}
+    ground = spark.createDataFrame([(float(a), float(b), float(c)) for a, b, c in zip(lon, lat, h, strict=True)], "lon double, lat double, h double")
+    there = geo.ground_to_photo_frame(ground, full)
+    again = geo.photo_to_ground_frame(there.select("line", "sample", "h", F.col("lon").alias("p"), F.col("lat").alias("q")), full).collect()
+    assert max(abs(r.lon - r.p) + abs(r.lat - r.q) for r in again) < 2e-5  # the grid is taken off where it was not added, some thousandths of a pixel away
+    other = RPC | {"samp_num": [0.02, 1.0, 0.01, 0.4, 0.002, *[0.0] * 15]}
+    third = RPC | {"line_num": [0.01, 0.02, -1.0, 0.3, 0.001, *[0.0] * 15]}
+    rpcs, rows = {"a": RPC, "b": other, "c": third}, []
+    for i in range(20):
+        for name in ("a", "b", "c")[: 1 + i % 3]:
+            v, u = geo.rpc_forward(rpcs[name], lon[i], lat[i], h[i])
+            rows.append((i, name, float(v), float(u)))
+    for r in geo.intersect_frame(spark.createDataFrame(rows, "id int, image string, line double, sample double"), rpcs).collect():
+        if r.id % 3:
+            assert r.images == 1 + r.id % 3 and abs(r.lon - lon[r.id]) < 1e-7 and abs(r.lat - lat[r.id]) < 1e-7 and abs(r.h - h[r.id]) < 1e-3 and r.rms < 1e-6
+        else:
+            assert r.lon is None and r.images == 1
+    p = geo.camera_matrix(np.diag([1000.0, 1000.0, 1.0]), geo.rotation((0.01, 0.02, 0.3)), np.zeros(3), np.eye(3), np.array([5.0, 6.0, 700.0]))
+    for r in geo.to_plane_frame(spark.createDataFrame([(12.0, -7.0, 20.0), (1.0, 2.0, 30.0)], "u double, v double, h double"), p).collect():
+        assert np.allclose(geo.to_plane(p, (r.u, r.v), r.h), (r.x, r.y, r.h))
+    (r,) = geo.track_similarity(spark.createDataFrame([(0.0, 0.0, 3.0, 1.0, 5.0, 5.0, 4.0, 9.0)], "px double, py double, qx double, qy double, ux double, uy double, wx double, wy double")).collect()
+    assert np.allclose((r.a, r.b, r.c, r.d), geo.track_affine((0, 0), (3, 1), (5, 5), (4, 9)))
+
+
+def test_rectangles_of_all_sizes(spark):
+    from prismcube.operators import tables as T
+
+    rng = np.random.default_rng(6)
+    size = 2.0 ** rng.uniform(-4, 6, (60, 2))
+    boxes = [(i, float(x), float(y), float(x + w), float(y + h)) for i, (x, y, w, h) in enumerate(np.column_stack([rng.uniform(-50, 50, (60, 2)), size]).tolist())]
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-60, 100, (400, 2)).tolist())]
+    p = spark.createDataFrame(points, "id int, x double, y double")
+    got = sorted((r.id, r.box) for r in T.in_rectangles(p, spark.createDataFrame(boxes, "box int, x0 double, y0 double, x1 double, y1 double")).collect())
+    assert got == sorted((i, b) for i, x, y in points for b, x0, y0, x1, y1 in boxes if x0 < x < x1 and y0 < y < y1) and got
+    rect = [(b, x0, y0, x1 - x0, y1 - y0) for b, x0, y0, x1, y1 in boxes] + [(100, 0.0, 0.0, 0.0, 0.0), (101, 0.0, 0.0, 8.0, 8.0), (102, 8.0, 8.0, 4.0, 4.0)]
+    df = spark.createDataFrame(rect, "id int, x double, y double, w double, h double")
+    got = sorted((r.a_id, r.b_id) for r in T.intersecting(df, df.filter("id % 2 = 0 OR id > 99")).collect())
+    want = sorted((a[0], b[0]) for a in rect for b in rect if (b[0] % 2 == 0 or b[0] > 99) and a[1] <= b[1] + b[3] and b[1] <= a[1] + a[3] and a[2] <= b[2] + b[4] and b[2] <= a[2] + a[4])
+    assert got == want and (101, 102) in got
+    assert T.in_rectangles(p, spark.createDataFrame([], "box int, x0 double, y0 double, x1 double, y1 double")).count() == 0
