@@ -64,7 +64,7 @@ def _running(scratch: Scratch, df: DataFrame, order: list, by: str | None, amoun
     """
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     names = df.columns
-    schema = StructType(df.schema.fields).add("part", IntegerType()).add("local", LongType())
+    schema = StructType(list(df.schema.fields)).add("part", IntegerType()).add("local", LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last, total = TaskContext.get().partitionId(), object(), 0
