@@ -105,6 +105,46 @@ def cardinal_spline(x, y, at, degree: int = 3):
 KINDS = {"pchip": pchip, "makima": makima, "barycentric": barycentric, "cubic": cardinal_spline, "quintic": lambda x, y, at: cardinal_spline(x, y, at, 5), "quadratic": lambda x, y, at: cardinal_spline(x, y, at, 2)}
 
 
+def kind_of(name: str) -> str:
+    """The interpolator of a task's parameter: spline_cubic, ..., and pchip for what is not known."""
+    name = name.strip().lower().removeprefix("spline_")
+    return name if name in KINDS else "pchip"
+
+
+def resample_frames(cells: DataFrame, wl0: list[float], wl1: list[float], size: tuple[int, int, int], kind: str = "pchip") -> tuple[DataFrame, int]:
+    """Cells (b, y, x, v) at the wavelengths wl1, and their number of bands.
+
+    wl0 holds a wavelength for each band, or one for each column and band (then wl1 has its numbers for each column,
+    too). A pixel's cells meet in one row; a pixel that lacks a band is left out.
+    """
+    from pyspark.sql import functions as F
+
+    nx, _, nb = size
+    if len(wl0) == nb:
+        bands, own = len(wl1), None
+    elif len(wl0) == nb * nx and len(wl1) // nx:
+        bands = len(wl1) // nx
+        own = {x: (wl0[x * nb : (x + 1) * nb], wl1[x * bands : (x + 1) * bands]) for x in range(nx)}
+    else:
+        raise ValueError("the wavelengths and the cube differ in length")
+    f, straight = KINDS[kind], (np.array(wl0, float), np.array(wl1, float))
+    spectra = cells.groupBy("y", "x").agg(F.array_sort(F.collect_list(F.struct(F.col("b").cast("int").alias("b"), F.col("v").cast("double").alias("v")))).alias("s")).filter(F.size("s") == nb)
+
+    def run(batches):
+        for batch in batches:
+            ys, xs = batch.column("y").to_numpy(), batch.column("x").to_numpy()
+            spec = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, nb)
+            if own is None:
+                out = f(straight[0], spec, straight[1]) if len(spec) else np.zeros((0, bands))
+            else:
+                out = np.stack([f(np.array(own[x][0]), s, np.array(own[x][1])) for x, s in zip(xs.tolist(), spec, strict=True)]) if len(spec) else np.zeros((0, bands))
+            n = len(spec)
+            yield pa.RecordBatch.from_pydict({"b": pa.array(np.tile(np.arange(bands, dtype=np.int32), n)), "y": pa.array(np.repeat(ys, bands).astype(np.int32)), "x": pa.array(np.repeat(xs, bands).astype(np.int32)), "v": pa.array(out.ravel())})
+
+    rows = spectra.select("y", "x", F.transform("s", lambda s: s["v"]).alias("v"))
+    return rows.mapInArrow(run, "b int, y int, x int, v double"), bands
+
+
 def resample_spectra(spectra: DataFrame, wl0, wl1: list[float], kind: str = "pchip") -> DataFrame:
     """spectra (.., x, spec) at wavelengths wl1; wl0 is a list for all columns or a mapping of x to lists. A batch at a time; no shuffle."""
     f = KINDS[kind]
