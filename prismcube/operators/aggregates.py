@@ -304,15 +304,10 @@ def calibrate(frames: DataFrame, cut_dark=0.03, cut_bright=0.1, threshold_dark=0
     value is within the threshold of the running mean. Lines with both samples give the tile's targets, which
     the others are brought to. With tiles, targets are interpolated between tile centres by `interpolate`
     (knots, values, places); tiles are few, lines one row each. Lines beyond the last whole tile are a tile of their own
-    if they are more than tile_overlap (half a tile), else they go to the last; rows: the lines of a frame, if tiles are used.
+    if they are more than tile_overlap (half a tile), else they go to the last; rows: the lines of a frame, if tiles are
+    used, without it up to the frame's last line that is there.
     """
     least = 3
-    if tile_size is not None:
-        if rows is None:
-            raise ValueError("tiles need the number of lines")
-        overlap = tile_size // 2 if tile_overlap is None or tile_overlap < 0 else tile_overlap
-        tiles_n = max(rows // tile_size, 1)
-        tiles_n += rows - tiles_n * tile_size > overlap
     s = frames.groupBy("k", "r").agg(_values(nodata).alias("s")).withColumn("n", F.size("s"))
     s = s.withColumn("st", share(F.col("n"), cut_dark)).withColumn("ed", F.col("n") - 1 - share(F.col("n"), cut_bright)).withColumn("ok", F.col("ed") >= F.col("st"))
     factor = lambda t, sign: float(np.float32(1 + sign * np.float32(t)))
@@ -337,14 +332,21 @@ def calibrate(frames: DataFrame, cut_dark=0.03, cut_bright=0.1, threshold_dark=0
     stat = F.when(~F.col("ok"), 2).when((F.col("d.n") >= least) & (F.col("w.n") >= least) & apart, 0).otherwise(1)
     lines = s.select("k", "r", stat.alias("stat"), F.col("d.sum").alias("sd"), F.col("d.n").alias("nd"), F.col("w.sum").alias("sw"), F.col("w.n").alias("nw"))
     frame = W.partitionBy("k")
-    lines = lines.withColumn("tile", F.lit(0) if tile_size is None else F.least(F.floor(F.col("r") / tile_size), F.lit(tiles_n - 1)).cast("int"))
+    if tile_size is None:
+        lines = lines.withColumn("tile", F.lit(0))
+    else:
+        overlap = tile_size // 2 if tile_overlap is None or tile_overlap < 0 else tile_overlap
+        lines = lines.withColumn("rows", F.lit(rows) if rows is not None else F.max("r").over(frame) + 1)
+        whole = F.greatest(F.floor(F.col("rows") / tile_size), F.lit(1))
+        lines = lines.withColumn("tiles", (whole + (F.col("rows") - whole * tile_size > overlap).cast("int")).cast("int"))
+        lines = lines.withColumn("tile", F.least(F.floor(F.col("r") / tile_size), F.col("tiles") - 1).cast("int"))
     tile = W.partitionBy("k", "tile")
     good, poor = F.col("stat") == 0, F.col("stat") == 1
     total = lambda c, when: F.sum(F.when(when, c)).over(tile)
     lines = lines.withColumn("lo", F.try_divide(total(F.col("sd"), good), total(F.col("nd"), good))).withColumn("hi", F.try_divide(total(F.col("sw"), good), total(F.col("nw"), good)))
     lines = lines.withColumn("pooled", F.try_divide(total(F.col("sd") + F.col("sw"), poor), total(F.col("nd") + F.col("nw"), poor))).withColumn("any", F.max(good).over(frame))
     if tile_size is not None:
-        lines = _between_tiles(lines, tile_size, tiles_n, rows, interpolate)
+        lines = _between_tiles(lines, tile_size, interpolate)
     sl, su = F.col("sd") / F.col("nd"), F.col("sw") / F.col("nw")
     mean = (F.col("sd") + F.col("sw")) / (F.col("nd") + F.col("nw"))
     fits = (F.col("stat") < 2) & (su - sl > DBL_EPSILON)
@@ -355,7 +357,7 @@ def calibrate(frames: DataFrame, cut_dark=0.03, cut_bright=0.1, threshold_dark=0
     return lines.select("k", "r", "a", b.alias("b"), bad.alias("bad"), F.when(F.col("any"), F.col("hi")).alias("hi"), F.when(F.col("any"), F.col("lo")).alias("lo"))
 
 
-def _between_tiles(lines: DataFrame, tile_size: int, count: int, rows: int, interpolate) -> DataFrame:
+def _between_tiles(lines: DataFrame, tile_size: int, interpolate) -> DataFrame:
     """hi and lo of every line from the tiles that have them; a frame's lines meet in one task."""
     schema = lines.schema
 
@@ -365,7 +367,7 @@ def _between_tiles(lines: DataFrame, tile_size: int, count: int, rows: int, inte
         t = table.to_pylist()
         known = {x["tile"]: (x["hi"], x["lo"]) for x in t if x["hi"] is not None}
         if len(known) > 1:
-            order = sorted(known)
+            rows, count, order = t[0]["rows"], t[0]["tiles"], sorted(known)
             centres = [i * tile_size + (tile_size if i + 1 < count else rows - i * tile_size) / 2 for i in order]
             x, places = np.array([0.0, *centres, rows]), np.array([float(q["r"]) for q in t])
             for which, name in enumerate(("hi", "lo")):
