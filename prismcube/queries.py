@@ -521,7 +521,19 @@ def j4(spark, sf):
     return T.splice(cells, cells.groupBy("scene").agg((F.max("y") + 1).alias("height")))
 
 
-@query("j5_group_intervals")
+J5_SQL = """
+WITH RECURSIVE files AS (SELECT CAST(user_id AS VARCHAR) AS name, min(event_id) AS first, max(event_id) AS last FROM events GROUP BY user_id),
+one AS (SELECT name, first, last, row_number() OVER (ORDER BY first) AS i FROM (SELECT *, row_number() OVER (PARTITION BY first ORDER BY name) AS n FROM files) WHERE n = 1),
+scan(i, ends, g) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST(0 AS BIGINT)
+  UNION ALL
+  SELECT i, CASE WHEN found IS NULL THEN list_append(ends, last) ELSE ends[1:found - 1] || [last] || ends[found + 1:] END, coalesce(found, len(ends) + 1)
+  FROM (SELECT one.i, one.last, s.ends, list_max([j FOR j IN range(1, len(s.ends) + 1) IF s.ends[j] < one.first]) AS found FROM scan s JOIN one ON one.i = s.i + 1))
+SELECT name, first, last, CAST(g - 1 AS INTEGER) AS grp FROM scan JOIN one USING (i)
+"""
+
+
+@query("j5_group_intervals", J5_SQL)
 def j5(spark, sf):
     f = read(spark, sf, "events").groupBy("user_id").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"))
     return T.group_intervals(f.select(F.col("user_id").cast("string").alias("name"), "first", "last"))

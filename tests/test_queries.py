@@ -32,3 +32,21 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_interval_groups_equal_sql(spark):
+    import numpy as np
+    import pandas as pd
+
+    from prismcube.operators import tables
+    from prismcube.queries import J5_SQL
+
+    rng = np.random.default_rng(3)
+    first = rng.integers(0, 400, 60)
+    last = first + rng.integers(1, 40, 60)
+    events = pd.DataFrame({"user_id": np.repeat(np.arange(60), 2), "event_id": np.stack([first, last], 1).ravel()})
+    c = duckdb.connect()
+    c.register("events", events)
+    want = c.execute(J5_SQL).df()
+    files = spark.createDataFrame([(str(i), int(a), int(b)) for i, (a, b) in enumerate(zip(first, last, strict=True))], "name string, first long, last long")
+    assert values(tables.group_intervals(files).toPandas()) == values(want) and 1 < want.grp.nunique() < len(want) < 60
