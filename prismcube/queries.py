@@ -445,7 +445,18 @@ def c5(spark, sf):
     return rounded(S.line_segments(f, shape.extent(1), shape.extent(0), (-1, -1), (5.0, -1)), 4)
 
 
-@query("i1_resample_spectra")
+#: Monotone cubics over knots 5 apart, at places 7.5 apart: harmonic means of slopes inside, one-sided slopes at the ends.
+I1_SQL = """
+WITH s AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS y FROM embeddings, range(0, 64) t(i)),
+d AS (SELECT *, (y - lag(y) OVER w) / 5 AS before, (lead(y) OVER w - y) / 5 AS after FROM s WINDOW w AS (PARTITION BY vec_id ORDER BY i)),
+m AS (SELECT vec_id, i, y, CASE WHEN before IS NULL THEN after WHEN after IS NULL THEN before WHEN before * after > 0 THEN 2 / (1 / before + 1 / after) ELSE 0 END AS m FROM d),
+p AS (SELECT *, lead(y) OVER w AS y1, lead(m) OVER w AS m1 FROM m WINDOW w AS (PARTITION BY vec_id ORDER BY i)),
+g AS (SELECT CAST(b AS INT) AS b, b * 3 // 2 AS i, b * 3 % 2 / 2.0e0 AS t FROM range(0, 40) u(b))
+SELECT vec_id, b, round((1 + 2 * t) * (1 - t) * (1 - t) * y + t * (1 - t) * (1 - t) * 5 * m + t * t * (3 - 2 * t) * y1 + t * t * (t - 1) * 5 * m1, 6) + 0.0 AS v FROM p JOIN g USING (i)
+"""
+
+
+@query("i1_resample_spectra", I1_SQL)
 def i1(spark, sf):
     spectra = read(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 20).alias("x"), F.col("embedding").cast("array<double>").alias("spec"))
     out = interp.resample_spectra(spectra, [400.0 + 5 * i for i in range(64)], [400.0 + 7.5 * i for i in range(40)])
@@ -465,7 +476,20 @@ def i5(spark, sf):
     return p.select("vec_id", geo.utm_zone(F.col("lon"), F.col("lat")).alias("zone"), geo.utm_letter(F.col("lat")).alias("letter"))
 
 
-@query("i6_to_utm")
+def _utm_sql() -> str:
+    e, size = 2 * geo._N**0.5 / (1 + geo._N), geo.UTM_K0 * geo._RADIUS
+    x = " + ".join(f"{a!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(geo._ALPHA, 1))
+    y = " + ".join(f"{a!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(geo._ALPHA, 1))
+    return f"""
+WITH p AS (SELECT vec_id, vec_id % 20 * 0.1e0 + 116 AS lon, radians(vec_id % 130 - 65.0e0) AS phi FROM embeddings),
+z AS (SELECT vec_id, phi, radians(lon - (floor((lon + 180) / 6) * 6 - 177)) AS d FROM p),
+t AS (SELECT vec_id, d, sinh(asinh(tan(phi)) - {e!r} * atanh({e!r} * sin(phi))) AS t FROM z),
+c AS (SELECT vec_id, atan2(t, cos(d)) AS xi, asinh(sin(d) / sqrt(t * t + cos(d) * cos(d))) AS eta FROM t)
+SELECT vec_id, round(500000 + {size!r} * (eta + {x}), 3) + 0.0 AS easting, round({size!r} * (xi + {y}), 3) + 0.0 AS northing FROM c
+"""
+
+
+@query("i6_to_utm", _utm_sql())
 def i6(spark, sf):
     p = read(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 20 * 0.1 + 116).alias("lon"), (F.col("vec_id") % 130 - 65.0).alias("lat"))
     x, y = geo.to_utm(F.col("lon"), F.col("lat"), geo.utm_zone(F.col("lon"), F.lit(0.0)))
@@ -487,7 +511,29 @@ def i11(spark, sf):
     return rounded(p.select("vec_id", y.alias("line"), x.alias("sample")), 4)
 
 
-@query("i12_rpc_inverse")
+def _rpc_inverse_sql() -> str:
+    """Newton steps by differences, each point until it is within 0.005 pixels."""
+
+    def model(lon: str, lat: str) -> tuple[str, str]:
+        l, p, h = f"(({lon} - 120) / 0.5e0)", f"(({lat} - 34) / 0.5e0)", "(-0.5e0)"  # noqa: E741
+        line = f"(0.01e0 + 0.02e0 * {l} - {p} + 0.03e0 * {h} + 0.001e0 * {l} * {p}) / (1 + 0.001e0 * {l} + 0.002e0 * {p} + 0.0005e0 * {h}) * 500 + 500"
+        sample = f"(0.02e0 + {l} + 0.01e0 * {p} - 0.02e0 * {h} + 0.002e0 * {l} * {p}) / (1 + 0.002e0 * {l} + 0.001e0 * {p} + 0.0005e0 * {h}) * 400 + 400"
+        return line, sample
+
+    (y, x), (ya, xa), (yb, xb) = model("lon", "lat"), model("(lon + 1e-6)", "lat"), model("lon", "(lat + 1e-6)")
+    return f"""
+WITH RECURSIVE n(vec_id, line, sample, lon, lat, step) AS (
+  SELECT vec_id, vec_id % 20 * 30.0e0, vec_id % 37 * 20.0e0, 120.0e0, 34.0e0, 0 FROM embeddings
+  UNION ALL
+  SELECT vec_id, line, sample, lon + (d * ey - b * ex) / (a * d - b * c), lat + (a * ex - c * ey) / (a * d - b * c), step + 1
+  FROM (SELECT *, line - y AS ey, sample - x AS ex, (ya - y) / 1e-6 AS a, (yb - y) / 1e-6 AS b, (xa - x) / 1e-6 AS c, (xb - x) / 1e-6 AS d
+    FROM (SELECT *, {y} AS y, {x} AS x, {ya} AS ya, {xa} AS xa, {yb} AS yb, {xb} AS xb FROM n WHERE step < 21))
+  WHERE sqrt(ey * ey + ex * ex) >= 0.005e0)
+SELECT vec_id, round(arg_max(lon, step), 6) + 0.0 AS lon, round(arg_max(lat, step), 6) + 0.0 AS lat FROM n GROUP BY vec_id
+"""
+
+
+@query("i12_rpc_inverse", _rpc_inverse_sql())
 def i12(spark, sf):
     p = read(spark, sf, "embeddings").select("vec_id", (F.col("vec_id") % 20 * 30.0).alias("line"), (F.col("vec_id") % 37 * 20.0).alias("sample"), F.lit(50.0).alias("h"))
     return rounded(geo.rpc_inverse_frame(p, RPC).select("vec_id", "lon", "lat"), 6)
