@@ -99,7 +99,6 @@ COMMENT = re.compile(r"(?:(?:user|reader)[-_]+)?(?:comments?|repl(?:y|ies))(?:[-
 HEADER = re.compile(r"(?:(?:site|page|main|top|global|blog)[-_]*)?(?:header|masthead)(?:[-_]*(?:container|wrapper|wrap|inner|outer|top|bottom))*(?:--.*)?", re.S)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|[\s/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-SPACE = re.compile(r"\s+")
 HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
@@ -186,16 +185,13 @@ def _runs(node: Node) -> bool:
 
 def _forms(root: Node) -> None:
     """Marks the forms that are not the page: without article or main, and not with most of its text."""
-    forms, todo, every = [], [(root, None)], 0
+    forms, todo, texts = [], [(root, None)], []
     held: dict[int, list] = {}
     while todo:
         node, form = todo.pop()
         for c in node.children:
             if isinstance(c, str):
-                n = len(c.split())
-                every += n
-                if form is not None:
-                    held[id(form)][0] += n
+                texts.append((c, form))
             elif c.name == "form":
                 forms.append(c)
                 held[id(c)] = [0, False]
@@ -204,6 +200,14 @@ def _forms(root: Node) -> None:
                 if form is not None and c.name in ("article", "main"):
                     held[id(form)][1] = True
                 todo.append((c, form))
+    if not forms:
+        return
+    every = 0
+    for c, form in texts:
+        n = len(c.split())
+        every += n
+        if form is not None:
+            held[id(form)][0] += n
     for f in forms:
         words, article = held[id(f)]
         f.noise = not (article or words >= FORM_WORDS and 2 * words > every)
@@ -224,7 +228,7 @@ def _keep_around(root: Node) -> None:
                     if not inside:
                         held[c.name].append(c)
                 elif c.name == "article":
-                    outside = outside or bool(blocks([c]))
+                    outside = outside or _has_text(c)
             todo.append((c, below, inside or c.name == "article"))
     for c in held["main"] + ([] if outside else held["article"]):
         node = c.parent
@@ -255,7 +259,7 @@ def content(root: Node) -> list[Node]:
         node.children = kept
     articles, mains = _in_order(root, articles), _in_order(root, mains)
     for found in (articles, mains):
-        if found := [x for x in found if blocks([x])]:
+        if found := [x for x in found if _has_text(x)]:
             return found
     return [root]
 
@@ -274,6 +278,12 @@ def _in_order(root: Node, nodes: list[Node]) -> list[Node]:
     return out
 
 
+def _squeezed(text: str) -> str:
+    """A string that is not empty, with each run of white space as one space."""
+    words = " ".join(text.split())
+    return f"{' ' * text[0].isspace()}{words}{' ' * text[-1].isspace()}" if words else " "
+
+
 def digest(root: Node, host: str) -> None:
     """Sets the hashes of every element's subtree and skeleton, salted with the host, and what its text is like."""
     stack, post = [root], []
@@ -287,7 +297,7 @@ def digest(root: Node, host: str) -> None:
         prose, links, plain = name in PROSE, 0, False
         for c in node.children:
             if isinstance(c, str):
-                parts.append(SPACE.sub(" ", c))
+                parts.append(_squeezed(c))
                 plain = plain or not c.isspace()
             else:
                 parts.append(f"\x00{c.digest:x}")
@@ -342,32 +352,40 @@ def delete(root: Node, host: str, template: np.ndarray) -> int:
     return len(gone)
 
 
-def blocks(roots: list[Node]) -> list[str]:
-    """Texts of the blocks, in page order."""
-    out, line, todo = [], [], list(reversed(roots))
+def _closed(line: list[str]) -> str:
+    """The text of a block; it starts anew."""
+    text = " ".join(entities.unescape("".join(line)).split())
+    line.clear()
+    return text
 
-    def close():
-        if line:
-            if text := SPACE.sub(" ", entities.unescape("".join(line))).strip():
-                out.append(text)
-            line.clear()
 
+def _blocks(roots: list[Node]) -> Iterator[str]:
+    """Texts of the blocks, in page order, some of them empty."""
+    line, todo = [], list(reversed(roots))
     while todo:
         c = todo.pop()
         if isinstance(c, str):
             line.append(c)
         elif c is None:
-            close()
+            yield _closed(line)
         elif c.name == "br":
             line.append(" ")
         elif c.name in INLINE:
             todo += reversed(c.children)
         else:
-            close()
+            yield _closed(line)
             todo.append(None)
             todo += reversed(c.children)
-    close()
-    return out
+    yield _closed(line)
+
+
+def _has_text(root: Node) -> bool:
+    return any(_blocks([root]))
+
+
+def blocks(roots: list[Node]) -> list[str]:
+    """Texts of the blocks, in page order."""
+    return [text for text in _blocks(roots) if text]
 
 
 def host_of(url: str | None) -> str:
