@@ -137,6 +137,17 @@ def count_words(data: bytes, classes: bytes) -> int:
     return marks.count(b" x") + marks.startswith(b"x")
 
 
+def word_pieces(marked: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of bytes between spaces, in lists from about size bytes each, so that a very long text is not one list."""
+    at = 0
+    while at < len(marked):
+        end = len(marked) if len(marked) - at <= size else marked.find(b" ", at + size)
+        end = len(marked) if end < 0 else end
+        if words := marked[at:end].split():
+            yield words
+        at = end + 1
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A finaliser for uint64 values (the public splitmix64 constants)."""
     x = x ^ (x >> np.uint64(30))

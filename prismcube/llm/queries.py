@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, embedding_dup, html_text, license_scan, mixing, near_dup, quality, token_counts, token_files
+from . import chat, decontaminate, embedding_dup, html_text, lexical, license_scan, mixing, near_dup, quality, spelling, token_counts, token_files
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_embedding_dup": embedding_dup.op8_embedding_dup,
     "op9_mix": mixing.op9_mix,
     "op10_chat": chat.op10_chat,
+    "op11_lexical_search": lexical.op11_lexical_search,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
 }
 
 ORACLES = {
@@ -24,4 +26,6 @@ ORACLES = {
     "op8_embedding_dup": embedding_dup.OP8_SQL,
     "op9_mix": mixing.OP9_SQL,
     "op10_chat": chat.OP10_SQL,
+    "op11_lexical_search": lexical.OP11_SQL,
+    "op12_spelling_variants": spelling.OP12_SQL,
 }
