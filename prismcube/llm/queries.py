@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, embedding_dup, html_text, lexical, license_scan, mixing, near_dup, quality, spelling, token_counts, token_files
+from . import chat, decontaminate, embedding_dup, html_text, lexical, license_scan, mixing, near_dup, quality, secret_scan, spelling, token_counts, token_files
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_chat": chat.op10_chat,
     "op11_lexical_search": lexical.op11_lexical_search,
     "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_secret_scan": secret_scan.op13_secret_scan,
 }
 
 ORACLES = {
