@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import WORDS, Scratch, read, texts_of, word_pieces
 
 TOP = 10
-#: A shard ends at so many documents, or at the document with which it has so many words.
+#: A shard ends at so many documents (ordinals have 16 bits), or at the document with which it has so many words.
 SHARD_DOCS, SHARD_WORDS = 1 << 16, 2_000_000
 #: Terms of a block of items (an item is never cut).
 BLOCK_TERMS = 200_000
@@ -70,7 +70,8 @@ def _blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 class _Builder:
     """Collects documents; batch() gives the shard's rows and starts the next."""
 
-    def __init__(self):
+    def __init__(self, docs: int, words: int):
+        self.most_docs, self.most_words = docs, words
         self.number, self.part = 0, TaskContext.get().partitionId()
         self.clear()
 
@@ -91,7 +92,7 @@ class _Builder:
         self.words += self.lengths[-1]
 
     def full(self) -> bool:
-        return self.words >= SHARD_WORDS or len(self.ids) == SHARD_DOCS
+        return self.words >= self.most_words or len(self.ids) == self.most_docs
 
     def batch(self) -> pa.RecordBatch:
         term, tf = np.concatenate(self.terms), np.concatenate(self.tfs)
@@ -115,11 +116,11 @@ class _Builder:
         return pa.RecordBatch.from_arrays(columns, names=["shard", "term", "df", "docs", "tfs", "ids", "lengths"])
 
 
-def build_index(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def build_index(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", shard_docs: int = SHARD_DOCS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The index of all docs, written: a row for each term of each shard, and for each shard one without term with ids and lengths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = _Builder()
+        shard = _Builder(min(shard_docs, SHARD_DOCS), shard_words)
         for batch in batches:
             for doc, data in zip(batch.column(0).to_pylist(), texts_of(batch), strict=True):
                 shard.add(doc, data)
