@@ -1,7 +1,8 @@
 """HTML extraction with site template removal.
 
 1. A tolerant parser builds the element tree (void and raw-text elements, implied ends of p, li, td, ...;
-   unclosed and truncated markup end where their parent ends). Nothing is dropped yet.
+   unclosed and truncated markup end where their parent ends; a tag with a stray quote ends at the next bracket), in
+   time linear in the page however its tags are nested. Nothing is dropped yet.
 2. Every subtree that could be a part of a site's template is hashed (name, own text, children, in order; the
    host salts the hash): menus, headers, footers, sidebars, forms, scripts, styles, adverts, blocks, lists. Spark
    counts, for each host, on how many pages with different main text each occurs. A copy of an article is no
@@ -10,9 +11,8 @@
    change from page to page is found as well.
 3. Subtrees on at least `least_pages` such pages of their host, and on a share of the host's pages, are the
    site's template and are deleted. The share is `least_share` for elements that hold no running text of a page
-   by their nature (nav, footer, form, script, ..., not a header in an article; outside of articles, blocks whose text is all in links; inside,
-   containers without headings, paragraphs, lists or inline elements) and `large_share` for all others, skeletons
-   included. Never deleted alone: inline elements, headings, parts of lists and tables (but items of links outside
+   by their nature (nav, footer, form, script, ..., not a header in an article; outside of articles, blocks whose text is all in links)
+   and `large_share` for all others, skeletons included: a site may write its paragraphs as `div`. Never deleted alone: inline elements, headings, parts of lists and tables (but items of links outside
    of articles), articles, main; inside an article, anything but such elements and containers.
 4. Pages whose host gives no evidence, and parts that occur once, are left to their own marks: elements that are no
    content by definition go, and elements of which a whole token of class, id or role names a menu, an advert, a
@@ -37,6 +37,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,8 +71,6 @@ CONTAINERS = frozenset("div section address details fieldset center hgroup searc
 BLOCKS = CONTAINERS | frozenset("p blockquote pre ul ol dl table figure".split())
 #: Never running text of a page, so little evidence is enough.
 FRAME = frozenset("nav aside footer header form dialog menu script style noscript template iframe select object svg".split())
-#: Running text: inside articles it is no template of its own.
-PROSE = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption img br hr".split())
 #: Start tags that end an open element of these names, up to the nearest of the limits.
 ENDS = {
     **dict.fromkeys("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split(), ({"p"}, {"article", "aside", "body", "div", "footer", "header", "main", "nav", "section", "td", "th", "li", "blockquote", "button"})),
@@ -97,26 +97,61 @@ WEAK = re.compile(rf"{_BEFORE}{_WEAK}(?:[-_]+(?:{_WEAK}|{_WORD}))*{_AFTER}(?:--.
 COMMENT = re.compile(r"(?:(?:user|reader)[-_]+)?(?:comments?|repl(?:y|ies))(?:[-_]*(?:body|item|box|text|content|wrap|inner|[0-9]++))*(?:--.*)?", re.S)
 #: Tokens that name a page's header: like the header element, content inside an article.
 HEADER = re.compile(r"(?:(?:site|page|main|top|global|blog)[-_]*)?(?:header|masthead)(?:[-_]*(?:container|wrapper|wrap|inner|outer|top|bottom))*(?:--.*)?", re.S)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)(?:>|\Z)", re.S)
+#: Comments and the like, and tags. A quoted value ends at a quote that white space, a slash or the tag's end follows;
+#: where there is none, a quote was stray and the tag ends at the next bracket.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"(?=[\s/>]|\Z)|'[^']*+'(?=[\s/>]|\Z)|(?![\"'])))*+(?=>|\Z)|[^>]*+)(?:>|\Z)",
+    re.S,
+)
 ATTRIBUTE = re.compile(r"(?:^|[\s/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: A slash before a tag's end that is no part of an unquoted value.
+SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")
 HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
 class Node:
-    __slots__ = ("name", "noise", "weak", "headed", "parent", "children", "digest", "prose", "skeleton", "links", "plain")
+    __slots__ = ("name", "noise", "weak", "headed", "parent", "children", "digest", "skeleton", "links", "plain")
 
     def __init__(self, name: str, parent, noise: bool = False, weak: bool = False, headed: bool = False):
         self.name, self.parent, self.children = name, parent, []
         self.noise, self.weak, self.headed = noise, weak, headed
-        self.digest, self.prose = 0, False
-        self.skeleton, self.links, self.plain = 0, 0, False
+        self.digest, self.skeleton, self.links, self.plain = 0, 0, 0, False
+
+
+class _Open:
+    """The elements that are open, outermost first, and the depths of those of each name: no walk goes up the tree."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.depths = [root], defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        self.depths[node.name].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, depth: int) -> None:
+        """Closes the element of that depth and all inside it."""
+        while len(self.nodes) > depth:
+            self.depths[self.nodes.pop().name].pop()
+
+    def nearest(self, names) -> int:
+        """Depth of the innermost element of these names, 0 if none is open."""
+        return max((d[-1] for name in names if (d := self.depths.get(name))), default=0)
+
+    def outermost(self, names, below: int) -> int:
+        """Depth of the outermost element of these names that is deeper than below, 0 if there is none."""
+        return min((d[k] for name in names if (d := self.depths.get(name)) and (k := bisect_right(d, below)) < len(d)), default=0)
+
+
+_CELLS = ("td", "th", "table")
 
 
 def parse(page: str) -> Node:
-    """The tree; children are nodes and strings of raw text."""
-    root = here = Node("#root", None)
-    at, n = 0, len(page)
+    """The tree; children are nodes and strings of raw text. Takes time in proportion to the page (times the logarithm of its depth)."""
+    root = Node("#root", None)
+    at, n, opened = 0, len(page), _Open(root)
     while at < n:
+        here = opened.nodes[-1]
         m = TOKEN.search(page, at)
         if m is None:
             here.children.append(page[at:])
@@ -129,22 +164,13 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if m[1]:
-            node = here
-            while node is not root and node.name != name:
-                if node.name in ("td", "th", "table") and name in INLINE:
-                    break
-                node = node.parent
-            if node is not root and node.name == name:
-                here = node.parent
+            # an inline element is not closed from inside a table or a cell of one
+            if (depth := opened.nearest((name,))) and not (name in INLINE and opened.nearest(_CELLS) > depth):
+                opened.close(depth)
             continue
-        if rule := ENDS.get(name):
-            node, last = here, None
-            while node is not root and node.name not in rule[1]:
-                if node.name in rule[0]:
-                    last = node
-                node = node.parent
-            if last is not None:
-                here = last.parent
+        if (rule := ENDS.get(name)) and (depth := opened.outermost(rule[0], opened.nearest(rule[1]))):
+            opened.close(depth)
+            here = opened.nodes[-1]
         attributes = m[3]
         node = Node(name, here)
         if attributes and name not in ("html", "body", "main") and (tokens := [t for a, b, c in ATTRIBUTE.findall(attributes) for t in (a or b or c).lower().split()]):
@@ -154,33 +180,51 @@ def parse(page: str) -> Node:
                 node.noise, node.weak, node.headed = any(map(NOISE.fullmatch, tokens)), any(map(WEAK.fullmatch, tokens)), any(map(HEADER.fullmatch, tokens))
         here.children.append(node)
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(name)}\s*+(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else n
-        elif name not in VOID and not attributes.endswith("/"):
-            here = node
+        elif name not in VOID and not SELF_CLOSED.search(attributes):
+            opened.push(node)
     return root
 
 
-def _dropped(node: Node, inside: bool) -> bool:
-    return node.name in DROPPED or node.noise or node.name == "header" and not inside or (node.weak or node.headed and not inside) and not _runs(node)
+def _dropped(node: Node, inside: bool, running: set[int]) -> bool:
+    return node.name in DROPPED or node.noise or node.name == "header" and not inside or (node.weak or node.headed and not inside) and id(node) not in running
 
 
-def _runs(node: Node) -> bool:
-    """Whether a named element has running text in a block, outside links, or a heading of the first level."""
-    todo, words = [node], 0
-    while todo:
-        c = todo.pop()
-        if isinstance(c, str):
-            words += len(c.split())
-        elif c is None:
-            words = 0
-        elif c.name == "h1":
-            return True
-        elif c.name != "a" and c.name not in DROPPED and not (c.noise and c is not node):
-            todo += c.children if c.name in INLINE else [None, *c.children, None]
-        if words >= RUNNING:
-            return True
-    return False
+def _running(root: Node) -> set[int]:
+    """The named elements (by id) that have running text in a block, outside links, or a heading of the first level."""
+    stack, post = [root], []
+    while stack:
+        node = stack.pop()
+        post.append(node)
+        stack += [c for c in node.children if isinstance(c, Node)]
+    out: set[int] = set()
+    if not any(node.weak or node.headed for node in post):
+        return out
+    # of what is inside an element: words up to its first block, after its last, most in a block between, whether there is a block, a heading
+    inner: dict[int, tuple[int, int, int, bool, bool]] = {}
+    for node in reversed(post):
+        head, words, best, split, headed = 0, 0, 0, False, False
+        for c in node.children:
+            if isinstance(c, str):
+                words += len(c.split())
+            elif c.name == "h1":
+                headed = True
+            elif c.name != "a" and c.name not in DROPPED and not c.noise:
+                first, last, most, parted, has = inner[id(c)]
+                headed = headed or has
+                if c.name in INLINE and not parted:
+                    words += first
+                    continue
+                if c.name in INLINE:
+                    words, after = words + first, last
+                else:
+                    most, after = max(most, first, last), 0
+                head, best, split, words = head if split else words, max(best, words, most), True, after
+        inner[id(node)] = (head if split else words, words if split else 0, best, split, headed)
+        if (node.weak or node.headed) and (node.name == "h1" or node.name != "a" and (headed or max(head, words, best) >= RUNNING)):
+            out.add(id(node))
+    return out
 
 
 def _forms(root: Node) -> None:
@@ -227,12 +271,14 @@ def _keep_around(root: Node) -> None:
                 if below:
                     if not inside:
                         held[c.name].append(c)
-                elif c.name == "article":
+                elif c.name == "article" and not inside:
                     outside = outside or _has_text(c)
             todo.append((c, below, inside or c.name == "article"))
+    seen: set[int] = set()
     for c in held["main"] + ([] if outside else held["article"]):
         node = c.parent
-        while node is not None:
+        while node is not None and id(node) not in seen:
+            seen.add(id(node))
             node.noise = node.weak = node.headed = False
             node = node.parent
 
@@ -241,6 +287,7 @@ def content(root: Node) -> list[Node]:
     """The content roots of a tree. It is pruned in place."""
     _forms(root)
     _keep_around(root)
+    running = _running(root)
     articles, mains, todo = [], [], [(root, False, False)]
     while todo:
         node, in_article, in_main = todo.pop()
@@ -248,7 +295,7 @@ def content(root: Node) -> list[Node]:
         for c in node.children:
             if isinstance(c, str):
                 kept.append(c)
-            elif not _dropped(c, in_article):
+            elif not _dropped(c, in_article, running):
                 kept.append(c)
                 is_article, is_main = c.name == "article", c.name == "main"
                 if is_article and not in_article:
@@ -294,18 +341,17 @@ def digest(root: Node, host: str) -> None:
     for node in reversed(post):
         name = node.name
         parts, shape, last = [host, name], [host, name], None
-        prose, links, plain = name in PROSE, 0, False
+        links, plain = 0, False
         for c in node.children:
             if isinstance(c, str):
                 parts.append(_squeezed(c))
                 plain = plain or not c.isspace()
             else:
                 parts.append(f"\x00{c.digest:x}")
-                prose, links, plain = prose or c.prose, links + c.links, plain or c.plain
+                links, plain = links + c.links, plain or c.plain
                 if c.skeleton != last:
                     last = c.skeleton
                     shape.append(f"{last:x}")
-        node.prose = prose
         node.links, node.plain = (1, False) if name == "a" else (links, plain)
         node.digest = xxhash.xxh64_intdigest("\x01".join(parts)) - 2**63
         node.skeleton = xxhash.xxh64_intdigest("\x01".join(shape), 1) - 2**63
@@ -319,7 +365,7 @@ def template_keys(node: Node, inside: bool) -> tuple[int, ...]:
     if name in FRAME:
         return (node.digest & -2 if inside and name == "header" else node.digest | 1,)
     if inside:
-        return (node.digest & -2 | (not node.prose),) if name in CONTAINERS else ()
+        return (node.digest & -2,) if name in CONTAINERS else ()
     if node.links and not node.plain:
         if name == "li":
             return (node.digest | 1,)
@@ -347,7 +393,7 @@ def delete(root: Node, host: str, template: np.ndarray) -> int:
     keys = np.array([k for _, _, k in each], np.int64)
     at = np.searchsorted(template, keys)
     gone = {id(each[i][0]): each[i] for i in np.flatnonzero(template[np.minimum(at, len(template) - 1)] == keys)} if len(template) else {}
-    for _, parent, _ in gone.values():
+    for parent in {id(p): p for _, p, _ in gone.values()}.values():
         parent.children = [c for c in parent.children if id(c) not in gone]
     return len(gone)
 

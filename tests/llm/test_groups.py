@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -279,3 +280,42 @@ def test_pipeline(spark, sf):
     final = pipeline.run(spark, sf).collect()
     assert sorted(r.doc_id for r in final) == sorted(r.doc_id for r in out.collect())
     assert max(r.start + r.n_tokens for r in final) == sum(r.n_tokens for r in final)
+
+
+def one_page(page):
+    return html_text.text_of(page, "http://a.b/", np.zeros(0, np.int64))
+
+
+def test_html_stray_quotes():
+    assert one_page('<p>See <a href="x>the page</a> and more.</p><p class="b">Second.</p>') == "See the page and more. Second."
+    assert one_page("<a title='it's fine'>yes</a>") == "yes" and one_page('<img alt="5" tall"> text <a href="x">y</a>') == "text y"
+    assert one_page('<a title="a > b">q</a>') == "q" and one_page('<p>x</p><a href="un') == "x" and one_page('<p class="b"id=c>d</p>') == "d"
+
+
+@pytest.mark.parametrize(
+    "markup",
+    ["<div>{}</b>", "<span>{}<p>x", "<b><table><td><div>{}</b>", '<a href="x>t</a>{}', "<a b='>{}\"", "<p><b>{}", "<div class=related>{}" + "one two three four five six seven eight nine ten eleven twelve", "<article>{}", "<div class=ad>{}<main></main>"],
+)
+def test_html_odd_markup_takes_linear_time(markup):
+    first, last = markup.split("{}")
+    n = 1_000_000 // max(len(first), 1)
+    page = first * n + (last * n if last.startswith("<") else last)
+    began = time.process_time()
+    one_page(page)
+    html_text.candidates(page, "http://a.b/")
+    assert time.process_time() - began < 40  # quadratic: hours
+
+
+def test_html_recurring_lines_of_div_articles_stay(spark):
+    body = lambda i: f"<body><article><div>Story {i}.</div>{'<div>See also the manual.</div>' if i < 5 else ''}<div class=x>Read on</div></article></body>"
+    got = texts(spark, [(i, f"http://h.org/{i}", body(i)) for i in range(100)])
+    assert got[3] == "Story 3. See also the manual." and got[50] == "Story 50."  # what is on most pages goes
+
+
+def test_html_running_text_of_named_elements():
+    twelve = "one two three four five six seven eight nine ten eleven twelve"
+    for inner, stays in [
+        (twelve, True), (f"<i>{twelve}</i>", True), ("one two three <b>four five six</b> seven eight nine <i>ten <b>eleven</b></i> twelve", True), ("one two three<p>four five six seven eight nine ten eleven twelve", False),
+        ("<span>one two three<p>four</p>five six</span> seven eight nine ten eleven twelve", False), (f"<span>x<p>y</p>five six seven</span> eight nine ten {'w ' * 6}", True), (f"<a href=/>{twelve}</a>", False), ("<h1>t</h1>", True), (f"<div><p>{twelve}</div>", True),
+    ]:
+        assert bool(one_page(f"<p>a</p><div class=related>{inner}</div>") != "a") == stays, inner
