@@ -4,7 +4,7 @@ A rule is (label, kind, keywords, regular expression); license_rules holds them,
 titles with their optional words and versions, clauses of the license texts, addresses, identifiers and mentions.
 One automaton finds all keywords in one pass over the text; a rule is tried only if one of its keywords occurs
 (at the beginning of a word, but for addresses).
-A title behind words that grant ("released under the ...") is a grant. Detections of all rules are ordered by
+A title behind words that grant ("released under the ...") is a grant, however much white space or punctuation stands between them. Detections of all rules are ordered by
 priority: the kind's rank (base phrases first), then longer spans, then the rule's order; a detection whose span
 lies inside that of one before it is suppressed, whatever their labels. What suppresses a suppressed detection
 suppresses what that one would, so one sweep over the spans by their starts, with the farthest end of each rank so
@@ -107,9 +107,24 @@ def build_rules() -> tuple[Rule, ...]:
     return tuple(rules)
 
 
-_GRANT = re.compile(rf"{START}(?:{_spread(GRANTS)}){SEP}(?:(?:the|a|an|gnu|same|terms|of){SEP}){{0,4}}\Z")
-#: Bytes before a title in which granting words stand.
-_REACH = 160
+#: Granting words at the beginning of a word, with the separators after them; and a word that may stand before the title.
+_GRANT = re.compile(rf"{START}(?=((?:{_spread(GRANTS)}){SEP}))")
+_FILLER = re.compile(rf"(?:the|a|an|gnu|same|terms|of){SEP}")
+FILLERS = 4
+
+
+def grant_ends(s: str) -> dict[int, int]:
+    """{where a title would have to begin to be granted: where the granting words begin}, of a lower-cased text."""
+    out: dict[int, int] = {}
+    for m in _GRANT.finditer(s):
+        at = m.end(1)
+        out.setdefault(at, m.start())
+        for _ in range(FILLERS):
+            if not (f := _FILLER.match(s, at)):
+                break
+            at = f.end()
+            out.setdefault(at, m.start())
+    return out
 
 
 class Scanner:
@@ -143,13 +158,13 @@ class Scanner:
 
     def detections(self, s: str) -> list[tuple[int, int, int]]:
         """All of a lower-cased text, in any order."""
-        found = []
+        found, grants = [], None
         for i in self.tried(s):
             spans = [m.span() for m in self.rules[i].pattern.finditer(s)]
             if self.rules[i].kind == "title":
-                for a, b in spans:
-                    m = _GRANT.search(s, max(a - _REACH, 0), a)
-                    found.append((m.start(), b, i + 1) if m else (a, b, i))
+                if spans and grants is None:
+                    grants = grant_ends(s)
+                found += [(grants[a], b, i + 1) if a in grants else (a, b, i) for a, b in spans]
             else:
                 found += [(a, b, i) for a, b in spans]
         if "spdx-license-identifier:" in s:
