@@ -10,8 +10,8 @@ independent. The manifest (one row a part) is what names the valid files: a task
 files that no manifest names.
 
 Defined results: null and empty texts give only the end id; a null document id sorts first; repeated
-ids are kept, ordered by that hash; strings of special tokens in a text are ordinary text; an empty table
-gives no parts. Long texts are encoded whole.
+ids are kept, ordered by that hash; the names of added tokens in a text are those tokens, as the library's plain call
+has it; an empty table gives no parts. Long texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -51,6 +51,7 @@ _PIECES = re.compile(f" ?[{_L}]++| ?[{_N}]++|'(?:s|t|re|ve|m|ll|d)| ?[^{_S}{_L}{
 class Encoder:
     """encode(texts) gives the ids of the tokenizers library for each text, little-endian, `width` bytes each.
 
+    Texts that hold the name of an added token go to the library whole.
     For the common byte-level scheme (no normaliser, the standard pattern, no prefix space) texts are cut into
     pieces where pre-tokens end, and the ids of each distinct piece are kept. A text up to U+00FF is cut into its
     pre-tokens; any other only before a space that a non-space character follows, which always begins a pre-token,
@@ -68,8 +69,8 @@ class Encoder:
         self.tok, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.chunked = self.tok.normalizer is None and re.fullmatch(r"ByteLevel\(add_prefix_space=False, .*use_regex=True\)", str(self.tok.pre_tokenizer)) is not None
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.added = re.compile("|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()) or "(?!)").search
         for t in (self.tok, self.plain):
-            t.encode_special_tokens = True
             if self.chunked:
                 t.model._resize_cache(0)  # pieces are kept here; the model sees each once
         vocabulary = self.tok.get_vocab()
@@ -116,6 +117,10 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.chunked:
             return self._each(texts)
+        if marked := {i for i, t in enumerate(texts) if self.added(t)}:
+            whole = iter(self._each([texts[i] for i in sorted(marked)]))
+            rest = iter(self.encode([t for i, t in enumerate(texts) if i not in marked]))
+            return [next(whole if i in marked else rest) for i in range(len(texts))]
         known = self.texts
         if len(known) > KEPT_TEXTS:
             known.clear()
