@@ -3,12 +3,14 @@
 Texts are words (A-Z lower-cased, `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`). Every run of `window` words of an item is a
 pattern, an item of fewer words one whole pattern. Patterns of one length are searched together: the
 shift table maps a block of two words (by a hash of it) to the distance by which the search may move on when the
-block stands at the end of the frame, and blocks in no pattern move it by all but one word; a shift of 0 opens
-the bucket of patterns with that suffix, and a direct comparison of bytes confirms. Words inside a confirmed
-occurrence are hit.
+block stands at the end of the frame, and blocks in no pattern move it by all but one word. Where the shift is 0, a
+prefix table tells by the hashes of the frame's first and last blocks whether a pattern may begin and end so; then the
+bucket of the hash of all its words is opened, and a direct comparison of bytes confirms. So a position costs as much
+with a large benchmark, whose patterns often end in the same common words, as with a small one. Words inside a
+confirmed occurrence are hit.
 
 The benchmark is cut into pieces (a long item into overlapping ones) and dealt by a hash over blocks of about
-`block_words` words. A block's tables are flat arrays of about 40 bytes a word and two thousand at least, built by one
+`block_words` words. A block's tables are flat arrays of about 60 bytes a word and three thousand at least, built by one
 task and broadcast. One block is one pass over the documents. Several are passes one after another, so that one
 block's tables are alive at a time; each writes its hits by a hash of the text, which are merged and joined
 at the end. Documents' texts are never shuffled (a row that is carried is, in the join of several blocks).
@@ -22,7 +24,7 @@ an empty table gives no rows; with an empty benchmark all documents are clean.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -45,10 +47,15 @@ def _size(n: int, least: int = 10, most: int = 24) -> int:
     return 1 << min(max((max(n, 1) - 1).bit_length(), least), most)
 
 
-def _frame(length: int, starts: np.ndarray, item_of: np.ndarray, pieces: np.ndarray, word: np.ndarray, single: np.ndarray, pair: np.ndarray) -> dict:
+#: Joins the hashes of a frame's first and last blocks (the golden ratio's odd multiplier of 32 bits).
+JOIN = 2654435761
+
+
+def _frame(length: int, starts: np.ndarray, item_of: np.ndarray, pieces: np.ndarray, word: np.ndarray, single: np.ndarray, pair: np.ndarray, whole: Callable[[np.ndarray, int], np.ndarray]) -> dict:
     """Tables of the patterns of one length: starts and items of all windows; pieces: (first, number of words).
 
-    word: numbers of words; single and pair: hashes of each word, and of it with the one before.
+    word: numbers of words; single and pair: hashes of each word, and of it with the one before; whole(starts, length):
+    hashes of windows.
     """
     # equal windows are one pattern with several items
     m = word[starts[:, None] + np.arange(length)]
@@ -71,12 +78,16 @@ def _frame(length: int, starts: np.ndarray, item_of: np.ndarray, pieces: np.ndar
     far = np.concatenate([np.maximum(length - 1 - np.arange(length > 1, n), 0) for _, n in pieces.tolist()])
     np.minimum.at(shift, key[at] & np.uint32(len(shift) - 1), np.minimum(far, 255).astype(np.uint8))
     buckets = _size(2 * len(begins), most=22)
-    bucket = key[begins + length - 1] & np.uint32(buckets - 1)
+    bucket = whole(begins, length) & np.uint32(buckets - 1)
+    prefix = np.zeros(_size(16 * len(begins)), np.uint8)
+    if length > 1:
+        prefix[(pair[begins + 1].astype(np.uint64) * np.uint64(JOIN) + pair[begins + length - 1]) & np.uint64(len(prefix) - 1)] = 1
     entries = np.argsort(bucket, kind="stable")
     return {
         "length": length,
         "default": default,
         "shift": shift.tobytes(),
+        "prefix": prefix.tobytes(),
         "bucket": np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))]).astype(np.int32),
         "entries": entries.astype(np.int32),
         "begins": begins.astype(np.int32),
@@ -99,15 +110,18 @@ def pack(pieces: list[tuple[int | None, bytes, int]]) -> bytes:
     del known
     single = np.array([crc32(w) for w in words], np.uint32)
     pair = np.array([0, *(crc32(b, a) for a, b in zip(single.tolist(), words[1:], strict=False))], np.uint32)
-    offsets = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])]).astype(np.int64)
     spans = np.array(spans, np.int64).reshape(-1, 4)
+    blob, offsets = b" ".join(words), np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])]).astype(np.int64)
+    del words
+    ends = memoryview(offsets)
+    whole = lambda starts, length: np.array([crc32(blob[ends[p] : ends[p + length] - 1]) for p in starts.tolist()], np.uint32)
     frames = []
     for length in np.unique(spans[:, 2]).tolist():
         own = spans[spans[:, 2] == length]
         starts = np.concatenate([np.arange(a, a + n - length + 1) for a, n, _, _ in own.tolist()])
         item_of = np.repeat(own[:, 3], own[:, 1] - length + 1)
-        frames.append(_frame(length, starts, item_of, own[:, :2], word, single, pair))
-    return pickle.dumps({"ids": ids, "blob": b" ".join(words), "offsets": offsets, "frames": frames})
+        frames.append(_frame(length, starts, item_of, own[:, :2], word, single, pair, whole))
+    return pickle.dumps({"ids": ids, "blob": blob, "offsets": offsets, "frames": frames})
 
 
 class Matcher:
@@ -122,16 +136,19 @@ class Matcher:
         """The patterns of one length that occur; their places go to spans."""
         length, shift, bucket, entries, begins = f["length"], f["shift"], f["bucket"], f["entries"], f["begins"]
         blob, offsets, mask, last = self.blob, self.offsets, len(f["shift"]) - 1, len(f["bucket"]) - 2
+        prefix, low = f["prefix"], len(f["prefix"]) - 1
         found, n, i = set(), len(words), length - 1
         while i < n:
             h = crc32(words[i], crc32(words[i - 1])) if length > 1 else crc32(words[i])
             if step := shift[h & mask]:
                 i += step
                 continue
-            here, text = h & last, None
+            if length > 2 and not prefix[crc32(words[i - length + 2], crc32(words[i - length + 1])) * JOIN + h & low]:
+                i += 1
+                continue
+            text = b" ".join(words[i - length + 1 : i + 1])
+            here = crc32(text) & last
             for e in range(bucket[here], bucket[here + 1]):
-                if text is None:
-                    text = b" ".join(words[i - length + 1 : i + 1])
                 p = begins[entries[e]]
                 if blob[offsets[p] : offsets[p + length] - 1] == text:
                     found.add(entries[e])
@@ -171,7 +188,7 @@ def benchmark_blocks(scratch: Scratch, benchmark: DataFrame, window: int, block_
                     yield pa.RecordBatch.from_pydict({"item_id": pa.array([i], pa.int64()), "words": [b" ".join(part)], "length": pa.array([length], pa.int32()), "n": pa.array([len(part)], pa.int64())})
 
     pieces = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null").mapInArrow(cut, "item_id long, words binary, length int, n long")
-    pieces = scratch.save(pieces.dropDuplicates(["item_id", "words", "length"]), "pieces")
+    pieces = pieces.dropDuplicates(["item_id", "words", "length"])
     n = max(1, -(-(pieces.agg(F.sum("n")).first()[0] or 0) // block_words))
 
     def build(table: pa.Table) -> pa.Table:
@@ -180,9 +197,8 @@ def benchmark_blocks(scratch: Scratch, benchmark: DataFrame, window: int, block_
         return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "packed": pa.array([pack(rows)], pa.binary())})
 
     dealt = pieces.select(F.pmod(F.xxhash64("item_id", "words"), F.lit(n)).cast("int").alias("block"), "item_id", "words", "length")
-    packed = scratch.save(dealt.groupBy("block").applyInArrow(build, "block int, packed binary"), "packed")
-    scratch.drop(pieces)
-    return packed, n
+    packed = dealt.groupBy("block").applyInArrow(build, "block int, packed binary")
+    return packed if n == 1 else scratch.save(packed, "packed"), n
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])

@@ -116,7 +116,8 @@ def test_license_labels_equal_brute_force(spark):
     rules, ranks = scanner.rules, scanner.ranks
     words = " ".join(LICENSE_TEXTS).split()
     some = LICENSE_TEXTS + [" ".join(rng.choice(words) for _ in range(60)) for _ in range(150)] + ["", "mit license " * 30]
-    grants = {i: re.compile(license_scan._GRANT.pattern.removesuffix(r"\Z") + "(?=" + r.pattern.pattern + ")", re.S) for i, r in enumerate(rules) if r.kind == "title"}
+    granting = rf"{license_scan.START}(?:{license_scan._spread(license_scan.GRANTS)}){license_scan.SEP}(?:(?:the|a|an|gnu|same|terms|of){license_scan.SEP}){{0,4}}"
+    grants = {i: re.compile(granting + "(?=" + r.pattern.pattern + ")", re.S) for i, r in enumerate(rules) if r.kind == "title"}
     got = {r.doc_id: r for r in license_scan.license_scan(spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").withColumn("label", F.lit(1))).collect()}
     seen = set()
     for n, text in enumerate(some):
@@ -127,7 +128,7 @@ def test_license_labels_equal_brute_force(spark):
                     found += [(m.start(), m.end(), i) for m in re.finditer(r"(?<![0-9a-z.+-])" + r.pattern.pattern + r"\+?(?![0-9a-z:+-]|\.[0-9a-z])", t[: e.end(1)]) if m.start() >= e.start(1)]
             elif r.kind != "grant":
                 for m in r.pattern.finditer(t):
-                    before = [g for g in grants[i].finditer(t, max(m.start() - license_scan._REACH, 0)) if g.end() == m.start()] if i in grants else []
+                    before = [g for g in grants[i].finditer(t) if g.end() == m.start()] if i in grants else []
                     found.append((before[0].start(), m.end(), i + 1) if before else (*m.span(), i))
         found.sort(key=lambda f: (ranks[f[2]], f[0] - f[1], f[2], f[0]))
         kept = []
@@ -248,7 +249,6 @@ def test_token_files_equal_the_library(spark, sf):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     docs = odd_docs(spark).select("doc_id", "text").unionByName(read(spark, sf, "documents").select((F.col("doc_id") + 1000).alias("doc_id"), "text"))
     got = sorted(map(tuple, token_files.tokenise(docs, P.path("byte_bpe_50k.json")).collect()), key=lambda r: r[1])
     at, want = 0, []
@@ -258,6 +258,7 @@ def test_token_files_equal_the_library(spark, sf):
         at += len(ids)
     assert got == want
     assert token_files.tokenise(docs.limit(0), P.path("byte_bpe_50k.json")).collect() == []
+    assert [len(x) // 2 for x in token_files.Encoder(P.path("byte_bpe_50k.json")).encode(["a <|endoftext|> b", "a b", "<|endoftext|>"])] == [4, 2, 1]
     other = token_files.Encoder(P.path("word_bpe_49k.json"))
     assert not other.chunked and len(other.encode(["Hello there"])[0]) == 4
 
@@ -421,3 +422,12 @@ def test_chat_is_native(spark, sf, capsys):
     r = {x.conv_id: x for x in df.collect()}[-1]
     said = "</s>[INST] ok [/INST]"
     assert r.n_turns == 2 and r.turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest() and r.loss_chars == len(said)
+
+
+def test_license_grants_behind_any_separators():
+    scanner = license_scan.Scanner()
+    for between in (" ", " " * 200, " " * 20_000, "\n# " + "*" * 170 + "\n"):
+        ((a, b, rule),) = scanner.scan(f"x released under the{between}BSD 3-Clause License".encode())
+        assert (a, scanner.rules[rule].kind) == (2, "grant") and b == 40 + len(between)
+    (one,) = scanner.scan(b"in accordance with the terms of the GNU General Public License, version 2")[:1]
+    assert scanner.rules[one[2]].kind == "grant"
