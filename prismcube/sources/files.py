@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import store
+from .packets import HEADER, TOKEN, header, read_packets  # noqa: F401
 
 SEPARATORS = r"[ ,;|\t]+"
 #: Type codes of the flat binary format and their numpy names.
@@ -86,9 +87,6 @@ def envi_text(samples: int, lines: int, bands: int, kind: str, interleave: str =
     return head + "".join(f"{k} = {v}\n" for k, v in (tags or {}).items())
 
 
-TOKEN = bytes.fromhex("0915c000")
-
-
 def unpack12(data: bytes) -> np.ndarray:
     a = np.frombuffer(data[: len(data) // 3 * 3], np.uint8).reshape(-1, 3).astype(np.int32)
     out = np.stack([(a[:, 0] << 4) + (a[:, 1] >> 4), ((a[:, 1] & 15) << 8) + a[:, 2]], 1).ravel()
@@ -108,7 +106,7 @@ def packets_in(parts: Iterable[bytes], token: bytes = TOKEN, packed: bool = True
     What a part cuts off waits for the next; what the end cuts off is left out. line counts the frames' first (META)
     packets from 0, and is -1 before them.
     """
-    rest, ord_, line, head = b"", 0, -1, len(token) + 8
+    rest, ord_, line, head = b"", 0, -1, len(token) + HEADER
     for part in parts:
         rest, pos = rest + part, 0
         while True:
@@ -118,16 +116,12 @@ def packets_in(parts: Iterable[bytes], token: bytes = TOKEN, packed: bool = True
                 break
             if at + head > len(rest):
                 break
-            h = rest[at + len(token) : at + head]
-            samples, kind, b0, b1 = int.from_bytes(h[:2], "big"), h[2], h[3], h[4]
-            image = kind & 15 == 7
-            n = samples * 3 // 2 if packed or not image else samples * 2
-            start = at + head
-            if start + n > len(rest):
+            h, start = header(rest[at + len(token) : at + head], packed), at + head
+            if start + h["n_bytes"] > len(rest):
                 break
-            line += not image
-            yield {"ord": ord_, "line": line, "image_type": "SWIR" if kind >> 4 == 1 else "VNIR", "data_type": "IMAGE" if image else "META", "band": (b0 << 8) + b1 if b0 <= 2 else b1, "frame": int.from_bytes(h[5:8], "big"), "n_bytes": n, "payload": rest[start : start + n]}
-            ord_, pos = ord_ + 1, start + n
+            line += h["data_type"] == "META"
+            yield {"ord": ord_, "line": line, **h, "payload": rest[start : start + h["n_bytes"]]}
+            ord_, pos = ord_ + 1, start + h["n_bytes"]
         rest = rest[at:]
 
 
@@ -140,10 +134,6 @@ def packet(samples: int, kind: int, band: int, frame: int, payload: bytes, token
     return token + struct.pack(">HBBB", samples, kind, band >> 8, band & 255) + frame.to_bytes(3, "big") + payload
 
 
-_PACKETS = pa.schema([("file", pa.string()), ("ord", pa.int64()), ("line", pa.int64()), ("image_type", pa.string()), ("data_type", pa.string()), ("band", pa.int32()), ("frame", pa.int32()), ("n_bytes", pa.int32()), ("payload", pa.binary())])
-_PACKETS_SQL = "file string, ord long, line long, image_type string, data_type string, band int, frame int, n_bytes int, payload binary"
-
-
 def _batches(rows: Iterable[dict], schema: pa.Schema, size, most: int = PART) -> Iterator[pa.RecordBatch]:
     """Record batches of rows, of about that many bytes."""
     held, total = [], 0
@@ -157,18 +147,6 @@ def _batches(rows: Iterable[dict], schema: pa.Schema, size, most: int = PART) ->
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
-def read_packets(spark: SparkSession, path: str, token: bytes = TOKEN, packed: bool = True, part: int = PART) -> DataFrame:
-    """Packets of raw files, by file and place. A file is one task's, since each packet says where the next may begin; it is read a part at a time."""
-
-    def run(batches):
-        for b in batches:
-            for file in b.column(0).to_pylist():
-                found = ({"file": file} | p for p in packets_in(store.chunks(file, part), token, packed))
-                yield from _batches(found, _PACKETS, lambda r: r["n_bytes"] + 100)
-
-    return store.listed(spark, path).select("path").mapInArrow(run, _PACKETS_SQL)
-
-
 def decode(packets: DataFrame) -> DataFrame:
     """file, b, y, x, v of the valid frames of packets; y counts them. SWIR lines are flipped inside each of four modules."""
     from pyspark.sql import Window as W

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import tempfile
+import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -66,3 +69,48 @@ def chunks(path: str, size: int) -> Iterator[bytes]:
     with open_read(path) as f:
         while data := f.read(size):
             yield bytes(data)
+
+
+def read_range(path: str, start: int, end: int) -> bytes:
+    with open_read(path) as f:
+        f.seek(start)
+        return bytes(f.read(end - start))
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. A local session that has none gets a temporary one; on a cluster that is an error."""
+    if found := spark.conf.get("spark.checkpoint.dir", None):
+        return found.rstrip("/")
+    found = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if found.isDefined():
+        return found.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    own = "file://" + tempfile.mkdtemp(prefix="prismcube-")
+    spark.sparkContext.setCheckpointDir(own)
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own
+
+
+class Kept:
+    """kept(df, name) writes a table to the shared folder and gives it back, read from there; all go when the program ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/prismcube-{uuid.uuid4().hex}", 0
+        atexit.register(self._drop)
+
+    def _drop(self) -> None:
+        try:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        except Exception:  # the session may have ended before the interpreter
+            return
+
+    def path(self, name: str) -> str:
+        self.n += 1
+        return f"{self.root}/{self.n:03d}-{name}"
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
