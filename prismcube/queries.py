@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .cube import E_SQL, FLT_MIN, Q_SQL, count_cube, spectral_cube
@@ -20,6 +21,8 @@ from .operators import render as R
 from .operators import segments as S
 from .operators import tables as T
 from .plans import tasks
+from .sources import files, ordered, store
+from .sources.packets import TOKEN
 from .streaming import frames as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -418,6 +421,56 @@ def w8(spark, sf):
     return rounded(R.render_tiles(cube.frames(), cube.extent(1), cube.extent(0), R.Render("tile hist", -0.5, 0.5, 0.01), (4, 4)), 4)
 
 
+def _event_packets(spark, sf):
+    """events as packets, three to an event of a file for each of four users: a frame's first packet and two bands; file, ord, data."""
+    ev = read(spark, sf, "events").select("event_id", (F.col("user_id") % 4).cast("int").alias("file"), F.round(F.col("value") * 10).cast("long").alias("s"))
+
+    def run(batches):
+        for batch in batches:
+            out = {"file": [], "ord": [], "data": []}
+            for i, file, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                inside = TOKEN + bytes([0, 8, 7, 0, 1, 0, 0, 9]) if i % 5 == 0 else b""  # a token that begins no packet
+                odd = inside + files.pack12([(s + j) % 4096 for j in range(8)])
+                data = [files.packet(4, 0, 0, i % 65536, files.pack12([65, 66, 67, 0])), *(files.packet(len(odd) * 2 // 3, 7, b, i % 65536, odd) for b in range(2)), b"\0" * (i % 3)]
+                out["file"].append(file)
+                out["ord"].append(i)
+                out["data"].append(b"".join(data))
+            yield pa.RecordBatch.from_pydict({"file": pa.array(out["file"], pa.int32()), "ord": pa.array(out["ord"], pa.int64()), "data": pa.array(out["data"], pa.binary())})
+
+    return ev.mapInArrow(run, "file int, ord long, data binary")
+
+
+_EV = "ev AS (SELECT event_id, user_id % 4 AS file, row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS line, CAST(round(value * 10) AS BIGINT) AS s, CASE WHEN event_id % 5 = 0 THEN 24 ELSE 12 END AS n FROM events)"
+
+
+@query(
+    "s7_packets",
+    f"WITH {_EV} SELECT CAST(file AS INT) AS file, 3 * line + p AS ord, line, CASE WHEN p = 0 THEN 'META' ELSE 'IMAGE' END AS data_type, CAST(greatest(p - 1, 0) AS INT) AS band, CAST(event_id % 65536 AS INT) AS frame, CAST(CASE WHEN p = 0 THEN 6 ELSE n END AS INT) AS n_bytes FROM ev, range(3) AS t(p)",
+)
+def s7(spark, sf):
+    return _packets(spark, sf).select("file", "ord", "line", "data_type", "band", "frame", "n_bytes")
+
+
+def _packets(spark, sf):
+    """The packets of events, written as four raw files and read back by ranges of 64 KB."""
+    rows, keep = _event_packets(spark, sf), store.Kept(spark)
+    folder = keep.path("raw")
+    for i in range(4):
+        ordered.write_bytes(rows.filter(F.col("file") == i), f"{folder}/{i}.dat", "ord", shared=True)
+    return files.read_packets(spark, f"{folder}/*.dat", part=1 << 16).withColumn("file", F.regexp_extract("file", r"(\d)\.dat$", 1).cast("int"))
+
+
+@query(
+    "c6_decode",
+    f"WITH {_EV}, w AS (SELECT file, line, s, n, b, i FROM ev, range(2) AS u(b), range(8) AS t(i)) SELECT CAST(file AS INT) AS file, CAST(b AS INT) AS b, CAST(line AS INT) AS y, CAST(i + (n - 12) * 2 // 3 AS INT) AS x, CAST(((s + i) % 4096 + 4096) % 4096 AS DOUBLE) AS v FROM w",
+)
+def c6(spark, sf):
+    # the eight samples of each event, behind those of the token that stands in some
+    got = files.decode(_packets(spark, sf))
+    size = F.max("x").over(Window.partitionBy("file", "b", "y"))
+    return got.withColumn("last", size).filter("x > last - 8").drop("last")
+
+
 @query("w3_despeckle")
 def w3(spark, sf):
     cube = e_cube(spark, sf)

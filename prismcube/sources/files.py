@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import store
+from .ordered import write_lines  # noqa: F401
 from .packets import HEADER, TOKEN, header, read_packets  # noqa: F401
 
 SEPARATORS = r"[ ,;|\t]+"
@@ -239,11 +240,3 @@ def features_text(features: DataFrame, frames: int, columns: list[str]) -> DataF
     lines = every.select("k", F.posexplode(F.concat(F.array(F.size(rows).cast("string")), rows)).alias("ord", "text"))
     first = features.sparkSession.createDataFrame([(-1, 0, str(frames))], "k int, ord int, text string")
     return first.unionByName(lines)
-
-
-def write_lines(lines: DataFrame, path: str, *order: str) -> None:
-    """Writes the column text of a small table as one file, in order."""
-    rows = lines.select(*order, "text").sort(*order).toLocalIterator()
-    with store.open_write(path) as f:
-        for r in rows:
-            f.write((r.text + "\n").encode())

@@ -64,3 +64,25 @@ def test_packets_by_ranges_equal_the_scan(spark, tmp_path, part, fan):
     got = files.read_packets(spark, str(tmp_path / "*.dat"), part=part, fan=fan).collect()
     rows = [(r.file.rsplit("/", 1)[1][:-4], r.ord, r.line, r.image_type, r.data_type, r.band, r.frame, r.n_bytes, bytes(r.payload)) for r in got]
     assert sorted(rows) == sorted(want)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_lines_written_at_offsets(spark, tmp_path, n):
+    rng = np.random.default_rng(n)
+    texts = [None if i % 97 == 5 else f"é{i}\t" + "x" * int(rng.integers(0, 40)) for i in range(n)]
+    df = spark.createDataFrame([(int(i % 7), i, texts[i]) for i in rng.permutation(n).tolist()], "k int, ord int, text string").repartition(6)
+    want = "".join((texts[i] or "") + "\n" for _, i in sorted((i % 7, i) for i in range(n))).encode()
+    assert files.write_lines(df, str(tmp_path / "sub" / "o.txt"), "k", "ord") == len(want)
+    assert (tmp_path / "sub" / "o.txt").read_bytes() == want
+    files.write_lines(df.limit(0), str(tmp_path / "sub" / "o.txt"), "k")  # a longer file that was there is gone
+    assert (tmp_path / "sub" / "o.txt").read_bytes() == b""
+
+
+def test_a_file_in_place_needs_a_shared_folder(tmp_path):
+    from types import SimpleNamespace
+
+    from prismcube.sources import ordered
+
+    rows = SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=SimpleNamespace(master="spark://h:1")))
+    with pytest.raises(ValueError, match="shared=True"):
+        ordered.write_bytes(rows, str(tmp_path / "x"), "k")
