@@ -1,7 +1,6 @@
 """Operators whose result at a cell depends on the scan so far or on whole shapes, over numpy.
 
-Despeckling and shapes take a frame at a time (frames are independent, so they spread over tasks, and a frame's cells
-are what a task holds); inpainting takes tiles with a margin.
+All take tiles with a margin; what a scan carries from tile to tile is composed by operators.scans.
 """
 
 from __future__ import annotations
@@ -9,30 +8,26 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import tiles
+from ..sources import store
+from . import scans, tiles
 
 
-def by_frame(frames: DataFrame, rows: int, cols: int, f, schema: str, fill: float = 0.0) -> DataFrame:
-    """f(k, matrix) gives a dict of columns, for every frame."""
-
-    def run(table: pa.Table) -> pa.Table:
-        m = np.full((rows, cols), fill)
-        m[table.column("r").to_numpy(), table.column("c").to_numpy()] = table.column("v").to_numpy()
-        return pa.table(f(table.column("k")[0].as_py(), m))
-
-    return frames.groupBy("k").applyInArrow(run, schema)
-
-
-def _cells(k: int, m: np.ndarray) -> dict:
-    r, c = np.indices(m.shape)
-    return {"k": pa.array(np.full(m.size, k), pa.int32()), "r": pa.array(r.ravel(), pa.int32()), "c": pa.array(c.ravel(), pa.int32()), "v": pa.array(m.ravel().astype(float))}
-
-
-CELLS = "k int, r int, c int, v double"
+def _window_medians(wide: np.ndarray, i: int, cols: int, pad: int, r: int, low: float, high: float, step: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of line i of a matrix padded by pad with NaN: the histogram medians of windows of radius r, and whether the radius grows there."""
+    bins = int((high - low) / step)
+    w = np.stack([wide[i + pad + dy, pad + dx : pad + dx + cols] for dy in range(-r, r + 1) for dx in range(-r, r + 1)])
+    with np.errstate(invalid="ignore"):
+        under, over = w < low, w >= high
+    inside = ~(under | over | np.isnan(w))
+    n = inside.sum(axis=0)
+    s = np.sort(np.where(inside, w, np.inf), axis=0)
+    middle = np.take_along_axis(s, np.maximum((n + 1) // 2 - 1, 0)[None], axis=0)[0]
+    b = np.minimum(((np.where(n > 0, middle, low) - low) / step).astype(int), bins - 1)
+    value = np.where(n > 0, low + b * step + (0 if step == 1 else step / 2), 0.0)
+    return value, (under.sum(axis=0) >= r) | (over.sum(axis=0) >= r)
 
 
 def despeckle_frame(m: np.ndarray, ksize: int, low: float, high: float, step: float) -> np.ndarray:
@@ -40,21 +35,12 @@ def despeckle_frame(m: np.ndarray, ksize: int, low: float, high: float, step: fl
     least as many neighbours as it counts are under or over the range, else it shrinks (to 1). What each radius would
     give is worked out for a line at once; the scan then only chooses."""
     rows, cols = m.shape
-    out, radius, bins = np.zeros_like(m), ksize, int((high - low) / step)
+    out, radius = np.zeros_like(m), ksize
     wide = np.pad(np.where(np.isfinite(m), m, np.nan), ksize, constant_values=np.nan)
     for i in range(rows):
         grows, value = np.zeros((ksize + 1, cols), bool), np.zeros((ksize + 1, cols))
         for r in range(1, ksize + 1):
-            w = np.stack([wide[i + ksize + dy, ksize + dx : ksize + dx + cols] for dy in range(-r, r + 1) for dx in range(-r, r + 1)])
-            with np.errstate(invalid="ignore"):
-                under, over = w < low, w >= high
-            inside = ~(under | over | np.isnan(w))
-            n = inside.sum(axis=0)
-            s = np.sort(np.where(inside, w, np.inf), axis=0)
-            middle = np.take_along_axis(s, np.maximum((n + 1) // 2 - 1, 0)[None], axis=0)[0]
-            b = np.minimum(((np.where(n > 0, middle, low) - low) / step).astype(int), bins - 1)
-            value[r] = np.where(n > 0, low + b * step + (0 if step == 1 else step / 2), 0.0)
-            grows[r] = (under.sum(axis=0) >= r) | (over.sum(axis=0) >= r)
+            value[r], grows[r] = _window_medians(wide, i, cols, ksize, r, low, high, step)
         finite = np.isfinite(m[i])
         for j in range(cols):
             if not finite[j]:
@@ -65,8 +51,44 @@ def despeckle_frame(m: np.ndarray, ksize: int, low: float, high: float, step: fl
     return out
 
 
-def despeckle(frames: DataFrame, rows: int, cols: int, ksize: int = 3, hist_min: float = 7, hist_max: float = 4000, hist_step: float = 1) -> DataFrame:
-    return by_frame(frames, rows, cols, lambda k, m: _cells(k, despeckle_frame(m, ksize, hist_min, hist_max, hist_step)), CELLS)
+def _despeckle_tile(p: tiles.Patch, tile: int, ksize: int, low: float, high: float, step: float) -> dict[str, np.ndarray]:
+    """v1.. and e1..: what each cell of a tile becomes, and the radius after it, if the radius is 1.. where its line enters the tile."""
+    rows, cols = p.there.shape
+    c0 = 0 if p.c0 == 0 else ksize  # where the tile's own cells begin
+    own = slice(c0, min(c0 + tile, cols))
+    wide = np.pad(np.where(p.there & np.isfinite(p.v), p.v, np.nan), ksize, constant_values=np.nan)
+    values, grows = np.zeros((ksize + 1, rows, cols)), np.zeros((ksize + 1, rows, cols), bool)
+    for i in range(rows):  # a line at a time, so that the windows of a line are in memory
+        for r in range(1, ksize + 1):
+            values[r, i], grows[r, i] = _window_medians(wide, i, cols, ksize, r, low, high, step)
+    radius = np.tile(np.arange(1, ksize + 1), (rows, 1))
+    v, e = np.zeros((ksize, rows, cols)), np.zeros((ksize, rows, cols), np.int32)
+    line = np.arange(rows)[:, None]
+    for j in range(own.start, own.stop):
+        finite = (p.there[:, j] & np.isfinite(p.v[:, j]))[:, None]
+        v[:, :, j] = np.where(finite, values[radius, line, j], p.v[:, j, None]).T
+        after = np.where(grows[radius, line, j], np.minimum(radius + 1, ksize), np.maximum(radius - 1, 1))
+        radius = np.where(finite, after, radius)
+        e[:, :, j] = radius.T
+    return {f"v{s + 1}": v[s] for s in range(ksize)} | {f"e{s + 1}": e[s] for s in range(ksize)}
+
+
+def despeckle(frames: DataFrame, rows: int, cols: int, ksize: int = 3, hist_min: float = 7, hist_max: float = 4000, hist_step: float = 1, tile: int = tiles.TILE) -> DataFrame:
+    """Adaptive histogram median of frames of any size (see despeckle_frame): the radius is a state that lines carry from tile to tile.
+
+    Each tile works out, for every radius at which one of its lines may enter, what its cells become and with which radius the line
+    leaves. The lines' pieces, in scan order, are steps of a scan over that state; each piece's entry then chooses.
+    """
+    states, keep, across = range(1, ksize + 1), store.Kept(frames.sparkSession), -(-cols // tile)
+    if tile <= ksize:
+        raise ValueError("the radius is no smaller than a tile")
+    schema = ", ".join(["k int, r int, c int", *(f"v{s} double" for s in states), *(f"e{s} int" for s in states)])
+    cells = keep(tiles.tiled(frames, rows, cols, ksize, lambda p: _despeckle_tile(p, tile, ksize, hist_min, hist_max, hist_step), schema, tile), "cells")
+    piece = F.col("r").cast("long") * across + F.floor(F.col("c") / tile)
+    cells = cells.withColumn("i", piece)
+    steps = cells.groupBy("k", "i").agg(F.max_by(F.array(*(f"e{s}" for s in states)), "c").alias("step"))
+    entries = scans.entry_states(steps, ["k"], ksize, keep)
+    return cells.join(entries, ["k", "i"]).select("k", "r", "c", F.element_at(F.array(*(f"v{s}" for s in states)), F.col("entry")).alias("v"))
 
 
 def inpaint_frame(m: np.ndarray, mask: np.ndarray, radius: int = 3) -> np.ndarray:
@@ -141,7 +163,7 @@ def inpaint(frames: DataFrame, bad: DataFrame, rows: int, cols: int, radius: int
 
 
 def line_shapes(m: np.ndarray, shortest: int, longest: int) -> list[tuple[int, int, int, int]]:
-    """Ends of the 8-connected parts of m > 0 that are thin enough to be one segment (within one percent of the outline) and of that length."""
+    """Ends of the 8-connected parts of m > 0 that are thin enough to be one segment and of that length: shapes.peak_lines for one matrix."""
     rows, cols = m.shape
     seen, out = ~(m > 0), []
     for i, j in zip(*np.nonzero(m > 0), strict=True):
@@ -158,23 +180,13 @@ def line_shapes(m: np.ndarray, shortest: int, longest: int) -> list[tuple[int, i
                         todo.append((a, b))
         if len(part) < 2:
             continue
-        p = np.array(part, float)
+        p = np.array(sorted(part))
         first = p[np.argmax(((p - p.mean(0)) ** 2).sum(1))]
         last = p[np.argmax(((p - first) ** 2).sum(1))]
         d = last - first
-        off = np.abs((p - first) @ np.array([-d[1], d[0]])) / np.hypot(*d)
+        off = np.abs((p - first) @ np.array([d[1], -d[0]]))
         length = np.abs(d).max() + 1
-        if off.max() <= max(0.02 * np.hypot(*d), 1e-9) and (shortest < 0 or length >= shortest) and (longest < 0 or length <= longest):
-            a, b = sorted([tuple(first.astype(int).tolist()), tuple(last.astype(int).tolist())])
+        if 50 * off.max() <= (d * d).sum() and (shortest < 0 or length >= shortest) and (longest < 0 or length <= longest):
+            a, b = sorted([tuple(first.tolist()), tuple(last.tolist())])
             out.append((a[1], a[0], b[1], b[0]))
     return out
-
-
-def peak_lines(kept: DataFrame, rows: int, cols: int, shortest: int = 11, longest: int = 20) -> DataFrame:
-    """k, x1, y1, v1, x2, y2, v2 of the segments that the kept cells of the peak test form."""
-
-    def find(k, m):
-        s = line_shapes(m, shortest, longest)
-        return {"k": pa.array([k] * len(s), pa.int32()), **{n: pa.array([q[i] for q in s], pa.int32()) for i, n in enumerate(("x1", "y1", "x2", "y2"))}, "v1": pa.array([float(m[q[1], q[0]]) for q in s], pa.float64()), "v2": pa.array([float(m[q[3], q[2]]) for q in s], pa.float64())}
-
-    return by_frame(kept, rows, cols, find, "k int, x1 int, y1 int, x2 int, y2 int, v1 double, v2 double")

@@ -17,6 +17,7 @@ from ..operators import kernels as K
 from ..operators import maps as M
 from ..operators import render as R
 from ..operators import segments as S
+from ..operators import shapes
 from ..sources import files, lists, raster, store
 
 #: The parameters that each task reads.
@@ -255,7 +256,7 @@ def run(cube: Cube, tasks: list[Task], inputs: dict[str, DataFrame] | None = Non
             ratios, threshold = peak_test(t)
             kept = A.peaks(f, rows, cols, threshold, ratios, t.whole("tolerance", max(len(ratios), len(ratios[0]))))
             out.tables["points"] = kept.filter("n = 0").select("k", "c", "r", "v")
-            out.tables["lines"] = K.peak_lines(kept, rows, cols, t.whole("length_min", 11), t.whole("length_max", 20))
+            out.tables["lines"] = shapes.peak_lines(kept, rows, cols, t.whole("length_min", 11), t.whole("length_max", 20))
             f = kept.select("k", "r", "c", "v")
         else:
             warnings.warn(f"unknown task {t.name} is left out", stacklevel=2)

@@ -19,6 +19,7 @@ from .operators import kernels as K
 from .operators import maps as M
 from .operators import render as R
 from .operators import segments as S
+from .operators import shapes
 from .operators import tables as T
 from .plans import tasks
 from .sources import files, ordered, store
@@ -471,10 +472,23 @@ def c6(spark, sf):
     return got.withColumn("last", size).filter("x > last - 8").drop("last")
 
 
-@query("w3_despeckle")
+#: Windows of the three radii for each cell, then the cells of each frame in scan order, one after another.
+W3_SQL = f"""
+WITH RECURSIVE {E_SQL}, size AS (SELECT max(c) + 1 AS cols FROM e), rad AS (SELECT CAST(range AS INT) AS rad FROM range(1, 4)),
+near AS (SELECT a.k, a.r, a.c, rad, b.v FROM rad, e a JOIN e b ON a.k = b.k AND abs(a.r - b.r) <= 3 AND abs(a.c - b.c) <= 3 WHERE abs(a.r - b.r) <= rad AND abs(a.c - b.c) <= rad),
+win AS (SELECT k, r, c, rad, count(*) FILTER (v < -1) >= rad OR count(*) FILTER (v >= 1) >= rad AS grows, list_sort(coalesce(list(v) FILTER (v >= -1 AND v < 1), [])) AS s FROM near GROUP BY k, r, c, rad),
+val AS MATERIALIZED (SELECT k, r, c, r * cols + c AS i, rad, CASE WHEN grows THEN least(rad + 1, 3) ELSE greatest(rad - 1, 1) END AS after,
+  CASE WHEN len(s) > 0 THEN -1 + least(floor((s[(len(s) + 1) // 2] + 1) / CAST(0.01 AS DOUBLE)), 199) * CAST(0.01 AS DOUBLE) + CAST(0.01 AS DOUBLE) / 2 ELSE 0 END AS v FROM win, size),
+seq AS MATERIALIZED (SELECT *, dense_rank() OVER (PARTITION BY k ORDER BY i) AS n FROM val),
+walk AS (SELECT k, r, c, n, v, after FROM seq WHERE n = 1 AND rad = 3 UNION ALL SELECT s.k, s.r, s.c, s.n, s.v, s.after FROM walk w JOIN seq s ON s.k = w.k AND s.n = w.n + 1 AND s.rad = w.after)
+SELECT k, r, c, round(v, 6) + 0.0 AS v FROM walk
+"""
+
+
+@query("w3_despeckle", W3_SQL)
 def w3(spark, sf):
     cube = e_cube(spark, sf)
-    return K.despeckle(cube.frames(), cube.extent(1), cube.extent(0), 3, -1, 1, 0.01)
+    return rounded(K.despeckle(cube.frames(), cube.extent(1), cube.extent(0), 3, -1, 1, 0.01))
 
 
 @query("w5_inpaint")
@@ -484,11 +498,38 @@ def w5(spark, sf):
     return rounded(K.inpaint(f, f.filter("(r * 7 + c * 3 + k) % 29 = 0"), cube.extent(1), cube.extent(0)))
 
 
-@query("c4_peak_lines")
+#: Peaks as in w7; the smallest cell that steps to neighbours reach names a shape.
+_KEPT = """p AS (SELECT a.k, a.r, a.c, count(*) FILTER (NOT (b.r = a.r AND b.c = a.c) AND a.v * CASE WHEN abs(b.r - a.r) <= 1 AND abs(b.c - a.c) <= 1 THEN 1 ELSE CAST(0.1 AS DOUBLE) END <= b.v) AS n
+  FROM e a JOIN e b ON a.k = b.k AND abs(a.r - b.r) <= 2 AND abs(a.c - b.c) <= 2 WHERE a.v > {threshold} GROUP BY ALL),
+kept AS MATERIALIZED (SELECT e.k, e.r, e.c, e.v FROM e JOIN p USING (k, r, c) WHERE n <= {tolerance}),
+reach AS (SELECT k, r, c, r AS r1, c AS c1 FROM kept UNION SELECT a.k, a.r, a.c, b.r, b.c FROM reach a JOIN kept b ON b.k = a.k AND b.r BETWEEN r1 - 1 AND r1 + 1 AND b.c BETWEEN c1 - 1 AND c1 + 1),
+shapes AS MATERIALIZED (SELECT k, r, c, v, min(r1 * 20 + c1) AS shape FROM reach JOIN kept USING (k, r, c) GROUP BY k, r, c, v)"""
+
+
+@query("c4_peak_shapes", f"WITH RECURSIVE {E_SQL}, {_KEPT.format(threshold=0.1, tolerance=5)} SELECT k, r, c, v, CAST(shape AS BIGINT) AS shape FROM shapes")
+def c4s(spark, sf):
+    cube = e_cube(spark, sf)
+    kept = A.peaks(cube.frames(), cube.extent(1), cube.extent(0), threshold=0.1)
+    return shapes.label_shapes(kept, cube.extent(1), cube.extent(0), 7)
+
+
+C4_SQL = f"""
+WITH RECURSIVE {E_SQL}, {_KEPT.format(threshold=0.05, tolerance=14)},
+mean AS (SELECT k, shape, avg(r) AS mr, avg(c) AS mc FROM shapes GROUP BY ALL HAVING count(*) > 1),
+first AS (SELECT DISTINCT ON (k, shape) k, shape, r AS r1, c AS c1, v AS v1 FROM shapes JOIN mean USING (k, shape) ORDER BY k, shape, pow(r - mr, 2) + pow(c - mc, 2) DESC, r, c),
+last AS (SELECT DISTINCT ON (k, shape) k, shape, r1, c1, v1, r AS r2, c AS c2, v AS v2 FROM shapes JOIN first USING (k, shape) ORDER BY k, shape, (r - r1) * (r - r1) + (c - c1) * (c - c1) DESC, r, c),
+thin AS (SELECT k, shape, r1, c1, v1, r2, c2, v2 FROM shapes JOIN last USING (k, shape) WHERE greatest(abs(r2 - r1), abs(c2 - c1)) + 1 BETWEEN 2 AND 20
+  GROUP BY ALL HAVING 50 * max(abs((r - r1) * (c2 - c1) - (c - c1) * (r2 - r1))) <= (r2 - r1) * (r2 - r1) + (c2 - c1) * (c2 - c1))
+SELECT k, CAST(x1 AS INT) AS x1, CAST(y1 AS INT) AS y1, CAST(x2 AS INT) AS x2, CAST(y2 AS INT) AS y2, v1, v2 FROM (
+  SELECT k, c1 AS x1, r1 AS y1, c2 AS x2, r2 AS y2, v1, v2 FROM thin WHERE (r1, c1) < (r2, c2) UNION ALL SELECT k, c2, r2, c1, r1, v2, v1 FROM thin WHERE (r1, c1) > (r2, c2))
+"""
+
+
+@query("c4_peak_lines", C4_SQL)
 def c4(spark, sf):
     cube = e_cube(spark, sf)
     kept = A.peaks(cube.frames(), cube.extent(1), cube.extent(0), threshold=0.05, tolerance=14)
-    return K.peak_lines(kept, cube.extent(1), cube.extent(0), 2, 20)
+    return shapes.peak_lines(kept, cube.extent(1), cube.extent(0), 2, 20)
 
 
 @query("c5_line_segments")
