@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..cube import Cube
-from ..sources import files, lists, raster, store
+from ..sources import files, lists, raster, store, tiff
 from . import tasks as T
 
 SPLIT = re.compile(r"[ ,;|]+")
@@ -115,13 +115,17 @@ def _header(image: str) -> dict | None:
 
 
 def _kind_of(image: str) -> str:
-    header = _header(image)
     names = {v: k for k, v in raster.KINDS.items()}
+    if lists.format_of(image) == "gtiff":
+        return names.get(tiff.read_directory(image).dtype.str.lstrip("<>|"), "float32")
+    header = _header(image)
     return names.get(header["dtype"].lstrip("<>"), "float32") if header else "float32"
 
 
-def _tags(image: str) -> dict[str, str]:
-    """The entries of the image's header that say where it lies."""
+def _tags(image: str) -> dict:
+    """The entries of the image's header, or its tags, that say where it lies."""
+    if lists.format_of(image) == "gtiff":
+        return tiff.place_tags(image)
     header = _header(image)
     return {k: v for k, v in header["tags"].items() if k in ("map info", "coordinate system string", "projection info")} if header else {}
 

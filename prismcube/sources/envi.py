@@ -1,4 +1,4 @@
-"""A Spark data source for flat binary rasters: `spark.dataSource.register(EnviSource)`, then format("envi").
+"""A Spark data source for flat binary rasters: `spark.dataSource.register(EnviSource)`, then format("envi"), to read and to write (see tiff.RasterWriter).
 
 A file is cut into parts of whole lines (of one band, or of all where bands lie inside lines), each read by offset in its
 own task, so a large file spreads over the cluster. The window and the bands are read options (xoff, xsize, ...), never
@@ -70,3 +70,8 @@ class EnviSource(DataSource):
 
     def reader(self, schema):
         return EnviReader(self.options["path"], dict(self.options))
+
+    def writer(self, schema, overwrite):
+        from .tiff import RasterWriter
+
+        return RasterWriter(dict(self.options), overwrite, True)

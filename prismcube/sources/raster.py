@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -10,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..cube import Cube
-from . import store
+from . import png, store, tiff
 from .envi import EnviSource
 from .files import envi_header, envi_text
-from .lists import format_of, header_of
+from .lists import FORMATS, format_of, header_of
 
 #: Output types by their names, and what numpy calls them; those of complex numbers hold the real part's value.
 KINDS = {"byte": "u1", "uint16": "u2", "int16": "i2", "uint32": "u4", "int32": "i4", "float32": "f4", "float64": "f8", "cfloat32": "c8", "cfloat64": "c16"}
@@ -22,7 +23,7 @@ BLOCK_CELLS = 1 << 20
 
 
 def open_cube(spark: SparkSession, path: str, **window: int) -> Cube:
-    """The cube of a flat raster with a header, of an array of bands, lines and samples (.npy), or of a table (b, y, x, v); window: xoff, xsize, ... are read options of flat rasters."""
+    """The cube of a flat raster with a header, of a TIFF, of an array of bands, lines and samples (.npy), or of a table (b, y, x, v); window: xoff, xsize, ... are read options of flat rasters and TIFFs."""
     kind = format_of(path)
     if kind == "envi":
         header = envi_header(store.read_text(header_of(path)))
@@ -32,6 +33,13 @@ def open_cube(spark: SparkSession, path: str, **window: int) -> Cube:
             reader = reader.option(k, v)
         nodata = (float(header["nodata"]),) if header["nodata"] else ()
         return Cube(reader.load(), (header["samples"], header["lines"], header["bands"]), nodata)
+    if kind == "gtiff":
+        d = tiff.read_directory(path)
+        spark.dataSource.register(tiff.TiffSource)
+        reader = spark.read.format("tiff").option("path", path)
+        for k, v in window.items():
+            reader = reader.option(k, v)
+        return Cube(reader.load(), d.size, () if d.nodata is None else (d.nodata,))
     if kind == "npy":
         with store.open_read(path) as f:
             np.lib.format.read_magic(f)
@@ -73,18 +81,43 @@ def output_path(path: str, out: str | None = None, suffix: str = "_mod") -> str:
     return f"{stem}{suffix}{'.tif' if ext in ('.png', '.jpg') else ext}"
 
 
-def write_raster(cube: Cube, path: str, kind: str = "float32", overwrite: bool = False, tags: dict[str, str] | None = None, offset: tuple[int, int, int] = (0, 0, 0), size: tuple[int, int, int] | None = None) -> int:
-    """Writes a cube as a flat raster (bsq) with a header and returns the number of cells written.
+def write_image(cube: Cube, path: str, kind: str, overwrite: bool, tags: dict, offset: tuple[int, int, int], size: tuple[int, int, int], shared: bool | None = None) -> int:
+    """Writes a cube as TIFF or PNG, by the name; the number of cells that the image has."""
+    if (at := store.local(path)) and os.path.exists(at) and not overwrite:
+        raise ValueError(f"{path} is there")
+    if path.lower().endswith(".png"):
+        if any(offset) or size != cube.size:
+            raise ValueError("a PNG holds the cube alone")
+        png.write_png(cube, path, kind.lower(), {k: v for k, v in tags.items() if isinstance(k, str)}, shared)
+    else:
+        own = {k: v for k, v in tags.items() if isinstance(k, int)}
+        options = dict(zip(("samples", "lines", "bands", "xoff", "yoff", "boff"), (*size, *offset), strict=True)) | {"kind": KINDS[kind.lower()], "tags": json.dumps(own)}
+        cube.cells.sparkSession.dataSource.register(tiff.TiffSource)
+        cells = cube.cells.select(*(F.col(c).cast("int").alias(c) for c in "byx"), F.col("v").cast("double").alias("v"))
+        cells = cells.repartition("b", F.floor(F.col("y") / max(1, BLOCK_CELLS // max(size[0], 1)))).sortWithinPartitions("b", "y", "x")
+        cells.write.format("tiff").mode("overwrite" if overwrite else "append").options(**options).save(path)
+    return size[0] * size[1] * size[2]
+
+
+def write_raster(cube: Cube, path: str, kind: str = "float32", overwrite: bool = False, tags: dict | None = None, offset: tuple[int, int, int] = (0, 0, 0), size: tuple[int, int, int] | None = None, shared: bool | None = None) -> int:
+    """Writes a cube as a flat raster (bsq) with a header and returns the number of cells written; .tif and .png name images (write_image), other formats that are no flat raster raise.
 
     Tasks write blocks of lines at their places in one file, which all see (a local or mounted path); a task that runs
     again writes the same bytes there. Cells that are not there are 0. A file that is there is written into if its shape and
     type are the same, else that is an error, unless overwrite. offset and size: where the cube lies (x, y, b) in a larger
     raster. Whole-number types hold rounded values inside their range.
     """
-    at = store.local(path)
+    at, target = store.local(path), FORMATS.get(path.rsplit("/", 1)[-1].rsplit(".", 1)[-1].lower(), "envi")
+    if target not in ("envi", "hfa", "gtiff", "png"):
+        raise ValueError(f"no writer for {target} files: {path}")
     if at is None:
-        raise ValueError("a flat raster is written in place: give a local or mounted path, or write the cells as a table")
+        raise ValueError("a raster is written in place: give a local or mounted path, or write the cells as a table")
+    if not (shared or cube.cells.sparkSession.sparkContext.master.startswith("local")):
+        raise ValueError(f"{path} is written in place by many machines: say shared=True if all of them see it")
     samples, lines, bands = size or cube.size
+    if target in ("gtiff", "png"):
+        return write_image(cube, path, kind, overwrite, tags or {}, offset, size or cube.size, shared)
+    tags = {k: v for k, v in (tags or {}).items() if isinstance(k, str)}
     np_kind = KINDS[kind.lower()]
     item = np.dtype(np_kind).itemsize
     header = header_of(at)

@@ -7,7 +7,7 @@ import struct
 
 import numpy as np
 
-from . import store
+from . import store, tiff
 
 #: Names of the offsets and scales in a rational polynomial's text.
 NAMES = ("line_off", "samp_off", "lat_off", "long_off", "height_off", "line_scale", "samp_scale", "lat_scale", "long_scale", "height_scale")
@@ -85,8 +85,8 @@ def parse_grid(data: bytes) -> dict:
 
 
 def load(path: str) -> dict:
-    """A file's polynomial, with the grid of path.grd where there is one."""
-    out = parse(store.read_text(path))
+    """A file's polynomial (of its tags, if it is a TIFF), with the grid of path.grd where there is one."""
+    out = tiff.rpc_of(tiff.read_directory(path).tags) if path.lower().endswith((".tif", ".tiff")) else parse(store.read_text(path))
     if store.exists(path + ".grd"):
         with store.open_read(path + ".grd") as f:
             out["grid"] = parse_grid(f.read())
