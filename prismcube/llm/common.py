@@ -118,6 +118,11 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def bytes_of(texts: pa.Array) -> Iterator[bytes]:
+    """UTF-8 bytes of a string array, one after another; null is empty."""
+    return (x.as_py() or b"" for x in texts.cast(pa.binary()))
+
+
 def texts_of(batch: pa.RecordBatch, column: int = 1) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     return [b"" if x is None else x for x in batch.column(column).cast(pa.binary()).to_pylist()]

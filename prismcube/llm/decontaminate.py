@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import WORDS, Scratch, count_words, map_arrow, mix64, read, texts_of
+from .common import WORDS, Scratch, bytes_of, count_words, map_arrow, mix64, read, texts_of
 
 WINDOW = 10
 #: Benchmark words whose tables are in memory at a time.
@@ -223,19 +223,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         return spark.sparkContext.broadcast(bytes(row.packed) if row else pack([]))
 
     if n == 1:
-        rows, table = docs.select(*kept, "text"), shared(0)
-        names = [*rows.columns[:-1], "n_words", "spans", "item_ids"]
+        table = shared(0)
+        # a carried row holds the text, so that it is sent once
+        rows = docs.select(*kept) if carry else docs.select(*kept, "text")
+        names, place = [*(["doc_id", "_row"] if carry else ["doc_id"]), "n_words", "spans", "item_ids"], docs.columns.index("text")
 
         def make():
             matcher = Matcher(table.value)
 
             def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-                words = [t.translate(WORDS).split() for t in texts_of(batch, batch.num_columns - 1)]
-                return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([len(w) for w in words], pa.int64()), *_found([matcher.scan(w) for w in words])], names=names)
+                texts = batch.column(1).field(place) if carry else batch.column(1)
+                counts, found = [], []
+                for text in bytes_of(texts):
+                    words = text.translate(WORDS).split()
+                    counts.append(len(words))
+                    found.append(matcher.scan(words))
+                return pa.RecordBatch.from_arrays([*batch.columns[: 1 + carry], pa.array(counts, pa.int64()), *_found(found)], names=names)
 
             return run
 
-        out = map_arrow(rows, make, _schema(rows, "n_words long, " + _HITS))
+        out = map_arrow(rows, make, StructType(rows.schema.fields[: 1 + carry] + StructType.fromDDL("n_words long, " + _HITS).fields))
     else:
         # the hits of one block after another, by a hash of the text; equal texts once
         key = F.sha2(F.coalesce("text", F.lit("")), 256)
