@@ -41,6 +41,15 @@ class Cube:
         """Extent of the axis-th of the priority: 0 places, 1 lines, 2 frames."""
         return self.size[self.order[axis]]
 
+    def with_nan(self) -> Cube:
+        """The same cells with NaN where v is no data."""
+        v = F.when(is_nodata(F.col("v"), self.nodata), float("nan")).otherwise(F.col("v").cast("double"))
+        return replace(self, cells=self.cells.withColumn("v", v), nodata=())
+
+    def squeezed(self) -> DataFrame:
+        """The cells by the axes of more than one place alone, as a matrix or a line is read."""
+        return self.cells.select(*(a for a, n in zip(AXES, self.size, strict=True) if n > 1), "v")
+
     def window(self, xoff=0, xsize=0, yoff=0, ysize=0, boff=0, bsize=0, rebase: bool = False) -> Cube:
         """The part inside a source window (a size of 0 or less counts from the far end); a filter that reaches the scan. rebase: places count from the window's corner."""
         cells, size = self.cells, []

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..sources import store
+
 
 def parse_mark(text: Column) -> Column:
     """MARK1PVAA record: struct of week, time, lon, lat, h, velocities and angles (radians; the first two angles swapped)."""
@@ -335,9 +337,11 @@ def rpc_fit(points: DataFrame, rounds: int = 25, ridge: float = 1e-6) -> dict:
     """A rational polynomial fitted to points (lon, lat, h, line, sample).
 
     Normal equations are sums over points (78 by 78, one partial sum a task), re-weighted by the denominators of
-    the round before; offsets are means, scales half ranges, but the whole range for the height.
+    the round before; offsets are means, scales half ranges, but the whole range for the height. The points' five numbers are
+    written once, so that rounds do not work out their plan again.
     """
     names = {"long": "lon", "lat": "lat", "height": "h", "line": "line", "samp": "sample"}
+    points = store.Kept(points.sparkSession)(points.select(*names.values()), "points")
     agg = points.agg(*(f(c).alias(f"{n}_{k}") for n, c in names.items() for k, f in (("off", F.avg), ("min", F.min), ("max", F.max)))).first()
     rpc = {}
     for n in names:

@@ -151,10 +151,12 @@ def shift_module(frames: DataFrame, shift: int = 577, module: int = 512, lines:
     return out.filter("r >= 0 AND r < n").select("k", "r", "c", "v")
 
 
-def rectangle(spark, rows: tuple[int, int], cols: tuple[int, int]) -> DataFrame:
-    """All (row, col) of closed ranges."""
-    r = spark.range(rows[0], rows[1] + 1).select(F.col("id").cast("int").alias("row"))
-    return r.select("row", F.explode(F.sequence(F.lit(cols[0]), F.lit(cols[1]))).alias("col"))
+def rectangles(bounds: DataFrame) -> DataFrame:
+    """All (row, col) of closed ranges (row0, row1, col0, col1; other columns stay)."""
+    keys = [c for c in bounds.columns if c not in ("row0", "row1", "col0", "col1")]
+    whole = bounds.filter("row0 <= row1 AND col0 <= col1")
+    rows = whole.withColumn("row", F.explode(F.sequence("row0", "row1")))
+    return rows.select(*keys, "row", F.explode(F.sequence("col0", "col1")).alias("col"))
 
 
 def geo_grid(points: DataFrame, gsd: float = 1 / 110000, lon0: float = 120.0, lat0: float = 34.0) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..sources import store
 from . import aggregates as A
-from .maps import small
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,7 @@ def lookups(samples: DataFrame, p: Render, by: tuple[str, ...]) -> DataFrame:
         s = s.withColumn("r1", r1)
         return s.select(*by, (p.b * p.dst_mean + (1 - p.b - F.col("r1")) * F.col("mean")).alias("r0"), "r1", low.alias("low"), bins.alias("bins"))
     hist, ends = _ends(samples, p, by)
-    inside = hist.filter((F.col("bin") >= 0) & (F.col("bin") < p.bins)).join(small(ends), list(by)).filter("bin BETWEEN st AND ed")
+    inside = hist.filter((F.col("bin") >= 0) & (F.col("bin") < p.bins)).join(ends, list(by)).filter("bin BETWEEN st AND ed")
     if p.kind == "cut":
         held = inside.groupBy(*by, "st", "ed").agg(F.sum("n").alias("valid")).filter("valid > 0")
         a, b = _line(p, p.src_min + F.col("st") * p.src_step + p.middle, p.src_min + F.col("ed") * p.src_step + p.middle)
@@ -93,7 +93,7 @@ def lookups(samples: DataFrame, p: Render, by: tuple[str, ...]) -> DataFrame:
     h = inside.withColumn("valid", F.sum("n").over(every)).filter("valid > 0")
     if p.hist_clip > 0:  # the limit follows the samples; the excess goes to all bins alike, the rest one each in even steps
         taken = samples.groupBy(*by).agg(F.count(F.lit(1)).alias("samples"))
-        h = h.join(small(taken), list(by))
+        h = h.join(taken, list(by))
         m, at = F.col("ed") - F.col("st") + 1, F.col("bin") - F.col("st")
         limit = F.greatest(F.lit(1), F.floor(p.hist_clip * F.col("samples") / m))
         h = h.withColumn("limit", limit).withColumn("excess", F.sum(F.greatest(n - F.col("limit"), F.lit(0))).over(every))
@@ -115,25 +115,24 @@ def _bin(p: Render) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(float(p.bins - 1)), (F.col("v") - p.src_min) / p.src_step)).cast("int")
 
 
-def _mapped(frames: DataFrame, luts: DataFrame, p: Render, keys: dict[str, str], name: str, cells: int | None = None) -> DataFrame:
-    """frames with the column name: v by the lookup of the group that keys (columns of luts and of frames) name; null without one."""
+def _packed(luts: DataFrame, p: Render, by: tuple[str, ...]) -> DataFrame:
+    """luts with each group's statistics as one struct lut; for CLAHE, its dst by bin as one array."""
+    if p.kind == "clahe":
+        bins = F.array_sort(F.collect_list(F.struct("bin", "dst")))
+        return luts.groupBy(*by).agg(bins.alias("s")).select(*by, F.struct(F.transform("s", lambda x: x["dst"]).alias("dst")).alias("lut"))
+    return luts.select(*by, F.struct(*(c for c in luts.columns if c not in by)).alias("lut"))
+
+
+def _value(lut: Column, p: Render) -> Column:
+    """v by a lookup (a struct of _packed); null without one."""
     v = F.col("v")
-    statistics = [c for c in luts.columns if c not in keys]
-    own = luts.select(*(F.col(a).alias(f"l_{a}") for a in luts.columns))
-    on = [F.col(b).eqNullSafe(F.col(f"l_{a}")) if a == "all" else F.col(b) == F.col(f"l_{a}") for a, b in keys.items()]
     if p.kind == "clahe":
-        on.append(F.col("bin") == F.col("l_bin"))
-        value = F.col("l_dst")
-    elif p.kind == "cut":
-        value = F.col("l_a") * v + F.col("l_b")
-    else:
-        i = F.greatest(F.lit(0.0), F.least(F.col("l_bins") - 1.0, (v - F.col("l_low")) / p.src_step)).cast("int")
-        value = F.greatest(F.least(F.col("l_r1") * (F.col("l_low") + i * p.src_step + p.middle) + F.col("l_r0"), F.lit(float(p.dst_max))), F.lit(float(p.dst_min)))
-    condition = on[0]
-    for c in on[1:]:
-        condition = condition & c
-    out = frames.join(small(own, cells), condition, "left").withColumn(name, value)
-    return out.drop(*(f"l_{a}" for a in (*keys, *statistics)))
+        return F.get(lut["dst"], F.col("bin"))
+    if p.kind == "cut":
+        return lut["a"] * v + lut["b"]
+    i = F.greatest(F.lit(0.0), F.least(lut["bins"] - 1.0, (v - lut["low"]) / p.src_step)).cast("int")
+    value = F.greatest(F.least(lut["r1"] * (lut["low"] + i * p.src_step + p.middle) + lut["r0"], F.lit(float(p.dst_max))), F.lit(float(p.dst_min)))
+    return F.when(lut.isNotNull(), value)
 
 
 def _straight(p: Render) -> Column:
@@ -157,11 +156,13 @@ def render(frames: DataFrame, p: Render, step: tuple[int, int] = (1, 1), shape:
     out = frames.withColumn("bin", F.when(fine.isNotNull(), _bin(p)))
     if p.whole:
         first = samples.groupBy().agg(F.min("k").alias("k"))
-        luts = lookups(samples.join(F.broadcast(first), "k").withColumn("all", F.lit(0)), p, ("all",))  # one row
-        out = _mapped(out.withColumn("all", F.lit(0)), luts, p, {"all": "all"}, "dst", p.bins)
+        luts = _packed(lookups(samples.join(F.broadcast(first), "k").withColumn("all", F.lit(0)), p, ("all",)), p, ("all",))
+        out = out.withColumn("all", F.lit(0)).join(F.broadcast(luts), "all", "left")  # one row
     else:
-        out = _mapped(out, lookups(samples, p, ("k",)), p, {"k": "k"}, "dst")
-    return out.select("k", "r", "c", F.when(fine.isNotNull(), F.coalesce("dst", "v")).otherwise(F.col("v")).alias("v"))
+        # written once, so that its size decides whether it is broadcast and samples are read once
+        luts = store.Kept(frames.sparkSession)(_packed(lookups(samples, p, ("k",)), p, ("k",)), "lookups")
+        out = out.join(luts, "k", "left")
+    return out.select("k", "r", "c", F.when(fine.isNotNull(), F.coalesce(_value(F.col("lut"), p), "v")).otherwise(F.col("v")).alias("v"))
 
 
 def tiling(length: int, tile: int) -> list[tuple[int, int]]:
@@ -191,27 +192,36 @@ def render_tiles(frames: DataFrame, rows: int, cols: int, p: Render, grid: tuple
     luts = None if p.kind == "linear" else lookups(samples, p, by)
 
     def place(at: str, segments: list[tuple[int, int]]):
-        """Tile before, tile after, weight of the one after and their sum, from centres."""
+        """Which gap between centres a place lies in (0: before the first), the weight of the tile after it, and their sum."""
         centres = [s + n // 2 for s, n in segments]
-        before, after, weight, span = F.lit(0), F.lit(0), F.lit(0), F.lit(1)
+        gap, weight, span = F.lit(0), F.lit(0), F.lit(1)
         for i, (a, b) in enumerate(zip(centres, centres[1:], strict=False)):
             here = (F.col(at) >= a) & (F.col(at) < b)
-            before, after = F.when(here, i).otherwise(before), F.when(here, i + 1).otherwise(after)
-            weight, span = F.when(here, F.col(at) - a).otherwise(weight), F.when(here, b - a).otherwise(span)
+            gap, weight, span = F.when(here, i + 1).otherwise(gap), F.when(here, F.col(at) - a).otherwise(weight), F.when(here, b - a).otherwise(span)
         end = F.col(at) >= centres[-1]
-        return F.when(end, len(centres) - 1).otherwise(before), F.when(end, len(centres) - 1).otherwise(after), F.when(end, 0).otherwise(weight), F.when(end, 1).otherwise(span)
+        return F.when(end, len(centres)).otherwise(gap), F.when(end, 0).otherwise(weight), F.when(end, 1).otherwise(span)
 
-    x0, x1, wx, sx = place("c", xs)
-    y0, y1, wy, sy = place("r", ys)
+    qx, wx, sx = place("c", xs)
+    qy, wy, sy = place("r", ys)
     inside = ~F.isnan("v") & (F.col("v") >= p.src_min) & (F.col("v") < p.src_umax)
     if luts is None:
         return frames.select("k", "r", "c", F.when(inside, _straight(p)).otherwise(F.col("v")).alias("v"))
     out = frames.withColumn("bin", F.when(inside, _bin(p)))
-    for name, col in (("x0", x0), ("x1", x1), ("wx", wx), ("sx", sx), ("y0", y0), ("y1", y1), ("wy", wy), ("sy", sy)):
+    for name, col in (("qx", qx), ("wx", wx), ("sx", sx), ("qy", qy), ("wy", wy), ("sy", sy)):
         out = out.withColumn(name, col)
-    own, n = {} if p.whole else {"k": "k"}, luts.count()
-    for d, x, y in (("e0", "x0", "y0"), ("e1", "x1", "y0"), ("e2", "x0", "y1"), ("e3", "x1", "y1")):
-        out = _mapped(out, luts, p, own | {"tx": x, "ty": y}, d, n)
+    # the lookups of the four tiles around each gap are one row, so cells meet them in one join
+    spark, own = frames.sparkSession, [] if p.whole else ["k"]
+    luts = store.Kept(spark)(_packed(luts, p, by), "lookups")
+    around = luts.select(*own).distinct() if own else spark.range(1).select()
+    for q, t0, t1, n in (("qx", "x0", "x1", len(xs)), ("qy", "y0", "y1", len(ys))):
+        around = around.withColumn(q, F.explode(F.sequence(F.lit(0), F.lit(n))))
+        around = around.withColumn(t0, F.greatest(F.col(q) - 1, F.lit(0))).withColumn(t1, F.least(F.col(q), F.lit(n - 1)))
+    for d, x, y in (("l0", "x0", "y0"), ("l1", "x1", "y0"), ("l2", "x0", "y1"), ("l3", "x1", "y1")):
+        around = around.join(luts.select(*own, F.col("tx").alias(x), F.col("ty").alias(y), F.col("lut").alias(d)), [*own, x, y], "left")
+    around = around.select(*own, "qx", "qy", "l0", "l1", "l2", "l3")
+    out = out.join(F.broadcast(around) if p.whole else around, [*own, "qx", "qy"], "left")
+    for e, d in (("e0", "l0"), ("e1", "l1"), ("e2", "l2"), ("e3", "l3")):
+        out = out.withColumn(e, _value(F.col(d), p)).drop(d)
     near = {"d00": ("e0", "e1", "e2", "e3"), "d10": ("e1", "e0", "e2", "e3"), "d01": ("e2", "e1", "e0", "e3"), "d11": ("e3", "e2", "e1", "e0")}
     d = {k: F.coalesce(*v) for k, v in near.items()}
     top = (F.col("sx") - F.col("wx")) * d["d00"] + F.col("wx") * d["d10"]

@@ -7,7 +7,13 @@ down. Each level is one shuffle of a small row a step; no key is gathered.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 FAN = 256
@@ -36,3 +42,26 @@ def entry_states(steps: DataFrame, by: list[str], first: int, keep, fan: int = F
         rows = _sorted(by, level, fan).join(above, [*by, "g"]).select(*by, F.explode(F.arrays_zip(F.col("steps.i").alias("i"), F.slice(states, 1, F.size("steps")).alias("entry"))).alias("e"))
         entries = keep(rows.select(*by, "e.i", "e.entry"), "entries")
     return entries
+
+
+def prefix_sums(rows: DataFrame, order: list[str], value: str, keep) -> DataFrame:
+    """rows with before: the sum of value (whole numbers, null as 0) over all rows before, in the order of these columns.
+
+    Rows are sorted by range and summed in their tasks; the tasks' totals, a row each, are summed by a window. Sorted rows are
+    written once, since their order is used twice. Rows that are equal in the order are each before those behind.
+    """
+    part, so_far = "_part", "_sum"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, number = 0, TaskContext.get().partitionId()
+        for b in batches:
+            v = b.column(b.schema.get_field_index(value)).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+            before = total + np.cumsum(v) - v
+            total += int(v.sum())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(v), number, np.int64)), pa.array(before.astype(np.int64))], names=[*b.schema.names, part, so_far])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), f"{part} long, {so_far} long"])
+    done = keep(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema), "sums")
+    totals = done.groupBy(part).agg(F.sum(F.coalesce(F.col(value).cast("long"), F.lit(0))).alias("total"))
+    firsts = totals.select(part, (F.sum("total").over(W.orderBy(part)) - F.col("total")).alias("first"))  # a row a task
+    return done.join(F.broadcast(firsts), part).withColumn("before", F.col(so_far) + F.col("first")).drop(part, so_far, "first")

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .maps import small
+from ..sources import store
+from .scans import prefix_sums
 
 
 def splice(cells: DataFrame, shapes: DataFrame) -> DataFrame:
     """One cube of several (scene, b, y, x, v) one under another; shapes: scene, height, in the scenes' order. Values become whole numbers of 16 bits."""
-    offset = F.sum("height").over(W.orderBy("scene")) - F.col("height")
-    off = small(shapes.select("scene", offset.alias("off")))
+    off = prefix_sums(shapes.select("scene", "height"), ["scene"], "height", store.Kept(cells.sparkSession)).select("scene", F.col("before").alias("off"))
     v = F.greatest(F.least(F.round("v"), F.lit(65535.0)), F.lit(0.0)).cast("int")
     return cells.join(off, "scene").select("b", (F.col("y") + F.col("off")).alias("y"), "x", v.alias("v"))
 
@@ -120,23 +120,26 @@ def intersecting(a: DataFrame, b: DataFrame) -> DataFrame:
     return out.drop("level", "cx", "cy", "a_level", "b_level")
 
 
-def tile_grid(spark, rx: int, ry: int, rw: int, rh: int, tile: int) -> DataFrame:
-    """Tiles (tx, ty, x, y, w, h) of a region: the size adjusted so that tiles are about equal, edge tiles clipped."""
+def tile_grid(regions: DataFrame, tile: int) -> DataFrame:
+    """Tiles (tx, ty, x, y, w, h) of regions (rx, ry, rw, rh and keys, which stay): the size adjusted so that tiles are about equal, edge tiles clipped."""
 
-    def adjusted(n: int) -> int:
-        return -(-n // max(round(n / min(n, tile)), 1))
+    def adjusted(n: str):
+        return F.ceil(F.col(n) / F.greatest(F.round(F.col(n) / F.least(F.col(n), F.lit(tile))), F.lit(1)))
 
-    tw, th = adjusted(rw), adjusted(rh)
-    t = spark.range(-(-rw // tw)).select(F.col("id").cast("int").alias("tx")).withColumn("ty", F.explode(F.sequence(F.lit(0), F.lit(-(-rh // th) - 1))))
-    t = t.withColumn("x", rx + F.col("tx") * tw).withColumn("y", ry + F.col("ty") * th)
-    return t.withColumn("w", F.least(F.lit(tw), rx + rw - F.col("x"))).withColumn("h", F.least(F.lit(th), ry + rh - F.col("y")))
+    keys = [c for c in regions.columns if c not in ("rx", "ry", "rw", "rh")]
+    t = regions.filter("rw > 0 AND rh > 0").withColumn("tw", adjusted("rw")).withColumn("th", adjusted("rh"))
+    for at, n, size in (("tx", "rw", "tw"), ("ty", "rh", "th")):
+        t = t.withColumn(at, F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / F.col(size)).cast("int") - 1)))
+    t = t.withColumn("x", F.col("rx") + F.col("tx") * F.col("tw")).withColumn("y", F.col("ry") + F.col("ty") * F.col("th"))
+    w, h = F.least(F.col("tw"), F.col("rx") + F.col("rw") - F.col("x")), F.least(F.col("th"), F.col("ry") + F.col("rh") - F.col("y"))
+    return t.select(*keys, "tx", "ty", *(c.cast("long").alias(n) for c, n in ((F.col("x"), "x"), (F.col("y"), "y"), (w, "w"), (h, "h"))))
 
 
-def tile_neighbours(tiles: DataFrame) -> DataFrame:
-    """Each tile's neighbours in its 3 by 3 surroundings, itself left out."""
-    near = tiles.select("tx", "ty", F.explode(F.sequence(F.lit(-1), F.lit(1))).alias("dx")).withColumn("dy", F.explode(F.sequence(F.lit(-1), F.lit(1)))).filter("dx <> 0 OR dy <> 0")
-    near = near.select("tx", "ty", (F.col("tx") + F.col("dx")).alias("nx"), (F.col("ty") + F.col("dy")).alias("ny"))
-    return near.join(tiles.select(F.col("tx").alias("nx"), F.col("ty").alias("ny")), ["nx", "ny"]).select("tx", "ty", "nx", "ny")
+def tile_neighbours(tiles: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Each tile's neighbours in its 3 by 3 surroundings of the same keys, itself left out."""
+    near = tiles.select(*keys, "tx", "ty", F.explode(F.sequence(F.lit(-1), F.lit(1))).alias("dx")).withColumn("dy", F.explode(F.sequence(F.lit(-1), F.lit(1)))).filter("dx <> 0 OR dy <> 0")
+    near = near.select(*keys, "tx", "ty", (F.col("tx") + F.col("dx")).alias("nx"), (F.col("ty") + F.col("dy")).alias("ny"))
+    return near.join(tiles.select(*keys, F.col("tx").alias("nx"), F.col("ty").alias("ny")), [*keys, "nx", "ny"]).select(*keys, "tx", "ty", "nx", "ny")
 
 
 def drop_repeats(records: DataFrame, tolerance: float = 1e-5) -> DataFrame:

@@ -7,6 +7,7 @@ results are rounded on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from .cube import E_SQL, FLT_MIN, Q_SQL, count_cube, spectral_cube
 from .functions import geo, interp
 from .operators import aggregates as A
+from .operators import blocks
 from .operators import kernels as K
 from .operators import maps as M
 from .operators import render as R
@@ -82,11 +84,10 @@ def s3(spark, sf):
     return count_cube(spark, sf).window(xoff=3, xsize=5, yoff=2, ysize=0, boff=1, bsize=4, rebase=True).cells.select("b", "y", "x", "v")
 
 
-@query("s17_nodata_to_nan", f"WITH {Q_SQL} SELECT k, r, count(*) FILTER (v NOT IN (100, 200)) AS valid, count(*) AS n FROM q GROUP BY ALL")
+@query("s17_nodata_to_nan", f"WITH {Q_SQL} SELECT r AS y, c AS x, CASE WHEN v IN (100, 200) THEN NULL ELSE CAST(v AS DOUBLE) END AS v, v IN (100, 200) AS missing FROM q WHERE k = 2")
 def s17(spark, sf):
-    from .cube import is_nodata
-
-    return q(spark, sf).groupBy("k", "r").agg(F.count(F.when(~is_nodata(F.col("v"), (100.0, 200.0)), 1)).alias("valid"), F.count(F.lit(1)).alias("n"))
+    one = replace(count_cube(spark, sf).window(boff=2, bsize=1), nodata=(100.0, 200.0))
+    return one.with_nan().squeezed().select("y", "x", F.nanvl("v", F.lit(None).cast("double")).alias("v"), F.isnan("v").alias("missing"))
 
 
 def coefficients(frames):
@@ -182,9 +183,17 @@ def m12(spark, sf):
     return M.shift_module(q(spark, sf), shift=2, module=4, lines=7)
 
 
-@query("m13_bad_rectangle", "SELECT CAST(r AS INT) AS row, CAST(c AS INT) AS col FROM range(156, 206) t(r), range(1461, 1464) u(c)")
+_BOUNDS = "n AS (SELECT s_nationkey AS nation, min(s_suppkey) AS a, max(s_suppkey) AS b, count(*) AS n FROM supplier GROUP BY ALL)"
+
+
+def _bounds(spark, sf):
+    return read(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(F.min("s_suppkey").alias("a"), F.max("s_suppkey").alias("b"), F.count(F.lit(1)).alias("n"))
+
+
+@query("m13_bad_rectangle", f"WITH {_BOUNDS} SELECT nation, CAST(r AS INT) AS row, CAST(nation + c AS INT) AS col FROM n, LATERAL unnest(range(a, b + 1)) AS t(r), range(3) AS u(c)")
 def m13(spark, sf):
-    return M.rectangle(spark, (156, 205), (1461, 1463))
+    ranges = _bounds(spark, sf).select("nation", F.col("a").cast("int").alias("row0"), F.col("b").cast("int").alias("row1"), F.col("nation").alias("col0"), (F.col("nation") + 2).alias("col1"))
+    return M.rectangles(ranges)
 
 
 @query("m14_geo_grid", "SELECT vec_id, round(120 + (vec_id % 20) * (1 / 110000.0e0), 9) AS lon, round(34 - (vec_id // 20) * (1 / 110000.0e0), 9) AS lat, 0.0e0 AS z FROM embeddings")
@@ -472,6 +481,43 @@ def c6(spark, sf):
     return got.withColumn("last", size).filter("x > last - 8").drop("last")
 
 
+def e_blocks(spark, sf):
+    """E in blocks of 16 whole lines."""
+    return blocks.spectral_blocks(spark, sf, 16)
+
+
+@query("d4_uniform_blocks", ORACLES["m0_m1_uniform"])
+def d4u(spark, sf):
+    shape = e_cube(spark, sf)
+    grid = blocks.to_blocks(coefficients(e(spark, sf)).select(F.lit(0).alias("k"), "r", "c", F.col("a").alias("v")), (16, 20), "double")
+    offsets = blocks.to_blocks(coefficients(e(spark, sf)).select(F.lit(0).alias("k"), "r", "c", F.col("b").alias("v")), (16, 20), "double")
+    coef = grid.select("ty", "tx", F.col("v").alias("a")).join(offsets.select("ty", "tx", F.col("v").alias("b")), ["ty", "tx"])
+    return rounded(blocks.to_cells(blocks.uniform(e_blocks(spark, sf), coef, (0.5,), hi=2.0, cells=shape.extent(0) * shape.extent(1))))
+
+
+@query("d4_background_blocks", ORACLES["a5_m5_background_removal"])
+def d4b(spark, sf):
+    return rounded(blocks.to_cells(blocks.remove_background(e_blocks(spark, sf), 10)))
+
+
+@query("d4_line_stats_blocks", ORACLES["a1_trimmed_mean_std"])
+def d4l(spark, sf):
+    return rounded(blocks.line_stats(e_blocks(spark, sf), 1, 0.1, 0.2))
+
+
+@query("d4_median_blocks", ORACLES["w2_median_filter"])
+def d4m(spark, sf):
+    shape = e_cube(spark, sf)
+    return blocks.to_cells(blocks.median_filter(e_blocks(spark, sf), shape.extent(1), shape.extent(0), 3, (16, 20)))
+
+
+@query("d5_flagship_blocks", ORACLES["flagship_background_removal_anomaly"])
+def d5(spark, sf):
+    xml = "<HSP><dim_prior>0,1,2</dim_prior><task name='anomaly'><ksize>2</ksize></task></HSP>"
+    cube = e_cube(spark, sf).with_frames(blocks.to_cells(blocks.remove_background(e_blocks(spark, sf), 10, "median")))
+    return rounded(tasks.run(cube, tasks.read_tasks(xml)).cube.frames(), 4)
+
+
 #: Windows of the three radii for each cell, then the cells of each frame in scan order, one after another.
 W3_SQL = f"""
 WITH RECURSIVE {E_SQL}, size AS (SELECT max(c) + 1 AS cols FROM e), rad AS (SELECT CAST(range AS INT) AS rad FROM range(1, 4)),
@@ -714,15 +760,25 @@ def j9(spark, sf):
     return T.intersecting(a, b).select(F.col("a_id").alias("event_id"), F.col("b_id").alias("box"))
 
 
-@query("j10_tile_grid", "SELECT CAST(tx AS INT) AS tx, CAST(ty AS INT) AS ty, CAST(5 + tx * 770 AS BIGINT) AS x, CAST(7 + ty * 834 AS BIGINT) AS y, CAST(least(770, 2310 - tx * 770) AS BIGINT) AS w, CAST(least(834, 2500 - ty * 834) AS BIGINT) AS h FROM range(0, 3) t(tx), range(0, 3) u(ty)")
+_TILES = f"""{_BOUNDS}, g AS (SELECT nation, a AS rx, nation AS ry, 100 + (b - a) * 40 AS rw, 50 + n * 300 AS rh FROM n),
+s AS (SELECT *, CAST(ceil(rw / greatest(round(rw / CAST(least(rw, 800) AS DOUBLE)), 1)) AS BIGINT) AS tw, CAST(ceil(rh / greatest(round(rh / CAST(least(rh, 800) AS DOUBLE)), 1)) AS BIGINT) AS th FROM g),
+tiles AS (SELECT nation, CAST(tx AS INT) AS tx, CAST(ty AS INT) AS ty, CAST(rx + tx * tw AS BIGINT) AS x, CAST(ry + ty * th AS BIGINT) AS y, CAST(least(tw, rw - tx * tw) AS BIGINT) AS w, CAST(least(th, rh - ty * th) AS BIGINT) AS h
+  FROM s, LATERAL unnest(range((rw + tw - 1) // tw)) AS t(tx), LATERAL unnest(range((rh + th - 1) // th)) AS u(ty))"""
+
+
+def _tiles_of(spark, sf):
+    regions = _bounds(spark, sf).select("nation", F.col("a").alias("rx"), F.col("nation").alias("ry"), (100 + (F.col("b") - F.col("a")) * 40).alias("rw"), (50 + F.col("n") * 300).alias("rh"))
+    return T.tile_grid(regions, 800)
+
+
+@query("j10_tile_grid", f"WITH {_TILES} SELECT * FROM tiles")
 def j10(spark, sf):
-    t = T.tile_grid(spark, 5, 7, 2310, 2500, 800)
-    return t.select("tx", "ty", *(F.col(c).cast("long").alias(c) for c in ("x", "y", "w", "h")))
+    return _tiles_of(spark, sf)
 
 
-@query("j10_tile_neighbours", "SELECT CAST(tx AS INT) AS tx, CAST(ty AS INT) AS ty, CAST(tx + dx AS INT) AS nx, CAST(ty + dy AS INT) AS ny FROM range(0, 3) t(tx), range(0, 3) u(ty), range(-1, 2) v(dx), range(-1, 2) w(dy) WHERE (dx <> 0 OR dy <> 0) AND tx + dx BETWEEN 0 AND 2 AND ty + dy BETWEEN 0 AND 2")
+@query("j10_tile_neighbours", f"WITH {_TILES} SELECT a.nation, a.tx, a.ty, b.tx AS nx, b.ty AS ny FROM tiles a JOIN tiles b ON a.nation = b.nation AND abs(a.tx - b.tx) <= 1 AND abs(a.ty - b.ty) <= 1 AND (a.tx <> b.tx OR a.ty <> b.ty)")
 def j10n(spark, sf):
-    return T.tile_neighbours(T.tile_grid(spark, 5, 7, 2310, 2500, 800))
+    return T.tile_neighbours(_tiles_of(spark, sf), ("nation",))
 
 
 @query("j11_drop_repeats", "WITH t AS (SELECT user_id AS part, event_id AS ord, CAST(event_id // 30 AS DOUBLE) AS time FROM events), l AS (SELECT *, lag(time) OVER (PARTITION BY part ORDER BY ord) AS b FROM t) SELECT part, ord, time FROM l WHERE b IS NULL OR abs(time - b) > 1e-5")
