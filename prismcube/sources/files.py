@@ -1,7 +1,7 @@
 """Readers and writers of the formats around a cube: text matrices, headers of flat rasters, raw packets, records and cameras.
 
-Files are listed by Spark; text is read by it, too. Packets and records are read a part at a time, and what a part cuts
-off is carried into the next, so a file may be of any size; parsers are plain functions over bytes or lines.
+Files are listed by Spark. Text (numbered) and packets (packets) are read by ranges, so one file is many tasks'; records are
+read a part at a time, and what a part cuts off is carried into the next; parsers are plain functions over bytes or lines.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import store
+from .numbered import read_coefficients, read_matrix, read_text_lines  # noqa: F401
 from .ordered import write_lines  # noqa: F401
 from .packets import HEADER, TOKEN, header, read_packets  # noqa: F401
 
@@ -26,43 +27,6 @@ ENVI_TYPES = {1: "u1", 2: "i2", 3: "i4", 4: "f4", 5: "f8", 6: "c8", 9: "c16", 12
 PART = 1 << 24
 
 
-def _tokens(lines):
-    """Lines (an array) as arrays of their words, without empty lines."""
-    words = F.transform(lines, lambda x: F.filter(F.split(F.trim(x), SEPARATORS), lambda w: w != ""))
-    return F.filter(words, lambda w: F.size(w) > 0)
-
-
-def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """ord, text of one text file, whole (coefficient files are small)."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("ord", "text"))
-    return lines.filter(F.trim("text") != "")
-
-
-def matrix_of(texts: DataFrame, cols: int) -> DataFrame:
-    """r, c, v of whole texts (value). A line of `cols` numbers is a row; a line of two is a 1-based (row, col) mark of value 1; others fail."""
-    words = texts.select(_tokens(F.split("value", "\r?\n")).alias("w"))
-    rows = words.select(F.posexplode(F.filter("w", lambda w: F.size(w) == cols)).alias("r", "t")).select("r", F.posexplode("t").alias("c", "v")).withColumn("v", F.col("v").cast("double"))
-    marks = words.select(F.explode(F.filter("w", lambda w: (F.size(w) == 2) & F.lit(cols != 2))).alias("t"))
-    marked = marks.select((F.get("t", F.lit(0)).cast("int") - 1).alias("r"), (F.get("t", F.lit(1)).cast("int") - 1).alias("c"), F.lit(1.0).alias("v"))
-    odd = words.select(F.explode(F.filter("w", lambda w: (F.size(w) != cols) & (F.size(w) != 2))).alias("t"))
-    wrong = odd.select(F.raise_error(F.concat(F.lit("not a matrix row nor a mark: "), F.array_join("t", " "))).cast("int").alias("r"), F.lit(0).alias("c"), F.lit(0.0).alias("v"))
-    return rows.unionByName(marked).unionByName(wrong)
-
-
-def read_matrix(spark: SparkSession, path: str, cols: int) -> DataFrame:
-    return matrix_of(spark.read.text(path, wholetext=True), cols)
-
-
-def coefficients_of(texts: DataFrame, cols: int) -> DataFrame:
-    """r, c, v of whole texts (value): numbers in any layout, row by row."""
-    numbers = texts.select(F.posexplode(F.flatten(_tokens(F.split("value", "\r?\n")))).alias("i", "v"))
-    return numbers.select(F.floor(F.col("i") / cols).cast("int").alias("r"), (F.col("i") % cols).cast("int").alias("c"), F.col("v").cast("double").alias("v"))
-
-
-def read_coefficients(spark: SparkSession, path: str, cols: int) -> DataFrame:
-    return coefficients_of(spark.read.text(path, wholetext=True), cols)
-
-
 def matrix_text(cells: DataFrame, key: str = "k", order: str = "r", value: str = "v") -> DataFrame:
     """A line of tab-separated numbers (six significant digits) for each key."""
     number = F.format_string("%.6g", F.col(value).cast("double"))

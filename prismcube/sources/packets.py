@@ -115,14 +115,13 @@ _LEVEL = "file string, i long, steps array<long>, leaves array<long>, end long"
 
 def _scan(spark: SparkSession, path: str, token: bytes, packed: bool, part: int) -> DataFrame:
     """A row for each range of each file."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
-    ranges = files.select(F.col("path").alias("file"), F.col("length").alias("size"), F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(part).cast("long"))).alias("i", "start"))
-    ranges = ranges.repartition(max(1, min(10_000, ranges.count())), "file", "i")  # a count of names; ranges spread over tasks
+    ranges = store.ranges(spark, path, part)
+    sizes = ranges.groupBy("file").agg(F.max("end").alias("size"))
+    ranges = ranges.join(F.broadcast(sizes), "file").select("file", "size", "i", "start", "end")  # a row a file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for file, size, i, start in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                end = min(start + part, size)
+            for file, size, i, start, end in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 data = store.read_range(file, start, min(end + len(token) + HEADER - 1, size))
                 places, after, meta = tokens_in(data, start, end, size, token, packed)
                 steps, leaves = steps_of(places, after, end)

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local(path: str) -> str | None:
@@ -64,6 +65,15 @@ def listed(spark: SparkSession, path: str) -> DataFrame:
     return files.repartitionByRange(max(1, files.count()), "path")
 
 
+def ranges(spark: SparkSession, path: str, part: int) -> DataFrame:
+    """(file, i, start, end) of the ranges of part bytes of files, dealt over tasks; empty files have none."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
+    starts = F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(part).cast("long"))).alias("i", "start")
+    found = files.select(F.col("path").alias("file"), "length", starts)
+    found = found.select("file", F.col("i").cast("long").alias("i"), "start", F.least(F.col("start") + part, "length").alias("end"))
+    return found.repartition(max(1, min(10_000, found.count())), "file", "i")  # a count of names
+
+
 def chunks(path: str, size: int) -> Iterator[bytes]:
     """A file's bytes, a part at a time."""
     with open_read(path) as f:

@@ -86,3 +86,28 @@ def test_a_file_in_place_needs_a_shared_folder(tmp_path):
     rows = SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=SimpleNamespace(master="spark://h:1")))
     with pytest.raises(ValueError, match="shared=True"):
         ordered.write_bytes(rows, str(tmp_path / "x"), "k")
+
+
+@pytest.mark.parametrize("part", [1 << 24, 40, 7])
+def test_matrices_by_ranges(spark, tmp_path, part):
+    rng = np.random.default_rng(part)
+    m = np.round(rng.normal(size=(60, 4)) * 1000, 3)
+    lines = []
+    for i, row in enumerate(m):
+        lines.append(" ; ".join(repr(float(x)) for x in row) if i % 3 else "\t" .join(repr(float(x)) for x in row) + " ")
+        lines += [["", "  ", "3 4", "\t"][i % 4]] if i % 5 == 0 else []
+    for end in ("\n", "\r\n"):
+        (tmp_path / "m.txt").write_bytes(end.join(lines).encode() + (end.encode() if part == 40 else b""))
+        marks = lines.count("3 4")
+        got = sorted(map(tuple, files.read_matrix(spark, str(tmp_path / "m.txt"), 4, part).collect()))
+        assert got == sorted([(r, c, m[r, c]) for r, c in np.ndindex(m.shape)] + [(2, 3, 1.0)] * marks)
+        (tmp_path / "c.txt").write_bytes(end.join(x for x in lines if x != "3 4").encode())
+        got = sorted(map(tuple, files.read_coefficients(spark, str(tmp_path / "c.txt"), 6, part).collect()))
+        assert got == [(i // 6, i % 6, v) for i, v in enumerate(m.ravel())]
+        got = sorted(map(tuple, files.read_text_lines(spark, str(tmp_path / "m.txt"), part).collect()))
+        assert got == [(i, x) for i, x in enumerate(lines) if x.strip(" ")]
+    (tmp_path / "bad.txt").write_text("1 2 3 4\n1 2 3\n")
+    with pytest.raises(Exception, match="not a matrix row"):
+        files.read_matrix(spark, str(tmp_path / "bad.txt"), 4, part).collect()
+    (tmp_path / "none.txt").write_text("")
+    assert files.read_matrix(spark, str(tmp_path / "none.txt"), 4, part).collect() == [] and files.read_coefficients(spark, str(tmp_path / "none.txt"), 4).collect() == []
