@@ -26,6 +26,8 @@ ignored; repeated rows are turns each.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ from pyspark.sql import types as T
 from .common import read
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
+#: Where an attachment stands while a turn is put together.
+MARK = "<|@|>"
 #: Units of an attachment's amount that make a token.
 UNITS = {"image": 14 * 14, "audio": 40}
 DOCUMENT_TOKENS = 1024
@@ -86,11 +90,11 @@ def format_chat(rows: DataFrame) -> DataFrame:
     so_far = order.rowsBetween(W.unboundedPreceding, 0)
     r = r.withColumn("at", F.row_number().over(order)).withColumn("found", attached)
     r = r.withColumn("first", (F.sum(F.size("found")).over(so_far) - F.size("found")).cast("long"))
-    seen = lambda i: F.size(F.filter(F.slice("parts", 1, i), lambda p: p.kind != "text"))
-    piece = lambda p, i: F.when(p.kind == "text", escape(F.coalesce(p.text, F.lit("")))).otherwise(
-        F.concat(F.lit("<|"), escape(p.kind), F.lit(":"), (F.col("first") + seen(i)).cast("string"), F.lit("|>"))
-    )
-    r = r.withColumn("content", F.array_join(F.transform("parts", piece), "")).withColumn("head", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)))
+    # texts with a mark for each attachment (escaped texts cannot hold it), cut there, and the placeholders put between: linear in the parts
+    marked = F.array_join(F.transform("parts", lambda p: F.when(p.kind == "text", escape(F.coalesce(p.text, F.lit("")))).otherwise(F.lit(MARK))), "")
+    holders = F.transform("found", lambda p, j: F.concat(F.lit("<|"), escape(p.kind), F.lit(":"), (F.col("first") + j).cast("string"), F.lit("|>")))
+    content = F.zip_with(F.split(marked, re.escape(MARK)), F.concat(holders, F.array(F.lit(""))), lambda text, holder: F.concat(text, holder))
+    r = r.withColumn("content", F.array_join(content, "")).withColumn("head", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)))
     r = r.withColumn("size", (F.length("head") + F.length("content") + len(END)).cast("long"))
     r = r.withColumn("start", F.sum("size").over(so_far) - F.col("size") + F.length("head"))
     number = lambda p, j: F.struct((F.col("first") + j).cast("long").alias("number"), p.kind.alias("kind"), p.ref.alias("ref"), _tokens(p).alias("tokens"), (F.col("at") - 1).cast("long").alias("turn"))

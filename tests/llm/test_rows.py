@@ -8,8 +8,8 @@ pytest.importorskip("prismcube.llm")
 P = pytest.importorskip("public_tokenizers")
 from pyspark.sql import functions as F  # noqa: E402
 
-from prismcube.llm import chat, decontaminate, embedding_dup, html_text, license_scan, mixing, near_dup, quality, token_counts, token_files  # noqa: E402
-from prismcube.llm.common import read  # noqa: E402
+from prismcube.llm import chat, decontaminate, embedding_dup, html_text, lexical, license_scan, mixing, near_dup, quality, secret_scan, spelling, token_counts, token_files  # noqa: E402
+from prismcube.llm.common import Scratch, read  # noqa: E402
 
 CLASHING = "score _id _times _copy _text parts text_key _row key spans tie size before part wanted_id scored_text label hash n_tokens links component bucket host page h0".split()
 
@@ -33,7 +33,7 @@ def documents(spark):
 
 def run(spark, name, df, sf):
     bench = read(spark, sf, "benchmark")
-    labels = read(spark, sf, "labels")
+    labels, scratch = read(spark, sf, "labels"), Scratch(spark)
     one = {
         "op1": lambda: token_counts.token_counts(df, P.path("piece_bpe_32k.model")),
         "op2": lambda: license_scan.license_scan(df),
@@ -44,6 +44,9 @@ def run(spark, name, df, sf):
         "op7": lambda: decontaminate.decontaminate(df, bench),
         "op8": lambda: embedding_dup.embedding_duplicates(vectors(df)),
         "op9": lambda: mixing.mix(mixing.sizes(df)),
+        "op11": lambda: lexical.search(lexical.build_index(df, scratch), df.select(F.col("doc_id").alias("item_id"), "text", *(c for c in df.columns if c not in ("doc_id", "text"))), scratch),
+        "op12": lambda: spelling.spelling_variants(df),
+        "op13": lambda: secret_scan.secret_scan(df),
         "op10": lambda: chat.read_chat(chat.format_chat(df.withColumnRenamed("doc_id", "conv_id").withColumn("turn", F.lit(1)).withColumn("role", F.col("lang")))),
     }
     return one[name]()
@@ -54,18 +57,49 @@ def vectors(df):
     return base.withColumn("embedding", F.when(F.col("text").isNotNull(), F.array(F.length("text").cast("double"), F.lit(1.0))))
 
 
-@pytest.mark.parametrize("name", [f"op{i}" for i in range(1, 11)])
+@pytest.mark.parametrize("name", [f"op{i}" for i in range(1, 14)])
 def test_operator_rows(spark, sf, name):
     docs = documents(spark)
     rows = docs.count()
     got = run(spark, name, docs, sf).collect()
     if name == "op10":
         assert len(got) == docs.select("doc_id").distinct().count() and sum(len(r.read) for r in got) == rows
+    elif name == "op11":
+        from test_search_words_secrets import plain_search
+
+        pairs = [(r.doc_id, r.text) for r in docs.collect()]
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, plain_search(pairs, pairs)))
+    elif name == "op12":
+        from test_search_words_secrets import plain_variants, plain_words
+
+        assert {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in got} == plain_variants(plain_words([(r.doc_id, r.text) for r in docs.collect()]))
     else:
         assert len(got) == rows
+    # further columns, whatever their names, change nothing
+    plain = run(spark, name, docs.select("doc_id", "text", "lang", "source", "n_chars"), sf).collect()
+    assert sorted(map(str, got)) == sorted(map(str, plain))
     assert run(spark, name, docs.limit(0), sf).collect() == []
 
 
+def test_turns_of_many_parts(spark):
+    # time in proportion to the parts: 40,000 in a turn
+    part = "struct<kind: string, text: string, ref: string, amount: long>"
+    parts = [("text", f"t{i} <|@|> ", None, None) if i % 2 else ("image", None, f"r{i}", 196) for i in range(40_000)]
+    rows = spark.createDataFrame([(1, 0, "user", None, parts), (1, 1, "assistant", "ok", None)], f"conv_id long, turn long, role string, text string, parts array<{part}>")
+    (r,) = chat.format_chat(rows).collect()
+    assert len(r.attachments) == 20_000 and [a.number for a in r.attachments] == list(range(20_000)) and r.expanded_tokens == 20_000
+    (back,) = chat.read_chat(chat.format_chat(rows)).collect()
+    want = "".join(f"t{i} <|@|> " if i % 2 else f"<|image:{i // 2}|>" for i in range(40_000))
+    assert back.read[0].text.replace("<\\", "<") == want.replace("<\\", "<") and back.read[1].learned == "ok"
+
+
+def test_pages_of_any_depth_and_length(spark):
+    story = "<p>One of the paragraphs here.</p>"
+    rows = [(1, "http://a.b/1", "<div>" * 100_000 + story + "</div>" * 100_000), (2, "http://a.b/2", f"<article>{story * 30_000}</article>"), (3, "http://a.b/3", "<b>" * 50_000 + "x</i>" * 50_000), (4, None, None)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == "One of the paragraphs here." and got[2].count("One of") == 30_000 and got[3] == "x" * 50_000 and got[4] in ("", None)
+
+
 @pytest.mark.parametrize("name", ["quality", "near_dup", "decontaminate", "mix", "tokens"])
 def test_stage_rows(spark, sf, name):
     pipeline = pytest.importorskip("corpus_pipeline")
