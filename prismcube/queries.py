@@ -585,6 +585,52 @@ def c5(spark, sf):
     return rounded(S.line_segments(f, shape.extent(1), shape.extent(0), (-1, -1), (5.0, -1)), 4)
 
 
+@query("k4_matrix_text", f"WITH {Q_SQL}, m AS (SELECT k, r, sum(v) % 100000 AS m FROM q GROUP BY ALL) SELECT k, string_agg(printf('%g', CAST(m AS DOUBLE)), chr(9) ORDER BY r) AS value FROM m GROUP BY k")
+def k4(spark, sf):
+    return files.matrix_text(q(spark, sf).groupBy("k", "r").agg((F.sum("v") % 100000).alias("v")))
+
+
+@query("s4_matrix", "SELECT CAST(row_number() OVER (ORDER BY vec_id, i) - 1 AS BIGINT) // 64 AS r, i - 1 AS c, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, unnest(range(1, 65)) AS t(i)")
+def s4(spark, sf):
+    return files.read_matrix(spark, _vector_text(spark, sf), 64, 1 << 16).select(F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"), "v")
+
+
+@query("s5_coefficients", "SELECT n // 50 AS r, n % 50 AS c, v FROM (SELECT CAST(row_number() OVER (ORDER BY vec_id, i) - 1 AS BIGINT) AS n, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, unnest(range(1, 65)) AS t(i))")
+def s5(spark, sf):
+    return files.read_coefficients(spark, _vector_text(spark, sf), 50, 1 << 16).select(F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"), "v")
+
+
+def _vector_text(spark, sf) -> str:
+    """A text file with a line of numbers for each of embeddings, written at offsets."""
+    path = store.Kept(spark).path("vectors.txt")
+    numbers = F.array_join(F.transform("embedding", lambda v: v.cast("double").cast("string")), "\t")
+    ordered.write_lines(read(spark, sf, "embeddings").select("vec_id", numbers.alias("text")), path, "vec_id", shared=True)
+    return path
+
+
+I3_SQL = """
+WITH t AS (SELECT user_id AS part, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) * 10 AS ord, value AS x, (5 + value / 50) * 0.01e0 AS dx, value / 10 AS a FROM events),
+d AS (SELECT *, (a - lag(a) OVER w) / 10 AS before, (lead(a) OVER w - a) / 10 AS after, count(*) OVER (PARTITION BY part) AS n FROM t WINDOW w AS (PARTITION BY part ORDER BY ord)),
+m AS (SELECT *, CASE WHEN before IS NULL THEN after WHEN after IS NULL THEN before WHEN before * after > 0 THEN 2 / (1 / before + 1 / after) ELSE 0 END AS da FROM d),
+p AS (SELECT *, lead(x) OVER w AS x1, lead(dx) OVER w AS dx1, lead(a) OVER w AS a1, lead(da) OVER w AS da1 FROM m WINDOW w AS (PARTITION BY part ORDER BY ord)),
+c AS (SELECT *, 0.3e0 AS t FROM p WHERE n >= 3)
+SELECT part, CAST(ord + 3 AS DOUBLE) AS line,
+  round((1 + 2 * t) * (1 - t) * (1 - t) * x + t * (1 - t) * (1 - t) * 10 * dx + t * t * (3 - 2 * t) * x1 + t * t * (t - 1) * 10 * dx1, 6) + 0.0 AS x,
+  round((1 + 2 * t) * (1 - t) * (1 - t) * a + t * (1 - t) * (1 - t) * 10 * da + t * t * (3 - 2 * t) * a1 + t * t * (t - 1) * 10 * da1, 6) + 0.0 AS a FROM c
+"""
+
+
+@query("i3_positions", I3_SQL)
+def i3(spark, sf):
+    n = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    t = read(spark, sf, "events").select(F.col("user_id").alias("part"), (n * 10).alias("ord"), "value")
+    same = lambda c: F.array(c, c, c)
+    records = t.select("part", "ord", (F.col("ord") * 0.01).alias("time"), same(F.col("value")).alias("x"), same(5 + F.col("value") / 50).alias("vx"), same(F.col("value") / 10).alias("a"))
+    many = t.withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("part"))).filter("many >= 3")
+    got = geo.interpolate_track(records, many.select("part", (F.col("ord") + 3).alias("line")))
+    return rounded(got.select("part", "line", F.col("x")[0].alias("x"), F.col("a")[0].alias("a")))
+
+
 #: Monotone cubics over knots 5 apart, at places 7.5 apart: harmonic means of slopes inside, one-sided slopes at the ends.
 I1_SQL = """
 WITH s AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS y FROM embeddings, range(0, 64) t(i)),
