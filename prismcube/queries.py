@@ -806,14 +806,14 @@ def j9(spark, sf):
     return T.intersecting(a, b).select(F.col("a_id").alias("event_id"), F.col("b_id").alias("box"))
 
 
-_TILES = f"""{_BOUNDS}, g AS (SELECT nation, a AS rx, nation AS ry, 100 + (b - a) * 40 AS rw, 50 + n * 300 AS rh FROM n),
+_TILES = f"""{_BOUNDS}, g AS (SELECT nation, a AS rx, nation AS ry, 1700 + (b - a) * 40 AS rw, 1310 + n * 300 AS rh FROM n),
 s AS (SELECT *, CAST(ceil(rw / greatest(round(rw / CAST(least(rw, 800) AS DOUBLE)), 1)) AS BIGINT) AS tw, CAST(ceil(rh / greatest(round(rh / CAST(least(rh, 800) AS DOUBLE)), 1)) AS BIGINT) AS th FROM g),
 tiles AS (SELECT nation, CAST(tx AS INT) AS tx, CAST(ty AS INT) AS ty, CAST(rx + tx * tw AS BIGINT) AS x, CAST(ry + ty * th AS BIGINT) AS y, CAST(least(tw, rw - tx * tw) AS BIGINT) AS w, CAST(least(th, rh - ty * th) AS BIGINT) AS h
   FROM s, LATERAL unnest(range((rw + tw - 1) // tw)) AS t(tx), LATERAL unnest(range((rh + th - 1) // th)) AS u(ty))"""
 
 
 def _tiles_of(spark, sf):
-    regions = _bounds(spark, sf).select("nation", F.col("a").alias("rx"), F.col("nation").alias("ry"), (100 + (F.col("b") - F.col("a")) * 40).alias("rw"), (50 + F.col("n") * 300).alias("rh"))
+    regions = _bounds(spark, sf).select("nation", F.col("a").alias("rx"), F.col("nation").alias("ry"), (1700 + (F.col("b") - F.col("a")) * 40).alias("rw"), (1310 + F.col("n") * 300).alias("rh"))
     return T.tile_grid(regions, 800)
 
 
