@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..sources import store
+from .repeats import drop_repeats_scan  # noqa: F401
 from .scans import prefix_sums
 
 
@@ -148,23 +149,6 @@ def drop_repeats(records: DataFrame, tolerance: float = 1e-5) -> DataFrame:
     return records.withColumn("before", before).filter(F.col("before").isNull() | (F.abs(F.col("time") - F.col("before")) > tolerance)).drop("before")
 
 
-def drop_repeats_scan(records: DataFrame, tolerance: float = 1e-5) -> DataFrame:
-    """The general form: against the last record that was kept; a part's records are scanned in order in one task."""
-    schema = records.schema
-
-    def run(table):
-        import pyarrow as pa
-
-        keep, last = [], None
-        for r in sorted(table.to_pylist(), key=lambda x: x["ord"]):
-            if last is None or abs(r["time"] - last) > tolerance:
-                keep.append(r)
-                last = r["time"]
-        return pa.Table.from_pylist(keep, schema=table.schema)
-
-    return records.groupBy("part").applyInArrow(run, schema)
-
-
 def drop_equal_lines(lines: DataFrame) -> DataFrame:
     """Lines (part, ord, text) that differ from the one before."""
     before = F.lag("text").over(W.partitionBy("part").orderBy("ord"))
