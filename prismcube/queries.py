@@ -462,12 +462,12 @@ def s7(spark, sf):
 
 
 def _packets(spark, sf):
-    """The packets of events, written as four raw files and read back by ranges of 64 KB."""
+    """The packets of events, written as four raw files and read back by ranges of 256 KB."""
     rows, keep = _event_packets(spark, sf), store.Kept(spark)
     folder = keep.path("raw")
     for i in range(4):
         ordered.write_bytes(rows.filter(F.col("file") == i), f"{folder}/{i}.dat", "ord", shared=True)
-    return files.read_packets(spark, f"{folder}/*.dat", part=1 << 16).withColumn("file", F.regexp_extract("file", r"(\d)\.dat$", 1).cast("int"))
+    return files.read_packets(spark, f"{folder}/*.dat", part=1 << 18).withColumn("file", F.regexp_extract("file", r"(\d)\.dat$", 1).cast("int"))
 
 
 @query(
