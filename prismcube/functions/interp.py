@@ -69,37 +69,50 @@ def barycentric(x, y, at, order: int = 3):
     return out
 
 
-def cardinal_spline(x, y, at, degree: int = 3):
-    """B-spline of degree 2, 3 or 5 on equidistant knots (the first two give place and step), through all values.
+def spline_basis(u, degree: int) -> np.ndarray:
+    """Centred B-spline of a degree by the truncated-power sum; exactly 0 outside of its support, where the powers would not cancel."""
+    u = np.asarray(u, float)
+    near = np.abs(u) < (degree + 1) / 2
+    u = np.where(near, u, 0.0)
+    total, sign, c = np.zeros_like(u), 1.0, 1.0
+    for j in range(degree + 2):
+        total += sign * c * np.maximum(u + (degree + 1) / 2 - j, 0) ** degree
+        sign, c = -sign, c * (degree + 1 - j) / (j + 1)
+    return np.where(near, total / np.prod(np.arange(1, degree + 1)), 0.0)
+
+
+def end_differences(degree: int) -> np.ndarray:
+    """Weights of the difference of degree + 1 steps, which is zero at the ends of a spline's coefficients."""
+    out = np.array([1.0])
+    for _ in range(degree + 1):
+        out = np.convolve(out, [1, -1])
+    return out
 
-    Coefficients solve the interpolation conditions together with as many zero differences of the coefficients
-    at the two ends as the degree leaves free, so polynomials below the degree are met exactly.
-    """
-    x, y, at = np.asarray(x, float), np.asarray(y, float), np.asarray(at, float)
-    n, t = y.shape[-1], (at - x[0]) / (x[1] - x[0])
-    extra = degree // 2
-    places = np.arange(-extra, n + extra)
 
-    def basis(u):
-        """Centred B-spline by the truncated-power sum."""
-        u = np.asarray(u, float)
-        total, sign, c = np.zeros_like(u), 1.0, 1.0
-        for j in range(degree + 2):
-            total += sign * c * np.maximum(u + (degree + 1) / 2 - j, 0) ** degree
-            sign, c = -sign, c * (degree + 1 - j) / (j + 1)
-        return total / np.prod(np.arange(1, degree + 1))
-
-    conditions = basis(np.arange(n)[:, None] - places)
-    difference = np.array([1.0])
-    for _ in range(degree + 1):
-        difference = np.convolve(difference, [1, -1])
+def spline_coefficients(y, degree: int) -> np.ndarray:
+    """Coefficients at the places -(degree // 2) .. n - 1 + degree // 2 of the spline through y (.., n), by one dense solution."""
+    y = np.asarray(y, float)
+    n, extra, difference = y.shape[-1], degree // 2, end_differences(degree)
+    places = np.arange(-extra, n + extra)
     ends = np.zeros((2 * extra, len(places)))
     size = min(len(difference), len(places))
     for i in range(extra):
         ends[i, i : i + size] = difference[:size][: len(places) - i]
         ends[extra + i, len(places) - size - i : len(places) - i] = difference[:size]
-    c = np.linalg.lstsq(np.vstack([conditions, ends]), np.concatenate([y.T, np.zeros((2 * extra, *y.shape[:-1]))]), rcond=None)[0]
-    return (basis(t[:, None] - places) @ c).T
+    conditions = spline_basis(np.arange(n)[:, None] - places, degree)
+    return np.linalg.lstsq(np.vstack([conditions, ends]), np.concatenate([y.T, np.zeros((2 * extra, *y.shape[:-1]))]), rcond=None)[0].T
+
+
+def cardinal_spline(x, y, at, degree: int = 3):
+    """B-spline of degree 2, 3 or 5 on equidistant knots (the first two give place and step), through all values.
+
+    Coefficients solve the interpolation conditions together with as many zero differences of the coefficients
+    at the two ends as the degree leaves free, so polynomials below the degree are met exactly. Long tracks: splines.along().
+    """
+    x, y, at = np.asarray(x, float), np.asarray(y, float), np.asarray(at, float)
+    n, extra = y.shape[-1], degree // 2
+    t = (at - x[0]) / (x[1] - x[0])
+    return spline_coefficients(y, degree) @ spline_basis(t[:, None] - np.arange(-extra, n + extra), degree).T
 
 
 KINDS = {"pchip": pchip, "makima": makima, "barycentric": barycentric, "cubic": cardinal_spline, "quintic": lambda x, y, at: cardinal_spline(x, y, at, 5), "quadratic": lambda x, y, at: cardinal_spline(x, y, at, 2)}

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .cube import E_SQL, FLT_MIN, Q_SQL, count_cube, spectral_cube
-from .functions import geo, interp
+from .functions import geo, interp, splines
 from .operators import aggregates as A
 from .operators import blocks
 from .operators import kernels as K
@@ -631,6 +631,35 @@ def i3(spark, sf):
     return rounded(got.select("part", "line", F.col("x")[0].alias("x"), F.col("a")[0].alias("a")))
 
 
+#: The coefficients next to the ends are y less a sixth of its second difference; between them, those of the endless spline (weights that fall
+#: by 2 - sqrt(3) a knot, below 1e-17 at 30) and what falls from the ends to meet these. Those at and beyond the ends follow from the conditions.
+I2_SQL = """
+WITH y AS (SELECT event_id AS i, value AS y FROM events), n AS (SELECT max(i) AS e FROM y), z AS (SELECT sqrt(3.0e0) - 2 AS z),
+a AS (SELECT (SELECT y FROM y WHERE i = 1) - ((SELECT y FROM y WHERE i = 0) - 2 * (SELECT y FROM y WHERE i = 1) + (SELECT y FROM y WHERE i = 2)) / 6 AS a,
+  (SELECT y FROM y WHERE i = e - 1) - ((SELECT y FROM y WHERE i = e) - 2 * (SELECT y FROM y WHERE i = e - 1) + (SELECT y FROM y WHERE i = e - 2)) / 6 AS b FROM n),
+g AS (SELECT k, pow(z, abs(k)) * sqrt(3.0e0) AS g FROM z, range(-30, 31) t(k)),
+p AS (SELECT y.i + k AS i, sum(y * g) AS p FROM y, g, n WHERE y.i BETWEEN 2 AND e - 2 AND y.i + k BETWEEN 1 AND e - 1 GROUP BY ALL),
+m AS (SELECT i, p + coalesce(pow(z, nullif(least(i - 1, 40), 40)), 0) * (a - (SELECT p FROM p WHERE i = 1)) + coalesce(pow(z, nullif(least(e - 1 - i, 40), 40)), 0) * (b - (SELECT p FROM p, n WHERE i = e - 1)) AS c FROM p, z, n, a),
+o AS (SELECT i, c FROM m
+  UNION ALL SELECT 0, 6 * (SELECT y FROM y WHERE i = 1) - 4 * (SELECT c FROM m WHERE i = 1) - (SELECT c FROM m WHERE i = 2)
+  UNION ALL SELECT e, 6 * (SELECT y FROM y WHERE i = e - 1) - 4 * (SELECT c FROM m WHERE i = e - 1) - (SELECT c FROM m WHERE i = e - 2) FROM n),
+f AS (SELECT i, c FROM o
+  UNION ALL SELECT -1, 6 * (SELECT y FROM y WHERE i = 0) - 4 * (SELECT c FROM o WHERE i = 0) - (SELECT c FROM o WHERE i = 1)
+  UNION ALL SELECT e + 1, 6 * (SELECT y FROM y WHERE i = e) - 4 * (SELECT c FROM o WHERE i = e) - (SELECT c FROM o WHERE i = e - 1) FROM n),
+w AS (SELECT i, lag(c) OVER (ORDER BY i) AS c0, c AS c1, lead(c) OVER (ORDER BY i) AS c2, lead(c, 2) OVER (ORDER BY i) AS c3 FROM f)
+SELECT i AS event_id, round((0.421875e0 * c0 + (4 - 6 * 0.0625e0 + 3 * 0.015625e0) * c1 + (4 - 6 * 0.5625e0 + 3 * 0.421875e0) * c2 + 0.015625e0 * c3) / 6, 6) + 0.0 AS v FROM w, n WHERE i BETWEEN 0 AND e - 1
+"""
+
+
+@query("i2_long_track", I2_SQL)
+def i2(spark, sf):
+    """All events as the knots of one track, and the cubic spline's values a quarter of the way to the next knot."""
+    events = read(spark, sf, "events").withColumn("part", F.lit(0))
+    knots = events.select("part", F.col("event_id").alias("i"), F.col("value").alias("y"))
+    got = splines.along(knots, events.select("part", "event_id", (F.col("event_id") + 0.25).alias("t")))
+    return rounded(got.filter("v IS NOT NULL").select("event_id", "v"))
+
+
 #: Monotone cubics over knots 5 apart, at places 7.5 apart: harmonic means of slopes inside, one-sided slopes at the ends.
 I1_SQL = """
 WITH s AS (SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS y FROM embeddings, range(0, 64) t(i)),
