@@ -38,8 +38,8 @@ def labelled(there: np.ndarray) -> np.ndarray:
     return np.where(there, root.reshape(there.shape), -1)
 
 
-def label_shapes(kept: DataFrame, rows: int, cols: int, tile: int = tiles.TILE, keep=None) -> DataFrame:
-    """k, r, c, v, shape of the cells of kept with v > 0: shape is r * cols + c of the first cell (row by row) of the 8-connected part."""
+def label_shapes(kept: DataFrame, rows: int, cols: int, tile: int = tiles.TILE, keep=None, names: tuple[str, ...] = ()) -> DataFrame:
+    """k, r, c, v, shape, and the doubles of names, of the cells of kept with v > 0: shape is r * cols + c of the first cell (row by row) of the 8-connected part."""
     keep = keep or store.Kept(kept.sparkSession)
 
     def own(table: pa.Table) -> pa.Table:
@@ -49,11 +49,11 @@ def label_shapes(kept: DataFrame, rows: int, cols: int, tile: int = tiles.TILE,
         there[r - r0, c - c0] = True
         first = labelled(there)[r - r0, c - c0].astype(np.int64)
         i, j = np.divmod(first, there.shape[1])
-        return table.append_column("label", pa.array((i + r0) * cols + j + c0, pa.int64())).select(["k", "r", "c", "v", "label"])
+        return table.append_column("label", pa.array((i + r0) * cols + j + c0, pa.int64())).select(["k", "r", "c", "v", *names, "label"])
 
-    cells = kept.filter("v > 0").select(*(F.col(x).cast("int").alias(x) for x in ("k", "r", "c")), F.col("v").cast("double").alias("v"))
+    cells = kept.filter("v > 0").select(*(F.col(x).cast("int").alias(x) for x in ("k", "r", "c")), *(F.col(x).cast("double").alias(x) for x in ("v", *names)))
     cells = cells.withColumn("ty", F.floor(F.col("r") / tile).cast("int")).withColumn("tx", F.floor(F.col("c") / tile).cast("int"))
-    cells = keep(cells.groupBy("k", "ty", "tx").applyInArrow(own, "k int, r int, c int, v double, label long"), "cells")
+    cells = keep(cells.groupBy("k", "ty", "tx").applyInArrow(own, ", ".join(["k int, r int, c int, v double", *(f"{x} double" for x in names), "label long"])), "cells")
     # links between the labels of cells that touch across a border: down and to the right, so that each pair is met once
     place = lambda x: F.floor(F.col(x) / tile)
     edge = lambda x: F.col(x) % tile
@@ -65,7 +65,7 @@ def label_shapes(kept: DataFrame, rows: int, cols: int, tile: int = tiles.TILE,
     links = ahead.join(border, ["k", "r", "c"]).select((F.col("k").cast("long") * size + F.col("from")).alias("a"), (F.col("k").cast("long") * size + F.col("label")).alias("b"))
     parts = components(links, keep).withColumnRenamed("id", "own")
     out = cells.withColumn("own", F.col("k").cast("long") * size + F.col("label")).join(parts, "own", "left")
-    return out.select("k", "r", "c", "v", (F.coalesce("part", "own") - F.col("k").cast("long") * size).alias("shape"))
+    return out.select("k", "r", "c", "v", *names, (F.coalesce("part", "own") - F.col("k").cast("long") * size).alias("shape"))
 
 
 def peak_lines(kept: DataFrame, rows: int, cols: int, shortest: int = 11, longest: int = 20, tile: int = tiles.TILE) -> DataFrame:

@@ -11,7 +11,6 @@ from prismcube.functions import geo, interp
 from prismcube.operators import aggregates as A
 from prismcube.operators import kernels as K
 from prismcube.operators import maps as M
-from prismcube.operators import segments as S
 from prismcube.plans import tasks
 from prismcube.queries import RPC
 from prismcube.sources import files, lists, raster
@@ -92,16 +91,11 @@ def test_despeckle_and_inpaint(spark):
     assert np.abs(out - ramp).max() < 1.5 and (out[0] == ramp[0]).all()
 
 
-def test_shapes_and_segments(spark):
+def test_line_shapes():
     m = np.zeros((30, 30))
     m[5, 3:16] = 1
     m[20:23, 20:23] = 1
     assert K.line_shapes(m, 11, 20) == [(3, 5, 15, 5)]
-    bar = np.zeros((60, 60))
-    bar[:, 30:] = 255
-    found = S.line_segments(frame(spark, bar), 60, 60, (-1, -1), (30, -1)).collect()
-    assert found and all(abs(r.x1 - 30) < 2 and abs(r.x2 - 30) < 2 and r.nfa > 0 for r in found)
-    assert S.find_segments(np.random.default_rng(0).normal(size=(40, 40)) * 0.1) == []
 
 
 @pytest.mark.parametrize("kind", sorted(interp.KINDS))
