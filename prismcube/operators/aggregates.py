@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 
 from ..cube import DBL_EPSILON, FLT_EPSILON, is_nodata
 from . import tiles
-from .maps import minus_background, small
+from .maps import minus_background, once
 
 
 def share(n: Column, ratio: float) -> Column:
@@ -205,7 +205,7 @@ def _vectors(frames: DataFrame, ksize: int) -> DataFrame:
     block, part = F.floor(F.col("k") / ksize).cast("int"), F.struct(F.floor(F.col("r") / side).alias("y"), F.floor(F.col("c") / side).alias("x"))
     dealt = frames.select(block.alias("block"), part.alias("part"), F.col("k").cast("int").alias("k"), F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), F.col("v").cast("double").alias("v"))
     counts = dealt.groupBy("block").agg(F.array_sort(F.collect_set("k")).alias("frames"))
-    dealt = dealt.join(small(counts), "block")
+    dealt = dealt.join(once(counts, "frames"), "block")
 
     def pack(table):
         import pyarrow as pa

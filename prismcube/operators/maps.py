@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from ..cube import FLT_MAX, FLT_MIN, is_nodata
+from ..sources import store
 
 #: Coefficient rows up to which a table is sent to all tasks (24 bytes each); larger ones are shuffled.
 BROADCAST_CELLS = 4_000_000
@@ -20,6 +21,11 @@ def small(table: DataFrame, cells: int | None = None) -> DataFrame:
     return F.broadcast(table) if n <= BROADCAST_CELLS else table
 
 
+def once(table: DataFrame, name: str) -> DataFrame:
+    """small() of a table that is worked out here and written first, so that its plan runs once and not again for the join."""
+    return small(store.Kept(table.sparkSession)(table, name))
+
+
 def clamped(d: Column, v: Column, nodata=(), lo: float = FLT_MIN, hi: float = FLT_MAX, overflow: str = "keep") -> Column:
     """d raised to lo; above hi the value stays as it was (keep) or becomes hi (clamp); nodata stays."""
     over = v if overflow == "keep" else F.lit(hi)
@@ -86,7 +92,7 @@ def percentiles(frames: DataFrame, shares: list[float], by: tuple[str, ...] = ("
     ends = fine.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("total"))
     ranks = [[f(F.lit(s) * (F.col("total") - 1)).cast("long") for f in (F.floor, F.ceil)] for s in shares]
     bin_of = F.coalesce(F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")) * PERCENTILE_BINS), F.lit(PERCENTILE_BINS - 1)), F.lit(0)).cast("int")
-    binned = fine.join(small(ends), list(by)).withColumn("bin", bin_of)
+    binned = fine.join(once(ends, "ends"), list(by)).withColumn("bin", bin_of)
     counts = binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"), F.first("total").alias("total"))
     line = W.partitionBy(*by).orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
     counts = counts.withColumn("below", F.sum("n").over(line) - F.col("n"))
@@ -95,7 +101,7 @@ def percentiles(frames: DataFrame, shares: list[float], by: tuple[str, ...] = ("
         for r in pair:
             holds = holds | ((r >= F.col("below")) & (r < F.col("below") + F.col("n")))
     wanted = counts.filter(holds).select(*by, "bin", "below", "total")
-    values = binned.drop("total").join(small(wanted), [*by, "bin"]).groupBy(*by, "bin", "v").agg(F.count(F.lit(1)).alias("n"), F.first("below").alias("below"), F.first("total").alias("total"))
+    values = binned.drop("total").join(once(wanted, "wanted"), [*by, "bin"]).groupBy(*by, "bin", "v").agg(F.count(F.lit(1)).alias("n"), F.first("below").alias("below"), F.first("total").alias("total"))
     inside = W.partitionBy(*by, "bin").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     values = values.withColumn("from", F.col("below") + F.sum("n").over(inside) - F.col("n"))
     picked = [F.max(F.when((r >= F.col("from")) & (r < F.col("from") + F.col("n")), F.col("v"))) for pair in ranks for r in pair]
@@ -110,7 +116,7 @@ def percentiles(frames: DataFrame, shares: list[float], by: tuple[str, ...] = ("
 def stretch(frames: DataFrame, percent: float = 1.0, by: tuple[str, ...] = ("k",)) -> DataFrame:
     """round(255 * (clip(v, pa, pb) - pa) / (pb - pa)) with percentiles pa, pb (linear) of each frame without NaN; half to even."""
     p = percentiles(frames, [percent / 100, 1 - percent / 100], by).withColumnsRenamed({"p0": "pa", "p1": "pb"})
-    out = frames.join(small(p), list(by))
+    out = frames.join(once(p, "percentiles"), list(by))
     v = F.least(F.greatest("v", "pa"), "pb")
     return out.select("k", "r", "c", F.bround(255 * F.try_divide(v - F.col("pa"), F.col("pb") - F.col("pa"))).alias("v"))
 
