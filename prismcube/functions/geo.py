@@ -457,6 +457,37 @@ def to_plane_frame(points: DataFrame, projection: np.ndarray) -> DataFrame:
     return _frame(points, ("u", "v", "h"), ("x", "y"), f)
 
 
+def rotation_columns(a: Column) -> list[list[Column]]:
+    """rotation() of a column of three angles."""
+    (sx, cx), (sy, cy), (sz, cz) = ((F.sin(F.get(a, F.lit(i))), F.cos(F.get(a, F.lit(i)))) for i in range(3))
+    first, second = (cy, F.lit(0.0), sy), (sx * sy, cx, -sx * cy)
+    return [[cz * f - sz * g for f, g in zip(first, second, strict=True)], [sz * f + cz * g for f, g in zip(first, second, strict=True)], [-cx * sy, sx, cx * cy]]
+
+
+def quaternion_column(a: Column) -> Column:
+    """w, x, y, z of the rotation by a column of three angles, w not negative; null where it is a half turn, whose sign is free."""
+    m = rotation_columns(a)
+    w = F.sqrt(F.greatest(F.lit(0.0), 1 + m[0][0] + m[1][1] + m[2][2])) / 2
+    return F.when(w > 1e-8, F.array(w, *((m[i][j] - m[j][i]) / (4 * w) for i, j in ((2, 1), (0, 2), (1, 0)))))
+
+
+def pixels_to_plane(pixels: DataFrame, intrinsic: np.ndarray, own: np.ndarray, own_shift: np.ndarray) -> DataFrame:
+    """pixels (u, v, h; place and a: arrays of three, the platform's position and angles) with x, y: where rays meet the planes z = h.
+
+    Each pixel has the pose of its own line, so a track's lines are columns and no matrix is built for any. The same as
+    to_plane(camera_matrix(..)); null where a number is missing or a ray runs along the plane.
+    """
+    back = own.T @ np.diag([-1.0, 1.0, -1.0]) @ np.linalg.inv(intrinsic)
+    shift = own.T @ own_shift
+    u, v = F.col("u"), F.col("v")
+    ray = [float(r[0]) * u + float(r[1]) * v + float(r[2]) for r in back]
+    m = rotation_columns(F.col("a"))
+    turned = lambda row, x: m[row][0] * x[0] + m[row][1] * x[1] + m[row][2] * x[2]
+    at = lambda i: F.get("place", F.lit(i)) - turned(i, [F.lit(float(x)) for x in shift])
+    along = F.try_divide(F.col("h") - at(2), turned(2, ray))
+    return pixels.withColumns({"x": at(0) + along * turned(0, ray), "y": at(1) + along * turned(1, ray)})
+
+
 def track_similarity(pairs: DataFrame) -> DataFrame:
     """pairs (px, py, qx, qy, ux, uy, wx, wy) with a, b, c, d of the similarity that takes p to u and q to w, as track_affine()."""
     dx, dy = F.col("qx") - F.col("px"), F.col("qy") - F.col("py")

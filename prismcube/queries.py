@@ -754,6 +754,119 @@ def i12(spark, sf):
     return rounded(geo.rpc_inverse_frame(p, RPC).select("vec_id", "lon", "lat"), 6)
 
 
+#: Half angles of the turns about z, x and y, multiplied as quaternions.
+I7_SQL = """
+WITH h AS (SELECT event_id, cos(x) AS cx, sin(x) AS sx, cos(y) AS cy, sin(y) AS sy, cos(z) AS cz, sin(z) AS sz FROM (SELECT event_id, value / 1000 AS x, (user_id % 100) / 200.0e0 AS y, (event_id % 50 - 25) / 100.0e0 AS z FROM events)),
+p AS (SELECT event_id, cz, sz, cx * cy AS w, sx * cy AS x, cx * sy AS y, sx * sy AS z FROM h)
+SELECT event_id, round(cz * w - sz * z, 6) + 0.0 AS qw, round(cz * x - sz * y, 6) + 0.0 AS qx, round(cz * y + sz * x, 6) + 0.0 AS qy, round(cz * z + sz * w, 6) + 0.0 AS qz FROM p
+"""
+
+
+def _angles():
+    return F.array(F.col("value") / 500, F.col("user_id") % 100 / 100, (F.col("event_id") % 50 - 25) / 50)
+
+
+@query("i7_quaternion", I7_SQL)
+def i7(spark, sf):
+    p = read(spark, sf, "events").select("event_id", geo.quaternion_column(_angles()).alias("q"))
+    return rounded(p.select("event_id", *(F.col("q")[i].alias(f"q{c}") for i, c in enumerate("wxyz"))))
+
+
+#: A camera of 2000 pixels' focal length, mounted a quarter of a radian off and half a metre above.
+INTRINSIC, MOUNT, MOUNT_SHIFT = [[2000.0, 0.0, 512.0], [0.0, 2000.0, 0.0], [0.0, 0.0, 1.0]], (0.0, 0.25, 0.0), (0.0, 0.0, 0.5)
+
+#: The 3 by 4 projection of each line is written out, its columns for x, y and z = h make a homography, and Cramer's rule inverts it.
+I9_SQL = """
+WITH e AS (SELECT event_id, event_id % 1024 * 1.0e0 AS u, user_id % 9 * 1.0e0 AS h, event_id * 1.0e0 AS px, value AS py, 3000.0e0 AS pz, value / 5000 AS ax, (user_id % 100) / 1000.0e0 AS ay, (event_id % 50 - 25) / 500.0e0 AS az FROM events),
+r AS (SELECT *, cos(az) * cos(ay) - sin(az) * sin(ax) * sin(ay) AS p00, -sin(az) * cos(ax) AS p01, cos(az) * sin(ay) + sin(az) * sin(ax) * cos(ay) AS p02,
+  sin(az) * cos(ay) + cos(az) * sin(ax) * sin(ay) AS p10, cos(az) * cos(ax) AS p11, sin(az) * sin(ay) - cos(az) * sin(ax) * cos(ay) AS p12,
+  -cos(ax) * sin(ay) AS p20, sin(ax) AS p21, cos(ax) * cos(ay) AS p22, cos(0.25e0) AS c, sin(0.25e0) AS s FROM e),
+o AS (SELECT *, -(c * p00 - s * p02) AS a0, -(c * p10 - s * p12) AS a1, -(c * p20 - s * p22) AS a2, p01 AS b0, p11 AS b1, p21 AS b2, -(c * p02 + s * p00) AS c0, -(c * p12 + s * p10) AS c1, -(c * p22 + s * p20) AS c2 FROM r),
+k AS (SELECT *, 2000 * a0 + 512 * c0 AS k00, 2000 * a1 + 512 * c1 AS k01, 2000 * b0 AS k10, 2000 * b1 AS k11, c0 AS k20, c1 AS k21,
+  2000 * (a2 * h - (a0 * px + a1 * py + a2 * pz)) + 512 * (c2 * h - (c0 * px + c1 * py + c2 * pz) - 0.5) AS k02, 2000 * (b2 * h - (b0 * px + b1 * py + b2 * pz)) AS k12, c2 * h - (c0 * px + c1 * py + c2 * pz) - 0.5 AS k22 FROM o),
+m AS (SELECT event_id, k00 - u * k20 AS d, k01 - u * k21 AS f, u * k22 - k02 AS g, k10 AS i, k11 AS j, -k12 AS l FROM k)
+SELECT event_id, round((g * j - f * l) / (d * j - f * i), 3) + 0.0 AS x, round((d * l - g * i) / (d * j - f * i), 3) + 0.0 AS y FROM m
+"""
+
+
+@query("i9_back_project", I9_SQL)
+def i9(spark, sf):
+    """The pixels of pushbroom lines, each with its own pose, on planes of several heights; v is 0 on a line."""
+    import numpy as np
+
+    angles = F.array(F.col("value") / 5000, F.col("user_id") % 100 / 1000, (F.col("event_id") % 50 - 25) / 500)
+    place = F.array(F.col("event_id").cast("double"), F.col("value"), F.lit(3000.0))
+    p = read(spark, sf, "events").select("event_id", (F.col("event_id") % 1024).cast("double").alias("u"), F.lit(0.0).alias("v"), (F.col("user_id") % 9).cast("double").alias("h"), place.alias("place"), angles.alias("a"))
+    return rounded(geo.pixels_to_plane(p, np.array(INTRINSIC), geo.rotation(MOUNT).T, np.array(MOUNT_SHIFT)).select("event_id", "x", "y"), 3)
+
+
+#: A second image of the ground of RPC, from another side.
+RPC_SIDE = RPC | {"line_num": [0.0, 0.03, -1.0, -0.2, 0.002, *[0.0] * 15], "samp_num": [0.0, 1.0, -0.02, 0.15, 0.001, *[0.0] * 15]}
+
+
+@query("i13_intersection", "SELECT vec_id AS id, round(119.6 + vec_id % 17 * 0.05e0, 6) AS lon, round(33.75 + vec_id % 23 * 0.02e0, 6) AS lat, round(20 + vec_id % 13 * 10.0e0, 2) AS h, CAST(2 AS INT) AS images FROM embeddings")
+def i13(spark, sf):
+    """Ground points seen in two images, found again: the SQL has the points themselves."""
+    ground = read(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), (119.6 + F.col("vec_id") % 17 * 0.05).alias("lon"), (33.75 + F.col("vec_id") % 23 * 0.02).alias("lat"), (20 + F.col("vec_id") % 13 * 10.0).alias("h"))
+    at = [(name, *geo.rpc_forward(rpc, F.col("lon"), F.col("lat"), F.col("h"))) for name, rpc in (("down", RPC), ("side", RPC_SIDE))]
+    seen = ground.select("id", F.explode(F.array(*(F.struct(F.lit(n).alias("image"), y.alias("line"), x.alias("sample")) for n, y, x in at))).alias("s")).select("id", "s.*")
+    got = geo.intersect_frame(seen, {"down": RPC, "side": RPC_SIDE})
+    return rounded(rounded(got.select("id", "lon", "lat", "h", "images"), 2, "h"), 6, "lon", "lat")
+
+
+#: Six numbers of an affine correction, and the lines, places and step of a correction grid.
+AFFINE, GRID, GRID_STEP = (1.5, 0.002, -0.001, -2.0, 0.0015, 0.0005), (11, 9), 90.0
+
+
+def _corrected_sql() -> str:
+    def bilinear(f: str) -> str:
+        z = lambda i, j: f.format(i=i, j=j)
+        top, low = (f"({z(i, 'j')} + fx * ({z(i, '(j + 1)')} - {z(i, 'j')}))" for i in ("i", "(i + 1)"))
+        return f"CASE WHEN i >= 0 AND i < {GRID[0] - 1} AND j >= 0 AND j < {GRID[1] - 1} THEN {top} + fy * ({low} - {top}) ELSE 0 END"
+
+    a = AFFINE
+    return f"""
+WITH p AS ({ORACLES["i11_rpc_forward"].replace(", 4) AS", ", 12) AS")}),
+g AS (SELECT *, CAST(trunc(line / {GRID_STEP}) AS INT) AS i, CAST(trunc(sample / {GRID_STEP}) AS INT) AS j FROM p),
+f AS (SELECT *, line / {GRID_STEP} - i AS fy, sample / {GRID_STEP} - j AS fx FROM g),
+c AS (SELECT vec_id, sample + {bilinear("(({i} * 7 + {j} * 3) % 11) / 10.0e0")} AS x, line + {bilinear("(({i} * 5 + {j} * 2) % 7) / 10.0e0")} AS y FROM f)
+SELECT vec_id, round(y + {a[0]} + {a[1]} * x + ({a[2]}) * y, 4) + 0.0 AS line, round(x + ({a[3]}) + {a[4]} * x + {a[5]} * y, 4) + 0.0 AS sample FROM c
+"""
+
+
+@query("i15_corrections", _corrected_sql())
+def i15(spark, sf):
+    """Places on the photo, moved by a grid of corrections, then onto the image by the affine one."""
+    import numpy as np
+
+    i, j = np.mgrid[: GRID[0], : GRID[1]]
+    rpc = RPC | {"grid": {"dx": (i * 7 + j * 3) % 11 / 10, "dy": (i * 5 + j * 2) % 7 / 10, "step": (GRID_STEP, GRID_STEP)}}
+    p = read(spark, sf, "embeddings").select("vec_id", (119.5 + F.col("vec_id") % 20 * 0.05).alias("lon"), (33.75 + F.floor(F.col("vec_id") / 20) * 0.01).alias("lat"), (F.col("vec_id") % 7 * 10.0).alias("h"))
+    photo = geo.ground_to_photo_frame(p, rpc)
+    x, y = geo.image_of_photo(F.col("sample"), F.col("line"), AFFINE)
+    return rounded(photo.select("vec_id", y.alias("line"), x.alias("sample")), 4)
+
+
+#: The similarity's linear system is solved by Cramer's rule on its two equations without the shift.
+I17_SQL = """
+WITH t AS (SELECT event_id, value AS px, event_id % 100 * 1.0e0 AS py, lead(value) OVER w AS qx, lead(event_id) OVER w % 100 * 1.0e0 AS qy, event_id * 1.0e0 AS ux, value * 2 AS uy, lead(event_id) OVER w * 1.0e0 AS wx, lead(value) OVER w * 2 AS wy FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+s AS (SELECT *, ((wx - ux) * (qx - px) - -(qy - py) * (wy - uy)) / nullif((qx - px) * (qx - px) - -(qy - py) * (qy - py), 0) AS a, ((qx - px) * (wy - uy) - (qy - py) * (wx - ux)) / nullif((qx - px) * (qx - px) + (qy - py) * (qy - py), 0) AS b FROM t WHERE qx IS NOT NULL)
+SELECT event_id, round(a, 5) + 0.0 AS a, round(b, 5) + 0.0 AS b, round(ux - (a * px - b * py), 3) + 0.0 AS c, round(uy - (b * px + a * py), 3) + 0.0 AS d FROM s
+"""
+
+
+@query("i17_track_similarity", I17_SQL)
+def i17(spark, sf):
+    """The similarity between the steps of two tracks of each user."""
+    o = Window.partitionBy("user_id").orderBy("event_id")
+    points = {"px": F.col("value"), "py": (F.col("event_id") % 100).cast("double"), "ux": F.col("event_id").cast("double"), "uy": F.col("value") * 2}
+    after = {"qx": "px", "qy": "py", "wx": "ux", "wy": "uy"}
+    t = read(spark, sf, "events").select("event_id", "user_id", *(c.alias(n) for n, c in points.items()))
+    pairs = t.select("*", *(F.lead(c).over(o).alias(n) for n, c in after.items())).filter("qx IS NOT NULL")
+    got = geo.track_similarity(pairs).select("event_id", "a", "b", "c", "d")
+    return rounded(rounded(got, 5, "a", "b"), 3, "c", "d")
+
+
 @query(
     "i18_velocity_check",
     "WITH t AS (SELECT user_id AS part, event_id AS ord, row_number() OVER (PARTITION BY user_id ORDER BY event_id) * 1.0e0 AS time, value AS x, value * 2 + event_id AS y, value AS vx, 1.0e0 + value AS vy FROM events), d AS (SELECT part, ord, x - lag(x) OVER w AS dx, y - lag(y) OVER w AS dy, (vx + lag(vx) OVER w) / 2 * (time - lag(time) OVER w) AS ix, (vy + lag(vy) OVER w) / 2 * (time - lag(time) OVER w) AS iy FROM t WINDOW w AS (PARTITION BY part ORDER BY ord)) SELECT part, ord, round((dx * ix + dy * iy) / (sqrt(dx * dx + dy * dy) * sqrt(ix * ix + iy * iy)), 5) + 0.0 AS cosine, round(sqrt(ix * ix + iy * iy) / sqrt(dx * dx + dy * dy), 5) AS ratio FROM d WHERE dx IS NOT NULL",
