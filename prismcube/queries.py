@@ -24,7 +24,7 @@ from .operators import segments as S
 from .operators import shapes
 from .operators import tables as T
 from .plans import tasks
-from .sources import files, ordered, store
+from .sources import files, lists, ordered, store
 from .sources.packets import TOKEN
 from .streaming import frames as stream
 
@@ -481,6 +481,62 @@ def c6(spark, sf):
     return got.withColumn("last", size).filter("x > last - 8").drop("last")
 
 
+_AUX = "a AS (SELECT CAST(user_id % 4 AS INT) AS file, event_id, CAST(event_id % 9000 AS INT) AS frame, '#' || event_type || ' ' || event_id AS msg FROM events WHERE event_id % 7 > 0), r AS (SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY event_id) - 1 AS INT) AS ord, frame, msg FROM a)"
+
+
+def _aux_records(spark, sf):
+    """The messages of events as records of four files, every seventh without a message, read back in parts of 4 KB."""
+    import struct
+
+    message = F.when(F.col("event_id") % 7 > 0, F.concat(F.lit("#"), "event_type", F.lit(" "), F.col("event_id").cast("string"))).otherwise("")
+    ev = read(spark, sf, "events").select((F.col("user_id") % 4).cast("int").alias("file"), "event_id", message.alias("msg"))
+
+    def run(batches):
+        for b in batches:
+            data = [struct.pack("<ii", i % 9000, len(m)) + m.encode("latin-1") for i, m in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(data, pa.binary())], names=["file", "event_id", "data"])
+
+    rows, folder = ev.mapInArrow(run, "file int, event_id long, data binary"), store.Kept(spark).path("records")
+    for i in range(4):
+        ordered.write_bytes(rows.filter(F.col("file") == i), f"{folder}/{i}.aux", "event_id", shared=True)
+    return files.read_aux(spark, f"{folder}/*.aux", part=4096).withColumn("file", F.regexp_extract("file", r"(\d)\.aux$", 1).cast("int"))
+
+
+@query("s8_records", f"WITH {_AUX} SELECT file, ord, frame, msg FROM r")
+def s8(spark, sf):
+    return _aux_records(spark, sf)
+
+
+@query("k7_record_text", f"WITH {_AUX} SELECT file, ord, frame || chr(9) || substr(msg, 2) AS text FROM r")
+def k7(spark, sf):
+    return files.aux_text(_aux_records(spark, sf))
+
+
+K6_SQL = """
+WITH f AS (SELECT CAST(event_id % 12 AS INT) AS k, user_id AS x, event_id // 12 / 2.0e0 AS y FROM events),
+n AS (SELECT CAST(k AS INT) AS k, (SELECT count(*) FROM f WHERE f.k = t.k) AS n FROM range(0, 10) t(k))
+SELECT CAST(-1 AS INT) AS k, CAST(0 AS INT) AS ord, '10' AS text UNION ALL SELECT k, 0, CAST(n AS VARCHAR) FROM n
+UNION ALL SELECT k, CAST(row_number() OVER (PARTITION BY k ORDER BY x, y) AS INT), printf('%.1f', CAST(x AS DOUBLE)) || chr(9) || printf('%.1f', y) FROM f WHERE k < 10
+"""
+
+
+@query("k6_features_text", K6_SQL)
+def k6(spark, sf):
+    """Points as the lines of a text, frame after frame; the points of frames beyond the tenth are left out."""
+    points = read(spark, sf, "events").select((F.col("event_id") % 12).cast("int").alias("k"), F.col("user_id").alias("x"), (F.floor(F.col("event_id") / 12) / 2).alias("y"))
+    return files.features_text(points, 10, ["x", "y"])
+
+
+@query("s16_control_points", "SELECT 'p' || event_id AS name, round(user_id % 180 + event_id % 60 / 60.0e0 + event_id % 600 / 10.0e0 / 3600, 9) AS lon, round(event_id % 80 + user_id % 60 / 60.0e0 + 30 / 3600.0e0, 9) AS lat, round(value, 6) AS h FROM events")
+def s16(spark, sf):
+    whole = lambda c, m: (F.col(c) % m).cast("string")
+    lon = F.concat_ws(":", whole("user_id", 180), whole("event_id", 60), (F.col("event_id") % 600 / 10).cast("string"))
+    lat = F.concat_ws(":", whole("event_id", 80), whole("user_id", 60), F.lit("30"))
+    words = F.concat_ws("  ", F.concat(F.lit("p"), F.col("event_id").cast("string")), F.lit("WGS 84 -"), lat, lon, F.col("value").cast("string"))
+    got = lists.control_points(read(spark, sf, "events").select(words.alias("text")))
+    return rounded(rounded(got, 9, "lon", "lat"), 6, "h")
+
+
 def e_blocks(spark, sf):
     """E in blocks of 16 whole lines."""
     return blocks.spectral_blocks(spark, sf, 16)
