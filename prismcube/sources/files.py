@@ -196,11 +196,20 @@ def parse_camera(text: str) -> dict:
 
 
 def features_text(features: DataFrame, frames: int, columns: list[str]) -> DataFrame:
-    """k, ord, text: the lines of features (k and columns) of frames 0 to frames - 1, each frame's number of rows first, with one decimal. A line before all holds the number of frames."""
+    """k, ord, text: the lines of features (k and columns) of frames 0 to frames - 1, each frame's number of rows first, with one decimal. A line before all holds the number of frames.
+
+    Rows are in the order of their columns, sorted by range and numbered by prefix sums, so that no frame's rows are gathered.
+    """
+    from ..operators.scans import prefix_sums
+
+    spark, keep = features.sparkSession, store.Kept(features.sparkSession)
     row = F.array_join(F.array(*(F.format_string("%.1f", F.col(c).cast("double")) for c in columns)), "\t")
-    own = features.groupBy("k").agg(F.array_sort(F.collect_list(F.struct(*columns, row.alias("text")))).alias("s")).select("k", F.transform("s", lambda x: x["text"]).alias("rows"))
-    every = features.sparkSession.range(frames).select(F.col("id").cast("int").alias("k")).join(own, "k", "left")
-    rows = F.coalesce("rows", F.array().cast("array<string>"))
-    lines = every.select("k", F.posexplode(F.concat(F.array(F.size(rows).cast("string")), rows)).alias("ord", "text"))
+    inside = features.filter(F.col("k").between(0, frames - 1)).select(F.col("k").cast("int").alias("k"), *columns, row.alias("text"), F.lit(1).alias("_one"))
+    # numbers within all rows in order, less the rows of the frames before
+    numbered = keep(prefix_sums(inside, ["k", *columns], "_one", keep).select("k", "before", "text"), "numbered")
+    firsts = numbered.groupBy("k").agg(F.min("before").alias("first"), F.count(F.lit(1)).alias("n"))
+    rows = numbered.join(firsts, "k").select("k", (F.col("before") - F.col("first") + 1).cast("int").alias("ord"), "text")
+    every = spark.range(frames).select(F.col("id").cast("int").alias("k")).join(firsts, "k", "left")
+    lines = every.select("k", F.lit(0).alias("ord"), F.coalesce("n", F.lit(0)).cast("string").alias("text")).unionByName(rows)
     first = features.sparkSession.createDataFrame([(-1, 0, str(frames))], "k int, ord int, text string")
     return first.unionByName(lines)
