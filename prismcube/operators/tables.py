@@ -121,26 +121,60 @@ def intersecting(a: DataFrame, b: DataFrame) -> DataFrame:
     return out.drop("level", "cx", "cy", "a_level", "b_level")
 
 
-def tile_grid(regions: DataFrame, tile: int) -> DataFrame:
-    """Tiles (tx, ty, x, y, w, h) of regions (rx, ry, rw, rh and keys, which stay): the size adjusted so that tiles are about equal, edge tiles clipped."""
+#: Tiles of a piece of a region, and of a task.
+PIECE, TASK = 1 << 14, 1 << 20
+
+
+def _places(regions: DataFrame, tile: int) -> DataFrame:
+    """regions with tw, th (see tile_grid), cols, rows (numbers of tiles) and a row for each tile (tx, ty).
+
+    A region's tiles grow with its area, so regions are cut into pieces, and these are dealt over tasks before tiles are made.
+    """
 
     def adjusted(n: str):
         return F.ceil(F.col(n) / F.greatest(F.round(F.col(n) / F.least(F.col(n), F.lit(tile))), F.lit(1)))
 
-    keys = [c for c in regions.columns if c not in ("rx", "ry", "rw", "rh")]
     t = regions.filter("rw > 0 AND rh > 0").withColumn("tw", adjusted("rw")).withColumn("th", adjusted("rh"))
-    for at, n, size in (("tx", "rw", "tw"), ("ty", "rh", "th")):
-        t = t.withColumn(at, F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / F.col(size)).cast("int") - 1)))
-    t = t.withColumn("x", F.col("rx") + F.col("tx") * F.col("tw")).withColumn("y", F.col("ry") + F.col("ty") * F.col("th"))
+    t = t.withColumn("cols", F.ceil(F.col("rw") / F.col("tw")).cast("long")).withColumn("rows", F.ceil(F.col("rh") / F.col("th")).cast("long"))
+    t, n = store.Kept(regions.sparkSession)(t, "regions"), F.col("cols") * F.col("rows")
+    tasks = min(10_000, -(-(t.agg(F.sum(n)).first()[0] or 0) // TASK))  # a number
+    t = t.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), n - 1, F.lit(PIECE).cast("long"))))
+    if tasks > 1:
+        t = t.repartition(tasks)
+    t = t.withColumn("_i", F.explode(F.sequence("_from", F.least(F.col("_from") + PIECE, n) - 1)))
+    return t.withColumn("tx", F.expr("_i div rows").cast("int")).withColumn("ty", (F.col("_i") % F.col("rows")).cast("int")).drop("_from", "_i")
+
+
+def _keys(regions: DataFrame) -> list[str]:
+    return [c for c in regions.columns if c not in ("rx", "ry", "rw", "rh")]
+
+
+def tile_grid(regions: DataFrame, tile: int) -> DataFrame:
+    """Tiles (tx, ty, x, y, w, h) of regions (rx, ry, rw, rh and keys, which stay): the size adjusted so that tiles are about equal, edge tiles clipped."""
+    t = _places(regions, tile).withColumn("x", F.col("rx") + F.col("tx") * F.col("tw")).withColumn("y", F.col("ry") + F.col("ty") * F.col("th"))
     w, h = F.least(F.col("tw"), F.col("rx") + F.col("rw") - F.col("x")), F.least(F.col("th"), F.col("ry") + F.col("rh") - F.col("y"))
-    return t.select(*keys, "tx", "ty", *(c.cast("long").alias(n) for c, n in ((F.col("x"), "x"), (F.col("y"), "y"), (w, "w"), (h, "h"))))
+    return t.select(*_keys(regions), "tx", "ty", *(c.cast("long").alias(n) for c, n in ((F.col("x"), "x"), (F.col("y"), "y"), (w, "w"), (h, "h"))))
+
+
+def _around(tiles: DataFrame) -> DataFrame:
+    """tiles with the places of the 3 by 3 surroundings of each, itself left out: nx, ny."""
+    steps = F.array(*(F.struct((F.col("tx") + x).alias("nx"), (F.col("ty") + y).alias("ny")) for x in (-1, 0, 1) for y in (-1, 0, 1) if x or y))
+    return tiles.withColumn("_near", F.explode(steps)).select("*", "_near.nx", "_near.ny").drop("_near")
+
+
+def grid_neighbours(regions: DataFrame, tile: int) -> DataFrame:
+    """Each tile's neighbours in the grid that tile_grid makes of regions. A grid has no holes, so its bounds tell them; nothing is joined."""
+    keys = _keys(regions)
+    known = regions.dropna(subset=keys) if keys else regions  # regions of an unknown key are no one's
+    near = _around(_places(known, tile)).filter("nx >= 0 AND ny >= 0 AND nx < cols AND ny < rows")
+    return near.select(*keys, "tx", "ty", "nx", "ny")
 
 
 def tile_neighbours(tiles: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Each tile's neighbours in its 3 by 3 surroundings of the same keys, itself left out."""
-    near = tiles.select(*keys, "tx", "ty", F.explode(F.sequence(F.lit(-1), F.lit(1))).alias("dx")).withColumn("dy", F.explode(F.sequence(F.lit(-1), F.lit(1)))).filter("dx <> 0 OR dy <> 0")
-    near = near.select(*keys, "tx", "ty", (F.col("tx") + F.col("dx")).alias("nx"), (F.col("ty") + F.col("dy")).alias("ny"))
-    return near.join(tiles.select(*keys, F.col("tx").alias("nx"), F.col("ty").alias("ny")), [*keys, "nx", "ny"]).select(*keys, "tx", "ty", "nx", "ny")
+    """Each tile's neighbours in its 3 by 3 surroundings of the same keys, itself left out; of any tiles. Tiles are never broadcast: a few regions may have many."""
+    near = _around(tiles.select(*keys, "tx", "ty"))
+    there = tiles.select(*keys, F.col("tx").alias("nx"), F.col("ty").alias("ny"))
+    return near.join(there.hint("merge"), [*keys, "nx", "ny"]).select(*keys, "tx", "ty", "nx", "ny")
 
 
 def drop_repeats(records: DataFrame, tolerance: float = 1e-5) -> DataFrame:
