@@ -176,11 +176,14 @@ def gauss_kernel(ksize: int) -> tuple[float, ...]:
     return tuple((w / w.sum()).tolist())
 
 
-def gauss(frames: DataFrame, rows: int, cols: int, ksize: int = 3, band: int = 0, dim: int = 1, tile: int = tiles.TILE) -> DataFrame:
-    """Gaussian smoothing along lines' axis (dim 1), places (dim 0) or both, mirrored at the border without the edge; weights of cells that are not there go to the others; lines before band stay as they are."""
+def gauss(frames: DataFrame, rows: int, cols: int, ksize: int = 3, band: int = 0, dim: int = 1, tile: int = tiles.TILE, shared: bool = True) -> DataFrame:
+    """Gaussian smoothing along lines' axis (dim 1), places (dim 0) or both, mirrored at the border without the edge; lines before band stay as they are.
+
+    Weights of cells that are not there go to the others (shared), or such cells count as 0.
+    """
     kernel = gauss_kernel(ksize)
     axes = (0,) if dim == 1 else (1,) if dim == 0 else (1, 0)
-    return tiles.tiled(frames, rows, cols, ksize // 2, lambda p: tiles.smooth(p, kernel, axes, band), tile=tile)
+    return tiles.tiled(frames, rows, cols, ksize // 2, lambda p: tiles.smooth(p, kernel, axes, band, shared), tile=tile)
 
 
 #: The peak test's ratios (0 at the centre, whose place in the parameter holds the threshold).

@@ -504,3 +504,22 @@ def test_rectangles_of_all_sizes(spark):
     want = sorted((a[0], b[0]) for a in rect for b in rect if (b[0] % 2 == 0 or b[0] > 99) and a[1] <= b[1] + b[3] and b[1] <= a[1] + a[3] and a[2] <= b[2] + b[4] and b[2] <= a[2] + a[4])
     assert got == want and (101, 102) in got
     assert T.in_rectangles(p, spark.createDataFrame([], "box int, x0 double, y0 double, x1 double, y1 double")).count() == 0
+
+
+@pytest.mark.parametrize("pixels", [7, 25, 56, 97])
+def test_gauss_query_with_a_short_last_line_equals_its_sql(spark, tmp_path, pixels):
+    # cells that are not there have no share in the sum, as in the SQL; few lines, too
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from prismcube.queries import ORACLES, QUERIES
+
+    values = np.random.default_rng(2).normal(size=(pixels, 64)).astype(np.float32)
+    table = pa.table({"vec_id": pa.array(range(pixels), pa.int64()), "embedding": pa.array(values.tolist(), pa.list_(pa.float32()))})
+    pq.write_table(table, tmp_path / "embeddings.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    want = {(k, r, x): v for k, r, x, v in c.execute(ORACLES["w4_gauss"]).fetchall()}
+    got = {(r.k, r.r, r.c): r.v for r in QUERIES["w4_gauss"](spark, str(tmp_path)).collect()}
+    assert set(got) == set(want) and max(abs(got[x] - want[x]) for x in want) < 2e-6
