@@ -44,24 +44,35 @@ def entry_states(steps: DataFrame, by: list[str], first: int, keep, fan: int = F
     return entries
 
 
-def prefix_sums(rows: DataFrame, order: list[str], value: str, keep) -> DataFrame:
-    """rows with before: the sum of value (whole numbers, null as 0) over all rows before, in the order of these columns.
+def _prefixes(rows: DataFrame, order: list[str], value: str, keep, add: np.ufunc, total, both) -> DataFrame:
+    """rows with before: value (whole numbers, null as 0) of all rows before, added up from 0 by add, in the order of these columns.
 
-    Rows are sorted by range and summed in their tasks; the tasks' totals, a row each, are summed by a window. Sorted rows are
+    Rows are sorted by range and added up in their tasks; the tasks' totals, a row each, are added up by a window. Sorted rows are
     written once, since their order is used twice. Rows that are equal in the order are each before those behind.
     """
     part, so_far = "_part", "_sum"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, number = 0, TaskContext.get().partitionId()
+        last, number = 0, TaskContext.get().partitionId()
         for b in batches:
             v = b.column(b.schema.get_field_index(value)).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
-            before = total + np.cumsum(v) - v
-            total += int(v.sum())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(v), number, np.int64)), pa.array(before.astype(np.int64))], names=[*b.schema.names, part, so_far])
+            before = add.accumulate(np.concatenate([[last], v]).astype(np.int64))
+            last = int(before[-1])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(v), number, np.int64)), pa.array(before[:-1])], names=[*b.schema.names, part, so_far])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), f"{part} long, {so_far} long"])
     done = keep(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema), "sums")
-    totals = done.groupBy(part).agg(F.sum(F.coalesce(F.col(value).cast("long"), F.lit(0))).alias("total"))
-    firsts = totals.select(part, (F.sum("total").over(W.orderBy(part)) - F.col("total")).alias("first"))  # a row a task
-    return done.join(F.broadcast(firsts), part).withColumn("before", F.col(so_far) + F.col("first")).drop(part, so_far, "first")
+    totals = done.groupBy(part).agg(total(F.coalesce(F.col(value).cast("long"), F.lit(0))).alias("total"))
+    ahead = W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)  # a row a task
+    firsts = totals.select(part, F.coalesce(total("total").over(ahead), F.lit(0)).alias("_first"))
+    return done.join(F.broadcast(firsts), part).withColumn("before", both(F.col(so_far), F.col("_first"))).drop(part, so_far, "_first")
+
+
+def prefix_sums(rows: DataFrame, order: list[str], value: str, keep) -> DataFrame:
+    """rows with before: the sum of value (whole numbers, null as 0) over all rows before, in the order of these columns (see _prefixes)."""
+    return _prefixes(rows, order, value, keep, np.add, F.sum, lambda a, b: a + b)
+
+
+def prefix_max(rows: DataFrame, order: list[str], value: str, keep) -> DataFrame:
+    """rows with before: the largest value (whole numbers from 0, null as 0) of all rows before, 0 if there is none."""
+    return _prefixes(rows, order, value, keep, np.maximum, F.max, F.greatest)

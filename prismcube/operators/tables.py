@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from ..sources import store
 from .repeats import drop_repeats_scan  # noqa: F401
-from .scans import prefix_sums
+from .scans import prefix_max, prefix_sums
 
 
 def splice(cells: DataFrame, shapes: DataFrame) -> DataFrame:
@@ -18,29 +18,58 @@ def splice(cells: DataFrame, shapes: DataFrame) -> DataFrame:
     return cells.join(off, "scene").select("b", (F.col("y") + F.col("off")).alias("y"), "x", v.alias("v"))
 
 
+#: The end of a file whose end is not known.
+OPEN = (1 << 63) - 1
+
+
 def group_intervals(files: DataFrame) -> DataFrame:
     """Groups of files (name, first, last) by the greedy rule: by start, a file joins the latest group that ends before it, else opens one.
 
-    A second file of an equal start is dropped. The rule looks at all groups so far, so it is a scan over files,
-    which are few (one row each).
+    A second file of an equal start is dropped. A file without an end is never followed, one without a start opens a group behind all.
+
+    Where all files so far have ended, a stretch begins: what the rule does in it depends on the files before by the number of groups
+    alone, which is the most files that were open at once. Open files, stretches and groups so far are thus prefix sums and maxima over
+    the files sorted by range. Each stretch is then gone through in order, with the free groups and the open files as heaps.
     """
-    one = files.withColumn("n", F.row_number().over(W.partitionBy("first").orderBy("name"))).filter("n = 1")
+    keep = store.Kept(files.sparkSession)
+    one = files.select("name", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"))
+    one = keep(one.withColumn("n", F.row_number().over(W.partitionBy("first").orderBy("name"))).filter("n = 1").drop("n"), "files")
+    known = one.filter("first IS NOT NULL").withColumn("end", F.when(F.col("last").isNull(), F.lit(OPEN)).otherwise(F.greatest("first", "last")))
+    # a file that ends where another begins is still open there
+    steps = known.select("*", F.explode(F.array(F.struct(F.col("first").alias("t"), F.lit(0).alias("kind"), F.lit(1).alias("step")), F.struct(F.col("end").alias("t"), F.lit(1).alias("kind"), F.lit(-1).alias("step")))).alias("e"))
+    steps = prefix_sums(steps.select("name", "first", "last", "end", "e.*"), ["t", "kind"], "step", keep)
+    begun = steps.filter("kind = 0").select("name", "first", "last", "end", (F.col("before") + 1).alias("open"))
+    begun = prefix_max(begun, ["first"], "open", keep).withColumnRenamed("before", "groups").withColumn("new", (F.col("open") == 1).cast("int"))
+    begun = prefix_sums(begun, ["first"], "new", keep).withColumn("stretch", F.col("before") + F.col("new"))
+
+    def run(batches):
+        import heapq
 
-    def run(table):
         import pyarrow as pa
 
-        ends, out = [], []
-        for f in sorted(table.to_pylist(), key=lambda x: x["first"]):
-            g = next((i for i in range(len(ends) - 1, -1, -1) if ends[i] < f["first"]), None)
-            if g is None:
-                g = len(ends)
-                ends.append(f["last"])
-            else:
-                ends[g] = f["last"]
-            out.append({"name": f["name"], "first": f["first"], "last": f["last"], "grp": g})
-        return pa.Table.from_pylist(out, schema=pa.schema([("name", pa.string()), ("first", pa.int64()), ("last", pa.int64()), ("grp", pa.int32())]))
-
-    return one.select(F.lit(0).alias("all"), "name", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last")).groupBy("all").applyInArrow(run, "name string, first long, last long, grp int")
+        at, free, busy, fresh, n = None, [], [], 0, 0
+        for b in batches:
+            out = []
+            for stretch, groups, first, end in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                if stretch != at:  # all groups are free, and none is in a heap
+                    at, free, busy, fresh, n = stretch, [], [], groups, groups
+                while busy and busy[0][0] < first:
+                    heapq.heappush(free, -heapq.heappop(busy)[1])
+                if free:  # these are later than those that the stretch has not used
+                    g = -heapq.heappop(free)
+                elif fresh:
+                    fresh -= 1
+                    g = fresh
+                else:
+                    g, n = n, n + 1
+                heapq.heappush(busy, (end, g))
+                out.append(g)
+            yield pa.RecordBatch.from_arrays([b.column(4), b.column(2), b.column(5), pa.array(out, pa.int32())], names=["name", "first", "last", "grp"])
+
+    rows = begun.select("stretch", "groups", "first", "end", "name", "last").repartition("stretch").sortWithinPartitions("stretch", "first")
+    out = rows.mapInArrow(run, "name string, first long, last long, grp int")
+    behind = begun.agg(F.coalesce(F.max("open"), F.lit(0)).cast("int").alias("grp"))
+    return out.unionByName(one.filter("first IS NULL").crossJoin(F.broadcast(behind)))
 
 
 def _level(size):

@@ -1,5 +1,6 @@
 """Tiles of large regions, and other joins and scans over tracks."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from prismcube.operators import tables as T
@@ -31,3 +32,25 @@ def test_tiles_are_not_broadcast(spark, sf):
     assert "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan
     regions = spark.createDataFrame([(1, 0, 0, 4000, 3000)], "id int, rx long, ry long, rw long, rh long")
     assert "BroadcastHashJoin" not in T.tile_neighbours(T.tile_grid(regions, 800), ("id",))._jdf.queryExecution().toString()
+
+
+def test_interval_groups_are_not_gathered_and_equal_one_scan(spark):
+    rng = np.random.default_rng(4)
+    for spread, longest, n in ((3000, 12, 400), (600, 90, 300), (100_000, 3, 50), (50, 2000, 40)):
+        first = rng.integers(0, spread, n).tolist()
+        files = [(f"f{i:03d}", a, a + int(rng.integers(0, longest))) for i, a in enumerate(first)]
+        files += [("open", spread // 3, None), ("none", None, None), ("none2", None, None)]
+        rows = {}
+        for f in files:
+            if f[1] not in rows:
+                rows[f[1]] = f
+        ends, want = [], {}
+        for name, a, b in sorted((f for f in rows.values() if f[1] is not None), key=lambda f: f[1]):
+            g = max((i for i, x in enumerate(ends) if x < a), default=len(ends))
+            ends[g : g + 1] = [float("inf") if b is None else b]
+            want[name] = (a, b, g)
+        want["none"] = (None, None, len(ends))
+        got = T.group_intervals(spark.createDataFrame(files, "name string, first long, last long"))
+        assert {r.name: (r.first, r.last, r.grp) for r in got.collect()} == want
+        plan = got._jdf.queryExecution().toString()
+        assert "FlatMapGroupsInArrow" not in plan and "SinglePartition" not in plan.split("BroadcastExchange")[0]
