@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -190,12 +194,34 @@ def crop(frames: DataFrame, x: int, y: int, w: int, h: int, fill: float = 0.0) -
     return grid.join(inside, ["k", "r", "c"], "left").select("k", "r", "c", F.coalesce("v", F.lit(fill)).alias("v"))
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def unpack12(data: pd.Series) -> pd.Series:
-    """12-bit samples of a binary column: three bytes hold two, high bits first; bytes are taken in Arrow batches."""
+#: Bytes of a binary column that are unpacked at a time.
+UNPACKED = 1 << 20
+
+
+def _cut(data: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Slices of a binary array of about that many bytes, a row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at, done = 0, 0
+    while at < len(data):
+        end = max(int(np.searchsorted(ends, done + most, "right")), at + 1)
+        yield data.slice(at, end - at)
+        at, done = end, int(ends[end - 1])
+
+
+def _unpacked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     from ..sources.files import unpack12 as unpack
 
-    return data.map(lambda x: unpack(x if x is not None else b""))
+    for batch in batches:
+        for data in _cut(batch, UNPACKED):
+            rows = [unpack(x or b"") for x in data.to_pylist()]
+            places = np.cumsum([0, *map(len, rows)])
+            yield pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(np.concatenate(rows).astype(np.int32, copy=False)))
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def unpack12(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """12-bit samples of a binary column: three bytes hold two, high bits first; null has none. About UNPACKED bytes are unpacked at a time, however many an Arrow batch holds."""
+    return _unpacked(batches)
 
 
 def to_type(v: Column, kind: str) -> Column:

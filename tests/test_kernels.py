@@ -523,3 +523,17 @@ def test_gauss_query_with_a_short_last_line_equals_its_sql(spark, tmp_path, pixe
     want = {(k, r, x): v for k, r, x, v in c.execute(ORACLES["w4_gauss"]).fetchall()}
     got = {(r.k, r.r, r.c): r.v for r in QUERIES["w4_gauss"](spark, str(tmp_path)).collect()}
     assert set(got) == set(want) and max(abs(got[x] - want[x]) for x in want) < 2e-6
+
+
+def test_unpacking_holds_a_bounded_part_of_a_batch(spark):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    data = [None, b"", b"a", b"ab", *(rng.bytes(int(n)) for n in rng.integers(0, 3 << 12, 2000)), rng.bytes(3 << 20), None]
+    want = [files.unpack12(x or b"").tolist() for x in data]
+    got = list(M._unpacked(iter([pa.array(data, pa.binary()), pa.array([], pa.binary()), pa.array(data[:5], pa.binary())])))
+    assert [x for a in got for x in a.to_pylist()] == want + want[:5]
+    # a part has no more bytes than UNPACKED, but for a row that is longer
+    assert len(got) > 10 and all(len(a) == 1 or len(a.values) * 3 // 2 <= M.UNPACKED for a in got)
+    rows = spark.createDataFrame([(i, None if x is None else bytearray(x)) for i, x in enumerate(data[:50])], "i int, x binary").withColumn("s", M.unpack12("x"))
+    assert {r.i: r.s for r in rows.collect()} == dict(enumerate(want[:50]))
