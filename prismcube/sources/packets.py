@@ -186,6 +186,16 @@ _PACKETS = pa.schema([("file", pa.string()), ("ord", pa.int64()), ("line", pa.in
 PACKETS = "file string, ord long, line long, image_type string, data_type string, band int, frame int, n_bytes int, payload binary"
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[list]:
+    """The rows of a batch one by one, since each may hold many tokens."""
+    return ([c[i].as_py() for c in batch.columns] for i in range(batch.num_rows))
+
+
+def _batch(packets: list[tuple]) -> pa.RecordBatch:
+    """Packets as a batch: file, ord, line, the header's fields, payload."""
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*packets, strict=True), _PACKETS, strict=True)], schema=_PACKETS)
+
+
 def read_packets(spark: SparkSession, path: str, token: bytes = TOKEN, packed: bool = True, part: int = PART, fan: int = FAN) -> DataFrame:
     """Packets of raw files by ranges: file, ord (from 0), line (frames from 0, -1 before the first), kinds, band, frame, n_bytes, payload.
 
@@ -196,7 +206,7 @@ def read_packets(spark: SparkSession, path: str, token: bytes = TOKEN, packed: b
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for file, i, entry, places, after, meta in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for file, i, entry, places, after, meta in _rows(b):
                 own = followed(places, after, entry)
                 lines = np.cumsum([meta[k] for k in own]).tolist()
                 yield pa.RecordBatch.from_pydict({"file": [file], "i": pa.array([i], pa.int64()), "own": pa.array([[places[k] for k in own]], _LONGS), "lines": pa.array([lines], _LONGS), "n": pa.array([len(own)], pa.int64()), "m": pa.array([lines[-1] if own else 0], pa.int64())})
@@ -208,19 +218,20 @@ def read_packets(spark: SparkSession, path: str, token: bytes = TOKEN, packed: b
 
     def payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for file, own, lines, first, line in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for file, own, lines, first, line in _rows(b):
                 held, total = [], 0
                 with store.open_read(file) as f:
                     for k, at in enumerate(own):
                         f.seek(at + len(token))
                         h = header(f.read(HEADER), packed)
-                        held.append({"file": file, "ord": first + k, "line": line + lines[k], "payload": bytes(f.read(h["n_bytes"]))} | h)
+                        held.append((file, first + k, line + lines[k], *h.values(), bytes(f.read(h["n_bytes"]))))
                         total += h["n_bytes"] + 100
                         if total > 1 << 24:
-                            yield pa.RecordBatch.from_pylist(held, schema=_PACKETS)
+                            yield _batch(held)
                             held, total = [], 0
                 if held:
-                    yield pa.RecordBatch.from_pylist(held, schema=_PACKETS)
+                    yield _batch(held)
 
     rows = walked.filter("n > 0").join(firsts, ["file", "i"]).select("file", "own", "lines", "first", "line")
-    return rows.repartition(max(1, min(10_000, walked.count())), "file", "first").mapInArrow(payloads, PACKETS)
+    n, size = ranges.agg(F.count(F.lit(1)), F.sum(F.col("end") - F.col("start"))).first()  # a row a range
+    return rows.repartition(store.tasks(spark, n, size or 0), "file", "first").mapInArrow(payloads, PACKETS)

@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of a task's ranges.
+TASK = 1 << 25
+
+
 def local(path: str) -> str | None:
     """The local path, where the store is the file system (or a mount)."""
     u = urlparse(path)
@@ -71,7 +75,13 @@ def ranges(spark: SparkSession, path: str, part: int) -> DataFrame:
     starts = F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(part).cast("long"))).alias("i", "start")
     found = files.select(F.col("path").alias("file"), "length", starts)
     found = found.select("file", F.col("i").cast("long").alias("i"), "start", F.least(F.col("start") + part, "length").alias("end"))
-    return found.repartition(max(1, min(10_000, found.count())), "file", "i")  # a count of names
+    n, size = found.agg(F.count(F.lit(1)), F.sum(F.col("end") - F.col("start"))).first()  # of names
+    return found.repartition(tasks(spark, n, size or 0), "file", "i")
+
+
+def tasks(spark: SparkSession, n: int, size: int) -> int:
+    """Tasks for n ranges of that many bytes: a few a core, more for more than `TASK` bytes each, so that small ranges share one."""
+    return max(1, min(n, 10_000, max(4 * spark.sparkContext.defaultParallelism, -(-size // TASK))))
 
 
 def chunks(path: str, size: int) -> Iterator[bytes]:
