@@ -112,13 +112,17 @@ def _batches(rows: Iterable[dict], schema: pa.Schema, size, most: int = PART) ->
         yield pa.RecordBatch.from_pylist(held, schema=schema)
 
 
-def decode(packets: DataFrame) -> DataFrame:
-    """file, b, y, x, v of the valid frames of packets; y counts them. SWIR lines are flipped inside each of four modules."""
+def decode(packets: DataFrame, last: int | None = None) -> DataFrame:
+    """file, b, y, x, v of the valid frames of packets; y counts them. SWIR lines are flipped inside each of four modules. last: only so many places at the end of each packet.
+
+    Packets are written once, since they are used for the frames and for the samples.
+    """
     from pyspark.sql import Window as W
 
     from ..operators.aggregates import packet_frames
     from ..operators.maps import unpack12 as unpack
 
+    packets = store.Kept(packets.sparkSession)(packets, "packets")
     lines = packet_frames(packets).filter("valid").withColumn("y", F.row_number().over(W.partitionBy("file").orderBy("line")) - 1)
     p = packets
     if "line" not in p.columns:
@@ -129,7 +133,10 @@ def decode(packets: DataFrame) -> DataFrame:
     m = F.floor(F.col("n") / 4)
     part = F.floor(F.col("i") / m)
     flipped = F.when((F.col("image_type") == "SWIR") & (part < 4), part * m + (m - 1 - (F.col("i") - part * m))).otherwise(F.col("i"))
-    return p.select("file", "b", "y", flipped.cast("int").alias("x"), F.col("v").cast("double").alias("v"))
+    p = p.withColumn("x", flipped.cast("int"))
+    if last is not None:
+        p = p.filter(F.col("x") >= F.col("n") - last)
+    return p.select("file", "b", "y", "x", F.col("v").cast("double").alias("v"))
 
 
 def records_in(parts: Iterable[bytes]) -> Iterator[tuple[int, bytes]]:
