@@ -213,9 +213,13 @@ def _unpacked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
     for batch in batches:
         for data in _cut(batch, UNPACKED):
-            rows = [unpack(x or b"") for x in data.to_pylist()]
-            places = np.cumsum([0, *map(len, rows)])
-            yield pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(np.concatenate(rows).astype(np.int32, copy=False)))
+            rows = [x or b"" for x in data.to_pylist()]
+            if any(len(x) % 3 for x in rows):
+                parts = [unpack(x) for x in rows]
+                values, sizes = np.concatenate(parts), [len(x) for x in parts]
+            else:  # whole threes, as in packets: rows one behind another are unpacked at once
+                values, sizes = unpack(b"".join(rows)), [len(x) // 3 * 2 for x in rows]
+            yield pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(values.astype(np.int32, copy=False)))
 
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))

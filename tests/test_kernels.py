@@ -533,6 +533,8 @@ def test_unpacking_holds_a_bounded_part_of_a_batch(spark):
     want = [files.unpack12(x or b"").tolist() for x in data]
     got = list(M._unpacked(iter([pa.array(data, pa.binary()), pa.array([], pa.binary()), pa.array(data[:5], pa.binary())])))
     assert [x for a in got for x in a.to_pylist()] == want + want[:5]
+    threes = [None, b"", *(rng.bytes(3 * int(n)) for n in rng.integers(0, 9, 300))]
+    assert [x for a in M._unpacked(iter([pa.array(threes, pa.binary())])) for x in a.to_pylist()] == [files.unpack12(x or b"").tolist() for x in threes]
     # a part has no more bytes than UNPACKED, but for a row that is longer
     assert len(got) > 10 and all(len(a) == 1 or len(a.values) * 3 // 2 <= M.UNPACKED for a in got)
     rows = spark.createDataFrame([(i, None if x is None else bytearray(x)) for i, x in enumerate(data[:50])], "i int, x binary").withColumn("s", M.unpack12("x"))
